@@ -60,3 +60,7 @@ def rounded(sql: str) -> str:
 
 def all_sql() -> dict:
     return {k: rounded(v) for k, v in SQL.items()}
+
+
+# Families register their SQL into ``SQL`` on import (after the helpers above exist).
+from oracle import sql_clean, sql_quality, sql_scalar  # noqa: E402,F401

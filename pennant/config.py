@@ -73,13 +73,19 @@ MILESTONE_THRESHOLDS = {
 }
 # Performance tier bins, left-closed: [0,70) [70,81) [81,90) [90,95) [95,inf).
 TIER_CUTS = (70, 81, 90, 95)
-TIER_LABELS = ("Poor", "Below Average", "Average", "Good", "Excellent")
+TIER_LABELS = ("Rebuilding", "Below Average", "Average", "Contender", "Elite")
 # Projection categories, right-closed: (0,65] (65,75] (75,85] (85,95] (95,105] (105,163].
 PROJECTION_CUTS = (0, 65, 75, 85, 95, 105, 163)
-PROJECTION_LABELS = ("Poor", "Below Average", "Average", "Above Average", "Good", "Excellent")
+PROJECTION_LABELS = ("Terrible", "Poor", "Below Average", "Good", "Excellent", "Elite")
 # Report tiers for projected wins.
-REPORT_WIN_TIERS = ((95, "Elite"), (90, "Playoff Contender"), (85, "Wild Card Contender"),
-                    (81, "Above .500"), (None, "Below .500"))
+REPORT_WIN_TIERS = ((95, "Elite team projection with strong championship potential"),
+                    (90, "Solid playoff contender with division title possibilities"),
+                    (85, "Wild card contender in competitive position"),
+                    (81, "Above .500 team with outside playoff chances"),
+                    (None, "Rebuilding phase with focus on development"))
+REPORT_DIVISION_TIERS = ((0.5, "Favored to win division"), (0.25, "Strong division contender"))
+CONFIDENCE_HIGH = 0.7
+CONFIDENCE_MEDIUM = 0.4
 BENCHMARKS_CLASSIFICATION = (("excellent", 0.90, 0.85), ("good", 0.80, 0.75),
                              ("acceptable", 0.70, 0.65))  # (level, roc_auc, accuracy)
 BENCHMARKS_REGRESSION = (("excellent", 5.0, 0.80), ("good", 8.0, 0.65),

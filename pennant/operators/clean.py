@@ -132,3 +132,14 @@ def add_calculated_fields(df: DataFrame) -> DataFrame:
         "winning_percentage": div("wins", F.col("wins") + F.col("losses")),
         "run_differential": F.col("runs_scored") - F.col("runs_allowed"),
     })
+
+
+def standard_scale(df: DataFrame, columns, ddof: int = 0, suffix: str = "_scaled") -> DataFrame:
+    """CL22 / ML1 (SQL form) — (x - mean) / std with std ddof 0 (population, as
+    in the original scaler) or 1; statistics from one aggregate joined back."""
+    std = F.stddev_pop if ddof == 0 else F.stddev_samp
+    stats = df.agg(*[a for c in columns for a in (F.avg(c).alias(f"__m_{c}"), std(c).alias(f"__s_{c}"))])
+    # one-row aggregate: broadcast is size-proven; equi-join on a constant key
+    out = df.withColumn("__k", F.lit(1)).join(F.broadcast(stats.withColumn("__k", F.lit(1))), "__k", "left")
+    out = out.withColumns({f"{c}{suffix}": div(F.col(c) - F.col(f"__m_{c}"), F.col(f"__s_{c}")) for c in columns})
+    return out.drop("__k", *[f"__{k}_{c}" for c in columns for k in ("m", "s")])
