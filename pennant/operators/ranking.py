@@ -85,3 +85,24 @@ def average_rank_pct(df: DataFrame, specs, buckets: int = 32, source: DataFrame
         out = out.join(look, (_gkey(g) == F.col(f"__g{i}")) & (F.col(v).cast("double") == F.col(f"__v{i}")),
                        "left").drop(f"__g{i}", f"__v{i}")
     return out
+
+
+def group_rank(df: DataFrame, specs, buckets: int = 32, source: DataFrame | None = None) -> DataFrame:
+    """Attach ranks within groups without a window over raw rows.
+
+    ``specs``: list of ``(group_cols, value_col, out_col, method, descending)``
+    with ``method`` in ``average`` | ``min`` | ``max`` (pandas semantics;
+    NULL values get NULL)."""
+    hist = value_histogram(df if source is None else source, [(g, v) for g, v, *_ in specs])
+    ranked = prefix_counts(hist, ["__m", "__g"], "__v", "__n", buckets)
+    out = df
+    below, n, tot = F.col("__below"), F.col("__n"), F.col("__tot")
+    for i, (g, v, o, method, desc) in enumerate(specs):
+        first = (tot - below - n + 1) if desc else (below + 1)     # rank of the first tie
+        r = {"min": first, "max": first + n - 1, "average": first + (n - 1) / 2.0}[method]
+        look = ranked.where(F.col("__m") == i).select(
+            F.col("__g").alias(f"__g{i}"), F.col("__v").alias(f"__v{i}"),
+            (r.cast("double") if method == "average" else r.cast("long")).alias(o))
+        out = out.join(look, (_gkey(g) == F.col(f"__g{i}")) & (F.col(v).cast("double") == F.col(f"__v{i}")),
+                       "left").drop(f"__g{i}", f"__v{i}")
+    return out
