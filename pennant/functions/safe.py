@@ -44,3 +44,10 @@ def round_doubles(df, digits: int = 6):
     return df.select(*[F.round(F.col(f.name), digits).alias(f.name)
                        if f.dataType.typeName() in ("double", "float") else F.col(f.name)
                        for f in df.schema.fields])
+
+
+def attach_scalars(df, one_row):
+    """Attach a ONE-ROW aggregate to every row: equi-join on a constant key with
+    an explicit broadcast (its size is proven: one row), never a cross join."""
+    k = "__one"
+    return df.withColumn(k, F.lit(1)).join(F.broadcast(one_row.withColumn(k, F.lit(1))), k).drop(k)
