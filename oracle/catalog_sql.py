@@ -50,7 +50,8 @@ def rounded(sql: str) -> str:
     except Exception:  # noqa: BLE001 — leave unrounded if binding is impossible
         dbl = []
     if dbl:
-        rep = ", ".join(f'ROUND("{c}", 6) AS "{c}"' for c in dbl)
+        rep = ", ".join(f'CASE WHEN abs("{c}") < 1e12 THEN floor("{c}" * 1000000.0::DOUBLE + 0.5::DOUBLE) '
+                        f'/ 1000000.0::DOUBLE ELSE "{c}" END AS "{c}"' for c in dbl)
         res = f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS q"
     else:
         res = sql
@@ -63,4 +64,4 @@ def all_sql() -> dict:
 
 
 # Families register their SQL into ``SQL`` on import (after the helpers above exist).
-from oracle import sql_agg, sql_clean, sql_metrics, sql_quality, sql_scalar, sql_window  # noqa: E402,F401
+from oracle import sql_agg, sql_clean, sql_metrics, sql_models, sql_quality, sql_scalar, sql_window  # noqa: E402,F401

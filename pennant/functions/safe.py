@@ -39,9 +39,18 @@ def flag(cond: Column) -> Column:
     return cond.cast("int")
 
 
+def round_half_up(c, digits: int = 6):
+    """floor(x * 10^d + 0.5) / 10^d — plain IEEE operations, so any engine
+    given the same double returns the same double (decimal-string rounding
+    and binary rounding disagree at ties).  |x| >= 1e12 is left as is."""
+    c = col(c)
+    k = float(10 ** digits)
+    return F.when(F.abs(c) < 1e12, F.floor(c * k + 0.5) / k).otherwise(c)
+
+
 def round_doubles(df, digits: int = 6):
     """Round every double column to ``digits`` (report/oracle boundary only)."""
-    return df.select(*[F.round(F.col(f.name), digits).alias(f.name)
+    return df.select(*[round_half_up(F.col(f.name), digits).alias(f.name)
                        if f.dataType.typeName() in ("double", "float") else F.col(f.name)
                        for f in df.schema.fields])
 
