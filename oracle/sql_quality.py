@@ -100,10 +100,10 @@ def _dq13() -> str:
     from oracle.catalog_sql import _describe_con
     cols = _describe_con().execute(f"DESCRIBE ({P_FEAT} SELECT * FROM features)").fetchall()
     dbl = [r[0] for r in cols if r[1] == "DOUBLE"]
-    inf = " + ".join(f"count_if(isnan({c}) OR isinf({c}))" for c in dbl) or "0"
+    inf = " + ".join(f"COALESCE(count_if(isnan({c}) OR isinf({c})), 0)" for c in dbl) or "0"
     ratios = ["home_win_pct", "away_win_pct", "win_pct_vs_top_teams", "pythagorean_win_pct",
               "wins_percentile", "run_diff_percentile", "last_10_pct", "winning_percentage"]
-    bad = " + ".join(f"count_if({c} < 0 OR {c} > 1)" for c in ratios)
+    bad = " + ".join(f"COALESCE(count_if({c} < 0 OR {c} > 1), 0)" for c in ratios)
     return P_FEAT + f"\nSELECT CAST({inf} AS BIGINT) AS n_non_finite, CAST({bad} AS BIGINT) AS n_ratio_out_of_range FROM features"
 
 
