@@ -64,4 +64,4 @@ def all_sql() -> dict:
 
 
 # Families register their SQL into ``SQL`` on import (after the helpers above exist).
-from oracle import sql_agg, sql_clean, sql_io, sql_metrics, sql_models, sql_quality, sql_scalar, sql_stream, sql_window  # noqa: E402,F401
+from oracle import sql_agg, sql_clean, sql_extra, sql_io, sql_metrics, sql_models, sql_quality, sql_scalar, sql_stream, sql_window  # noqa: E402,F401

@@ -45,8 +45,8 @@ SELECT max(year) AS season, count(*) AS n_teams, avg(wins) AS mean_wins, max(win
   first(team_name ORDER BY wins DESC, team_name ASC) AS best_team
 FROM clean WHERE year = (SELECT max(year) FROM clean)"""
 SQL["AG7_error_by_period"] = REG + """
-SELECT year, round(avg(abs(yhat - y)), 2) AS mae, round(stddev_samp(abs(yhat - y)), 2) AS std_ae,
-  round(avg(yhat - y), 2) AS mean_error, count(*) AS n FROM reg GROUP BY year"""
+SELECT year, CASE WHEN abs(avg(abs(yhat - y))) < 1e12 THEN floor(avg(abs(yhat - y)) * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE ELSE avg(abs(yhat - y)) END AS mae, CASE WHEN abs(stddev_samp(abs(yhat - y))) < 1e12 THEN floor(stddev_samp(abs(yhat - y)) * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE ELSE stddev_samp(abs(yhat - y)) END AS std_ae,
+  CASE WHEN abs(avg(yhat - y)) < 1e12 THEN floor(avg(yhat - y) * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE ELSE avg(yhat - y) END AS mean_error, count(*) AS n FROM reg GROUP BY year"""
 SQL["AG8_mae_by_entity_top"] = REG + """
 SELECT team_name, avg(abs(yhat - y)) AS mae FROM reg GROUP BY team_name ORDER BY mae DESC, team_name LIMIT 15"""
 SQL["AG9_accuracy_by_confidence"] = LEVELS + """
@@ -197,7 +197,7 @@ SELECT team_name, year, wins, CASE WHEN year = 2000 THEN 'val' ELSE 'train' END
 SQL["ST3_wide_to_long"] = P_FEAT + "\n" + "\nUNION ALL\n".join(
     f"SELECT team_name, year, '{m}' AS milestone, {m} AS achieved FROM features" for m in MILESTONES)
 _eras = [e for e, *_ in CFG.era_ranges]
-SQL["ST4_long_to_wide"] = REG + ",\ne AS (SELECT year, era, round(avg(abs(yhat - y)), 2) AS mae FROM reg GROUP BY year, era)\n" + \
+SQL["ST4_long_to_wide"] = REG + ",\ne AS (SELECT year, era, CASE WHEN abs(avg(abs(yhat - y))) < 1e12 THEN floor(avg(abs(yhat - y)) * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE ELSE avg(abs(yhat - y)) END AS mae FROM reg GROUP BY year, era)\n" + \
     "SELECT year, " + ", ".join(f"max(CASE WHEN era = '{e}' THEN mae END) AS {e}"
                                 for e in _eras) + " FROM e GROUP BY year"
 SQL["ST5_label_matrix"] = P_CLEAN + "\nSELECT team_name, year, " + ", ".join(

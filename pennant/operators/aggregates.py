@@ -15,7 +15,7 @@ from statistics import NormalDist
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pennant.functions.safe import attach_scalars, div
+from pennant.functions.safe import attach_scalars, div, round_half_up
 from pennant.operators.ranking import group_rank
 
 
@@ -80,8 +80,9 @@ def latest_period_stats(df: DataFrame, entity="team_name", period="year") -> Dat
 def error_by_group(df: DataFrame, group, y="y", yhat="yhat") -> DataFrame:
     """AG7 — per group: MAE, std of |error| (ddof 1), mean error (yhat - y), rounded 2."""
     ae = F.abs(F.col(yhat) - F.col(y))
-    return df.groupBy(*group).agg(F.round(F.avg(ae), 2).alias("mae"), F.round(F.stddev_samp(ae), 2).alias("std_ae"),
-                                  F.round(F.avg(F.col(yhat) - F.col(y)), 2).alias("mean_error"),
+    return df.groupBy(*group).agg(round_half_up(F.avg(ae), 2).alias("mae"),
+                                  round_half_up(F.stddev_samp(ae), 2).alias("std_ae"),
+                                  round_half_up(F.avg(F.col(yhat) - F.col(y)), 2).alias("mean_error"),
                                   F.count(F.lit(1)).alias("n"))
 
 

@@ -187,3 +187,50 @@ def model_comparison(df: DataFrame, y: str, models: dict) -> DataFrame:
                       F.col(c).cast("double").alias("yhat")) for m, c in models.items()]
     long = df.select(F.inline(F.array(*items))).where(F.col("yhat").isNotNull() & F.col("y").isNotNull())
     return core_metrics(long, "y", "yhat", group=["model"]).drop("explained_variance", "adjusted_r2")
+
+
+from pyspark.ml.evaluation import Evaluator  # noqa: E402
+
+
+class WithinKEvaluator(Evaluator):
+    """MR21 / UD6 — custom scorer: share of rows with |y - yhat| <= k (higher
+    is better), usable with CrossValidator / TrainValidationSplit."""
+
+    def __init__(self, k: float = 5.0, label: str = "label", prediction: str = "prediction"):
+        super().__init__()
+        self.k, self.label, self.prediction = k, label, prediction
+
+    def _evaluate(self, dataset) -> float:
+        r = dataset.agg(F.avg((F.abs(F.col(self.label) - F.col(self.prediction)) <= self.k).cast("double"))).first()
+        return float(r[0]) if r[0] is not None else float("nan")
+
+    def isLargerBetter(self) -> bool:
+        return True
+
+
+def prediction_range(df: DataFrame, y="y", yhat="yhat", keys=("team_name", "year")) -> DataFrame:
+    """MR16 — prediction range and the rows of the largest over / under estimate."""
+    e = F.col(yhat).cast("double") - F.col(y).cast("double")
+    k = F.struct(*[F.col(c) for c in keys])
+    d = df.withColumn("__e", e)
+    r = d.agg(F.min(yhat).alias("min_prediction"), F.max(yhat).alias("max_prediction"),
+              F.max("__e").alias("largest_over"), F.min("__e").alias("largest_under"),
+              F.min_by(k, F.struct(-F.col("__e"), k)).alias("__o"), F.min_by(k, F.struct(F.col("__e"), k)).alias("__u"))
+    return r.select("min_prediction", "max_prediction", "largest_over", "largest_under",
+                    *[F.col(f"__o.{c}").alias(f"over_{c}") for c in keys],
+                    *[F.col(f"__u.{c}").alias(f"under_{c}") for c in keys])
+
+
+def error_summary(df: DataFrame, y="y", yhat="yhat") -> DataFrame:
+    """MR17 — mean / std (ddof 0) of the error (yhat - y), median AE, p90 AE."""
+    e = F.col(yhat).cast("double") - F.col(y).cast("double")
+    return df.agg(F.avg(e).alias("mean_error"), F.stddev_pop(e).alias("std_error"),
+                  F.percentile(F.abs(e), 0.5).alias("median_ae"), F.percentile(F.abs(e), 0.9).alias("p90_error"))
+
+
+def adjusted_r2(df: DataFrame, y="y", yhat="yhat", p: int = 10) -> DataFrame:
+    """MR8 — adjusted R² with the predictor count as a parameter (default 10)."""
+    c = core_metrics(df, y, yhat)
+    n = F.col("n")
+    return c.select("n", "r2", F.when(n > p + 1, 1 - (1 - F.col("r2")) * (n - 1) / (n - p - 1))
+                    .otherwise(F.col("r2")).alias("adjusted_r2"))

@@ -78,6 +78,9 @@ def average_rank_pct(df: DataFrame, specs, buckets: int = 32, source: DataFrame
     ranked = prefix_counts(hist, ["__m", "__g"], "__v", "__n", buckets)
     ranked = ranked.select("__m", "__g", "__v",
                            ((F.col("__below") + (F.col("__n") + 1) / 2.0) / F.col("__tot")).alias("__pct"))
+    # the histogram (one row per distinct value) feeds one lookup per spec:
+    # persist it so the prefix-sum plan runs once (lost blocks are recomputed)
+    ranked = ranked.persist()
     out = df
     for i, (g, v, o) in enumerate(specs):
         look = ranked.where(F.col("__m") == i).select(
@@ -94,7 +97,7 @@ def group_rank(df: DataFrame, specs, buckets: int = 32, source: DataFrame | None
     with ``method`` in ``average`` | ``min`` | ``max`` (pandas semantics;
     NULL values get NULL)."""
     hist = value_histogram(df if source is None else source, [(g, v) for g, v, *_ in specs])
-    ranked = prefix_counts(hist, ["__m", "__g"], "__v", "__n", buckets)
+    ranked = prefix_counts(hist, ["__m", "__g"], "__v", "__n", buckets).persist()
     out = df
     below, n, tot = F.col("__below"), F.col("__n"), F.col("__tot")
     for i, (g, v, o, method, desc) in enumerate(specs):

@@ -40,7 +40,7 @@ REG_FEATURES = ["runs_scored", "runs_allowed", "run_differential", "pythagorean_
 MILESTONES = [f"achieved_{t}_wins" for t in CFG.win_milestones] + ["made_playoffs"]
 
 
-def ml_data(spark, sf, feats=CLS_FEATURES, label="is_division_winner"):
+def ml_data(spark, sf, feats=CLS_FEATURES, label="is_division_winner", balance: bool = True):
     f = features(spark, sf)
     cols = list(dict.fromkeys([*KEY, *feats, label, "wins", "games_behind", *MILESTONES, "total_games",
                                "at_home_wins", "home_games", "runs_scored", "runs_allowed"]))
@@ -48,7 +48,7 @@ def ml_data(spark, sf, feats=CLS_FEATURES, label="is_division_winner"):
         .na.drop(subset=[*feats, label]).withColumn("label", F.col(label).cast("double"))
     d = ES.assemble(d, feats)
     d = three_way_period_split(d, 2000)
-    return ES.balanced_weights(d, "label")
+    return ES.balanced_weights(d, "label") if balance else d.withColumn("weight", F.lit(1.0))
 
 
 def _split(d):
@@ -61,8 +61,7 @@ def _scored(m, test):
 
 
 def _reg_data(spark, sf):
-    d = ml_data(spark, sf, REG_FEATURES, "wins")
-    return d
+    return ml_data(spark, sf, REG_FEATURES, "wins", balance=False)
 
 
 @register("ML1_standard_scaler")
@@ -189,7 +188,7 @@ def ml13(spark, sf):
 @register("ML14_run_production")
 def ml14(spark, sf):
     feats = ["wins", "losses", "home_win_pct", "away_win_pct", "win_pct_vs_top_teams", "pythagorean_win_pct"]
-    d = ml_data(spark, sf, feats, "runs_scored")
+    d = ml_data(spark, sf, feats, "runs_scored", balance=False)
     tr, _, te = _split(d)
     rs = ES.random_forest_regressor(label="runs_scored", trees=50).fit(tr.withColumn("runs_scored", F.col("runs_scored").cast("double")))
     ra = ES.random_forest_regressor(label="runs_allowed", trees=50).fit(tr.withColumn("runs_allowed", F.col("runs_allowed").cast("double")))
