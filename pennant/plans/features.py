@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pennant.config import DEFAULT, PanelConfig
 from pennant.functions.safe import div
 from pennant.operators.ranking import average_rank_pct
+from pennant.session import materialize  # noqa: F401  (re-exported)
 from pennant.sources.dims import era_open_case, playoff_spots_case
 
 
@@ -256,22 +257,6 @@ def row_features(df: DataFrame, cfg: PanelConfig = DEFAULT) -> DataFrame:
     return target_flags(df, cfg)
 
 
-def materialize(df: DataFrame, how: str | None) -> DataFrame:
-    """Cut lineage at a branching point.
-
-    ``checkpoint``: reliable checkpoint into the session's ``spark.checkpoint.dir``
-    (shared storage on a cluster, survives executor loss); ``cache``: in-memory
-    persist; ``None``: keep the lineage (Catalyst reuses identical exchanges).
-    """
-    if how == "checkpoint":
-        from pennant.session import checkpoint_dir
-        checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    if how == "cache":
-        return df.persist()
-    return df
-
-
 def engineer_features(df: DataFrame, cfg: PanelConfig = DEFAULT, materialize_base: str | None = "checkpoint"
                       ) -> DataFrame:
     """Full feature + target table from a preprocessed panel.

@@ -48,3 +48,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
+
+
+def materialize(df, how: str | None = "checkpoint"):
+    """Cut lineage at a branching point.
+
+    ``checkpoint``: reliable checkpoint into the session's ``spark.checkpoint.dir``
+    (shared storage on a cluster, survives executor loss); ``cache``: in-memory
+    persist (lost blocks are recomputed from lineage); ``None``: keep the lineage.
+    """
+    if how == "checkpoint":
+        checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    if how == "cache":
+        return df.persist()
+    return df
