@@ -248,3 +248,22 @@ SELECT model, count(*) AS n, avg((y - yhat) * (y - yhat)) AS mse, sqrt(avg((y -
   avg(abs(y - yhat)) AS mae,
   1 - avg((y - yhat) * (y - yhat)) / NULLIF(avg(y * y) - pow(avg(y), 2), 0) AS r2
 FROM long GROUP BY model"""
+
+SQL["MC12_ovo_auc"] = MCLS + """,
+pairs AS (SELECT a, b FROM range(0, 10) t1(a), range(0, 10) t2(b) WHERE a < b),
+recs AS (
+  SELECT pr.a AS class_a, pr.b AS class_b, 'a' AS side, m.probs[pr.a + 1] AS s, CAST(m.label = pr.a AS INTEGER) AS pos
+  FROM mcp m JOIN pairs pr ON m.label IN (pr.a, pr.b)
+  UNION ALL
+  SELECT pr.a, pr.b, 'b', m.probs[pr.b + 1], CAST(m.label = pr.b AS INTEGER)
+  FROM mcp m JOIN pairs pr ON m.label IN (pr.a, pr.b)
+),
+r AS (SELECT class_a, class_b, side, pos,
+        rank() OVER (PARTITION BY class_a, class_b, side ORDER BY s)
+        + (count(*) OVER (PARTITION BY class_a, class_b, side, s) - 1) / 2.0 AS ar FROM recs),
+per AS (SELECT class_a, class_b, side,
+          (sum(CASE WHEN pos = 1 THEN ar END) - sum(pos) * (sum(pos) + 1) / 2.0)
+          / (CAST(sum(pos) AS DOUBLE) * (count(*) - sum(pos))) AS roc_auc FROM r GROUP BY class_a, class_b, side),
+pair AS (SELECT CAST(class_a AS INTEGER) AS class_a, CAST(class_b AS INTEGER) AS class_b, avg(roc_auc) AS roc_auc
+         FROM per GROUP BY class_a, class_b)
+SELECT * FROM pair UNION ALL SELECT -1, -1, avg(roc_auc) FROM pair"""

@@ -235,3 +235,25 @@ def probability_distribution(df: DataFrame, score="p", hi: float = 0.7, lo: floa
     return df.agg(F.avg(p).alias("p_mean"), F.stddev_pop(p).alias("p_std"), F.min(p).alias("p_min"),
                   F.max(p).alias("p_max"), F.count_if(p >= hi).alias("n_high"), F.count_if(p <= lo).alias("n_low"),
                   F.count(p).alias("n"))
+
+
+def ovo_auc(df: DataFrame, label="label", probs="probs", k: int = 10) -> DataFrame:
+    """MC12 — one-vs-one AUC (Hand & Till): for each class pair (a, b) the mean
+    of AUC(p_a | rows of a vs b) and AUC(p_b | rows of b vs a); macro mean over
+    pairs.  Every row emits two records per pair it belongs to (its class and
+    each other class), and all 2·k(k-1)/2 AUCs come from one grouped histogram."""
+    p = F.col(probs)
+    y = F.col(label)
+    others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda c: c != y)
+    d = df.where(y.between(0, k - 1)).select(y.alias("__y"), p.alias("__p"), F.explode(others).alias("__o"))
+    a = F.least("__y", "__o")
+    b = F.greatest("__y", "__o")
+    recs = d.select(a.alias("class_a"), b.alias("class_b"), F.inline(F.array(
+        F.struct(F.lit("a").alias("side"), F.element_at("__p", a + 1).alias("__s"),
+                 (F.col("__y") == a).cast("int").alias("__pos")),
+        F.struct(F.lit("b").alias("side"), F.element_at("__p", b + 1).alias("__s"),
+                 (F.col("__y") == b).cast("int").alias("__pos")))))
+    per = roc_auc(recs, "__pos", "__s", group=["class_a", "class_b", "side"])
+    pair = per.groupBy("class_a", "class_b").agg(F.avg("roc_auc").alias("roc_auc"))
+    macro = pair.agg(F.lit(-1).alias("class_a"), F.lit(-1).alias("class_b"), F.avg("roc_auc").alias("roc_auc"))
+    return pair.unionByName(macro)

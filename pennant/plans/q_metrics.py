@@ -181,3 +181,8 @@ def mr20(spark, sf):
 @register("AG10_metrics_by_era")
 def ag10(spark, sf):
     return out(MR.core_metrics(reg_scored(spark, sf), group=["era"]).select("era", "n", "rmse", "r2", "mae"))
+
+
+@register("MC12_ovo_auc")
+def mc12o(spark, sf):
+    return out(MC.ovo_auc(multiclass_scored(spark, sf)))
