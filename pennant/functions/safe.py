@@ -59,4 +59,4 @@ def attach_scalars(df, one_row):
     """Attach a ONE-ROW aggregate to every row: equi-join on a constant key with
     an explicit broadcast (its size is proven: one row), never a cross join."""
     k = "__one"
-    return df.withColumn(k, F.lit(1)).join(F.broadcast(one_row.withColumn(k, F.lit(1))), k).drop(k)
+    return df.withColumn(k, F.lit(1)).join(F.broadcast(one_row.withColumn(k, F.lit(1))), k, "left").drop(k)

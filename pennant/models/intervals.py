@@ -53,7 +53,9 @@ def residual_quantile_bounds(df: DataFrame, y="y", yhat="yhat", lower: float = 0
     """ML43 — yhat + quantiles of (y - yhat) measured on ``calibration`` rows
     (default: the same rows)."""
     cal = calibration if calibration is not None else df
-    q = cal.agg(F.percentile(F.col(y) - F.col(yhat), [lower, upper]).alias("__q"))
+    from pennant.operators.ranking import quantiles
+    q = quantiles(cal.select((F.col(y) - F.col(yhat)).alias("__r")), "__r", [lower, upper]) \
+        .withColumnRenamed("quantiles", "__q")
     j = attach_scalars(df, q)
     return j.withColumns({"lower_bound": F.col(yhat) + F.col("__q")[0],
                           "upper_bound": F.col(yhat) + F.col("__q")[1]}).drop("__q")

@@ -101,7 +101,8 @@ def psi(expected: DataFrame, actual: DataFrame, column: str, bins: int = 10, eps
     """ML41 — population stability index over the expected frame's decile edges:
     sum (a - e) ln(a / e) over bins (shares floored at eps); thresholds 0.1 / 0.15."""
     qs = [i / bins for i in range(1, bins)]
-    edges = expected.agg(F.percentile(F.col(column).cast("double"), qs).alias("__edges"))
+    from pennant.operators.ranking import quantiles
+    edges = quantiles(expected, column, qs).withColumnRenamed("quantiles", "__edges")
 
     def binned(frame, name):
         b = F.aggregate(F.col("__edges"), F.lit(0), lambda acc, e: acc + F.when(F.col(column) > e, 1).otherwise(0))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pennant.functions.safe import attach_scalars, div, round_half_up
-from pennant.operators.ranking import group_rank
+from pennant.operators.ranking import group_rank, quantiles
 
 
 def _stack(r: DataFrame, names, fields, out_names) -> DataFrame:
@@ -25,16 +25,17 @@ def _stack(r: DataFrame, names, fields, out_names) -> DataFrame:
 
 
 def eda_summary(df: DataFrame, metrics) -> DataFrame:
-    """AG1 / AG26 — per metric mean, std (ddof 1), min, max, q1, median, q3 (one aggregation)."""
-    aggs = []
-    for i, c in enumerate(metrics):
-        x = F.col(c).cast("double")
-        aggs += [F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
-                 F.max(x).alias(f"hi{i}"), F.percentile(x, [0.25, 0.5, 0.75]).alias(f"q{i}")]
-    r = df.agg(*aggs)
-    r = r.select("*", *[F.col(f"q{i}")[j].alias(f"q{i}_{j}") for i in range(len(metrics)) for j in range(3)])
-    return _stack(r, metrics, ["m{i}", "s{i}", "lo{i}", "hi{i}", "q{i}_0", "q{i}_1", "q{i}_2"],
-                  ["mean", "std", "min", "max", "q1", "median", "q3"])
+    """AG1 / AG26 — per metric mean, std (ddof 1), min, max, q1, median, q3:
+    one unpivot, one grouped aggregation and one distributed exact quantile pass
+    (grouped by metric)."""
+    items = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("x")) for c in metrics]
+    long = df.select(F.inline(F.array(*items)))
+    mom = long.groupBy("metric").agg(F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+                                     F.min("x").alias("min"), F.max("x").alias("max"))
+    q = quantiles(long, "x", [0.25, 0.5, 0.75], ["metric"]).select(
+        "metric", F.col("quantiles")[0].alias("q1"), F.col("quantiles")[1].alias("median"),
+        F.col("quantiles")[2].alias("q3"))
+    return mom.join(q, "metric", "left")
 
 
 def season_summary(df: DataFrame, period="year") -> DataFrame:
@@ -214,8 +215,9 @@ def box_stats(df: DataFrame, value: str, group: str) -> DataFrame:
     """AG24 — per group q1, median, q3, whiskers (most extreme data within
     1.5 IQR) and outlier count: a quantile aggregate joined back, then one
     more aggregate."""
-    q = df.groupBy(group).agg(F.percentile(F.col(value).cast("double"), [0.25, 0.5, 0.75]).alias("__q"))
-    q = q.select(group, F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"), F.col("__q")[2].alias("q3"))
+    q = quantiles(df, value, [0.25, 0.5, 0.75], [group]).select(
+        group, F.col("quantiles")[0].alias("q1"), F.col("quantiles")[1].alias("median"),
+        F.col("quantiles")[2].alias("q3"))
     j = df.select(group, F.col(value).cast("double").alias("__v")).join(q, group)
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
@@ -232,7 +234,7 @@ def qq_points(df: DataFrame, value: str) -> DataFrame:
     """AG25 — 99 sample quantiles against standard-normal quantiles (one
     percentile aggregate; the normal quantiles are constants)."""
     normal = [NormalDist().inv_cdf(p) for p in QQ_PROBS]
-    r = df.agg(F.percentile(F.col(value).cast("double"), QQ_PROBS).alias("__q"))
+    r = quantiles(df, value, QQ_PROBS).withColumnRenamed("quantiles", "__q")
     return r.select(F.posexplode("__q").alias("i", "sample_quantile")).select(
         ((F.col("i") + 1) / 100.0).alias("prob"),
         F.element_at(F.array(*[F.lit(x) for x in normal]), F.col("i") + 1).alias("normal_quantile"),
@@ -241,16 +243,19 @@ def qq_points(df: DataFrame, value: str) -> DataFrame:
 
 def kde(df: DataFrame, value: str, points: int = 100) -> DataFrame:
     """AG27 — Gaussian KDE on an equal grid over [min, max], Scott bandwidth
-    (std · n^(-1/5)).  Each row emits its kernel value at every grid point
-    (``explode`` of a fixed-size sequence, no join) and the per-point sums are
-    partially aggregated per task before the shuffle."""
+    (std · n^(-1/5)).  Rows are first collapsed to a value histogram (partial
+    aggregation), then each distinct value emits its count-weighted kernel at
+    every grid point (``explode`` of a fixed-size sequence, no join): exact,
+    with work = distinct values x grid instead of rows x grid."""
     st = df.agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"), F.stddev_samp(value).alias("__sd"),
                 F.count(value).alias("__n"))
-    d = attach_scalars(df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("__x")), st)
+    hist = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("__x")) \
+        .agg(F.count(F.lit(1)).alias("__c"))
+    d = attach_scalars(hist, st)
     h = F.col("__sd") * F.pow(F.col("__n").cast("double"), -0.2)
     g = F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.col("k") / (points - 1)
     d = d.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("k"))
-    dens = F.exp(-0.5 * F.pow((g - F.col("__x")) / h, 2)) / (h * math.sqrt(2 * math.pi))
+    dens = F.col("__c") * F.exp(-0.5 * F.pow((g - F.col("__x")) / h, 2)) / (h * math.sqrt(2 * math.pi))
     return d.groupBy("k").agg(F.first(g).alias("x"), (F.sum(dens) / F.first("__n")).alias("density"))
 
 

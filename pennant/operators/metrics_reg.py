@@ -12,13 +12,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pennant.config import BENCHMARKS_REGRESSION
-from pennant.functions.safe import div
+from pennant.functions.safe import attach_scalars, div
+from pennant.operators.ranking import quantiles as exact_quantiles
 
 
 def _q(c: Column, qs, approx: bool):
     return F.percentile_approx(c, qs, 100000) if approx else F.percentile(c, qs)
 
 
+def _quantile_row(df: DataFrame, expr: Column, qs, names, approx: bool) -> DataFrame:
+    """One row of named quantiles: distributed exact (histogram + prefix counts)
+    or ``percentile_approx``."""
+    if approx:
+        r = df.agg(F.percentile_approx(expr, list(qs), 100000).alias("__q"))
+    else:
+        r = exact_quantiles(df.select(expr.alias("__x")), "__x", qs).withColumnRenamed("quantiles", "__q")
+    return r.select(*[F.element_at("__q", i + 1).alias(n) for i, n in enumerate(names)])
+
+
 def _one(df: DataFrame, stats: DataFrame) -> DataFrame:
     """Attach a one-row aggregate to every row (size-proven broadcast)."""
     return df.withColumn("__k", F.lit(1)).join(F.broadcast(stats.withColumn("__k", F.lit(1))), "__k").drop("__k")
@@ -48,23 +59,22 @@ def core_metrics(df: DataFrame, y="y", yhat="yhat", weight: str | None = None, g
 def error_profile(df: DataFrame, y="y", yhat="yhat", approx: bool = False) -> DataFrame:
     """MR2 MR3 MR4 MR5 MR6 MR7 MR16 MR17 — MAPE (non-zero y), median AE,
     residual mean / std (ddof 0) / min / max / median, abs-error percentiles,
-    over/under-estimation rates, within 5 / 10, largest over/under."""
+    over/under-estimation rates, within 5 / 10, largest over/under.  One
+    aggregation plus distributed exact quantiles (no group gathered in a task)."""
     e = F.col(y).cast("double") - F.col(yhat).cast("double")
     ae = F.abs(e)
-    qs = _q(ae, [0.5, 0.9, 0.95, 0.99], approx)
-    return df.agg(
+    base = df.agg(
         F.avg(F.when(F.col(y) != 0, div(ae, F.abs(F.col(y))))).alias("mape"),
         F.avg(e).alias("mean_residual"), F.stddev_pop(e).alias("std_residual"),
-        F.min(e).alias("min_residual"), F.max(e).alias("max_residual"),
-        (F.percentile_approx(e, 0.5, 100000) if approx else F.percentile(e, 0.5)).alias("median_residual"),
-        qs.alias("__q"), F.max(ae).alias("max_abs_error"),
+        F.min(e).alias("min_residual"), F.max(e).alias("max_residual"), F.max(ae).alias("max_abs_error"),
         F.avg((F.col(yhat) > F.col(y)).cast("double")).alias("overestimation_rate"),
         F.avg((F.col(yhat) < F.col(y)).cast("double")).alias("underestimation_rate"),
         F.avg((ae <= 5).cast("double")).alias("within_5"), F.avg((ae <= 10).cast("double")).alias("within_10"),
         F.min(yhat).alias("min_prediction"), F.max(yhat).alias("max_prediction"),
-        F.min(e).alias("largest_over"), F.max(e).alias("largest_under"),
-    ).select("*", *[F.element_at("__q", i + 1).alias(n) for i, n in
-                    enumerate(["median_ae", "p90_error", "p95_error", "p99_error"])]).drop("__q")
+        F.min(e).alias("largest_over"), F.max(e).alias("largest_under"))
+    med = _quantile_row(df, e, [0.5], ["median_residual"], approx)
+    aq = _quantile_row(df, ae, [0.5, 0.9, 0.95, 0.99], ["median_ae", "p90_error", "p95_error", "p99_error"], approx)
+    return attach_scalars(attach_scalars(base, med), aq)
 
 
 def residual_tests(df: DataFrame, y="y", yhat="yhat", entity="team_name", period="year") -> DataFrame:
@@ -118,8 +128,7 @@ def iqr_outliers(df: DataFrame, y="y", yhat="yhat", approx: bool = False) -> Dat
     """MR12 — residual IQR fences; count and percentage outside."""
     e = F.col(y).cast("double") - F.col(yhat).cast("double")
     d = df.select(e.alias("e"))
-    q = d.agg(_q(F.col("e"), [0.25, 0.75], approx).alias("__q")) \
-        .select(F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("q3"))
+    q = _quantile_row(d, F.col("e"), [0.25, 0.75], ["q1", "q3"], approx)
     q = q.select("q1", "q3", (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lower_bound"),
                  (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("upper_bound"))
     j = _one(d, q)
@@ -145,7 +154,7 @@ def bias_by_bins(df: DataFrame, y="y", yhat="yhat", n_bins: int = 10) -> DataFra
     """MR15 — as above with the bin count given (caller passes min(10, n // 10))."""
     d = df.select(F.col(y).cast("double").alias("y"), F.col(yhat).cast("double").alias("yh"))
     qs = [i / n_bins for i in range(n_bins + 1)]
-    e = d.agg(F.array_distinct(F.percentile("y", qs)).alias("edges"))
+    e = exact_quantiles(d, "y", qs).select(F.array_distinct("quantiles").alias("edges"))
     j = _one(d, e)
     # bin index: number of inner edges strictly below y (right-closed), lowest edge included in bin 0
     inner = F.slice(F.col("edges"), 2, F.size("edges") - 2)
@@ -224,8 +233,8 @@ def prediction_range(df: DataFrame, y="y", yhat="yhat", keys=("team_name", "year
 def error_summary(df: DataFrame, y="y", yhat="yhat") -> DataFrame:
     """MR17 — mean / std (ddof 0) of the error (yhat - y), median AE, p90 AE."""
     e = F.col(yhat).cast("double") - F.col(y).cast("double")
-    return df.agg(F.avg(e).alias("mean_error"), F.stddev_pop(e).alias("std_error"),
-                  F.percentile(F.abs(e), 0.5).alias("median_ae"), F.percentile(F.abs(e), 0.9).alias("p90_error"))
+    base = df.agg(F.avg(e).alias("mean_error"), F.stddev_pop(e).alias("std_error"))
+    return attach_scalars(base, _quantile_row(df, F.abs(e), [0.5, 0.9], ["median_ae", "p90_error"], False))
 
 
 def adjusted_r2(df: DataFrame, y="y", yhat="yhat", p: int = 10) -> DataFrame:

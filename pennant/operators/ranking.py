@@ -109,3 +109,42 @@ def group_rank(df: DataFrame, specs, buckets: int = 32, source: DataFrame | None
         out = out.join(look, (_gkey(g) == F.col(f"__g{i}")) & (F.col(v).cast("double") == F.col(f"__v{i}")),
                        "left").drop(f"__g{i}", f"__v{i}")
     return out
+
+
+def quantiles(df: DataFrame, value, qs, group=(), buckets: int = 32, out: str = "quantiles") -> DataFrame:
+    """Exact quantiles (linear interpolation: v[lo] + (v[hi] - v[lo]) * frac at
+    position q·(n-1), as numpy / ``quantile_cont``) without gathering a group:
+    the value histogram gets two-level prefix counts, and the two order
+    statistics around each position are found with a range lookup against the
+    tiny (groups x len(qs)) target table.  Returns one row per group with an
+    array column ``out`` (same order as ``qs``)."""
+    g = list(group)
+    v = F.col(value).cast("double") if isinstance(value, str) else value.cast("double")
+    hist = (df.select(*g, v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+            .groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("__n")))
+    keys = g or ["__grp"]
+    if not g:
+        hist = hist.withColumn("__grp", F.lit(0))
+    h = prefix_counts(hist, keys, "__v", "__n", buckets).select(*keys, "__v", "__n", "__below", "__tot")
+    h = h.persist()
+    tg = h.select(*keys, "__tot").distinct()
+    tg = tg.select(*keys, F.posexplode(F.array(*[F.lit(float(q)) for q in qs])).alias("__qi", "__q"),
+                   (F.col("__tot") - 1).alias("__last"))
+    pos = F.col("__q") * F.col("__last")
+    tg = tg.select(*keys, "__qi", F.floor(pos).cast("long").alias("__lo"), F.ceil(pos).cast("long").alias("__hi"),
+                   (pos - F.floor(pos)).alias("__frac"))
+
+    def at(rank_col, name):
+        cond = [F.col(f"__t.{k}").eqNullSafe(F.col(f"__h.{k}")) for k in keys]
+        cond.append((F.col(f"__h.__below") <= F.col(f"__t.{rank_col}"))
+                    & (F.col(f"__t.{rank_col}") < F.col("__h.__below") + F.col("__h.__n")))
+        j = tg.alias("__t").join(h.alias("__h"), cond, "left")   # one match per target
+        return j.select(*[F.col(f"__t.{k}").alias(k) for k in keys], F.col("__t.__qi").alias("__qi"),
+                        F.col("__h.__v").alias(name))
+
+    lo, hi = at("__lo", "__vlo"), at("__hi", "__vhi")
+    r = tg.join(lo, [*keys, "__qi"]).join(hi, [*keys, "__qi"])
+    r = r.select(*keys, "__qi", (F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac")).alias("__val"))
+    res = r.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__qi", "__val"))).alias("__s"))
+    res = res.select(*keys, F.transform("__s", lambda s: s["__val"]).alias(out))
+    return res.drop("__grp") if not g else res

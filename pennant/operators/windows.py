@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pennant.functions.safe import div
-from pennant.operators.ranking import group_rank
+from pennant.operators.ranking import group_rank, quantiles
 
 
 def _w(entity: str, period: str):
@@ -76,7 +76,7 @@ def detrended(df: DataFrame, value: str, width: int = 5, entity="team_name", per
 
 def percentile_flag(df: DataFrame, value: str, group: str, q: float = 0.75, out: str = "playoff_proxy") -> DataFrame:
     """WN21 — value >= exact q-quantile of its group (aggregate joined back)."""
-    t = df.groupBy(group).agg(F.percentile(value, q).alias("__q"))
+    t = quantiles(df, value, [q], [group]).select(group, F.col("quantiles")[0].alias("__q"))
     return df.join(t, group, "left").withColumn(out, (F.col(value) >= F.col("__q")).cast("int")).drop("__q")
 
 
