@@ -40,19 +40,24 @@ def value_histogram(df: DataFrame, specs, weight: Column | None = None) -> DataF
 
 
 def prefix_counts(hist: DataFrame, keys, value: str, n: str, buckets: int = 32,
-                  extra_sums: tuple = ()) -> DataFrame:
+                  extra_sums: tuple = (), rows_per_bucket: int = 1_000_000) -> DataFrame:
     """Add ``__below`` (sum of ``n`` over strictly smaller values within ``keys``)
     and ``__tot`` (group total) with a two-level bucketed prefix sum.
     ``extra_sums`` are further count columns cumulated the same way
-    (``__below_<c>``, ``__tot_<c>``)."""
+    (``__below_<c>``, ``__tot_<c>``).  Each group gets
+    max(``buckets``, distinct values / ``rows_per_bucket``) equal-width buckets,
+    so a second-level window holds about ``rows_per_bucket`` histogram rows
+    whatever the data size."""
     keys = list(keys)
     sums = [n, *extra_sums]
     stats = hist.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"),
+                                    F.greatest(F.lit(buckets), F.ceil(F.count(F.lit(1)) / rows_per_bucket)
+                                               .cast("int")).alias("__nb"),
                                     *[F.sum(c).alias(f"__tot_{c}") for c in sums])
     h = hist.join(stats, keys)
     span = F.col("__hi") - F.col("__lo")
     h = h.withColumn("__b", F.when(span > 0, F.least(
-        F.floor((F.col(value) - F.col("__lo")) / span * buckets).cast("int"), F.lit(buckets - 1)))
+        F.floor((F.col(value) - F.col("__lo")) / span * F.col("__nb")).cast("int"), F.col("__nb") - 1))
         .otherwise(F.lit(0)))
     bt = h.groupBy(*keys, "__b").agg(*[F.sum(c).alias(f"__bn_{c}") for c in sums])
     wb = Window.partitionBy(*keys).orderBy("__b").rowsBetween(_UNB, -1)
@@ -63,7 +68,7 @@ def prefix_counts(hist: DataFrame, keys, value: str, n: str, buckets: int = 32,
     out = h.withColumns({f"__below_{c}": F.col(f"__off_{c}") + F.coalesce(F.sum(c).over(wl), F.lit(0))
                          for c in sums})
     out = out.withColumnRenamed(f"__below_{n}", "__below").withColumnRenamed(f"__tot_{n}", "__tot")
-    return out.drop("__lo", "__hi", "__b", *[f"__off_{c}" for c in sums])
+    return out.drop("__lo", "__hi", "__nb", "__b", *[f"__off_{c}" for c in sums])
 
 
 def average_rank_pct(df: DataFrame, specs, buckets: int = 32, source: DataFrame | None = None) -> DataFrame:

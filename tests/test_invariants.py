@@ -32,3 +32,16 @@ def test_folds_partition_the_keys(spark, n, k):
     assert len(f) == n and all(0 <= r.fold < k for r in f)
     s = stratified_split(df, "y", ["team_name", "year"]).groupBy("y", "split").count().collect()
     assert sum(r["count"] for r in s) == n
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(-50, 50)), min_size=1, max_size=60))
+def test_two_level_prefix_counts_match_brute_force(spark, rows):
+    from pennant.operators.ranking import prefix_counts
+    df = spark.createDataFrame([(g, float(v)) for g, v in rows], "g int, v double")
+    hist = df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    got = {(r.g, r.v): (r.__below, r.__tot) for r in
+           prefix_counts(hist, ["g"], "v", "n", buckets=2, rows_per_bucket=2).collect()}
+    for (g, v), (below, tot) in got.items():
+        assert below == sum(1 for gg, vv in rows if gg == g and vv < v)
+        assert tot == sum(1 for gg, _ in rows if gg == g)
