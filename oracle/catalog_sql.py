@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from oracle.panel_sql import CLEAN, RAW, features_cte, with_ctes
 from pennant.config import SYNTHETIC
 
@@ -35,7 +37,8 @@ def _describe_con():
     return _DESCRIBE
 
 
-SCHEMA_DIR = "/root/testdata/sf0.001"
+SCHEMA_DIRS = ("/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1")
+SCHEMA_DIR = next((d for d in SCHEMA_DIRS if os.path.exists(f"{d}/lineitem.parquet")), SCHEMA_DIRS[0])
 _ROUNDED: dict = {}
 
 

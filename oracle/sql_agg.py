@@ -129,7 +129,8 @@ _probs = [i / 100 for i in range(1, 100)]
 _normal = [NormalDist().inv_cdf(p) for p in _probs]
 SQL["AG25_qq_points"] = REG + f""",
 q AS (SELECT quantile_cont(y - yhat, [{', '.join(repr(p) for p in _probs)}]) AS qs FROM reg)
-SELECT CAST(i AS DOUBLE) / 100 AS prob, ([{', '.join(repr(x) for x in _normal)}])[i] AS normal_quantile, qs[i] AS sample_quantile
+SELECT CAST(i AS DOUBLE) / 100 AS prob, CAST(([{', '.join(repr(x) for x in _normal)}])[i] AS DOUBLE) AS normal_quantile,
+  qs[i] AS sample_quantile
 FROM q, range(1, 100) t(i)"""
 SQL["AG27_kde"] = P_CLEAN + f""",
 st AS (SELECT min(wins) AS lo, max(wins) AS hi, stddev_samp(wins) AS sd, count(wins) AS n FROM clean),

@@ -91,11 +91,11 @@ r2 AS (SELECT CAST(cls AS VARCHAR) AS class, COALESCE(CAST(tp AS DOUBLE) / NULLI
          CAST(tp AS BIGINT) AS tp FROM r),
 r3 AS (SELECT *, COALESCE(2 * precision * recall / NULLIF(precision + recall, 0), 0) AS f1 FROM r2)
 SELECT class, precision, recall, f1, support FROM r3
-UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM r3
+UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM r3
 UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
-  sum(f1 * support) / sum(support), sum(support) FROM r3
+  sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM r3
 UNION ALL SELECT 'accuracy', CAST(sum(tp) AS DOUBLE) / sum(support), CAST(sum(tp) AS DOUBLE) / sum(support),
-  CAST(sum(tp) AS DOUBLE) / sum(support), sum(support) FROM r3"""
+  CAST(sum(tp) AS DOUBLE) / sum(support), CAST(sum(support) AS BIGINT) FROM r3"""
 
 SQL["MC15_16_curves"] = BIN + """
 SELECT s AS threshold, CAST(fp_ge AS DOUBLE) / tot_neg AS fpr, CAST(tp_ge AS DOUBLE) / tot_pos AS tpr,

@@ -97,8 +97,8 @@ SELECT team_name, year, {D('162.0 * POW(CAST(runs_scored AS DOUBLE), 1.83)',
                             'POW(CAST(runs_scored AS DOUBLE), 1.83) + POW(CAST(runs_allowed AS DOUBLE), 1.83)')}
   AS pythag_wins_162 FROM clean"""
 SQL["SC35_implied_counterpart"] = P_CLEAN + """
-SELECT team_name, year, 750.0 + (750.0 - runs_scored) * 0.5 AS implied_runs_allowed,
-  runs_scored - (750.0 + (750.0 - runs_scored) * 0.5) AS implied_differential FROM clean"""
+SELECT team_name, year, 750.0::DOUBLE + (750.0::DOUBLE - runs_scored) * 0.5::DOUBLE AS implied_runs_allowed,
+  runs_scored - (750.0::DOUBLE + (750.0::DOUBLE - runs_scored) * 0.5::DOUBLE) AS implied_differential FROM clean"""
 SQL["SC36_clip"] = SCORED + """
 SELECT team_name, year, GREATEST(LEAST(predicted_wins, 162), 0) AS wins_clipped,
   GREATEST(LEAST(runs_scored, 1100), 400) AS runs_clipped FROM scored"""

@@ -1,0 +1,26 @@
+"""Spark output types equal the DuckDB oracle's types for every oracle key."""
+
+import pytest
+
+import __spark_entry__ as E
+from oracle.compare import duck
+
+from conftest import SF_SMALL
+
+MAP = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+       "date": "DATE", "float": "FLOAT", "smallint": "SMALLINT"}
+SQL = E.oracle_sql()
+QUERIES = E.queries()
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF_SMALL)
+
+
+@pytest.mark.parametrize("key", sorted(SQL))
+def test_types_match(spark, con, key):
+    sp = {f.name: MAP.get(f.dataType.simpleString(), f.dataType.simpleString())
+          for f in QUERIES[key](spark, SF_SMALL).schema}
+    dk = {r[0]: r[1] for r in con.execute(f"DESCRIBE ({SQL[key]})").fetchall()}
+    assert sp == dk
