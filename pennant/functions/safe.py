@@ -60,3 +60,23 @@ def attach_scalars(df, one_row):
     an explicit broadcast (its size is proven: one row), never a cross join."""
     k = "__one"
     return df.withColumn(k, F.lit(1)).join(F.broadcast(one_row.withColumn(k, F.lit(1))), k, "left").drop(k)
+
+
+def broadcast_if_small(df, max_rows: int = 1_000_000):
+    """Broadcast a lookup table only behind a checked size: the table is
+    persisted, counted (one small job) and broadcast when it has at most
+    ``max_rows`` rows; otherwise it is returned as is and the join falls back to
+    a shuffle join (AQE may still choose a broadcast from runtime statistics)."""
+    df = df.persist()
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def broadcast_all_if_small(dfs, max_rows: int = 1_000_000):
+    """``broadcast_if_small`` for several lookup tables with ONE counting job
+    (the tables are persisted, their row counts gathered in a single union)."""
+    from functools import reduce
+    dfs = [d.persist() for d in dfs]
+    tagged = [d.select(F.lit(i).alias("__t")) for i, d in enumerate(dfs)]
+    counts = {r["__t"]: r["n"] for r in reduce(lambda a, b: a.unionByName(b), tagged)
+              .groupBy("__t").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [F.broadcast(d) if counts.get(i, 0) <= max_rows else d for i, d in enumerate(dfs)]

@@ -71,30 +71,41 @@ def prefix_counts(hist: DataFrame, keys, value: str, n: str, buckets: int = 32,
     return out.drop("__lo", "__hi", "__nb", "__b", *[f"__off_{c}" for c in sums])
 
 
-def average_rank_pct(df: DataFrame, specs, buckets: int = 32, source: DataFrame | None = None) -> DataFrame:
-    """Attach pandas ``rank(pct=True)`` columns.
-
-    ``specs``: list of ``(group_cols, value_col, out_col)``.  NULL values get
-    NULL; ties share the average rank; denominator = non-null count in group.
-    ``source`` (default ``df``) is the frame the histogram is built from — pass
-    the materialised base so the plan does not re-derive ``df``.
-    """
-    hist = value_histogram(df if source is None else source, specs)
+def ranked_histogram(source: DataFrame, specs, buckets: int = 32) -> DataFrame:
+    """Persisted ``(__m, __g, __v, __pct)``: pandas ``rank(pct=True)`` of every
+    distinct value of every spec (two-level prefix counts over the histogram)."""
+    hist = value_histogram(source, specs)
     ranked = prefix_counts(hist, ["__m", "__g"], "__v", "__n", buckets)
-    ranked = ranked.select("__m", "__g", "__v",
-                           ((F.col("__below") + (F.col("__n") + 1) / 2.0) / F.col("__tot")).alias("__pct"))
-    # the histogram (one row per distinct value) feeds one lookup per spec:
-    # persist it so the prefix-sum plan runs once (lost blocks are recomputed)
-    ranked = ranked.persist()
+    return ranked.select("__m", "__g", "__v",
+                         ((F.col("__below") + (F.col("__n") + 1) / 2.0) / F.col("__tot")).alias("__pct")).persist()
+
+
+def attach_ranks(df: DataFrame, ranked: DataFrame, specs, broadcast: bool = False) -> DataFrame:
+    """One equi-join lookup per spec; ``broadcast`` only when the caller has
+    checked the histogram's size."""
     out = df
     for i, (g, v, o) in enumerate(specs):
         look = ranked.where(F.col("__m") == i).select(
             F.col("__g").alias(f"__g{i}"), F.col("__v").alias(f"__v{i}"), F.col("__pct").alias(o))
+        if broadcast:
+            look = F.broadcast(look)
         out = out.join(look, (_gkey(g) == F.col(f"__g{i}")) & (F.col(v).cast("double") == F.col(f"__v{i}")),
                        "left").drop(f"__g{i}", f"__v{i}")
     return out
 
 
+def average_rank_pct(df: DataFrame, specs, buckets: int = 32, source: DataFrame | None = None) -> DataFrame:
+    """Attach pandas ``rank(pct=True)`` columns.
+
+    ``specs``: list of ``(group_cols, value_col, out_col)``.  NULL values get
+    NULL; ties share the average rank; denominator = non-null count in group.
+    ``source`` (default ``df``) is the frame the histogram is built from — pass
+    the materialised base so the plan does not re-derive ``df``.  The lookups'
+    join strategy is left to AQE (see :func:`rank_table` for the checked path).
+    """
+    return attach_ranks(df, ranked_histogram(df if source is None else source, specs, buckets), specs)
+
+
 def group_rank(df: DataFrame, specs, buckets: int = 32, source: DataFrame | None = None) -> DataFrame:
     """Attach ranks within groups without a window over raw rows.
 
@@ -153,3 +164,15 @@ def quantiles(df: DataFrame, value, qs, group=(), buckets: int = 32, out: str =
     res = r.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__qi", "__val"))).alias("__s"))
     res = res.select(*keys, F.transform("__s", lambda s: s["__val"]).alias(out))
     return res.drop("__grp") if not g else res
+
+
+def rank_table(source: DataFrame, keys, specs, ranked: DataFrame | None = None, buckets: int = 32,
+               partition_by=None) -> DataFrame:
+    """Narrow table ``keys + one pct column per spec``: the lookups run on a
+    narrow projection (keys + ranked values) instead of the wide frame; with
+    ``partition_by`` the result is hash-partitioned on it."""
+    need = list(dict.fromkeys([*keys, *[c for g, v, _ in specs for c in (*g, v)]]))
+    narrow = source.select(*need)
+    ranked = ranked if ranked is not None else ranked_histogram(narrow, specs, buckets)
+    out = attach_ranks(narrow, ranked, specs).select(*keys, *[o for _, _, o in specs])
+    return out.repartition(*[F.col(c) for c in partition_by]) if partition_by else out

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from pennant.config import DEFAULT, PanelConfig
 from pennant.functions.safe import div
-from pennant.operators.ranking import average_rank_pct
+from pennant.functions.safe import broadcast_all_if_small, broadcast_if_small
+from pennant.operators.ranking import attach_ranks, ranked_histogram, rank_table
 from pennant.session import materialize  # noqa: F401  (re-exported)
 from pennant.sources.dims import era_open_case, playoff_spots_case
 
@@ -257,22 +258,43 @@ def row_features(df: DataFrame, cfg: PanelConfig = DEFAULT) -> DataFrame:
     return target_flags(df, cfg)
 
 
+RANK_BROADCAST_MAX_ROWS = 1_000_000
+
+
 def engineer_features(df: DataFrame, cfg: PanelConfig = DEFAULT, materialize_base: str | None = "checkpoint"
                       ) -> DataFrame:
     """Full feature + target table from a preprocessed panel.
 
-    Every group statistic is computed from the same per-row ``base`` (which is
-    materialised once), so the plan is base + a few small aggregates joined
-    back + one entity window — linear, not a tree that re-derives the panel.
+    Shape of the plan (the wide panel is shuffled once in the normal case):
+
+    * ``base`` (all per-row features) is materialised once — every statistic
+      reads it;
+    * per-period / per-era / per-era-period statistics and the playoff keys are
+      tiny aggregates joined with a checked broadcast (no shuffle of the panel);
+    * percentile ranks come from one value histogram; when its checked size is
+      small (the normal case: ranked columns have bounded value domains) the
+      lookups are broadcast into the panel before the window, otherwise they run
+      on a narrow projection joined back after the window;
+    * the entity window (lags, rolling means, slopes, volatility, leads) is the
+      shuffle of the wide panel, hash-partitioned on the entity.
     """
     base = materialize(row_features(df, cfg), materialize_base)
     stats = period_statistics(base, cfg)
     era, env = era_statistics(base, cfg)
     top = playoff_keys(base, cfg)
+    # size-checked broadcasts of the four small lookup tables (one counting job)
+    stats, era, env, top = broadcast_all_if_small([stats, era, env, top])
+    specs = rank_specs(cfg)
+    ranked = ranked_histogram(base, specs)
+    small = ranked.count() <= RANK_BROADCAST_MAX_ROWS
     out = apply_period_statistics(base, stats, cfg)
     out = apply_era_statistics(out, era, env, cfg)
-    out = average_rank_pct(out, rank_specs(cfg), source=base)
-    out = era_derived(out, cfg)
     out = apply_playoff_keys(out, top, cfg)
-    out = entity_history(out, cfg)
+    if small:
+        out = entity_history(attach_ranks(out, ranked, specs, broadcast=True), cfg)
+    else:
+        out = entity_history(out, cfg)
+        ranks = rank_table(base, [cfg.entity, cfg.period], specs, ranked=ranked, partition_by=[cfg.entity])
+        out = out.join(ranks, [cfg.entity, cfg.period], "left")
+    out = era_derived(out, cfg)
     return consistency_features(out)

@@ -33,3 +33,22 @@ def test_parquet_scan_prunes_columns(spark):
     from pennant.plans.q_metrics import binary_scored
     p = binary_scored(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<doc_id:bigint,n_chars:bigint>" in p
+
+
+def test_large_rank_histogram_fallback_gives_same_rows(spark, monkeypatch):
+    from pennant.plans import features as FE
+    from pennant.functions.safe import round_doubles
+    clean = preprocess(raw_team_season(spark, SF_SMALL), catalog.CFG)
+    a = round_doubles(FE.engineer_features(clean, catalog.CFG, materialize_base="cache"))
+    monkeypatch.setattr(FE, "RANK_BROADCAST_MAX_ROWS", 0)
+    b = round_doubles(FE.engineer_features(clean, catalog.CFG, materialize_base="cache")).select(*a.columns)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_wide_panel_shuffled_once(spark):
+    clean = preprocess(raw_team_season(spark, SF_SMALL), catalog.CFG)
+    f = engineer_features(clean, catalog.CFG, materialize_base="cache")
+    p = f._jdf.queryExecution().executedPlan().toString()
+    top = p.split("Window [")[1] if "Window [" in p else p
+    # the only exchange between the window and the cached base is the entity partitioning
+    assert p.count("Exchange hashpartitioning(team_name#") == 1
