@@ -88,7 +88,7 @@ SQL["ML42_poisson_bootstrap"] = P_CLEAN + f""",
 d AS (SELECT team_name, year, CAST(wins AS DOUBLE) AS v, rep,
         (CAST(('0x' || substr(md5(concat_ws('|', team_name, CAST(year AS VARCHAR), CAST(rep AS VARCHAR), '42')), 1, 13))::BIGINT
               AS DOUBLE) + 0.5) / {float(16 ** 13)!r} AS u
-      FROM clean, range(0, 200) t(rep) WHERE wins IS NOT NULL),
+      FROM clean, range(0, 1000) t(rep) WHERE wins IS NOT NULL),
 w AS (SELECT rep, v, CASE {_w} ELSE 8 END AS wt FROM d),
 m AS (SELECT rep, sum(wt * v) / NULLIF(sum(wt), 0) AS mean FROM w GROUP BY rep)
 SELECT avg(mean) AS bootstrap_mean, quantile_cont(mean, 0.025) AS lower, quantile_cont(mean, 0.975) AS upper FROM m"""

@@ -35,10 +35,11 @@ def leaf_values(spark: SparkSession, model) -> DataFrame:
     return leaves.withColumn("leaf", (F.row_number().over(w) - 1).cast("double")).drop("__id")
 
 
-def tree_percentile_interval(spark: SparkSession, model, df: DataFrame, keys, lower: float = 0.05,
-                             upper: float = 0.95) -> DataFrame:
+def tree_percentile_interval(spark: SparkSession, model, df: DataFrame, keys, level: float = 0.95) -> DataFrame:
     """Per row: forest prediction, mean of tree values (= prediction), and the
-    [lower, upper] percentiles of the per-tree predictions."""
+    (1-level)/2 and 1-(1-level)/2 percentiles of the per-tree predictions."""
+    lower = (1 - level) / 2
+    upper = 1 - lower
     lv = leaf_values(spark, model)
     scored = model.copy().setLeafCol("__leaves").transform(df)
     ex = scored.select(*keys, "prediction", F.posexplode(vector_to_array("__leaves")).alias("tree", "leaf"))

@@ -463,7 +463,7 @@ def ml41(spark, sf):
 
 @register("ML42_poisson_bootstrap")
 def ml42(spark, sf):
-    return out(MI.poisson_bootstrap(clean_panel(spark, sf), "wins", replicates=200))
+    return out(MI.poisson_bootstrap(clean_panel(spark, sf), "wins", replicates=1000))
 
 
 @register("ML43_residual_bounds")
