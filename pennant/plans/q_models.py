@@ -259,7 +259,7 @@ def ml19(spark, sf):
 @register("ML20_stacking")
 def ml20(spark, sf):
     d, tr, va, te, mem = _members(spark, sf)
-    full, meta = EN.stack(tr, mem, LogisticRegression(featuresCol="meta_features", labelCol="label"), KEY, k=3)
+    full, meta = EN.stack(tr, mem, LogisticRegression(featuresCol="meta_features", labelCol="label"), KEY, k=5)
     return out(EN.stack_transform(te, full, meta).select(*KEY, "label", "p_stacked"))
 
 
@@ -311,7 +311,7 @@ def ml26(spark, sf):
     d, tr, va, te, _ = _members(spark, sf)
     rf = ES.random_forest_classifier(trees=20)
     grid = ParamGridBuilder().addGrid(rf.maxDepth, [3, 6]).build()
-    _, table = TU.cross_validate(spark, tr, rf, "classification", KEY, k=3, grid=grid)
+    _, table = TU.cross_validate(spark, tr, rf, "classification", KEY, k=5, grid=grid)
     return out(table)
 
 
