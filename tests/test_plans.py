@@ -52,3 +52,14 @@ def test_wide_panel_shuffled_once(spark):
     top = p.split("Window [")[1] if "Window [" in p else p
     # the only exchange between the window and the cached base is the entity partitioning
     assert p.count("Exchange hashpartitioning(team_name#") == 1
+
+
+def test_flagship_plan_has_no_python_and_no_single_partition(spark):
+    clean = preprocess(raw_team_season(spark, SF_SMALL), catalog.CFG)
+    f = engineer_features(clean, catalog.CFG, materialize_base="cache")
+    f.write.format("noop").mode("overwrite").save()
+    p = f._jdf.queryExecution().executedPlan().toString()
+    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
+        assert node not in p
+    assert "SinglePartition" not in p     # no window or sort over an unpartitioned frame
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
