@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import NumericType
 
 REQUIRED = ("team_name", "year", "wins", "losses", "winning_percentage", "games_behind",
             "wild_card_games_behind", "runs_scored", "runs_allowed", "run_differential")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from pennant.config import DEFAULT, PanelConfig
 from pennant.functions.safe import div
-from pennant.functions.safe import broadcast_all_if_small, broadcast_if_small
+from pennant.functions.safe import broadcast_all_if_small
 from pennant.operators.ranking import attach_ranks, ranked_histogram, rank_table
 from pennant.session import materialize  # noqa: F401  (re-exported)
 from pennant.sources.dims import era_open_case, playoff_spots_case

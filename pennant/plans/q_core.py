@@ -1,6 +1,6 @@
 """Core panel queries: raw source, cleaning pipeline, full feature table."""
 
-from pennant.plans.catalog import clean_panel, features, out, raw, register
+from pennant.plans.catalog import clean_panel, out, raw, register
 from pennant.config import SYNTHETIC
 from pennant.plans.features import engineer_features
 from pennant.plans.preprocess import preprocess

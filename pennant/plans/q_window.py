@@ -1,6 +1,5 @@
 """WN1-WN26 queries."""
 
-from pyspark.sql import functions as F
 
 from pennant.operators import windows as W
 from pennant.plans.catalog import CFG, clean_panel, features, out, register

@@ -1,6 +1,5 @@
 """Hand-computed fixtures for the semantic decisions."""
 
-import math
 
 from pyspark.sql import functions as F
 
