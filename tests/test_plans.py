@@ -63,3 +63,23 @@ def test_flagship_plan_has_no_python_and_no_single_partition(spark):
         assert node not in p
     assert "SinglePartition" not in p     # no window or sort over an unpartitioned frame
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_hot_supplier_is_pre_aggregated(spark):
+    """One supplier holding ~1/3 of all lines: exact counts, and the plan
+    aggregates partially before the shuffle."""
+    from pyspark.sql import functions as F
+    from pennant.sources.panel import season_counts_from
+    from pennant.sources.tables import read_table
+    li = read_table(spark, SF_SMALL, "lineitem")
+    hot = li.where(F.col("l_suppkey") == 0)
+    n_all, n_hot = li.count(), hot.count()
+    copies = max(1, (n_all // 2) // max(n_hot, 1))
+    skewed = li.unionByName(hot.withColumn("__c", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("__c"))
+    assert (n_hot * (copies + 1)) / skewed.count() > 0.3
+    base = {(r.team_id, r.year): r.wins + r.losses for r in season_counts_from(li).collect()}
+    sk = {(r.team_id, r.year): r.wins + r.losses for r in season_counts_from(skewed).collect()}
+    for k, v in base.items():
+        assert sk[k] == v * (copies + 1 if k[0] == 0 else 1)
+    plan = season_counts_from(skewed)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
