@@ -53,8 +53,8 @@ SQL["MC6_roc_auc"] = BIN + "\nSELECT roc_auc FROM auc"
 SQL["MC7_average_precision"] = BIN + """
 SELECT sum(CAST(pos AS DOUBLE) / tot_pos * CAST(tp_ge AS DOUBLE) / n_ge) AS average_precision FROM cum"""
 SQL["MC8_9_log_loss_brier"] = BIN + """
-SELECT avg(-(label * ln(LEAST(GREATEST(p, 1e-15), 1 - 1e-15))
-             + (1 - label) * ln(1 - LEAST(GREATEST(p, 1e-15), 1 - 1e-15)))) AS log_loss,
+SELECT avg(-(label * ln(LEAST(GREATEST(p, 2.220446049250313e-16), 1 - 2.220446049250313e-16))
+             + (1 - label) * ln(1 - LEAST(GREATEST(p, 2.220446049250313e-16), 1 - 2.220446049250313e-16)))) AS log_loss,
   avg(pow(p - label, 2)) AS brier_score FROM bin"""
 SQL["MC10_calibration_error"] = BIN + """,
 b AS (SELECT CAST(floor(p * 10) AS INTEGER) AS b, count(*) AS n, avg(CAST(label AS DOUBLE)) AS acc, avg(p) AS conf

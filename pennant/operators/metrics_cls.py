@@ -104,7 +104,11 @@ def curve_points(df: DataFrame, label="label", score="p") -> DataFrame:
                     div(tp, "__tot___pos").alias("recall"))
 
 
-def probability_losses(df: DataFrame, label="label", score="p", eps: float = 1e-15, group=()) -> DataFrame:
+# Fixed value: default clipping of the original's log loss (float64 machine epsilon).
+LOG_LOSS_EPS = 2.220446049250313e-16
+
+
+def probability_losses(df: DataFrame, label="label", score="p", eps: float = LOG_LOSS_EPS, group=()) -> DataFrame:
     """MC8 / MC9 — log loss (probabilities clipped to [eps, 1-eps]) and Brier score."""
     p = F.least(F.greatest(F.col(score), F.lit(eps)), F.lit(1 - eps))
     y = F.col(label).cast("double")
