@@ -10,6 +10,8 @@ from conftest import SF_SMALL
 
 import __spark_entry__ as E
 
+MAP = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+       "date": "DATE", "float": "FLOAT", "smallint": "SMALLINT"}
 SQL = E.oracle_sql()
 QUERIES = E.queries()
 SLOW_MODEL_KEYS = {k for k in QUERIES if k.startswith(("ML", "SS", "IO10")) and k not in SQL}
@@ -22,7 +24,11 @@ def con():
 
 @pytest.mark.parametrize("key", sorted(SQL))
 def test_matches_oracle(spark, con, key):
-    sp = QUERIES[key](spark, SF_SMALL).toPandas()
+    df = QUERIES[key](spark, SF_SMALL)
+    # exact column types, then values
+    types = {f.name: MAP.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
+    assert types == {r[0]: r[1] for r in con.execute(f"DESCRIBE ({SQL[key]})").fetchall()}
+    sp = df.toPandas()
     dk = con.sql(SQL[key]).df()
     c1, r1 = rows_of(sp)
     c2, r2 = rows_of(dk)
