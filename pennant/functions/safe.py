@@ -71,12 +71,18 @@ def broadcast_if_small(df, max_rows: int = 1_000_000):
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def broadcast_all_if_small(dfs, max_rows: int = 1_000_000):
-    """``broadcast_if_small`` for several lookup tables with ONE counting job
-    (the tables are persisted, their row counts gathered in a single union)."""
+def persist_and_count(dfs):
+    """Persist several tables and count their rows with ONE job (a union of
+    tagged rows, partially aggregated); returns the persisted tables and counts."""
     from functools import reduce
     dfs = [d.persist() for d in dfs]
     tagged = [d.select(F.lit(i).alias("__t")) for i, d in enumerate(dfs)]
-    counts = {r["__t"]: r["n"] for r in reduce(lambda a, b: a.unionByName(b), tagged)
-              .groupBy("__t").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [F.broadcast(d) if counts.get(i, 0) <= max_rows else d for i, d in enumerate(dfs)]
+    got = {r["__t"]: r["n"] for r in reduce(lambda a, b: a.unionByName(b), tagged)
+           .groupBy("__t").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return dfs, [got.get(i, 0) for i in range(len(dfs))]
+
+
+def broadcast_all_if_small(dfs, max_rows: int = 1_000_000):
+    """``broadcast_if_small`` for several lookup tables with ONE counting job."""
+    dfs, counts = persist_and_count(dfs)
+    return [F.broadcast(d) if n <= max_rows else d for d, n in zip(dfs, counts)]

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from pennant.config import DEFAULT, PanelConfig
 from pennant.functions.safe import div
-from pennant.functions.safe import broadcast_all_if_small
+from pennant.functions.safe import persist_and_count
 from pennant.operators.ranking import attach_ranks, ranked_histogram, rank_table
 from pennant.session import materialize  # noqa: F401  (re-exported)
 from pennant.sources.dims import era_open_case, playoff_spots_case
@@ -259,6 +259,7 @@ def row_features(df: DataFrame, cfg: PanelConfig = DEFAULT) -> DataFrame:
 
 
 RANK_BROADCAST_MAX_ROWS = 1_000_000
+SMALL_TABLE_MAX_ROWS = 1_000_000
 
 
 def engineer_features(df: DataFrame, cfg: PanelConfig = DEFAULT, materialize_base: str | None = "checkpoint"
@@ -282,11 +283,13 @@ def engineer_features(df: DataFrame, cfg: PanelConfig = DEFAULT, materialize_bas
     stats = period_statistics(base, cfg)
     era, env = era_statistics(base, cfg)
     top = playoff_keys(base, cfg)
-    # size-checked broadcasts of the four small lookup tables (one counting job)
-    stats, era, env, top = broadcast_all_if_small([stats, era, env, top])
     specs = rank_specs(cfg)
     ranked = ranked_histogram(base, specs)
-    small = ranked.count() <= RANK_BROADCAST_MAX_ROWS
+    # size checks of the four small lookup tables and of the rank histogram: one counting job
+    (stats, era, env, top, ranked), counts = persist_and_count([stats, era, env, top, ranked])
+    stats, era, env, top = [F.broadcast(t) if n <= SMALL_TABLE_MAX_ROWS else t
+                            for t, n in zip((stats, era, env, top), counts[:4])]
+    small = counts[4] <= RANK_BROADCAST_MAX_ROWS
     out = apply_period_statistics(base, stats, cfg)
     out = apply_era_statistics(out, era, env, cfg)
     out = apply_playoff_keys(out, top, cfg)
