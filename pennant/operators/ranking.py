@@ -54,7 +54,12 @@ def prefix_counts(hist: DataFrame, keys, value: str, n: str, buckets: int = 32,
                                     F.greatest(F.lit(buckets), F.ceil(F.count(F.lit(1)) / rows_per_bucket)
                                                .cast("int")).alias("__nb"),
                                     *[F.sum(c).alias(f"__tot_{c}") for c in sums])
-    h = hist.join(stats, keys)
+    # a single (constant) group key would make a shuffle join put every row in
+    # one partition; its stats table is provably one row, its bucket table at
+    # most __nb rows -> explicit broadcasts.  Grouped keys are left to AQE
+    # (broadcast by runtime size, skew-join splitting otherwise).
+    single = keys == ["__grp"]
+    h = hist.join(F.broadcast(stats) if single else stats, keys)
     span = F.col("__hi") - F.col("__lo")
     h = h.withColumn("__b", F.when(span > 0, F.least(
         F.floor((F.col(value) - F.col("__lo")) / span * F.col("__nb")).cast("int"), F.col("__nb") - 1))
@@ -63,7 +68,7 @@ def prefix_counts(hist: DataFrame, keys, value: str, n: str, buckets: int = 32,
     wb = Window.partitionBy(*keys).orderBy("__b").rowsBetween(_UNB, -1)
     bt = bt.select(*keys, "__b", *[F.coalesce(F.sum(f"__bn_{c}").over(wb), F.lit(0)).alias(f"__off_{c}")
                                    for c in sums])
-    h = h.join(bt, [*keys, "__b"])
+    h = h.join(F.broadcast(bt) if single else bt, [*keys, "__b"])
     wl = Window.partitionBy(*keys, "__b").orderBy(value).rowsBetween(_UNB, -1)
     out = h.withColumns({f"__below_{c}": F.col(f"__off_{c}") + F.coalesce(F.sum(c).over(wl), F.lit(0))
                          for c in sums})
