@@ -12,7 +12,8 @@ online-updated ensemble; here they are streaming queries:
 * SS4 ensemble weights from each member's last W scores:
   ``applyInPandasWithState`` keyed by member (state = bounded score list);
 * SS5 in-season projection on running totals: stateful ``groupBy().agg`` in
-  update mode, every micro-batch's updated rows appended by ``foreachBatch``.
+  update mode; ``foreachBatch`` writes every micro-batch's updated rows to its
+  own ``batch_id=<n>`` directory (overwrite: a retried batch is idempotent).
 
 Every query runs with ``trigger(availableNow=True)`` and keeps its checkpoint
 (offsets + state) in the shared checkpoint folder, so a restarted driver or a
@@ -173,12 +174,13 @@ def stream_running_totals(spark: SparkSession, sf_dir: str, total_games: int = 1
     base = scratch_path(spark, "ss5")
 
     def sink(batch: DataFrame, batch_id: int):
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(f"{base}/out")
+        # idempotent: a retried micro-batch overwrites its own directory instead of appending twice
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
 
     q = (agg.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    hist = spark.read.parquet(f"{base}/out")
+    hist = spark.read.option("basePath", f"{base}/out").parquet(f"{base}/out/batch_id=*")
     w = Window.partitionBy("team_id", "year").orderBy(F.desc("batch_id"))
     cur = hist.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn", "batch_id")
     return cur.withColumn("pace_wins", F.col("wins") / F.col("games") * total_games)
