@@ -121,3 +121,20 @@ def test_era_boundaries(spark):
 
 def test_synthetic_config_is_distinct():
     assert SYNTHETIC.win_milestones != DEFAULT.win_milestones and DEFAULT.win_milestones == (90, 95, 100)
+
+
+def test_decomposition_window_widths(spark):
+    """WN19: width = min(5, n // 2) per entity; even widths cover rows [-w/2, w/2 - 1]."""
+    from pennant.operators.windows import decompose
+    series = {"n1": [10], "n2": [10, 20], "n4": [10, 20, 40, 80], "n5": [1, 2, 3, 4, 5],
+              "n9": [1, 4, 9, 16, 25, 36, 49, 64, 81]}
+    rows = [(t, 2000 + i, float(v)) for t, vs in series.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "team_name string, year int, wins double")
+    got = {(r.team_name, r.year - 2000): r.trend for r in decompose(df, "wins").collect()}
+    assert got[("n1", 0)] is None                                  # width 0: no trend
+    assert [got[("n2", i)] for i in range(2)] == [10.0, 20.0]      # width 1: the value itself
+    assert [got[("n4", i)] for i in range(4)] == [None, 15.0, 30.0, 60.0]        # width 2: rows [-1, 0]
+    assert [got[("n5", i)] for i in range(5)] == [None, 1.5, 2.5, 3.5, 4.5]      # width 2
+    w4 = [None, None, (1 + 4 + 9 + 16) / 4, (4 + 9 + 16 + 25) / 4, (9 + 16 + 25 + 36) / 4,
+          (16 + 25 + 36 + 49) / 4, (25 + 36 + 49 + 64) / 4, (36 + 49 + 64 + 81) / 4, None]  # width 4: rows [-2, 1]
+    assert [got[("n9", i)] for i in range(9)] == w4
