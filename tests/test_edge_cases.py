@@ -138,3 +138,12 @@ def test_decomposition_window_widths(spark):
     w4 = [None, None, (1 + 4 + 9 + 16) / 4, (4 + 9 + 16 + 25) / 4, (9 + 16 + 25 + 36) / 4,
           (16 + 25 + 36 + 49) / 4, (25 + 36 + 49 + 64) / 4, (36 + 49 + 64 + 81) / 4, None]  # width 4: rows [-2, 1]
     assert [got[("n9", i)] for i in range(9)] == w4
+
+
+def test_gap_year_is_not_a_gap(spark):
+    """Q14: windows are row based — the season before a missing year is 'previous'."""
+    rows = [_row("A", 2000, 80), _row("A", 2001, 84), _row("A", 2003, 90)]
+    f = FE.engineer_features(panel(spark, rows), DEFAULT, materialize_base=None).orderBy("year").collect()
+    assert f[2].prev_wins == 84 and f[2].wins_change == 6
+    assert f[0].run_diff_consistency is None            # a single observation has no std
+    assert f[1].run_diff_consistency is not None
