@@ -68,3 +68,16 @@ def test_stream_dedupe_answers_each_request_once(spark):
     from pennant.sources.tables import read_table
     expected = read_table(spark, SF_SMALL, "events").select("user_id", "event_type").distinct().count()
     assert out.count() == expected
+
+
+def test_approximate_paths_close_to_exact(spark):
+    from pennant.operators import metrics_reg as MR
+    df = spark.range(5000).select((F.col("id") % 97).cast("double").alias("y"),
+                                  ((F.col("id") * 7) % 89).cast("double").alias("yhat"),
+                                  (F.col("id") % 300).cast("string").alias("team_name"), F.lit(2000).alias("year"))
+    ex = MR.error_profile(df).first()
+    ap = MR.error_profile(df, approx=True).first()
+    assert abs(ex.median_ae - ap.median_ae) <= 1.0 and abs(ex.p90_error - ap.p90_error) <= 1.0
+    e = Q.data_info(df).first().n_entities
+    a = Q.data_info(df, approx=True).first().n_entities
+    assert e == 300 and abs(a - e) / e < 0.05
