@@ -39,8 +39,33 @@ def value_histogram(df: DataFrame, specs, weight: Column | None = None) -> DataF
             .groupBy("__m", "__g", "__v").agg(F.sum("__w").alias("__n")))
 
 
+SINGLE_WINDOW_MAX_ROWS = 1_000_000
+
+
 def prefix_counts(hist: DataFrame, keys, value: str, n: str, buckets: int = 32,
-                  extra_sums: tuple = (), rows_per_bucket: int = 1_000_000) -> DataFrame:
+                  extra_sums: tuple = (), rows_per_bucket: int = 1_000_000, auto: bool = True) -> DataFrame:
+    """Prefix counts over a histogram.  With ``auto`` the histogram is persisted
+    and counted (one small job): at most ``SINGLE_WINDOW_MAX_ROWS`` rows -> one
+    window partitioned by ``keys`` (bounded per task); otherwise the two-level
+    bucketed version below."""
+    if auto:
+        hist = hist.persist()
+        if hist.count() <= SINGLE_WINDOW_MAX_ROWS:
+            return _prefix_counts_single(hist, keys, value, n, extra_sums)
+    return _prefix_counts_two_level(hist, keys, value, n, buckets, extra_sums, rows_per_bucket)
+
+
+def _prefix_counts_single(hist: DataFrame, keys, value: str, n: str, extra_sums: tuple = ()) -> DataFrame:
+    w = Window.partitionBy(*keys)
+    wb = w.orderBy(value).rowsBetween(_UNB, -1)
+    cols = [F.coalesce(F.sum(n).over(wb), F.lit(0)).alias("__below"), F.sum(n).over(w).alias("__tot")]
+    for c in extra_sums:
+        cols += [F.coalesce(F.sum(c).over(wb), F.lit(0)).alias(f"__below_{c}"), F.sum(c).over(w).alias(f"__tot_{c}")]
+    return hist.select("*", *cols)
+
+
+def _prefix_counts_two_level(hist: DataFrame, keys, value: str, n: str, buckets: int = 32,
+                             extra_sums: tuple = (), rows_per_bucket: int = 1_000_000) -> DataFrame:
     """Add ``__below`` (sum of ``n`` over strictly smaller values within ``keys``)
     and ``__tot`` (group total) with a two-level bucketed prefix sum.
     ``extra_sums`` are further count columns cumulated the same way
@@ -76,11 +101,19 @@ def prefix_counts(hist: DataFrame, keys, value: str, n: str, buckets: int = 32,
     return out.drop("__lo", "__hi", "__nb", "__b", *[f"__off_{c}" for c in sums])
 
 
-def ranked_histogram(source: DataFrame, specs, buckets: int = 32) -> DataFrame:
+def ranked_histogram(source: DataFrame, specs, buckets: int = 32, hist: DataFrame | None = None,
+                     small: bool = False) -> DataFrame:
     """Persisted ``(__m, __g, __v, __pct)``: pandas ``rank(pct=True)`` of every
-    distinct value of every spec (two-level prefix counts over the histogram)."""
-    hist = value_histogram(source, specs)
-    ranked = prefix_counts(hist, ["__m", "__g"], "__v", "__n", buckets)
+    distinct value of every spec.  ``small`` (the caller has counted the
+    histogram and it is bounded, e.g. <= 1M rows) uses one window over the
+    histogram; otherwise the two-level prefix counts spread each group."""
+    hist = value_histogram(source, specs) if hist is None else hist
+    if small:
+        w = Window.partitionBy("__m", "__g")
+        ranked = hist.select("*", F.coalesce(F.sum("__n").over(w.orderBy("__v").rowsBetween(_UNB, -1)), F.lit(0))
+                             .alias("__below"), F.sum("__n").over(w).alias("__tot"))
+    else:
+        ranked = prefix_counts(hist, ["__m", "__g"], "__v", "__n", buckets, auto=False)
     return ranked.select("__m", "__g", "__v",
                          ((F.col("__below") + (F.col("__n") + 1) / 2.0) / F.col("__tot")).alias("__pct")).persist()
 

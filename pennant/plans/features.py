@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pennant.config import DEFAULT, PanelConfig
 from pennant.functions.safe import div
 from pennant.functions.safe import persist_and_count
-from pennant.operators.ranking import attach_ranks, ranked_histogram, rank_table
+from pennant.operators.ranking import attach_ranks, rank_table, ranked_histogram, value_histogram
 from pennant.session import materialize  # noqa: F401  (re-exported)
 from pennant.sources.dims import era_open_case, playoff_spots_case
 
@@ -284,12 +284,14 @@ def engineer_features(df: DataFrame, cfg: PanelConfig = DEFAULT, materialize_bas
     era, env = era_statistics(base, cfg)
     top = playoff_keys(base, cfg)
     specs = rank_specs(cfg)
-    ranked = ranked_histogram(base, specs)
-    # size checks of the four small lookup tables and of the rank histogram: one counting job
-    (stats, era, env, top, ranked), counts = persist_and_count([stats, era, env, top, ranked])
+    hist = value_histogram(base, specs)
+    # size checks of the four small lookup tables and of the value histogram: one counting job
+    (stats, era, env, top, hist), counts = persist_and_count([stats, era, env, top, hist])
     stats, era, env, top = [F.broadcast(t) if n <= SMALL_TABLE_MAX_ROWS else t
                             for t, n in zip((stats, era, env, top), counts[:4])]
     small = counts[4] <= RANK_BROADCAST_MAX_ROWS
+    # bounded histogram: one window over it; otherwise two-level prefix counts
+    ranked = ranked_histogram(base, specs, hist=hist, small=small)
     out = apply_period_statistics(base, stats, cfg)
     out = apply_era_statistics(out, era, env, cfg)
     out = apply_playoff_keys(out, top, cfg)

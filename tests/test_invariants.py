@@ -41,7 +41,9 @@ def test_two_level_prefix_counts_match_brute_force(spark, rows):
     df = spark.createDataFrame([(g, float(v)) for g, v in rows], "g int, v double")
     hist = df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
     got = {(r["g"], r["v"]): (r["__below"], r["__tot"]) for r in
-           prefix_counts(hist, ["g"], "v", "n", buckets=2, rows_per_bucket=2).collect()}
+           prefix_counts(hist, ["g"], "v", "n", buckets=2, rows_per_bucket=2, auto=False).collect()}
+    single = {(r["g"], r["v"]): (r["__below"], r["__tot"]) for r in prefix_counts(hist, ["g"], "v", "n").collect()}
+    assert single == got
     for (g, v), (below, tot) in got.items():
         assert below == sum(1 for gg, vv in rows if gg == g and vv < v)
         assert tot == sum(1 for gg, _ in rows if gg == g)
