@@ -27,3 +27,19 @@ def test_tree_interval_mean_equals_prediction(spark):
     bad = r.where(F.abs(F.col("tree_mean") - F.col("prediction")) > 1e-9).count()
     assert bad == 0
     assert r.where(F.col("lower") > F.col("upper")).count() == 0
+
+
+def test_calibrated_and_stacked_probabilities(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pennant.models import calibration as CAL
+    from pennant.models import ensemble as EN
+    tr, _, te = _split(ml_data(spark, SF_MID))
+    cal = CAL.CalibratedClassifier(ES.random_forest_classifier(trees=20), "sigmoid", 3).fit(tr).transform(te)
+    assert cal.where((F.col("p") < 0) | (F.col("p") > 1) | F.col("p").isNull()).count() == 0
+    assert cal.select("p").distinct().count() > 1
+    members = {"rf": ES.random_forest_classifier(trees=10), "lr": ES.logistic()}
+    full, meta = EN.stack(tr, members, LogisticRegression(featuresCol="meta_features", labelCol="label"),
+                          ["team_name", "year"], k=3)
+    st = EN.stack_transform(te, full, meta)
+    assert st.count() == te.count()
+    assert st.where((F.col("p_stacked") < 0) | (F.col("p_stacked") > 1)).count() == 0
