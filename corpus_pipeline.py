@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pennant.llm import minmax, mixing, packing, risk_rules
+from pennant.llm import minmax, mixing, packing, risk_rules, secrets
 from pennant.llm.common import word_count, written
 from pennant.llm.queries import tokenizer_path
 from pennant.sources.tables import read_table
@@ -21,6 +21,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return minmax.keep_one(docs)
 
 
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets that the forest confirms are replaced by a mark; no document goes."""
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing to target weights: documents are repeated or left out by their source's rate."""
     return mixing.emit(mixing.mix(docs, word_count(F.col("text"))))
@@ -32,7 +37,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-STAGES = [("quality", quality), ("near_dedup", near_dedup), ("mix", mix), ("pack", pack)]
+STAGES = [("quality", quality), ("near_dedup", near_dedup), ("secrets", secret_scan), ("mix", mix), ("pack", pack)]
 
 #: The secret scan's forest and the tokeniser are beyond SQL; tests/llm holds the brute-force version.
 ORACLE_SQL = None

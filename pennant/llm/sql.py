@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pennant.llm.chat_events import CONTROLS, OPEN, SHUT
 from pennant.llm.risk_rules import RULES
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -69,4 +70,51 @@ c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT c.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, c.doc_id = c.component_id AS kept
 FROM c LEFT JOIN n ON n.doc_id = c.doc_id"""
 
-SQL = {"op7_risk_controlled_rules": _rules_sql(), "op8_weighted_mix": _MIX, "op9_min_max_dedup": _NEAR}
+_URLS = r"""
+WITH u AS (SELECT page_id, url, DATE '2024-01-01' + (((page_id % 365) + 365) % 365)::INTEGER AS fetch_date,
+  lower(regexp_replace(regexp_replace(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1), '^.*@', ''),
+  '\.?(:[0-9]*)?$', '')) AS host,
+  list_filter(string_split(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1)), '/'), lambda s: s <> '') AS seg
+  FROM pages),
+h AS (SELECT host, ('0x' || substr(md5(host), 1, 6))::BIGINT AS v FROM (SELECT DISTINCT host FROM u WHERE host <> '')),
+pd AS (SELECT p, ('0x' || substr(md5(p), 1, 6))::BIGINT AS v FROM (SELECT DISTINCT regexp_replace(host, '^[^.]*\.', '') AS p FROM h)),
+sg AS (SELECT k, ('0x' || substr(md5(k), 1, 6))::BIGINT AS v FROM (SELECT DISTINCT host || '/' || seg[1] AS k FROM u WHERE host <> '' AND len(seg) > 0)),
+spans AS MATERIALIZED (
+  SELECT 'spam' AS list, host AS key, 'block' AS verdict, DATE '2024-01-01' + (v % 200)::INTEGER AS valid_from,
+    CASE WHEN v % 6 = 0 THEN DATE '2024-01-01' + (v % 200 + 60)::INTEGER END AS valid_to FROM h WHERE v % 3 = 0
+  UNION ALL SELECT 'spam', host, 'block', DATE '2024-01-01' + (v % 200 + 100)::INTEGER, NULL FROM h WHERE v % 30 = 0
+  UNION ALL SELECT 'domains', p, 'block', DATE '2024-01-01' + (v % 300)::INTEGER, NULL FROM pd WHERE v % 4 = 0
+  UNION ALL SELECT 'cleared', k, 'allow', DATE '2024-01-01' + (v % 250)::INTEGER, NULL FROM sg WHERE v % 5 = 0),
+keys AS (
+  SELECT url, fetch_date, array_to_string(l[len(l) - i + 1:], '.') AS key, i AS depth
+    FROM (SELECT url, fetch_date, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT DISTINCT url, fetch_date, string_split(host, '.') AS l FROM u WHERE host <> ''))
+  UNION ALL SELECT url, fetch_date, host || '/' || array_to_string(seg[1:i], '/'), 1000 + i
+    FROM (SELECT url, fetch_date, host, seg, unnest(range(1, len(seg) + 1)) AS i FROM (SELECT DISTINCT url, fetch_date, host, seg FROM u WHERE host <> ''))),
+hit AS (SELECT url, fetch_date, count(*) OVER (PARTITION BY url, fetch_date) AS n, list, key, verdict, valid_from, valid_to,
+  row_number() OVER (PARTITION BY url, fetch_date ORDER BY depth DESC, verdict <> 'block', list, key) AS rn
+  FROM keys JOIN spans USING (key) WHERE valid_from <= fetch_date AND (valid_to IS NULL OR fetch_date < valid_to))
+SELECT u.page_id, u.fetch_date::VARCHAR AS fetch_date, u.host, coalesce(n, 0)::BIGINT AS n_active, coalesce(verdict, 'none') AS verdict, list, key,
+  valid_from::VARCHAR AS valid_from, valid_to::VARCHAR AS valid_to
+FROM u LEFT JOIN hit ON hit.url = u.url AND hit.fetch_date = u.fetch_date AND rn = 1"""
+
+# the escapes and the frame of pennant.llm.chat_events, of which only lengths matter here
+_CHAT = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, length(text) + length(text) - length(replace(text, '\', '')) + CONTROLS AS n FROM t)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(n + length(role) + FRAME)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id""".replace("CONTROLS", " + ".join(
+    f"(length(text) - length(replace(text, '{c}', ''))) // {len(c)}" for c in CONTROLS)).replace("FRAME", str(len(OPEN) + len(SHUT) + 1))
+
+_NEAREST = r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e) AS score FROM v q JOIN v c ON c.vec_id <> q.vec_id
+  WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20"""
+
+SQL = {"op4_event_sourced_chat": _CHAT, "op5_block_matrix_search": _NEAREST, "op6_temporal_url_lists": _URLS, "op7_risk_controlled_rules": _rules_sql(), "op8_weighted_mix": _MIX, "op9_min_max_dedup": _NEAR}
