@@ -167,11 +167,16 @@ def pack(docs: DataFrame, path: str, length: int = 2048, end_id: int = 1, key: s
     return joined.mapInArrow(_cut(length), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 
 
-def sequences(pieces: DataFrame) -> DataFrame:
-    """``sequence_id``, ``ids`` (array), ``doc_ids``: the sequences themselves; a group is one sequence, so it is bounded."""
+def sequences(pieces: DataFrame, length: int = 2048, pad_id: int = 0) -> DataFrame:
+    """``sequence_id``, ``n_tokens``, ``ids`` (little-endian unsigned 32-bit), ``doc_ids``: the sequences themselves.
+
+    They are padded to ``length`` with ``pad_id`` unless their own length is a power of two.  A group is one sequence,
+    so it is bounded.
+    """
     rows = F.array_sort(F.collect_list(F.struct("offset", "doc_id", "ids")))
-    whole = pieces.groupBy("sequence_id").agg(rows.alias("rows"))
-    hexed = F.hex(F.aggregate("rows", F.lit(b""), lambda a, r: F.concat(a, r["ids"])))
-    number = F.transform(F.sequence(F.lit(0), F.length(hexed) / 8 - 1), lambda i: F.conv(F.concat(
-        *[F.substring(hexed, (i * 8 + j).cast("int"), F.lit(2)) for j in (7, 5, 3, 1)]), 16, 10).cast("long"))
-    return whole.select("sequence_id", number.alias("ids"), F.transform("rows", lambda r: r["doc_id"]).alias("doc_ids"))
+    whole = pieces.groupBy("sequence_id").agg(F.sum("length").alias("n_tokens"), rows.alias("rows"))
+    hexed = F.array_join(F.transform("rows", lambda r: F.hex(r["ids"])), "")
+    n, pad = F.col("n_tokens"), pad_id.to_bytes(4, "little").hex().upper()
+    fill = F.when((F.bit_count(n) != 1) & (n < length), length - n).otherwise(F.lit(0)).cast("int")
+    return whole.select("sequence_id", "n_tokens", F.unhex(F.concat(hexed, F.repeat(F.lit(pad), fill))).alias("ids"),
+                        F.transform("rows", lambda r: r["doc_id"]).alias("doc_ids"))

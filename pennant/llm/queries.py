@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pennant.llm import block_search, chat_events, minmax, mixing, packing, risk_rules, secrets, token_counts, url_lists
+from pennant.llm import block_search, chat_events, minmax, mixing, packing, risk_rules, secrets, suffix_dedup, token_counts, url_lists
 from pennant.llm.common import word_count
 from pennant.sources.tables import read_table
 
@@ -41,6 +41,11 @@ def op2_resync_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def op3_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = "</s>[INST] ok [/INST]"
@@ -73,4 +78,4 @@ def op10_forest_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_hilbert_packing, op2_resync_token_counts, op4_event_sourced_chat, op5_block_matrix_search, op6_temporal_url_lists, op7_risk_controlled_rules, op8_weighted_mix, op9_min_max_dedup, op10_forest_secret_scan)}
+    op1_hilbert_packing, op2_resync_token_counts, op3_prefix_free_dedup, op4_event_sourced_chat, op5_block_matrix_search, op6_temporal_url_lists, op7_risk_controlled_rules, op8_weighted_mix, op9_min_max_dedup, op10_forest_secret_scan)}

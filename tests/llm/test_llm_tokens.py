@@ -74,9 +74,12 @@ def test_packing_round_trip(spark, odd):
         full += at == 256
     assert full >= len(by_seq) - 1
     assert sorted(by_seq) == list(range(len(by_seq)))
-    whole = packing.sequences(packing.pack(odd, WORD, 256, 1)).collect()
-    assert sum(len(r.ids) for r in whole) == sum(p.length for p in pieces)
-    assert all(r.ids[-1] == 1 for r in whole if len(r.ids) < 256)
+    whole = packing.sequences(packing.pack(odd, WORD, 256, 1), 256, 7).collect()
+    assert sum(r.n_tokens for r in whole) == sum(p.length for p in pieces)
+    for r in whole:
+        ids = np.frombuffer(bytes(r.ids), "<u4")
+        assert len(ids) == 256 or len(ids) == r.n_tokens and bin(r.n_tokens).count("1") == 1
+        assert (ids[r.n_tokens:] == 7).all() and ids.tolist()[:r.n_tokens].count(1) <= len(r.doc_ids)
 
 
 def test_packing_an_empty_table(spark, odd):
