@@ -166,13 +166,18 @@ def _span_rows(doc, text, start, end, buckets: int) -> list:
 
 
 def _firsts(keys: list[np.ndarray], c: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Order by keys, then place in the corpus; and which entries in it are the first of their keys."""
+    """The entries that come first in the corpus among those of equal keys, and those at a later place (an entry at
+    the very place of the first, from a repeated row, is neither)."""
     order = np.lexsort((c["at"], c["text"], c["doc"], *keys))
     first = np.zeros(len(order), bool)
     first[:1] = True
     for k in keys:
         first[1:] |= k[order[1:]] != k[order[:-1]]
-    return order, first
+    head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
+    later = np.zeros(len(order), bool)
+    for k in ("doc", "text", "at"):
+        later |= c[k][order] != c[k][head]
+    return order[first], order[later]
 
 
 def _parse(buckets: int):
@@ -188,10 +193,9 @@ def _parse(buckets: int):
                 doc, at, far, near, gram, whole, left, right = phrases(raw[o:ends[high - 1]], starts[low:high] - o, ends[low:high] - o)
                 c = {"doc": docs[low:high][doc], "text": text[low:high][doc], "at": at, "far": far, "near": near, "gram": gram,
                      "whole": whole, "left": left, "right": right}
-                order, first = _firsts([whole, gram], c)
-                again = order[~first]
+                first, again = _firsts([whole, gram], c)
                 rows = _span_rows(c["doc"][again], c["text"][again], (at - far)[again], (at - near)[again] + LENGTH, buckets)
-                kept = np.sort(order[first])          # in text order, which compresses well
+                kept = np.sort(first)                 # in text order, which compresses well
                 yield from _records(rows + _deal(c, kept, gram, buckets, _PHRASE))
                 low = high
     return run
@@ -225,8 +229,7 @@ def _dictionary(blobs):
         return []
     c = _unblob(blobs, _PHRASE)
     at, far, near = (c[k].astype(np.int64) for k in ("at", "far", "near"))
-    order, first = _firsts([c["whole"], c["gram"]], c)
-    again, own = order[~first], order[first]
+    own, again = _firsts([c["whole"], c["gram"]], c)
     rows = _span_rows(c["doc"][again], c["text"][again].astype(np.int64), (at - far)[again], (at - near)[again] + LENGTH, 1 << 30)
     doc, text, start, end = [], [], [], []
     for half, low, high in (("left", at - far, at - np.maximum(_HALF, near)), ("right", at - np.minimum(_HALF, far), at - near)):
@@ -275,10 +278,9 @@ def _combine(parts: dict, buckets: int) -> list:
     if not parts["at"]:
         return []
     c = {k: np.concatenate(v) for k, v in parts.items()}
-    order, first = _firsts([c["two"], c["one"]], c)
-    again = order[~first]
+    first, again = _firsts([c["two"], c["one"]], c)
     rows = _span_rows(c["doc"][again], c["text"][again], c["at"][again], c["at"][again] + LENGTH, buckets)
-    return rows + _deal(c, np.sort(order[first]), c["one"], buckets, _SUFFIX)
+    return rows + _deal(c, np.sort(first), c["one"], buckets, _SUFFIX)
 
 
 def _classes(blobs):
@@ -286,8 +288,7 @@ def _classes(blobs):
     if not blobs:
         return []
     c = _unblob(blobs, _SUFFIX)
-    order, first = _firsts([c["two"], c["one"]], c)
-    again = order[~first]
+    _, again = _firsts([c["two"], c["one"]], c)
     at = c["at"][again].astype(np.int64)
     return _span_rows(c["doc"][again], c["text"][again].astype(np.int64), at, at + LENGTH, 1 << 30)
 
