@@ -36,7 +36,7 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def events_of(rows: DataFrame, piece: int = 400) -> DataFrame:
+def events_of(rows: DataFrame, piece: int = 4000) -> DataFrame:
     """The log of finished rows (``conv_id``, ``turn``, ``role``, ``text``) as a service would have streamed it.
 
     ``conv_id``, ``message``, ``seq``, ``event``, ``role``, ``text``.  A message is a row; rows of one conversation

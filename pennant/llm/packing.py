@@ -23,7 +23,7 @@ from pennant.llm.common import running_sum, written
 from pennant.llm.hashing import mix64, runs, seeds, text_bytes
 
 DIMENSIONS, BITS, BUCKETS = 4, 15, 256
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 800_000
 
 
 def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
@@ -64,7 +64,8 @@ def curve_points(bags: np.ndarray, dimensions: int = DIMENSIONS, bits: int = BIT
 
 
 class WordEncoder:
-    """Token ids of whole texts, as bytes, from the ids of their words (split at ASCII white space).
+    """Token ids of whole texts, as bytes, from the ids of their words (split at ASCII white space;
+    no alternative of its pre-tokeniser reaches over white space).
 
     Right for tokenisers that drop white space before merging, as word_bpe_49k.json does.  The cache of words is
     emptied when it holds ``most`` words, so memory is bounded whatever the vocabulary.
@@ -84,15 +85,26 @@ class WordEncoder:
         split = [t.split() for t in texts]
         if len(self.words) > self.most:
             self.words = {}
-        new = list({w for words in split for w in words if w not in self.words})
+        new = list(set().union(*split).difference(self.words))
         for low in range(0, len(new), 20_000):
-            part = new[low:low + 20_000]
-            got = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            for w, e in zip(part, got):
-                self.words[w] = np.array(e.ids, self.kind).tobytes()
+            self._learn(new[low:low + 20_000])
         look = self.words.__getitem__
         return [b"".join(map(look, words)) for words in split]
 
+    def _learn(self, words: list[bytes]) -> None:
+        """Ids of new words: many words are encoded as the lines of one text; offsets tell whose a token is."""
+        text = [w.decode("utf-8", "replace") for w in words]
+        lines = [text[low:low + 500] for low in range(0, len(text), 500)]
+        at = 0
+        for own, e in zip(lines, self.tokenizer.encode_batch(["\n".join(own) for own in lines], add_special_tokens=False)):
+            starts = np.zeros(len(own) + 1, np.int64)
+            np.cumsum([len(w) + 1 for w in own], out=starts[1:])
+            first = np.searchsorted(np.fromiter((o[0] for o in e.offsets), np.int64, len(e)), starts) * self.kind.itemsize
+            ids = np.array(e.ids, self.kind).tobytes()
+            for w, a, b in zip(words[at:at + len(own)], first.tolist(), first[1:].tolist()):
+                self.words[w] = ids[a:b]
+            at += len(own)
+
 
 def _tokenise(path: str, end_id: int):
     def run(batches):

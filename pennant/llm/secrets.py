@@ -64,26 +64,28 @@ def transition_table(words: DataFrame) -> dict[str, float]:
 
 def featured(found: DataFrame, words: DataFrame) -> DataFrame:
     """Adds FEATURES.  The dictionary is joined with the letter runs of the distinct candidates only."""
-    table = transition_table(words) or {"aa": -3.0}
-    logs = F.create_map(*[x for p, v in table.items() for x in (F.lit(p), F.lit(v))])
+    table = transition_table(words)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    logs = F.array(*[F.lit(table.get(a + b, -7.0)) for a in letters for b in letters])
     value, n = F.col("value"), F.length("value")
     runs = found.select("value").distinct().select("value", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("value"), F.lit("[a-z]{3,24}"), F.lit(0)))).alias("word"))
     covered = runs.join(words.select("word"), "word").groupBy("value").agg(F.sum(F.length("word")).alias("_covered"))
     rows = found.join(covered, "value", "left")
-    lower = F.lower(value)
-    steps = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.coalesce(F.element_at(logs, F.substring(lower, i, F.lit(2))), F.lit(-7.0)))
+    rows = rows.withColumn("_codes", F.transform(F.split(F.lower(value), ""), lambda c: F.ascii(c) - 97))
+    pairs = F.zip_with("_codes", F.slice("_codes", F.lit(2), F.size("_codes")), lambda a, b: F.when(
+        a.between(0, 25) & b.between(0, 25), F.get(logs, a * 26 + b)).when(b.isNotNull(), F.lit(-7.0)).otherwise(F.lit(0.0)))
     count = lambda p: F.regexp_count(value, F.lit(p))
     yes = lambda c: F.when(c, 1.0).otherwise(0.0)
     return rows.withColumns({
         "length": n.cast("double"), "digits": count("[0-9]") / n, "capitals": count("[A-Z]") / n,
         "distinct": F.size(F.array_distinct(F.split(value, ""))) / n,
         "changes": (count("[a-z]+|[A-Z]+|[0-9]+|[^A-Za-z0-9]+") - 1) / n, "is_hex": yes(value.rlike("^[0-9a-f]+$")),
-        "transition": F.aggregate(steps, F.lit(0.0), lambda a, x: a + x) / n,
+        "transition": F.aggregate(pairs, F.lit(0.0), lambda a, x: a + x) / n,
         "coverage": F.coalesce(F.col("_covered") / n, F.lit(0.0)),
         "path_hint": yes(F.col("path").rlike("(?i)test|example|sample|mock|doc")), "path_bucket": F.pmod(F.xxhash64("path"), F.lit(16)).cast("double"),
         "assigned": yes(F.col("before").rlike(r"[=:]\s*[\"']?$")), "named": yes(F.col("before").rlike(NAMES + r"[^A-Za-z]{0,6}$")),
         "before_word": F.length(F.regexp_extract("before", r"([A-Za-z]+)[^A-Za-z]{0,6}$", 1)).cast("double"),
-        "after_quote": yes(F.col("after").rlike("^[\"']")), "dashes": count("[-_/+]") / n}).drop("_covered")
+        "after_quote": yes(F.col("after").rlike("^[\"']")), "dashes": count("[-_/+]") / n}).drop("_covered", "_codes")
 
 
 def provable(found: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ _BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
 _POW = [powers(b, _STEP + 4 * LENGTH) for b in _BASES]
 _INV = [powers(pow(b, -1, 2 ** 64), _STEP + 4 * LENGTH) for b in _BASES]
 #: Bytes of text whose phrases go to one bucket, which one task holds at a time.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 4 << 20
 LAST = 2 ** 63 - 1
 
 
@@ -101,6 +101,7 @@ def phrases(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray):
 
 _PHRASE = (("doc", "<i8"), ("text", "<u4"), ("at", "<i4"), ("far", "u1"), ("near", "u1"), ("gram", "<u8"), ("whole", "<u8"), ("left", "<u2"), ("right", "<u2"))
 _SUFFIX = (("doc", "<i8"), ("text", "<u4"), ("at", "<i4"), ("one", "<u8"), ("two", "<u8"))
+_SPAN = (("doc", "<i8"), ("text", "<u4"), ("start", "<i4"), ("end", "<i4"))
 
 
 def _blob(columns: dict, own: np.ndarray, layout) -> bytes:
@@ -122,19 +123,10 @@ def _size(n: int, layout) -> int:
     return 8 + n * sum(np.dtype(t).itemsize for _, t in layout)
 
 
-def _spans(doc: np.ndarray, text: np.ndarray, start: np.ndarray, end: np.ndarray):
-    """One row per document: its spans merged, as little-endian 32-bit pairs."""
-    order = np.lexsort((start, text, doc))
-    doc, text, start, end = doc[order], text[order], start[order], end[order]
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])
-    for a, b in zip(np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(doc))):
-        s, e = merged(start[a:b], end[a:b])
-        yield int(doc[a]), int(text[a]), np.stack([s, e], 1).astype("<i4").tobytes()
-
-
 def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of spans given in order of their starts; touching ones are one run."""
+    if not len(start):
+        return start, end
     top = np.maximum.accumulate(end)
     cut = np.flatnonzero(start[1:] > top[:-1])
     return start[np.append(0, cut + 1)], top[np.append(cut, len(top) - 1)]
@@ -142,7 +134,7 @@ def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 _ROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("doc", pa.int64()), ("text", pa.int64()), ("size", pa.int64()), ("data", pa.binary())])
 ROW = "kind int, bucket int, doc long, text long, size long, data binary"
-PHRASES, SPANS, RANGES = 0, 1, 2
+PHRASES, SPANS, RANGES, TEXTS = 0, 1, 2, 3
 
 
 def _records(rows):
@@ -151,18 +143,28 @@ def _records(rows):
         yield pa.record_batch([pa.array([r[i] for r in part], _ROW.field(i).type) for i in range(6)], schema=_ROW)
 
 
-def _deal(columns: dict, keep: np.ndarray, key: np.ndarray, buckets: int, layout) -> list:
+def _deal(columns: dict, keep: np.ndarray, key: np.ndarray, buckets: int, layout, kind: int = PHRASES) -> list:
     """Rows of kept entries, one blob per bucket."""
-    bucket = (mix64(key[keep]) % np.uint64(buckets)).astype(np.int64)
+    bucket = (mix64(key[keep].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     keep, bucket = keep[order], bucket[order]
     at = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(keep) else []
-    return [(PHRASES, int(bucket[a]), None, None, _size(b - a, layout), _blob(columns, keep[a:b], layout))
+    return [(kind, int(bucket[a]), None, None, _size(b - a, layout), _blob(columns, keep[a:b], layout))
             for a, b in zip(at, np.append(at[1:], len(keep)))]
 
 
-def _span_rows(doc, text, start, end, buckets: int) -> list:
-    return [(SPANS, int(zlib.crc32(b"%d" % d) % buckets), d, t, None, s) for d, t, s in _spans(doc, text, start, end)]
+def _deal_spans(doc, text, start, end, buckets: int, kind: int = SPANS) -> list:
+    """Spans, merged in each document and dealt by document."""
+    order = np.lexsort((start, text, doc))
+    doc, text, start, end = doc[order], text[order], start[order].astype(np.int64), end[order].astype(np.int64)
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])
+    number = np.cumsum(new) - 1
+    shift = number << 32                              # documents after one another on one line, so that one pass merges all
+    s, e = merged(start + shift, end + shift)
+    own = np.flatnonzero(new)[s >> 32] if len(s) else np.zeros(0, np.int64)
+    c = {"doc": doc[own], "text": text[own], "start": s & 0xFFFFFFFF, "end": e & 0xFFFFFFFF}
+    return _deal(c, np.arange(len(s)), c["doc"].astype(np.int64), buckets, _SPAN, kind)
 
 
 def _firsts(keys: list[np.ndarray], c: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -194,7 +196,7 @@ def _parse(buckets: int):
                 c = {"doc": docs[low:high][doc], "text": text[low:high][doc], "at": at, "far": far, "near": near, "gram": gram,
                      "whole": whole, "left": left, "right": right}
                 first, again = _firsts([whole, gram], c)
-                rows = _span_rows(c["doc"][again], c["text"][again], (at - far)[again], (at - near)[again] + LENGTH, buckets)
+                rows = _deal_spans(c["doc"][again], c["text"][again], (at - far)[again], (at - near)[again] + LENGTH, buckets)
                 kept = np.sort(first)                 # in text order, which compresses well
                 yield from _records(rows + _deal(c, kept, gram, buckets, _PHRASE))
                 low = high
@@ -202,7 +204,7 @@ def _parse(buckets: int):
 
 
 def _buckets(work):
-    """Runs ``work`` over the blobs of one bucket after the other; rows of spans pass through."""
+    """Runs ``work`` over the blobs of one bucket after the other; other rows pass through."""
     def run(batches):
         bucket, blobs = None, []
         for batch in batches:
@@ -222,55 +224,75 @@ def _buckets(work):
     return run
 
 
-def _dictionary(blobs):
+def _with_spans(batches):
+    """Texts of each bucket with their spans (which come first in a bucket): ``doc``, ``text``, bytes, starts, ends."""
+    bucket, blobs, c = None, [], None
+    for batch in batches:
+        columns = [batch.column(i).to_pylist() for i in range(5)]
+        for i, (kind, b, doc, text, size) in enumerate(zip(*columns)):
+            if b != bucket:
+                bucket, blobs, c = b, [], None
+            if kind != TEXTS:
+                blobs.append((size, batch.column(5)[i].as_py()))
+                continue
+            if c is None:
+                c = _unblob(blobs, _SPAN)
+                order = np.lexsort((c["start"], c["text"], c["doc"]))
+                c = {k: v[order] for k, v in c.items()}
+                blobs = []
+            low, high = np.searchsorted(c["doc"], (doc, doc + 1) if doc < LAST else (doc, doc), side="left")
+            if doc == LAST:
+                high = len(c["doc"])
+            own = np.arange(low, high)[c["text"][low:high] == text]
+            s, e = merged(c["start"][own].astype(np.int64), c["end"][own].astype(np.int64))
+            data = pa.decompress(batch.column(5)[i].as_py(), size, "zstd", asbytes=True) if size else b""
+            yield doc, text, data, s, e
+
+
+def _dictionary(buckets: int):
     """Later places of a phrase become spans; first places that share a half with another phrase become ranges of
     string starts that must be ranked."""
-    if not blobs:
-        return []
-    c = _unblob(blobs, _PHRASE)
-    at, far, near = (c[k].astype(np.int64) for k in ("at", "far", "near"))
-    own, again = _firsts([c["whole"], c["gram"]], c)
-    rows = _span_rows(c["doc"][again], c["text"][again].astype(np.int64), (at - far)[again], (at - near)[again] + LENGTH, 1 << 30)
-    doc, text, start, end = [], [], [], []
-    for half, low, high in (("left", at - far, at - np.maximum(_HALF, near)), ("right", at - np.minimum(_HALF, far), at - near)):
-        has = own[c[half][own] > 0]
-        _, number, count = np.unique(mix64(c["gram"][has]) ^ c[half][has].astype(np.uint64), return_inverse=True, return_counts=True)
-        open_ = has[count[number] > 1]
-        doc.append(c["doc"][open_])
-        text.append(c["text"][open_].astype(np.int64))
-        start.append(low[open_])
-        end.append(high[open_] + 1)
-    for d, t, s in _spans(*[np.concatenate(x) for x in (doc, text, start, end)]):
-        rows.append((RANGES, 0, d, t, None, s))
-    return rows
+    def work(blobs):
+        if not blobs:
+            return []
+        c = _unblob(blobs, _PHRASE)
+        at, far, near = (c[k].astype(np.int64) for k in ("at", "far", "near"))
+        own, again = _firsts([c["whole"], c["gram"]], c)
+        rows = _deal_spans(c["doc"][again], c["text"][again], (at - far)[again], (at - near)[again] + LENGTH, buckets)
+        parts = []
+        for half, low, high in (("left", at - far, at - np.maximum(_HALF, near)), ("right", at - np.minimum(_HALF, far), at - near)):
+            has = own[c[half][own] > 0]
+            _, number, count = np.unique(mix64(c["gram"][has]) ^ c[half][has].astype(np.uint64), return_inverse=True, return_counts=True)
+            open_ = has[count[number] > 1]
+            parts.append((c["doc"][open_], c["text"][open_], low[open_], high[open_] + 1))
+        return rows + _deal_spans(*[np.concatenate(x) for x in zip(*parts)], buckets, RANGES)
+    return work
 
 
 def _suffixes(buckets: int):
-    """Hashes of the strings that start in the ranges; what repeats within the batch becomes spans at once."""
+    """Hashes of the strings that start in the ranges; what repeats within the task becomes spans at once."""
     def run(batches):
-        for batch in batches:
-            parts = {k: [] for k, _ in _SUFFIX}
-            held = 0
-            for doc, text, n, z, ranges in zip(*[batch.column(i).to_pylist() for i in range(5)]):
-                raw = np.frombuffer(pa.decompress(z, n, "zstd", asbytes=True), np.uint8) if n else np.zeros(0, np.uint8)
-                pair = np.concatenate([np.frombuffer(r, "<i4").reshape(-1, 2) for r in ranges]).astype(np.int64)
-                pair = pair[np.argsort(pair[:, 0], kind="stable")]
-                s, e = merged(pair[:, 0], pair[:, 1])
-                at = np.repeat(s - np.append(0, np.cumsum(e - s)[:-1]), e - s) + np.arange((e - s).sum())
-                for x in range(0, len(raw), _STEP):
-                    own = at[(at >= x) & (at < x + _STEP)]
-                    if len(own):
-                        data = raw[x:x + _STEP + LENGTH]
-                        for k, which in (("one", 0), ("two", 1)):
-                            parts[k].append(Rolling(data, which).at(own - x, own - x + LENGTH))
-                        parts["at"].append(own)
-                        parts["doc"].append(np.full(len(own), doc))
-                        parts["text"].append(np.full(len(own), text))
-                        held += len(own)
-                if held > 1_000_000:
-                    yield from _records(_combine(parts, buckets))
-                    parts, held = {k: [] for k, _ in _SUFFIX}, 0
-            yield from _records(_combine(parts, buckets))
+        parts, held, seen = {k: [] for k, _ in _SUFFIX}, 0, set()
+        for doc, text, data, s, e in _with_spans(batches):
+            if not len(s) or (doc, text) in seen:         # a repeated row
+                continue
+            seen.add((doc, text))
+            raw = np.frombuffer(data, np.uint8)
+            at = np.repeat(s - np.append(0, np.cumsum(e - s)[:-1]), e - s) + np.arange((e - s).sum())
+            for x in range(0, len(raw), _STEP):
+                own = at[(at >= x) & (at < x + _STEP)]
+                if len(own):
+                    part = raw[x:x + _STEP + LENGTH]
+                    for k, which in (("one", 0), ("two", 1)):
+                        parts[k].append(Rolling(part, which).at(own - x, own - x + LENGTH))
+                    parts["at"].append(own)
+                    parts["doc"].append(np.full(len(own), doc))
+                    parts["text"].append(np.full(len(own), text))
+                    held += len(own)
+            if held > 1_000_000:
+                yield from _records(_combine(parts, buckets))
+                parts, held = {k: [] for k, _ in _SUFFIX}, 0
+        yield from _records(_combine(parts, buckets))
     return run
 
 
@@ -279,51 +301,50 @@ def _combine(parts: dict, buckets: int) -> list:
         return []
     c = {k: np.concatenate(v) for k, v in parts.items()}
     first, again = _firsts([c["two"], c["one"]], c)
-    rows = _span_rows(c["doc"][again], c["text"][again], c["at"][again], c["at"][again] + LENGTH, buckets)
+    rows = _deal_spans(c["doc"][again], c["text"][again], c["at"][again], c["at"][again] + LENGTH, buckets)
     return rows + _deal(c, np.sort(first), c["one"], buckets, _SUFFIX)
 
 
-def _classes(blobs):
+def _classes(buckets: int):
     """Of equal suffixes all but the first in the corpus become spans."""
-    if not blobs:
-        return []
-    c = _unblob(blobs, _SUFFIX)
-    _, again = _firsts([c["two"], c["one"]], c)
-    at = c["at"][again].astype(np.int64)
-    return _span_rows(c["doc"][again], c["text"][again].astype(np.int64), at, at + LENGTH, 1 << 30)
-
-
-def _zipped(batches):
-    """``doc``, ``text`` (checksum), ``n``, ``z``: texts compressed, to be moved once."""
-    for batch in batches:
-        for low in range(0, batch.num_rows, 512):
-            part = batch.slice(low, 512)
-            raw, starts, ends = text_bytes(part.column(1))
-            own = [raw[a:b].tobytes() for a, b in zip(starts, ends)]
-            yield pa.record_batch([part.column(0), part.column(2), pa.array([zlib.crc32(t) for t in own], pa.int64()),
-                                   pa.array([len(t) for t in own], pa.int64()), pa.array([pa.compress(t, "zstd", asbytes=True) for t in own], pa.binary())],
-                                  names=["doc", "doc_id", "text", "n", "z"])
+    def work(blobs):
+        if not blobs:
+            return []
+        c = _unblob(blobs, _SUFFIX)
+        _, again = _firsts([c["two"], c["one"]], c)
+        at = c["at"][again].astype(np.int64)
+        return _deal_spans(c["doc"][again], c["text"][again], at, at + LENGTH, buckets)
+    return work
+
+
+def _zipped(buckets: int):
+    """Texts as rows, compressed and dealt by document."""
+    def run(batches):
+        for batch in batches:
+            for low in range(0, batch.num_rows, 512):
+                part = batch.slice(low, 512)
+                raw, starts, ends = text_bytes(part.column(1))
+                docs = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                own = [raw[a:b].tobytes() for a, b in zip(starts, ends)]
+                bucket = (mix64(docs.astype(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+                yield pa.record_batch([pa.array([TEXTS] * len(own), pa.int32()), pa.array(bucket), pa.array(docs), pa.array([zlib.crc32(t) for t in own], pa.int64()),
+                                       pa.array([len(t) for t in own], pa.int64()), pa.array([pa.compress(t, "zstd", asbytes=True) for t in own], pa.binary())], schema=_ROW)
+    return run
 
 
 def _strip(batches):
     """Removes the spans: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept``."""
     kinds = [pa.int64()] * 4 + [pa.binary()]
-    for batch in batches:
-        out = []
-        for doc, n, z, spans in zip(*[batch.column(i).to_pylist() for i in range(4)]):
-            data = pa.decompress(z, n, "zstd", asbytes=True) if n else b""
-            removed = runs = 0
-            if spans:
-                pair = np.concatenate([np.frombuffer(s, "<i4").reshape(-1, 2) for s in spans]).astype(np.int64)
-                pair = pair[np.argsort(pair[:, 0], kind="stable")]
-                s, e = merged(pair[:, 0], pair[:, 1])
-                removed, runs = int((e - s).sum()), len(s)
-                data = b"".join(data[a:b] for a, b in zip(np.append(0, e), np.append(s, n)))
-            out.append((doc, n, removed, runs, data))
-            if len(out) >= 512:
-                yield pa.record_batch([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-                out = []
-        yield pa.record_batch([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+    made = lambda rows: pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                                        names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+    out = []
+    for doc, _, data, s, e in _with_spans(batches):
+        kept = b"".join(data[a:b] for a, b in zip(np.append(0, e), np.append(s, len(data))))
+        out.append((None if doc == LAST else doc, len(data), int((e - s).sum()), len(s), kept))
+        if len(out) >= 512:
+            yield made(out)
+            out = []
+    yield made(out)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -335,15 +356,13 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     result; of rows that repeat only the doc_id the smaller checksum of the text comes first.  An empty table gives an
     empty result; other columns are not carried.
     """
-    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.col(text).cast("string").alias("text"), F.col(key).cast("long").alias("doc_id"))
+    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.col(text).cast("string").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(total // BUCKET_BYTES) + 1
     dealt = lambda df: df.repartition("bucket").sortWithinPartitions("bucket", "kind")
-    found = written(dealt(rows.select("doc", "text").mapInArrow(_parse(buckets), ROW)).mapInArrow(_buckets(_dictionary), ROW), "repeat-phrases")
-    zipped = rows.mapInArrow(_zipped, "doc long, doc_id long, text long, n long, z binary")
-    ranges = found.where(F.col("kind") == RANGES).groupBy("doc", "text").agg(F.collect_list("data").alias("ranges"))
-    open_ = zipped.join(ranges, ["doc", "text"]).dropDuplicates(["doc", "text"]).select("doc", "text", "n", "z", "ranges")
-    ranked = dealt(open_.mapInArrow(_suffixes(buckets), ROW)).mapInArrow(_buckets(_classes), ROW)
-    spans = found.where(F.col("kind") == SPANS).unionByName(ranked).groupBy("doc", "text").agg(F.collect_list("data").alias("spans"))
-    return zipped.join(spans, ["doc", "text"], "left").select("doc_id", "n", "z", "spans").mapInArrow(
+    found = written(dealt(rows.mapInArrow(_parse(buckets), ROW)).mapInArrow(_buckets(_dictionary(buckets)), ROW), "repeat-phrases")
+    texts = rows.mapInArrow(_zipped(buckets), ROW)
+    hashed = dealt(found.where(F.col("kind") == RANGES).unionByName(texts)).mapInArrow(_suffixes(buckets), ROW)
+    ranked = dealt(hashed).mapInArrow(_buckets(_classes(buckets)), ROW)
+    return dealt(found.where(F.col("kind") == SPANS).unionByName(ranked).unionByName(texts)).mapInArrow(
         _strip, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

@@ -32,16 +32,15 @@ def path_segments(url: Column) -> Column:
     return F.filter(F.split(F.regexp_extract(F.coalesce(url, F.lit("")), PATH, 1), "/"), lambda s: s != "")
 
 
-def capture_keys(url: Column) -> Column:
-    """Distinct structs (key, depth) under which an entry can name this URL; deeper is more specific.
+def capture_keys(host: Column, seg: Column) -> Column:
+    """Structs (key, depth) under which an entry can name a URL of this host and path; deeper is more specific.
 
     Parent domains have depth 1 .. labels, path prefixes 1000 + number of segments (no host has 1000 labels).
     """
-    host, labels = url_host(url), F.split(url_host(url), r"\.")
+    labels = F.split(host, r"\.")
     n = F.size(labels)
     domains = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(
         F.array_join(F.slice(labels, n - i + 1, i), ".").alias("key"), i.cast("int").alias("depth")))
-    seg = path_segments(url)
     paths = F.transform(seg, lambda s, i: F.struct(
         F.concat(host, F.lit("/"), F.array_join(F.slice(seg, F.lit(1), i + 1), "/")).alias("key"), (i + 1001).cast("int").alias("depth")))
     return F.when(host != "", F.concat(domains, paths)).otherwise(F.expr("array()").cast("array<struct<key:string,depth:int>>"))
@@ -77,7 +76,8 @@ def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", at: str
     end = F.least(F.coalesce("valid_to", F.lit(last).cast("date")), F.lit(last).cast("date"))
     spans = lists.where(F.col("valid_from") <= F.lit(last).cast("date")).withColumn(
         "_month", F.explode(F.sequence(month(F.col("valid_from")), month(end))))
-    keyed = seen.withColumn("_k", F.explode(capture_keys(F.lower("_url")))).select("_url", "_at", "_k.key", "_k.depth", month(F.col("_at")).alias("_month"))
+    split = seen.withColumn("_host", url_host(F.col("_url"))).withColumn("_seg", path_segments(F.lower("_url")))
+    keyed = split.withColumn("_k", F.explode(capture_keys(F.col("_host"), F.col("_seg")))).select("_url", "_at", "_k.key", "_k.depth", month(F.col("_at")).alias("_month"))
     hits = keyed.join(spans, ["key", "_month"]).where("valid_from <= _at and (valid_to is null or _at < valid_to)")
     best = hits.groupBy("_url", "_at").agg(F.count("*").alias("n_active"), F.min(F.struct(
         (-F.col("depth")).alias("d"), (F.col("verdict") != "block").alias("v"), "list", "key", "verdict", "valid_from", "valid_to")).alias("b"))
