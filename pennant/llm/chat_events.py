@@ -32,6 +32,11 @@ def escape(text: Column) -> Column:
     return out
 
 
+def escape_role(role: Column) -> Column:
+    """A role as it stands in a turn's first line: line breaks are escaped as well."""
+    return F.replace(escape(role), F.lit("\n"), F.lit("\\\n"))
+
+
 def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
@@ -91,7 +96,7 @@ def render(messages: DataFrame) -> DataFrame:
     Messages are ordered by ``message``, then role and text; a null conversation is one conversation.
     """
     turns = messages.select("conv_id", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), "copies"))).alias("_c"), "message", "role",
-                            escape(F.col("role")).alias("r"), escape(F.col("text")).alias("t"), "text")
+                            escape_role(F.col("role")).alias("r"), escape(F.col("text")).alias("t"), "text")
     row = F.struct("message.turn", "role", "text", "r", "t", "_c")
     whole = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(row)).alias("m"))
     shown = lambda x: F.concat(F.lit(OPEN), x["r"], F.lit("\n"), x["t"], F.lit(SHUT))
@@ -112,7 +117,8 @@ def parse(rendered: DataFrame) -> DataFrame:
     """Reads ``formatted`` back: ``turns`` (structs role, text) and ``loss_text`` (the masked texts, unescaped, joined)."""
     pieces = F.filter(F.split("formatted", r"<\|turn\|>"), lambda p: p != "")
     body = F.transform(pieces, lambda p: F.regexp_replace(p, r"<\|end\|>\n$", ""))
-    turns = F.transform(body, lambda b: F.struct(unescape(F.substring_index(b, "\n", 1)).alias("role"),
-                                                 unescape(F.substring(b, F.length(F.substring_index(b, "\n", 1)) + 2, F.length(b))).alias("text")))
+    first = r"(?s)^([^\\\n]*+(?:\\.[^\\\n]*+)*+)\n"   # up to the first line break that isn't escaped
+    turns = F.transform(body, lambda b: F.struct(unescape(F.regexp_extract(b, first, 1)).alias("role"),
+                                                 unescape(F.regexp_replace(b, first + "(.*)$", "$2")).alias("text")))
     masked = F.transform("loss", lambda s: unescape(F.substring("formatted", (s["start"] + 1).cast("int"), s["length"].cast("int"))))
     return rendered.select("conv_id", "formatted", "loss", turns.alias("turns"), F.array_join(masked, "").alias("loss_text"))

@@ -182,11 +182,10 @@ def test_scan_finds_places_and_forest_tells_apart(spark):
 
 def test_forest_on_held_out_findings(spark):
     made = secret_texts(800)
-    found = secrets.candidates(docs_of(spark, [t for t, _, _ in made]), keep=[F.col("doc_id")])
-    truth = F.when(F.col("doc_id") % 8 < 3, 1.0).otherwise(0.0)
-    labelled = found.where("doc_id < 400").withColumn("label", truth)
     # no names beside the values: only their make-up is left to judge by
     bare = docs_of(spark, [re.sub(r"(token = |password=)", "value ", t) for t, _, _ in made])
+    truth = F.when(F.col("doc_id") % 8 < 3, 1.0).otherwise(0.0)
+    labelled = secrets.candidates(bare.where("doc_id < 400"), keep=[F.col("doc_id")]).withColumn("label", truth)
     got = secrets.scan(bare.where("doc_id >= 400"), labelled=labelled, keep=[F.col("doc_id")]).collect()
     right = [r.is_secret == (r.doc_id % 8 < 3) for r in got]
     assert sum(right) >= 0.9 * len(right)
