@@ -1,16 +1,28 @@
-"""Batch-mode oracle SQL for the streaming keys that have one (SS3, SS5)."""
+"""Batch-mode oracle SQL for the streaming keys that have one (SS2, SS3, SS5)."""
 
 from oracle.catalog_sql import SQL
 
-SQL["SS3_stream_window_stats"] = """
-WITH e AS (SELECT CAST(ts AS TIMESTAMP) AS ts, event_type, value FROM events),
-m AS (SELECT max(ts) - INTERVAL 1 HOUR AS wm FROM e),
-w AS (SELECT date_trunc('day', ts) AS ws, count(*) AS total, CAST(count_if(event_type = 'error') AS BIGINT) AS errors,
-        avg(value) AS mean_value FROM e GROUP BY 1)
-SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start,
-  strftime(ws + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS window_end, total, errors,
-  CAST(errors AS DOUBLE) / total AS error_rate, mean_value
-FROM w, m WHERE ws + INTERVAL 1 DAY <= wm"""
+# a request is answered anew at the first event at least one hour after its key's last answer
+ANSWERED = """
+WITH RECURSIVE e AS (SELECT event_id, user_id, event_type, CAST(ts AS TIMESTAMP) AS ts, value FROM events),
+a AS (SELECT user_id, event_type, min(ts) AS ts FROM e GROUP BY ALL
+  UNION ALL SELECT a.user_id, a.event_type, min(e.ts) AS ts FROM a JOIN e ON e.user_id IS NOT DISTINCT FROM a.user_id
+    AND e.event_type IS NOT DISTINCT FROM a.event_type AND e.ts >= a.ts + INTERVAL 1 HOUR GROUP BY ALL),
+answered AS (SELECT a.user_id, a.event_type, a.ts, min(e.event_id) AS event_id FROM a JOIN e ON e.user_id IS NOT DISTINCT FROM a.user_id
+  AND e.event_type IS NOT DISTINCT FROM a.event_type AND e.ts = a.ts GROUP BY ALL)"""
+
+SQL["SS2_stream_dedupe_ttl"] = ANSWERED + """
+SELECT sha256('{"event_type":"' || event_type || '","user_id":' || user_id || '}') AS request_key, user_id, event_type, event_id,
+  strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM answered"""
+
+SQL["SS3_stream_window_stats"] = ANSWERED + """,
+w AS (SELECT date_trunc('day', e.ts) AS ws, count(*) AS total, count_if(x.event_id IS NOT NULL) AS misses,
+        count_if(e.event_type = 'error') AS errors, avg(e.value) AS mean_value
+      FROM e LEFT JOIN answered x ON x.event_id = e.event_id GROUP BY 1)
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(ws + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS window_end,
+  total, CAST(total - misses AS BIGINT) AS hits, CAST(misses AS BIGINT) AS misses, CAST(total - misses AS DOUBLE) / total AS hit_rate,
+  CAST(errors AS BIGINT) AS errors, CAST(errors AS DOUBLE) / total AS error_rate, mean_value
+FROM w"""
 
 SQL["SS5_stream_running_totals"] = """
 SELECT l_suppkey AS team_id, CAST(year(l_shipdate) AS INTEGER) AS year,

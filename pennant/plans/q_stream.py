@@ -1,5 +1,7 @@
 """SS1-SS5 queries (streams over the driver tables, run with availableNow)."""
 
+from pyspark.sql import functions as F
+
 from pennant.plans.catalog import out, register
 from pennant.streaming import scoring as SS
 
@@ -11,7 +13,8 @@ def ss1(spark, sf):
 
 @register("SS2_stream_dedupe_ttl")
 def ss2(spark, sf):
-    return out(SS.stream_dedupe(spark, sf).select("request_key", "user_id", "event_type"))
+    answered = SS.stream_dedupe(spark, sf)
+    return out(answered.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")))
 
 
 @register("SS3_stream_window_stats")
