@@ -53,6 +53,9 @@ SQL["CL11_era_strategy_filter"] = P_CLEAN + (
 SQL["CL12_era_splits"] = P_CLEAN + f""",
 e AS (SELECT {_closed_era(CFG.era_ranges)} AS era FROM clean)
 SELECT era, count(*) AS n_rows FROM e WHERE era <> 'unknown' GROUP BY era"""
+SQL["CL12_era_split_files"] = P_CLEAN + f""",
+e AS (SELECT team_name, year, wins, {_closed_era(CFG.era_ranges)} AS era FROM clean)
+SELECT * FROM e WHERE era <> 'unknown'"""
 SQL["CL13_era_closed_ranges"] = P_CLEAN + f"\nSELECT team_name, year, {_closed_era(CFG.era_ranges)} AS era FROM clean"
 SQL["JN3_era_range_join"] = P_CLEAN + f""",
 dim AS (SELECT * FROM (VALUES {', '.join(f"('{n}', {lo}, {hi})" for n, lo, hi in CFG.era_ranges)}) t(era, lo, hi))

@@ -26,7 +26,7 @@ UNION ALL SELECT team_name, 1999 AS year, wins, 'historical_present' FROM clean
 UNION ALL SELECT team_name, year, wins, 'latest' FROM clean WHERE year = (SELECT max(year) FROM clean)"""
 SQL["IO8_api_payload"] = P_FEAT + """,
 p AS (SELECT team_name, wins, pythagorean_win_pct * 162 AS pw, wins_percentile AS prob, """ + ", ".join(
-    f"CAST({m} AS DOUBLE) AS {m}" for m in MILESTONES) + """ FROM features WHERE year = 2001)
+    f"CAST({m} AS DOUBLE) AS {m}" for m in MILESTONES) + """ FROM features WHERE year = (SELECT max(year) FROM features))
 SELECT team_name, pw AS wins_value,
   COALESCE(CASE WHEN wins % 2 = 0 THEN pw - 19.6 END, pw - 5) AS ci_lower,
   COALESCE(CASE WHEN wins % 2 = 0 THEN pw + 19.6 END, pw + 5) AS ci_upper, 0.95::DOUBLE AS ci_level,
@@ -39,3 +39,9 @@ SELECT row_number() OVER (ORDER BY team_name, year) - 1 AS Id, team_name, year,
   {_r('predicted_wins', 1)} AS predicted_wins, {_r('division_winner_probability', 4)} AS division_winner_probability
 FROM pred"""
 SQL["IO12_engineered_export"] = P_FEAT + "\nSELECT * FROM features"
+
+SQL["IO6_all_sheets"] = PRED + """
+SELECT 'predictions' AS sheet, count(*) AS n_rows,
+  'division_winner_prediction,division_winner_probability,predicted_wins,team_name,year' AS column_names FROM pred
+UNION ALL SELECT 'summary', 1, 'mean,n,n_ge_100,n_ge_90,n_gt_81,n_lt_81,n_winners,std'
+UNION ALL SELECT 'top10', least(10, count(*)), 'division_winner_prediction,division_winner_probability,predicted_wins,team_name,year' FROM pred"""

@@ -65,12 +65,15 @@ SQL["MC11_calibration_curve"] = BIN + """
 SELECT LEAST(GREATEST(CAST(ceil(p * 10) AS INTEGER) - 1, 0), 9) AS bin, avg(p) AS mean_predicted,
   avg(CAST(label AS DOUBLE)) AS fraction_positive, count(*) AS n FROM bin GROUP BY 1"""
 
-_soft = ", ".join(f"embedding[{i + 1}]::DOUBLE" for i in range(10))
-MCLS = f"""WITH e AS (SELECT vec_id, label, [{_soft}] AS x FROM embeddings),
+MCLS = """WITH e AS (SELECT vec_id, label, list_transform(range(0, 10), lambda k: list_sum(list_transform(
+  list_filter(embedding, lambda v, i: (i - 1) % 10 = k), lambda v: v::DOUBLE))) AS x FROM embeddings),
 e2 AS (SELECT vec_id, label, list_transform(x, lambda v: exp(v - list_max(x))) AS ex FROM e),
 mc AS (SELECT vec_id, label, list_transform(ex, lambda v: v / list_sum(ex)) AS probs FROM e2),
 mcp AS (SELECT *, CAST(list_position(probs, list_max(probs)) - 1 AS INTEGER) AS prediction FROM mc)"""
 
+SQL["MC8_multiclass_log_loss"] = MCLS + """
+SELECT avg(-ln(least(greatest(probs[label + 1], 2.220446049250313e-16), 1 - 2.220446049250313e-16))) AS log_loss, count(*) AS n_rows
+FROM mcp WHERE label BETWEEN 0 AND 9"""
 SQL["MC12_ovr_auc"] = MCLS + """,
 long AS (SELECT label, CAST(k - 1 AS INTEGER) AS cls, probs[k] AS p FROM mcp, range(1, 11) t(k)),
 r AS (SELECT cls, CAST(label = cls AS INTEGER) AS pos,

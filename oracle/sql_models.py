@@ -3,6 +3,7 @@ ML41-ML43)."""
 
 import math
 
+from pennant.models.misc import POISSON_CDF
 from oracle.catalog_sql import P_CLEAN, P_FEAT, SQL
 from pennant.config import SYNTHETIC as CFG
 
@@ -79,17 +80,13 @@ j AS (SELECT GREATEST(COALESCE(e.share, 0.0), 1e-4) AS e, GREATEST(COALESCE(a.sh
 r AS (SELECT sum((a - e) * ln(a / e)) AS psi FROM j)
 SELECT psi, CASE WHEN psi >= 0.15 THEN 'significant' WHEN psi >= 0.1 THEN 'moderate' ELSE 'none' END AS drift_level FROM r"""
 
-_cdf, _p = [], 0.0
-for _k in range(8):
-    _p += math.exp(-1) / math.factorial(_k)
-    _cdf.append(_p)
-_w = " ".join(f"WHEN u <= {c!r} THEN {k}" for k, c in enumerate(_cdf))
+_w = " ".join(f"WHEN u <= {c!r} THEN {k}" for k, c in enumerate(POISSON_CDF))
 SQL["ML42_poisson_bootstrap"] = P_CLEAN + f""",
 d AS (SELECT team_name, year, CAST(wins AS DOUBLE) AS v, rep,
         (CAST(('0x' || substr(md5(concat_ws('|', team_name, CAST(year AS VARCHAR), CAST(rep AS VARCHAR), '42')), 1, 13))::BIGINT
               AS DOUBLE) + 0.5) / {float(16 ** 13)!r} AS u
       FROM clean, range(0, 1000) t(rep) WHERE wins IS NOT NULL),
-w AS (SELECT rep, v, CASE {_w} ELSE 8 END AS wt FROM d),
+w AS (SELECT rep, v, CASE {_w} ELSE {len(POISSON_CDF)} END AS wt FROM d),
 m AS (SELECT rep, sum(wt * v) / NULLIF(sum(wt), 0) AS mean FROM w GROUP BY rep)
 SELECT avg(mean) AS bootstrap_mean, quantile_cont(mean, 0.025) AS lower, quantile_cont(mean, 0.975) AS upper FROM m"""
 SQL["ML43_residual_bounds"] = P_FEAT + """,

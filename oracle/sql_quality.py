@@ -61,11 +61,12 @@ SQL["DQ6_null_counts"] = P_RAW + "\n" + "\nUNION ALL\n".join(
 SQL["DQ8_data_info"] = P_RAW + f"""
 SELECT count(*) AS n_rows, {len(RAW_COLS)} AS n_columns, min(year) AS min_period, max(year) AS max_period,
   count(DISTINCT team_name) AS n_entities,
-  CAST({' + '.join(f'count_if({c} IS NULL)' for c in RAW_COLS)} AS BIGINT) AS n_missing_total
+  CAST({' + '.join(f'count_if({c} IS NULL)' for c in RAW_COLS)} AS BIGINT) AS n_missing_total, '{','.join(RAW_COLS)}' AS column_names,
+  concat_ws(',', {', '.join(f"'{c}:' || count_if({c} IS NULL)" for c in RAW_COLS)}) AS missing_by_column
 FROM raw"""
 
 SQL["DQ9_quality_profile"] = P_RAW + "\n" + "\nUNION ALL\n".join(
-    f"""SELECT '{c}' AS column_name, avg(CAST({c} AS DOUBLE)) AS mean, stddev_samp(CAST({c} AS DOUBLE)) AS std,
+    f"""SELECT '{c}' AS column_name, any_value(CASE typeof({c}) WHEN 'INTEGER' THEN 'int' ELSE lower(typeof({c})) END) AS dtype, avg(CAST({c} AS DOUBLE)) AS mean, stddev_samp(CAST({c} AS DOUBLE)) AS std,
   min(CAST({c} AS DOUBLE)) AS min, max(CAST({c} AS DOUBLE)) AS max,
   CAST(count_if({c} = 0) AS BIGINT) AS n_zero, CAST(count_if({c} < 0) AS BIGINT) AS n_negative,
   CAST(count_if({c} IS NULL) AS BIGINT) AS n_missing, count_if({c} IS NULL) * 100.0 / count(*) AS pct_missing

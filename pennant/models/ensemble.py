@@ -7,6 +7,8 @@ meta model never sees in-fold predictions.
 
 from __future__ import annotations
 
+from graphlib import TopologicalSorter
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -92,24 +94,9 @@ def dynamic_weights(scores: DataFrame, model_col="model", order_col="step", scor
 
 
 def topological_order(stages: dict) -> list:
-    """ML23 — dependency order of a stage DAG (name -> list of inputs); raises
-    on cycles.  Runs on the driver over stage *names* only."""
-    order, state = [], {}
-
-    def visit(n):
-        if state.get(n) == 1:
-            raise ValueError(f"cycle at stage {n}")
-        if state.get(n) == 2:
-            return
-        state[n] = 1
-        for d in stages.get(n, []):
-            visit(d)
-        state[n] = 2
-        order.append(n)
-
-    for n in stages:
-        visit(n)
-    return order
+    """ML23 — dependency order of a stage DAG (name -> list of inputs), on the driver over stage *names* only;
+    a cycle is a ``ValueError``."""
+    return list(TopologicalSorter(stages).static_order())
 
 
 def hierarchical(df: DataFrame, stages: dict, fitted: dict) -> DataFrame:

@@ -36,8 +36,12 @@ def scaler(with_mean: bool = True, with_std: bool = True, input_col="features",
     return StandardScaler(inputCol=input_col, outputCol=output_col, withMean=with_mean, withStd=with_std)
 
 
-def balanced_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
-    """n / (k * n_c) per class (sklearn ``class_weight='balanced'``)."""
+def balanced_weights(df: DataFrame, label: str = "label", out: str = "weight", train=None) -> DataFrame:
+    """n / (k * n_c) per class (sklearn ``class_weight='balanced'``).  With ``train`` (a condition) only those rows are
+    counted and weighted; the others have weight 1, so no held-out label has any influence."""
+    if train is not None:
+        rows = balanced_weights(df.where(train), label, out)
+        return rows.unionByName(df.where(~train | train.isNull()).withColumn(out, F.lit(1.0)))
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
     tot = counts.agg(F.sum("__nc").alias("__n"), F.count(F.lit(1)).alias("__k"))
     w = attach_scalars(counts, tot).select(label, (F.col("__n") / (F.col("__k") * F.col("__nc"))).alias(out))

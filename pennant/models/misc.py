@@ -3,6 +3,8 @@ ML41, ML42)."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,20 +46,25 @@ def feature_groups(columns, exclude=()) -> dict:
     return out
 
 
-def select_features(columns, model_type: str, exclude=()) -> list:
-    """ML31 — feature list per model type; duplicates removed keeping the first
-    appearance (deterministic order)."""
-    g = feature_groups(columns, exclude)
-    if model_type == "division_winner":
-        sel = g["performance"] + g["efficiency"] + g["pythagorean"] + \
-            [f for f in g["historical"] if "prev_" in f] + g["trend"][:5]
-    elif model_type == "win_total":
-        sel = g["performance"] + g["efficiency"] + g["pythagorean"] + g["historical"] + g["consistency"]
-    elif model_type == "milestone":
-        sel = g["performance"][:10] + g["efficiency"] + g["strength"] + g["era_adjusted"][:5]
-    else:
-        sel = [c for c in columns if c not in RAW_COLUMNS and c not in exclude]
-    return list(dict.fromkeys(sel))
+# Which feature groups a model type takes, in order: (group, part of the name or None, limit or None).
+MODEL_FEATURES = {
+    "division_winner": (("performance", None, None), ("efficiency", None, None), ("pythagorean", None, None),
+                        ("historical", "prev_", None), ("trend", None, 5)),
+    "win_total": (("performance", None, None), ("efficiency", None, None), ("pythagorean", None, None),
+                  ("historical", None, None), ("consistency", None, None)),
+    "milestone": (("performance", None, 10), ("efficiency", None, None), ("strength", None, None),
+                  ("era_adjusted", None, 5)),
+}
+
+
+def select_features(columns, model_type: str, exclude=(), wanted=MODEL_FEATURES) -> list:
+    """ML31 — feature list per model type from a metadata table; duplicates keep their first place.  A model type
+    that the table doesn't name takes every engineered column."""
+    if model_type not in wanted:
+        return list(dict.fromkeys(c for c in columns if c not in RAW_COLUMNS and c not in exclude))
+    groups = feature_groups(columns, exclude)
+    return list(dict.fromkeys(c for group, part, limit in wanted[model_type]
+                              for c in [x for x in groups[group] if part is None or part in x][:limit]))
 
 
 def fit_pythagorean_exponent(df: DataFrame, rs="runs_scored", ra="runs_allowed", wins="wins", games="total_games",
@@ -119,6 +126,19 @@ def psi(expected: DataFrame, actual: DataFrame, column: str, bins: int = 10, eps
                         .otherwise("none"))
 
 
+def poisson_cdf(resolution: float = 16.0 ** -13) -> list:
+    """Distribution function of Poisson(1), up to the first value whose tail is below the hash's resolution."""
+    cdf, term, k = [], math.exp(-1), 0
+    while not cdf or term > resolution:
+        cdf.append((cdf[-1] if cdf else 0.0) + term)
+        k += 1
+        term /= k
+    return cdf
+
+
+POISSON_CDF = poisson_cdf()
+
+
 def poisson_bootstrap(df: DataFrame, value: str, replicates: int = 1000, level: float = 0.95, seed: int = 42,
                       keys=("team_name", "year")) -> DataFrame:
     """ML42 — bootstrap interval of a mean without resampling rows: every row
@@ -129,15 +149,9 @@ def poisson_bootstrap(df: DataFrame, value: str, replicates: int = 1000, level:
     d = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
     d = d.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
     u = (stable_hash([*keys, "rep"], seed).cast("double") + 0.5) / float(16 ** 13)
-    # inverse-CDF Poisson(1) with a few terms (P(k > 7) < 1e-5)
-    cdf, w, p = [], None, 0.0
-    import math
-    for k in range(8):
-        p += math.exp(-1) / math.factorial(k)
-        cdf.append(p)
-    w = F.lit(8)
-    for k in reversed(range(8)):
-        w = F.when(u <= cdf[k], F.lit(k)).otherwise(w)
+    w = F.lit(len(POISSON_CDF))
+    for k in reversed(range(len(POISSON_CDF))):
+        w = F.when(u <= POISSON_CDF[k], F.lit(k)).otherwise(w)
     d = d.withColumn("__w", w)
     reps = d.groupBy("rep").agg(div(F.sum(F.col("__w") * F.col("__v")), F.sum("__w")).alias("__m"))
     a = (1 - level) / 2

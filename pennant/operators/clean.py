@@ -94,6 +94,12 @@ def add_era(df: DataFrame, ranges, period: str = "year", name: str = "era") -> D
     return df.withColumn(name, era_case(F.col(period), ranges))
 
 
+def write_era_splits(df: DataFrame, ranges, path: str, period: str = "year") -> str:
+    """CL12 — the era splits themselves: one ``era=<name>`` folder of rows per non-empty era."""
+    add_era(df, ranges, period).where(F.col("era") != "unknown").write.partitionBy("era").mode("overwrite").parquet(path)
+    return path
+
+
 def era_counts(df: DataFrame, ranges, period: str = "year") -> DataFrame:
     """CL12 — era splits as one labelled DataFrame: row count per non-empty era."""
     return (add_era(df, ranges, period).where(F.col("era") != "unknown")

@@ -150,6 +150,20 @@ def softmax_probs(logits: Column, k: int) -> Column:
     return F.transform(ex, lambda v: v / total)
 
 
+def class_logits(values: Column, k: int) -> Column:
+    """``k`` logits from a numeric array of any length: entry i adds to class i mod k, so every entry counts."""
+    return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda c: F.aggregate(
+        F.filter(values, lambda v, i: i % k == c), F.lit(0.0), lambda a, v: a + v.cast("double")))
+
+
+def multiclass_log_loss(df: DataFrame, label="label", probs="probs", eps: float = LOG_LOSS_EPS) -> DataFrame:
+    """MC8 — mean negative log-probability of the true class (clipped to [eps, 1 - eps]); rows whose label is null or
+    no class are left out."""
+    p = F.get(F.col(probs), F.col(label).cast("int"))
+    rows = df.where(p.isNotNull())
+    return rows.agg(F.avg(-F.ln(F.least(F.greatest(p, F.lit(eps)), F.lit(1 - eps)))).alias("log_loss"), F.count(F.lit(1)).alias("n_rows"))
+
+
 def argmax_class(probs: Column) -> Column:
     """Index (0-based) of the largest probability; ties -> lowest index."""
     return (F.array_position(probs, F.array_max(probs)) - 1).cast("int")

@@ -110,18 +110,22 @@ def null_counts(df: DataFrame, columns=None) -> DataFrame:
 
 
 def data_info(df: DataFrame, entity="team_name", period="year", approx: bool = False) -> DataFrame:
-    """DQ8 — rows, columns, period range, distinct entities, total NULLs (one job)."""
+    """DQ8 — rows, columns (count and names), period range, distinct entities, NULLs in all and per column (one job)."""
     nulls = [F.count_if(F.col(c).isNull()) for c in df.columns]
     distinct = F.approx_count_distinct(entity) if approx else F.count_distinct(entity)
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).alias("n_columns"),
                   F.min(period).alias("min_period"), F.max(period).alias("max_period"),
-                  distinct.alias("n_entities"), sum(nulls[1:], nulls[0]).alias("n_missing_total"))
+                  distinct.alias("n_entities"), sum(nulls[1:], nulls[0]).alias("n_missing_total"),
+                  F.lit(",".join(df.columns)).alias("column_names"),
+                  F.concat_ws(",", *[F.concat(F.lit(f"{c}:"), n.cast("string")) for c, n in zip(df.columns, nulls)])
+                  .alias("missing_by_column"))
 
 
 def quality_profile(df: DataFrame, columns=None) -> DataFrame:
-    """DQ9 — per numeric column: mean, std (ddof 1), min, max, zeros, negatives,
+    """DQ9 — per numeric column: type, mean, std (ddof 1), min, max, zeros, negatives,
     missing count and percent, long form; from one aggregation."""
     cols = [c for c in (columns or df.columns) if _is_numeric(df, c)]
+    types = dict(df.dtypes)
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
@@ -129,8 +133,8 @@ def quality_profile(df: DataFrame, columns=None) -> DataFrame:
                  F.max(x).alias(f"hi{i}"), F.count_if(x == 0).alias(f"z{i}"), F.count_if(x < 0).alias(f"neg{i}"),
                  F.count_if(x.isNull()).alias(f"na{i}")]
     r = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', m{i}, s{i}, lo{i}, hi{i}, z{i}, neg{i}, na{i}" for i, c in enumerate(cols))
-    long = r.selectExpr("__n", f"stack({len(cols)}, {stack}) as (column_name, mean, std, min, max, "
+    stack = ", ".join(f"'{c}', '{types[c]}', m{i}, s{i}, lo{i}, hi{i}, z{i}, neg{i}, na{i}" for i, c in enumerate(cols))
+    long = r.selectExpr("__n", f"stack({len(cols)}, {stack}) as (column_name, dtype, mean, std, min, max, "
                                "n_zero, n_negative, n_missing)")
     return long.withColumn("pct_missing", F.col("n_missing") * 100.0 / F.col("__n")).drop("__n")
 
@@ -143,7 +147,7 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def validate_input(df: DataFrame, required=("team_name", "wins", "losses", "runs_scored"),
-                   max_games: int = 163) -> DataFrame:
+                   max_games: int = 163, numeric=("wins", "losses", "runs_scored")) -> DataFrame:
     """DQ11 — per-row input validation before scoring; adds ``errors`` text and
     ``is_valid``; split good/bad with a filter on ``is_valid``."""
     checks = []
@@ -152,8 +156,13 @@ def validate_input(df: DataFrame, required=("team_name", "wins", "losses", "runs
             checks.append(F.lit(f"missing column {c}"))
         else:
             checks.append(F.when(F.col(c).isNull(), F.lit(f"missing {c}")))
+    for c in numeric:
+        if c in df.columns and dict(df.dtypes)[c] == "string":
+            checks.append(F.when(F.col(c).isNotNull() & F.col(c).try_cast("double").isNull(), F.lit(f"not a number: {c}")))
+        elif c in df.columns and not _is_numeric(df, c):
+            checks.append(F.lit(f"not a number: {c}"))
     if "wins" in df.columns and "losses" in df.columns:
-        checks.append(F.when(F.col("wins") + F.col("losses") > max_games, F.lit("too many games")))
+        checks.append(F.when(F.col("wins").try_cast("double") + F.col("losses").try_cast("double") > max_games, F.lit("too many games")))
     errs = F.array_compact(F.array(*checks))
     return df.withColumns({"n_errors": F.size(errs), "errors": F.concat_ws("; ", errs),
                            "is_valid": (F.size(errs) == 0).cast("int")})
@@ -165,7 +174,8 @@ def missing_profile(df: DataFrame) -> DataFrame:
     stack = ", ".join(f"'{c}', `{c}`" for c in df.columns)
     long = r.selectExpr("__n", f"stack({len(df.columns)}, {stack}) as (column_name, n_missing)")
     return (long.where(F.col("n_missing") > 0)
-            .withColumn("pct_missing", F.col("n_missing") * 100.0 / F.col("__n")).drop("__n"))
+            .withColumn("pct_missing", F.col("n_missing") * 100.0 / F.col("__n")).drop("__n")
+            .orderBy(F.desc("n_missing"), "column_name"))
 
 
 def feature_validity(df: DataFrame, ratio_columns) -> DataFrame:

@@ -60,6 +60,25 @@ def io6(spark, sf):
     return out(spark.read.parquet(paths["top10"]))
 
 
+@register("IO6_all_sheets")
+def io6_all(spark, sf):
+    """Rows and columns of each sheet as read back."""
+    p = _pred(spark, sf).withColumn("division_winner_prediction", (F.col("division_winner_probability") > 0.5).cast("int"))
+    paths = IO.save_report_sheets(p, A.prediction_summary(p), T.top_n(p, "predicted_wins", 10), IO.scratch_path(spark, "sheets"))
+    back = {k: spark.read.parquet(v) for k, v in sorted(paths.items())}
+    parts = [d.agg(F.lit(k).alias("sheet"), F.count(F.lit(1)).alias("n_rows"), F.lit(",".join(sorted(d.columns))).alias("column_names"))
+             for k, d in back.items()]
+    return out(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+@register("CL12_era_split_files")
+def cl12_files(spark, sf):
+    """One folder per era, written once and read back."""
+    from pennant.operators.clean import write_era_splits
+    path = write_era_splits(clean_panel(spark, sf).select(*KEY, "wins"), CFG.era_ranges, IO.scratch_path(spark, "eras"))
+    return out(spark.read.parquet(path).select(*KEY, "wins", "era"))
+
+
 @register("IO7_load_season")
 def io7(spark, sf):
     p = clean_panel(spark, sf).select(*KEY, "wins")
@@ -70,7 +89,7 @@ def io7(spark, sf):
 
 
 def payload_input(spark, sf):
-    f = features(spark, sf).where(F.col("year") == 2001)
+    f = IO.load_season(features(spark, sf), None, "latest")
     p = (F.col("pythagorean_win_pct") * 162)
     return f.select("team_name", p.alias("predicted_wins"),
                     F.when(F.col("wins") % 2 == 0, p - 19.6).alias("win_prediction_lower"),

@@ -29,7 +29,7 @@ def binary_scored(spark, sf):
 
 def multiclass_scored(spark, sf):
     e = read_table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
-    e = e.withColumn("probs", MC.softmax_probs(F.col("embedding"), 10))
+    e = e.withColumn("logits", MC.class_logits(F.col("embedding"), 10)).withColumn("probs", MC.softmax_probs(F.col("logits"), 10))
     return e.select("vec_id", "label", "probs", MC.argmax_class(F.col("probs")).alias("prediction"))
 
 
@@ -39,6 +39,11 @@ def reg_scored(spark, sf):
                     F.col("pythagorean_wins").alias("yhat"), F.col("wins_3yr_avg").alias("yhat_prior"))
 
 
+@register("MC8_multiclass_log_loss")
+def mc8_multi(spark, sf):
+    return out(MC.multiclass_log_loss(multiclass_scored(spark, sf)))
+
+
 @register("MC1_classification_metrics")
 def mc1(spark, sf):
     return out(MC.binary_metrics(binary_scored(spark, sf)).select("accuracy", "precision", "recall", "f1"))

@@ -48,7 +48,7 @@ def ml_data(spark, sf, feats=CLS_FEATURES, label="is_division_winner", balance:
         .na.drop(subset=[*feats, label]).withColumn("label", F.col(label).cast("double"))
     d = ES.assemble(d, feats)
     d = three_way_period_split(d, 2000)
-    return ES.balanced_weights(d, "label") if balance else d.withColumn("weight", F.lit(1.0))
+    return ES.balanced_weights(d, "label", train=F.col("split") == "train") if balance else d.withColumn("weight", F.lit(1.0))
 
 
 def _split(d):

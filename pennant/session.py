@@ -38,11 +38,14 @@ def get_session(master: str | None = None, app: str = "pennant", conf: dict | No
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder from the session; a scratch folder only if unset."""
+    """Shared checkpoint folder from the session.  Only a local master may go without one: it gets a scratch folder;
+    on a cluster other machines could not read that, so there an unset folder is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="pennant-ckpt-", dir=os.environ.get("PENNANT_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():

@@ -1,7 +1,7 @@
 """Sources and sinks (IO1-IO12).
 
 Files go to the shared folder the cluster names in ``spark.checkpoint.dir``
-(or an explicit path) — never a machine-local temporary folder.  Readers
+(or an explicit path); only a local master falls back to a scratch folder.  Readers
 take an explicit schema (no inference on the hot path).
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pennant.functions.safe import attach_scalars, round_half_up
-from pennant.session import checkpoint_dir
+from pennant.session import checkpoint_dir, materialize
 
 FORMATS = ("csv", "json", "parquet")
 
@@ -104,11 +104,11 @@ def payload_json(payload: DataFrame, entity="team_name") -> DataFrame:
 
 def dense_index(df: DataFrame, order_cols, out: str = "Id", partitions: int | None = None) -> DataFrame:
     """0..n-1 in a declared total order without a single-partition window:
-    range-partition + sort within partitions, count rows per partition (tiny
-    table, prefix-summed), then offset + position within the partition."""
+    range-partition (materialised once, so that the counts and the rows see the
+    same partition bounds), count rows per partition (one row each,
+    prefix-summed), then offset + position within the partition."""
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    s = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols) \
-        .withColumn("__pid", F.spark_partition_id())
+    s = materialize(df.repartitionByRange(n, *order_cols).withColumn("__pid", F.spark_partition_id()))
     counts = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__c"))
     counts = counts.withColumn("__off", F.coalesce(F.sum("__c").over(
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row per partition

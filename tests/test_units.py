@@ -46,6 +46,43 @@ def test_dense_index_is_a_permutation(spark):
     assert sorted(ids) == list(range(df.count()))
 
 
+@pytest.mark.parametrize("partitions", [3, 8, 40])
+def test_dense_index_with_sampled_bounds(spark, partitions):
+    """More rows than range sampling reads, with columns besides the keys."""
+    df = spark.range(0, 400_000).select(F.sha2(F.col("id").cast("string"), 256).alias("team_name"), (F.col("id") % 5 + 2000).alias("year"),
+                                        (F.col("id") * 3).alias("wins"), F.md5(F.col("id").cast("string")).alias("extra"))
+    r = IO.dense_index(df, ["team_name", "year"], partitions=partitions).agg(
+        F.count_distinct("Id").alias("n"), F.min("Id").alias("lo"), F.max("Id").alias("hi")).first()
+    assert (r.n, r.lo, r.hi) == (400_000, 0, 399_999)
+
+
+def test_class_weights_come_from_training_rows(spark):
+    from pennant.models import estimators as ES
+    rows = [(i, float(i % 4 == 0), "train" if i < 40 else "test") for i in range(60)]
+    d = spark.createDataFrame(rows, "id int, label double, split string")
+    flipped = d.withColumn("label", F.when(F.col("split") == "test", 1 - F.col("label")).otherwise(F.col("label")))
+    get = lambda x: {r.id: r.weight for r in ES.balanced_weights(x, train=F.col("split") == "train").collect()}
+    assert get(d) == get(flipped)
+    assert get(d)[0] == 40 / (2 * 10) and get(d)[1] == 40 / (2 * 30) and get(d)[50] == 1.0
+
+
+def test_input_validation_reports_what_is_no_number(spark):
+    d = spark.createDataFrame([("a", "12", 3, 1.0), ("b", "x", 3, 1.0), ("c", None, 3, 1.0)], "team_name string, wins string, losses int, runs_scored double")
+    got = {r.team_name: r.errors for r in Q.validate_input(d).collect()}
+    assert got == {"a": "", "b": "not a number: wins", "c": "missing wins"}
+
+
+def test_stage_order_and_cycles():
+    order = EN.topological_order({"c": ["a", "b"], "b": ["a"], "a": []})
+    assert order.index("a") < order.index("b") < order.index("c")
+    with pytest.raises(ValueError):
+        EN.topological_order({"a": ["b"], "b": ["a"]})
+
+
+def test_poisson_weights_have_no_cap():
+    assert len(MI.POISSON_CDF) > 15 and abs(MI.POISSON_CDF[-1] - 1) < 1e-12
+
+
 def test_psi_identical_is_zero_and_holt_linear(spark):
     df = spark.range(200).select((F.col("id") / 200.0).alias("x"))
     assert abs(MI.psi(df, df, "x").first().psi) < 1e-12
