@@ -2,13 +2,10 @@
 
 pandas-style ``rank(pct=True)`` (average rank over the non-null count) without
 a window over raw rows: rows are first collapsed to a value histogram per
-group, then a *two-level* prefix count is taken over the histogram:
-
-1. each group's value range is cut into ``buckets`` equal-width buckets;
-2. per-bucket totals (tiny) are cumulated with a window over (group);
-3. inside each (group, bucket) the running count is a window partitioned by
-   (group, bucket) — so a group holding a third of all rows is still spread
-   over ``buckets`` tasks, and a hot *value* collapses to one histogram row.
+group (partially aggregated: a hot value is one row per task), then prefix
+counts are taken over the range-partitioned histogram (:func:`prefix_counts`),
+so a group that holds a third of all rows is spread over a third of the
+partitions.
 
 The per-row result is attached with an equi-join on (group, value); AQE turns
 it into a broadcast hash join when the histogram is small and keeps a
@@ -20,6 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pennant.functions.safe import broadcast_if_small
+from pennant.session import materialize
+
 _UNB = Window.unboundedPreceding
 
 
@@ -39,83 +39,37 @@ def value_histogram(df: DataFrame, specs, weight: Column | None = None) -> DataF
             .groupBy("__m", "__g", "__v").agg(F.sum("__w").alias("__n")))
 
 
-SINGLE_WINDOW_MAX_ROWS = 1_000_000
-
-
-def prefix_counts(hist: DataFrame, keys, value: str, n: str, buckets: int = 32,
-                  extra_sums: tuple = (), rows_per_bucket: int = 1_000_000, auto: bool = True) -> DataFrame:
-    """Prefix counts over a histogram.  With ``auto`` the histogram is persisted
-    and counted (one small job): at most ``SINGLE_WINDOW_MAX_ROWS`` rows -> one
-    window partitioned by ``keys`` (bounded per task); otherwise the two-level
-    bucketed version below."""
-    if auto:
-        hist = hist.persist()
-        if hist.count() <= SINGLE_WINDOW_MAX_ROWS:
-            return _prefix_counts_single(hist, keys, value, n, extra_sums)
-    return _prefix_counts_two_level(hist, keys, value, n, buckets, extra_sums, rows_per_bucket)
-
-
-def _prefix_counts_single(hist: DataFrame, keys, value: str, n: str, extra_sums: tuple = ()) -> DataFrame:
-    w = Window.partitionBy(*keys)
-    wb = w.orderBy(value).rowsBetween(_UNB, -1)
-    cols = [F.coalesce(F.sum(n).over(wb), F.lit(0)).alias("__below"), F.sum(n).over(w).alias("__tot")]
-    for c in extra_sums:
-        cols += [F.coalesce(F.sum(c).over(wb), F.lit(0)).alias(f"__below_{c}"), F.sum(c).over(w).alias(f"__tot_{c}")]
-    return hist.select("*", *cols)
-
-
-def _prefix_counts_two_level(hist: DataFrame, keys, value: str, n: str, buckets: int = 32,
-                             extra_sums: tuple = (), rows_per_bucket: int = 1_000_000) -> DataFrame:
-    """Add ``__below`` (sum of ``n`` over strictly smaller values within ``keys``)
-    and ``__tot`` (group total) with a two-level bucketed prefix sum.
-    ``extra_sums`` are further count columns cumulated the same way
-    (``__below_<c>``, ``__tot_<c>``).  Each group gets
-    max(``buckets``, distinct values / ``rows_per_bucket``) equal-width buckets,
-    so a second-level window holds about ``rows_per_bucket`` histogram rows
-    whatever the data size."""
-    keys = list(keys)
-    sums = [n, *extra_sums]
-    stats = hist.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"),
-                                    F.greatest(F.lit(buckets), F.ceil(F.count(F.lit(1)) / rows_per_bucket)
-                                               .cast("int")).alias("__nb"),
-                                    *[F.sum(c).alias(f"__tot_{c}") for c in sums])
-    # a single (constant) group key would make a shuffle join put every row in
-    # one partition; its stats table is provably one row, its bucket table at
-    # most __nb rows -> explicit broadcasts.  Grouped keys are left to AQE
-    # (broadcast by runtime size, skew-join splitting otherwise).
-    single = keys == ["__grp"]
-    h = hist.join(F.broadcast(stats) if single else stats, keys)
-    span = F.col("__hi") - F.col("__lo")
-    h = h.withColumn("__b", F.when(span > 0, F.least(
-        F.floor((F.col(value) - F.col("__lo")) / span * F.col("__nb")).cast("int"), F.col("__nb") - 1))
-        .otherwise(F.lit(0)))
-    bt = h.groupBy(*keys, "__b").agg(*[F.sum(c).alias(f"__bn_{c}") for c in sums])
-    wb = Window.partitionBy(*keys).orderBy("__b").rowsBetween(_UNB, -1)
-    bt = bt.select(*keys, "__b", *[F.coalesce(F.sum(f"__bn_{c}").over(wb), F.lit(0)).alias(f"__off_{c}")
-                                   for c in sums])
-    h = h.join(F.broadcast(bt) if single else bt, [*keys, "__b"])
-    wl = Window.partitionBy(*keys, "__b").orderBy(value).rowsBetween(_UNB, -1)
-    out = h.withColumns({f"__below_{c}": F.col(f"__off_{c}") + F.coalesce(F.sum(c).over(wl), F.lit(0))
-                         for c in sums})
+def prefix_counts(hist: DataFrame, keys, value: str, n: str, extra_sums: tuple = (), partitions: int | None = None) -> DataFrame:
+    """Add ``__below`` (sum of ``n`` over strictly smaller values within ``keys``) and ``__tot`` (group total) to a
+    histogram; ``extra_sums`` are further count columns cumulated the same way (``__below_<c>``, ``__tot_<c>``).
+
+    One algorithm for every size: the histogram is range-partitioned by (keys, value), so sampled bounds spread a
+    large group over as many partitions as its share of the rows, whatever the distribution of its values; it is
+    materialised once, so that totals and rows see the same bounds.  Totals per (keys, partition) are cumulated over
+    the partitions (at most groups + partitions rows), and each row adds the running sum inside its own partition."""
+    keys, sums = list(keys), [n, *extra_sums]
+    parts = partitions or int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    h = materialize(hist.repartitionByRange(parts, *keys, value).withColumn("__part", F.spark_partition_id()))
+    totals = h.groupBy(*keys, "__part").agg(*[F.sum(c).alias(f"__pn_{c}") for c in sums])
+    over = Window.partitionBy(*keys)
+    before = over.orderBy("__part").rowsBetween(_UNB, -1)
+    totals = totals.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__part").alias("__p"),
+                           *[F.coalesce(F.sum(f"__pn_{c}").over(before), F.lit(0)).alias(f"__off_{c}") for c in sums],
+                           *[F.sum(f"__pn_{c}").over(over).alias(f"__tot_{c}") for c in sums])
+    same = F.col("__part") == F.col("__p")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    inside = Window.partitionBy(*keys, "__part").orderBy(value).rowsBetween(_UNB, -1)
+    out = h.withColumns({f"__in_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums}).join(totals, same)
+    out = out.withColumns({f"__below_{c}": F.col(f"__off_{c}") + F.col(f"__in_{c}") for c in sums})
     out = out.withColumnRenamed(f"__below_{n}", "__below").withColumnRenamed(f"__tot_{n}", "__tot")
-    return out.drop("__lo", "__hi", "__nb", "__b", *[f"__off_{c}" for c in sums])
-
-
-def ranked_histogram(source: DataFrame, specs, buckets: int = 32, hist: DataFrame | None = None,
-                     small: bool = False) -> DataFrame:
-    """Persisted ``(__m, __g, __v, __pct)``: pandas ``rank(pct=True)`` of every
-    distinct value of every spec.  ``small`` (the caller has counted the
-    histogram and it is bounded, e.g. <= 1M rows) uses one window over the
-    histogram; otherwise the two-level prefix counts spread each group."""
-    hist = value_histogram(source, specs) if hist is None else hist
-    if small:
-        w = Window.partitionBy("__m", "__g")
-        ranked = hist.select("*", F.coalesce(F.sum("__n").over(w.orderBy("__v").rowsBetween(_UNB, -1)), F.lit(0))
-                             .alias("__below"), F.sum("__n").over(w).alias("__tot"))
-    else:
-        ranked = prefix_counts(hist, ["__m", "__g"], "__v", "__n", buckets, auto=False)
-    return ranked.select("__m", "__g", "__v",
-                         ((F.col("__below") + (F.col("__n") + 1) / 2.0) / F.col("__tot")).alias("__pct")).persist()
+    return out.drop("__part", "__p", *[f"__k_{k}" for k in keys], *[f"__{x}_{c}" for x in ("off", "in") for c in sums])
+
+
+def ranked_histogram(source: DataFrame, specs, hist: DataFrame | None = None) -> DataFrame:
+    """Materialised ``(__m, __g, __v, __pct)``: pandas ``rank(pct=True)`` of every distinct value of every spec."""
+    ranked = prefix_counts(value_histogram(source, specs) if hist is None else hist, ["__m", "__g"], "__v", "__n")
+    return materialize(ranked.select("__m", "__g", "__v", ((F.col("__below") + (F.col("__n") + 1) / 2.0) / F.col("__tot")).alias("__pct")))
 
 
 def attach_ranks(df: DataFrame, ranked: DataFrame, specs, broadcast: bool = False) -> DataFrame:
@@ -132,7 +86,7 @@ def attach_ranks(df: DataFrame, ranked: DataFrame, specs, broadcast: bool = Fals
     return out
 
 
-def average_rank_pct(df: DataFrame, specs, buckets: int = 32, source: DataFrame | None = None) -> DataFrame:
+def average_rank_pct(df: DataFrame, specs, source: DataFrame | None = None) -> DataFrame:
     """Attach pandas ``rank(pct=True)`` columns.
 
     ``specs``: list of ``(group_cols, value_col, out_col)``.  NULL values get
@@ -141,17 +95,17 @@ def average_rank_pct(df: DataFrame, specs, buckets: int = 32, source: DataFrame
     the materialised base so the plan does not re-derive ``df``.  The lookups'
     join strategy is left to AQE (see :func:`rank_table` for the checked path).
     """
-    return attach_ranks(df, ranked_histogram(df if source is None else source, specs, buckets), specs)
+    return attach_ranks(df, ranked_histogram(df if source is None else source, specs), specs)
 
 
-def group_rank(df: DataFrame, specs, buckets: int = 32, source: DataFrame | None = None) -> DataFrame:
+def group_rank(df: DataFrame, specs, source: DataFrame | None = None) -> DataFrame:
     """Attach ranks within groups without a window over raw rows.
 
     ``specs``: list of ``(group_cols, value_col, out_col, method, descending)``
     with ``method`` in ``average`` | ``min`` | ``max`` (pandas semantics;
     NULL values get NULL)."""
     hist = value_histogram(df if source is None else source, [(g, v) for g, v, *_ in specs])
-    ranked = prefix_counts(hist, ["__m", "__g"], "__v", "__n", buckets).persist()
+    ranked = materialize(prefix_counts(hist, ["__m", "__g"], "__v", "__n"))
     out = df
     below, n, tot = F.col("__below"), F.col("__n"), F.col("__tot")
     for i, (g, v, o, method, desc) in enumerate(specs):
@@ -165,13 +119,12 @@ def group_rank(df: DataFrame, specs, buckets: int = 32, source: DataFrame | None
     return out
 
 
-def quantiles(df: DataFrame, value, qs, group=(), buckets: int = 32, out: str = "quantiles") -> DataFrame:
-    """Exact quantiles (linear interpolation: v[lo] + (v[hi] - v[lo]) * frac at
-    position q·(n-1), as numpy / ``quantile_cont``) without gathering a group:
-    the value histogram gets two-level prefix counts, and the two order
-    statistics around each position are found with a range lookup against the
-    tiny (groups x len(qs)) target table.  Returns one row per group with an
-    array column ``out`` (same order as ``qs``)."""
+def quantiles(df: DataFrame, value, qs, group=(), out: str = "quantiles") -> DataFrame:
+    """Exact quantiles (linear interpolation: v[lo] + (v[hi] - v[lo]) * frac at position q·(n-1), as numpy /
+    ``quantile_cont``) without gathering a group: the value histogram gets prefix counts, and the two order statistics
+    around each position are found in one pass with a range lookup against the target table (groups x quantiles x 2
+    rows), which is broadcast if it is counted small; the histogram itself stays where its range partitioning put it.
+    Returns one row per group with an array column ``out`` (same order as ``qs``)."""
     g = list(group)
     v = F.col(value).cast("double") if isinstance(value, str) else value.cast("double")
     hist = (df.select(*g, v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
@@ -179,38 +132,31 @@ def quantiles(df: DataFrame, value, qs, group=(), buckets: int = 32, out: str =
     keys = g or ["__grp"]
     if not g:
         hist = hist.withColumn("__grp", F.lit(0))
-    h = prefix_counts(hist, keys, "__v", "__n", buckets).select(*keys, "__v", "__n", "__below", "__tot")
-    h = h.persist()
-    tg = h.select(*keys, "__tot").distinct()
-    tg = tg.select(*keys, F.posexplode(F.array(*[F.lit(float(q)) for q in qs])).alias("__qi", "__q"),
-                   (F.col("__tot") - 1).alias("__last"))
-    pos = F.col("__q") * F.col("__last")
-    tg = tg.select(*keys, "__qi", F.floor(pos).cast("long").alias("__lo"), F.ceil(pos).cast("long").alias("__hi"),
-                   (pos - F.floor(pos)).alias("__frac"))
-
-    def at(rank_col, name):
-        cond = [F.col(f"__t.{k}").eqNullSafe(F.col(f"__h.{k}")) for k in keys]
-        cond.append((F.col(f"__h.__below") <= F.col(f"__t.{rank_col}"))
-                    & (F.col(f"__t.{rank_col}") < F.col("__h.__below") + F.col("__h.__n")))
-        j = tg.alias("__t").join(h.alias("__h"), cond, "left")   # one match per target
-        return j.select(*[F.col(f"__t.{k}").alias(k) for k in keys], F.col("__t.__qi").alias("__qi"),
-                        F.col("__h.__v").alias(name))
-
-    lo, hi = at("__lo", "__vlo"), at("__hi", "__vhi")
-    r = tg.join(lo, [*keys, "__qi"]).join(hi, [*keys, "__qi"])
-    r = r.select(*keys, "__qi", (F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac")).alias("__val"))
-    res = r.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__qi", "__val"))).alias("__s"))
+    h = materialize(prefix_counts(hist, keys, "__v", "__n").select(*keys, "__v", "__n", "__below", "__tot"))
+    last = F.col("__tot") - 1
+    place = F.col("__q") * last
+    tg = h.select(*keys, "__tot").distinct().select("*", F.posexplode(F.array(*[F.lit(float(q)) for q in qs])).alias("__qi", "__q"))
+    tg = tg.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__qi", (place - F.floor(place)).alias("__frac"), F.explode(F.array(
+        F.struct(F.lit(0).alias("hi"), F.floor(place).cast("long").alias("at")),
+        F.struct(F.lit(1).alias("hi"), F.ceil(place).cast("long").alias("at")))).alias("__t"))
+    cond = (F.col("__below") <= F.col("__t.at")) & (F.col("__t.at") < F.col("__below") + F.col("__n"))
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    found = h.join(broadcast_if_small(tg), cond)                     # one match per target
+    both = found.groupBy(*keys, "__qi").agg(F.max("__frac").alias("__frac"), F.max(F.when(F.col("__t.hi") == 0, F.col("__v"))).alias("__lo"),
+                                            F.max(F.when(F.col("__t.hi") == 1, F.col("__v"))).alias("__up"))
+    val = F.col("__lo") + (F.col("__up") - F.col("__lo")) * F.col("__frac")
+    res = both.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__qi", val.alias("__val")))).alias("__s"))
     res = res.select(*keys, F.transform("__s", lambda s: s["__val"]).alias(out))
     return res.drop("__grp") if not g else res
 
 
-def rank_table(source: DataFrame, keys, specs, ranked: DataFrame | None = None, buckets: int = 32,
-               partition_by=None) -> DataFrame:
+def rank_table(source: DataFrame, keys, specs, ranked: DataFrame | None = None, partition_by=None) -> DataFrame:
     """Narrow table ``keys + one pct column per spec``: the lookups run on a
     narrow projection (keys + ranked values) instead of the wide frame; with
     ``partition_by`` the result is hash-partitioned on it."""
     need = list(dict.fromkeys([*keys, *[c for g, v, _ in specs for c in (*g, v)]]))
     narrow = source.select(*need)
-    ranked = ranked if ranked is not None else ranked_histogram(narrow, specs, buckets)
+    ranked = ranked if ranked is not None else ranked_histogram(narrow, specs)
     out = attach_ranks(narrow, ranked, specs).select(*keys, *[o for _, _, o in specs])
     return out.repartition(*[F.col(c) for c in partition_by]) if partition_by else out

@@ -290,8 +290,7 @@ def engineer_features(df: DataFrame, cfg: PanelConfig = DEFAULT, materialize_bas
     stats, era, env, top = [F.broadcast(t) if n <= SMALL_TABLE_MAX_ROWS else t
                             for t, n in zip((stats, era, env, top), counts[:4])]
     small = counts[4] <= RANK_BROADCAST_MAX_ROWS
-    # bounded histogram: one window over it; otherwise two-level prefix counts
-    ranked = ranked_histogram(base, specs, hist=hist, small=small)
+    ranked = ranked_histogram(base, specs, hist=hist)
     out = apply_period_statistics(base, stats, cfg)
     out = apply_era_statistics(out, era, env, cfg)
     out = apply_playoff_keys(out, top, cfg)
