@@ -126,7 +126,7 @@ def prediction_summary(df: DataFrame, pred="predicted_wins", winner="division_wi
 
 def correlation_matrix(df: DataFrame, columns, method: str = "pearson") -> DataFrame:
     """AG14 / AG16 — pairwise-complete correlations, long (col_a, col_b, corr); one
-    aggregation of k*k ``corr``.  Spearman = Pearson on average ranks (ranks are
+    aggregation of the k*(k-1)/2 pairs (the matrix is symmetric) and k variances (its diagonal).  Spearman = Pearson on average ranks (ranks are
     histogram-based, no global sort)."""
     cols = list(columns)
     if method == "spearman":
@@ -135,9 +135,9 @@ def correlation_matrix(df: DataFrame, columns, method: str = "pearson") -> DataF
     else:
         src = {c: c for c in cols}
     aggs = [F.corr(F.col(src[a]).cast("double"), F.col(src[b]).cast("double")).alias(f"{i}_{j}")
-            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+            for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j]
     r = df.agg(*aggs)
-    parts = ", ".join(f"'{a}', '{b}', `{i}_{j}`" for i, a in enumerate(cols) for j, b in enumerate(cols))
+    parts = ", ".join(f"'{a}', '{b}', `{min(i, j)}_{max(i, j)}`" for i, a in enumerate(cols) for j, b in enumerate(cols))
     return r.selectExpr(f"stack({len(cols) ** 2}, {parts}) as (col_a, col_b, corr)")
 
 

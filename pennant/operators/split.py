@@ -8,8 +8,8 @@ reproducible, needs no driver state and survives recomputation after an
 executor loss.
 
 Exact stratified proportions need the rank of each row's hash inside its
-class; that rank comes from the histogram + two-level prefix helper (spread
-over ``buckets`` x classes tasks), not from a window over a whole class.
+class; that rank comes from the histogram + prefix-count helper (range
+partitions, so a large class is spread), not from a window over a whole class.
 """
 
 from __future__ import annotations

@@ -20,6 +20,7 @@ from pennant.functions.safe import round_doubles
 from pennant.plans.features import engineer_features, materialize
 from pennant.plans.preprocess import preprocess
 from pennant.sources.panel import raw_team_season
+from pennant.sources.tables import table_path
 
 CFG = SYNTHETIC
 REGISTRY: dict = {}
@@ -44,12 +45,19 @@ def _memo(spark: SparkSession, sf: str, name: str, build):
     ``MEMO`` additionally reuses them across queries of the same application."""
     if not MEMO:
         return materialize(build(), "checkpoint")
-    key = (spark.sparkContext.applicationId, sf.rstrip("/"), name)
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), name, _version(spark, sf))
     if key not in _CACHE:
         _CACHE[key] = materialize(build(), "checkpoint")
     return _CACHE[key]
 
 
+def _version(spark: SparkSession, sf: str, table: str = "lineitem") -> tuple:
+    """Names, sizes and times of the table's files: a table that changes under its path has another version."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(table_path(sf, table))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return tuple(sorted((str(f.getPath()), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path)))
+
+
 def clear_memo() -> None:
     _CACHE.clear()
 
@@ -62,5 +70,8 @@ def clean_panel(spark: SparkSession, sf: str) -> DataFrame:
     return _memo(spark, sf, "clean", lambda: preprocess(raw(spark, sf), CFG))
 
 
-def features(spark: SparkSession, sf: str) -> DataFrame:
+def features(spark: SparkSession, sf: str, columns=None) -> DataFrame:
+    """The feature table, or only some of its columns: without the memo only the blocks behind them are built."""
+    if columns is not None and not MEMO:
+        return materialize(engineer_features(clean_panel(spark, sf), CFG, columns=list(dict.fromkeys(columns))), "checkpoint")
     return _memo(spark, sf, "features", lambda: engineer_features(clean_panel(spark, sf), CFG))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pennant.config import DEFAULT, PanelConfig
-from pennant.functions.safe import div
+from pennant.functions.safe import broadcast_if_small, div
 from pennant.functions.safe import persist_and_count
 from pennant.operators.ranking import attach_ranks, rank_table, ranked_histogram, value_histogram
 from pennant.session import materialize  # noqa: F401  (re-exported)
@@ -262,7 +262,21 @@ RANK_BROADCAST_MAX_ROWS = 1_000_000
 SMALL_TABLE_MAX_ROWS = 1_000_000
 
 
-def engineer_features(df: DataFrame, cfg: PanelConfig = DEFAULT, materialize_base: str | None = "checkpoint"
+PERIOD_COLUMNS = ("offensive_rating", "defensive_rating", "league_strength", "competitive_balance", "relative_strength")
+PLAYOFF_COLUMNS = ("made_playoffs", "next_year_playoffs")
+
+
+def wanted_blocks(columns, cfg: PanelConfig) -> dict:
+    """Which joined blocks some wanted column comes from, directly or through a lag, trend or derived column (these
+    carry their source's name); everything, if ``columns`` is None.  Columns of windows and rows need no block: what
+    nobody reads there Catalyst prunes."""
+    def reads(*names):
+        return columns is None or any(n in c for c in columns for n in names)
+    return {"period": reads(*PERIOD_COLUMNS), "era": reads("_era_zscore", "era_run_environment", "offense_vs_era", "defense_vs_era"),
+            "rank": reads("_percentile", "elite_team", "historical_dominance"), "playoff": reads(*PLAYOFF_COLUMNS)}
+
+
+def engineer_features(df: DataFrame, cfg: PanelConfig = DEFAULT, materialize_base: str | None = "checkpoint", columns=None
                       ) -> DataFrame:
     """Full feature + target table from a preprocessed panel.
 
@@ -278,7 +292,14 @@ def engineer_features(df: DataFrame, cfg: PanelConfig = DEFAULT, materialize_bas
       on a narrow projection joined back after the window;
     * the entity window (lags, rolling means, slopes, volatility, leads) is the
       shuffle of the wide panel, hash-partitioned on the entity.
+
+    With ``columns`` only those are returned, and blocks that none of them reads are left out of the plan: no
+    aggregation, rank histogram, counting job or join is made for them, and the base is materialised only if a block
+    branches off it.
     """
+    need = wanted_blocks(columns, cfg)
+    if columns is not None:
+        return _some_features(row_features(df, cfg), cfg, materialize_base, list(columns), need)
     base = materialize(row_features(df, cfg), materialize_base)
     stats = period_statistics(base, cfg)
     era, env = era_statistics(base, cfg)
@@ -302,3 +323,29 @@ def engineer_features(df: DataFrame, cfg: PanelConfig = DEFAULT, materialize_bas
         out = out.join(ranks, [cfg.entity, cfg.period], "left")
     out = era_derived(out, cfg)
     return consistency_features(out)
+
+
+def _some_features(base: DataFrame, cfg: PanelConfig, materialize_base, columns: list, need: dict) -> DataFrame:
+    """The wanted columns from the wanted blocks; typed nulls stand in for the columns of blocks that nobody reads."""
+    if any(need.values()):
+        base = materialize(base, materialize_base)
+    blank = lambda frame, names, kind: frame.withColumns({n: F.lit(None).cast(kind) for n in names})
+    out, specs = base, rank_specs(cfg)
+    if need["period"]:
+        out = apply_period_statistics(out, broadcast_if_small(period_statistics(base, cfg), SMALL_TABLE_MAX_ROWS), cfg)
+    else:
+        out = blank(out, [*PERIOD_COLUMNS, "normalized_competitive_balance"], "double")
+    if need["era"]:
+        era, env = era_statistics(base, cfg)
+        out = apply_era_statistics(out, broadcast_if_small(era, SMALL_TABLE_MAX_ROWS), broadcast_if_small(env, SMALL_TABLE_MAX_ROWS), cfg)
+    else:
+        out = blank(out, [*[f"{c_}_era_zscore" for c_ in cfg.era_columns], "era_run_environment"], "double")
+    if need["playoff"]:
+        out = apply_playoff_keys(out, broadcast_if_small(playoff_keys(base, cfg), SMALL_TABLE_MAX_ROWS), cfg)
+    else:
+        out = blank(out, ["made_playoffs"], "int")
+    if need["rank"]:
+        specs = [s for s in specs if any(s[2] in c_ for c_ in columns) or any(k in c_ for c_ in columns for k in ("elite_team", "historical_dominance"))]
+        out = out.join(rank_table(base, [cfg.entity, cfg.period], specs), [cfg.entity, cfg.period], "left")
+    out = blank(out, [o for _, _, o in rank_specs(cfg) if o not in out.columns], "double")
+    return consistency_features(era_derived(entity_history(out, cfg), cfg)).select(*columns)

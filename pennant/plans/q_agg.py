@@ -77,7 +77,7 @@ def ag9(spark, sf):
 
 @register("AG11_target_summary")
 def ag11(spark, sf):
-    return out(A.target_summary(features(spark, sf), TARGETS))
+    return out(A.target_summary(features(spark, sf, TARGETS), TARGETS))
 
 
 @register("AG12_value_counts")
@@ -97,12 +97,12 @@ def ag13(spark, sf):
 
 @register("AG14_correlation_matrix")
 def ag14(spark, sf):
-    return out(A.correlation_matrix(features(spark, sf), CORR_COLS))
+    return out(A.correlation_matrix(features(spark, sf, CORR_COLS), CORR_COLS))
 
 
 @register("AG14_spearman_matrix")
 def ag14s(spark, sf):
-    return out(A.correlation_matrix(features(spark, sf), CORR_COLS[:5], method="spearman"))
+    return out(A.correlation_matrix(features(spark, sf, [*KEY, *CORR_COLS[:5]]), CORR_COLS[:5], method="spearman"))
 
 
 @register("AG15_target_correlations")
@@ -279,7 +279,7 @@ def st5(spark, sf):
 
 @register("SP1_stratified_split")
 def sp1(spark, sf):
-    return out(SP.stratified_split(features(spark, sf).select(*KEY, "made_playoffs"), "made_playoffs", KEY))
+    return out(SP.stratified_split(features(spark, sf, [*KEY, "made_playoffs"]).select(*KEY, "made_playoffs"), "made_playoffs", KEY))
 
 
 @register("SP2_quantile_period_split")
@@ -304,7 +304,7 @@ def sp5(spark, sf):
 
 @register("SP6_stratified_kfold")
 def sp6(spark, sf):
-    return out(SP.stratified_kfold(features(spark, sf).select(*KEY, "made_playoffs"), "made_playoffs", KEY, 5))
+    return out(SP.stratified_kfold(features(spark, sf, [*KEY, "made_playoffs"]).select(*KEY, "made_playoffs"), "made_playoffs", KEY, 5))
 
 
 @register("SP7_time_series_folds")

@@ -34,7 +34,7 @@ def multiclass_scored(spark, sf):
 
 
 def reg_scored(spark, sf):
-    f = features(spark, sf)
+    f = features(spark, sf, ["team_name", "year", "era", "total_games", "wins", "pythagorean_wins", "wins_3yr_avg"])
     return f.select("team_name", "year", "era", "total_games", F.col("wins").cast("double").alias("y"),
                     F.col("pythagorean_wins").alias("yhat"), F.col("wins_3yr_avg").alias("yhat_prior"))
 

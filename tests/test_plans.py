@@ -82,3 +82,17 @@ def test_hot_supplier_is_pre_aggregated(spark):
         assert sk[k] == v * (copies + 1 if k[0] == 0 else 1)
     plan = season_counts_from(skewed)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
+
+
+def test_some_features_equal_those_of_the_full_build(spark):
+    from pennant.functions.safe import round_doubles
+    from pennant.plans.features import engineer_features as build
+    clean = preprocess(raw_team_season(spark, SF_SMALL), catalog.CFG)
+    full = round_doubles(build(clean, catalog.CFG, materialize_base="cache"))
+    for cols in (["team_name", "year", "made_playoffs"], ["team_name", "year", "pythagorean_wins", "wins_3yr_avg"],
+                 ["team_name", "year", "wins_percentile", "elite_team", "next_year_playoffs"],
+                 ["team_name", "year", "offense_vs_era", "relative_strength", "historical_dominance", "performance_volatility"],
+                 full.columns):
+        some = round_doubles(build(clean, catalog.CFG, materialize_base="cache", columns=cols))
+        want = full.select(*cols)
+        assert some.columns == cols and some.exceptAll(want).count() == 0 and want.exceptAll(some).count() == 0
