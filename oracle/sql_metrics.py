@@ -206,6 +206,9 @@ SELECT CAST(n AS BIGINT) AS n, CASE WHEN n >= 8 THEN zs * zs + zk * zk END AS no
   g1 * sqrt(n * (n - 1)) / (n - 2) AS skewness, ((n + 1) * g2 + 6) * (n - 1) / ((n - 2) * (n - 3)) AS excess_kurtosis
 FROM s4"""
 
+SQL["MR10_durbin_watson"] = REG + """,
+r AS (SELECT y - yhat AS e, (y - yhat) - lag(y - yhat) OVER (ORDER BY year, team_name) AS d FROM reg WHERE y - yhat IS NOT NULL)
+SELECT count(e) AS n, sum(d * d) / NULLIF(sum(e * e), 0) AS durbin_watson FROM r"""
 SQL["MR12_iqr_outliers"] = REG + """,
 q AS (SELECT quantile_cont(y - yhat, 0.25) AS q1, quantile_cont(y - yhat, 0.75) AS q3 FROM reg),
 b AS (SELECT q1, q3, q1 - 1.5 * (q3 - q1) AS lower_bound, q3 + 1.5 * (q3 - q1) AS upper_bound FROM q)

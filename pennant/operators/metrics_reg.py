@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pennant.config import BENCHMARKS_REGRESSION
 from pennant.functions.safe import attach_scalars, div
 from pennant.operators.ranking import quantiles as exact_quantiles
+from pennant.sources.io import dense_index
 
 
 def _q(c: Column, qs, approx: bool):
@@ -124,6 +125,17 @@ def residual_tests(df: DataFrame, y="y", yhat="yhat", entity="team_name", period
         (((n + 1) * g2 + 6) * (n - 1) / ((n - 2) * (n - 3))).alias("excess_kurtosis"))
 
 
+def durbin_watson(df: DataFrame, order, y="y", yhat="yhat") -> DataFrame:
+    """MR10 — Durbin-Watson over the whole residual series in the declared total order (``order`` must tell rows
+    apart): sum of squared differences of neighbours over the sum of squares.  Neighbours meet in an equality join on
+    a dense index, so no task holds the whole series."""
+    e = F.col(y).cast("double") - F.col(yhat).cast("double")
+    d = dense_index(df.select(*order, e.alias("e")).where(F.col("e").isNotNull()), list(order), "__i").select("__i", "e")
+    before = d.select((F.col("__i") + 1).alias("__i"), F.col("e").alias("__p"))
+    j = d.join(before, "__i", "left")
+    return j.agg(F.count("e").alias("n"), div(F.sum(F.pow(F.col("e") - F.col("__p"), 2)), F.sum(F.col("e") * F.col("e"))).alias("durbin_watson"))
+
+
 def iqr_outliers(df: DataFrame, y="y", yhat="yhat", approx: bool = False) -> DataFrame:
     """MR12 — residual IQR fences; count and percentage outside."""
     e = F.col(y).cast("double") - F.col(yhat).cast("double")

@@ -152,6 +152,11 @@ def mr9(spark, sf):
     return out(MR.residual_tests(reg_scored(spark, sf)))
 
 
+@register("MR10_durbin_watson")
+def mr10(spark, sf):
+    return out(MR.durbin_watson(reg_scored(spark, sf), ["year", "team_name"]))
+
+
 @register("MR12_iqr_outliers")
 def mr12(spark, sf):
     return out(MR.iqr_outliers(reg_scored(spark, sf)))

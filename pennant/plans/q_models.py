@@ -26,8 +26,8 @@ from pennant.models import intervals as IV
 from pennant.models import misc as MI
 from pennant.models import tuning as TU
 from pennant.operators import metrics_cls as MC
-from pennant.operators.ranking import group_rank
 from pennant.operators.split import stable_hash, three_way_period_split
+from pennant.sources.io import dense_index
 from pennant.plans.catalog import CFG, clean_panel, features, out, register
 
 KEY = ["team_name", "year"]
@@ -279,7 +279,10 @@ def ml22(spark, sf):
         F.struct(F.lit("rf").alias("model"), F.col("p_rf").alias("p")),
         F.struct(F.lit("lr").alias("model"), F.col("p_lr").alias("p")))))
     scores = MC.roc_auc(long, "label", "p", group=["model", "year"]).withColumnRenamed("roc_auc", "score")
-    return out(EN.dynamic_weights(scores.fillna(0.5, ["score"]), order_col="year", window=5, floor=0.1))
+    # members start from their cross-validated score on the training rows
+    start = [(n, float(TU.cross_validate(spark, tr, e, "classification", KEY, k=3)[1].first()["mean_score"])) for n, e in mem.items()]
+    init = spark.createDataFrame(start, "model string, weight double")
+    return out(EN.dynamic_weights(scores.fillna(0.5, ["score"]), order_col="year", window=5, floor=0.1, init=init))
 
 
 @register("ML23_hierarchical")
@@ -365,13 +368,15 @@ def ml32(spark, sf):
 @register("ML33_permutation_importance")
 def ml33(spark, sf):
     """Permutation importance in one pass: one hash permutation shared by all
-    features (values of the row with hash rank r move to the row with key rank
-    r), all feature variants unioned, one transform, one AUC grouped by feature."""
+    features (values of the row with place r by one hash move to the row with
+    place r by another; equal hashes are told apart by the key, so both are
+    true permutations), all feature variants unioned, one transform, one AUC
+    grouped by feature."""
     d, tr, va, te, _ = _members(spark, sf)
     m = ES.random_forest_classifier(trees=30).fit(tr)
     base = te.select(*KEY, "label", *CLS_FEATURES)
-    a = group_rank(base.withColumn("__h1", stable_hash(KEY, 1)), [([], "__h1", "__r", "min", False)])
-    b = group_rank(base.withColumn("__h2", stable_hash(KEY, 2)), [([], "__h2", "__r", "min", False)]) \
+    a = dense_index(base.withColumn("__h1", stable_hash(KEY, 1)), ["__h1", *KEY], "__r")
+    b = dense_index(base.withColumn("__h2", stable_hash(KEY, 2)), ["__h2", *KEY], "__r") \
         .select("__r", *[F.col(c).alias(f"__new_{c}") for c in CLS_FEATURES])
     from pennant.plans.features import materialize
     perm = materialize(a.join(b, "__r"), "checkpoint")   # shared by all 17 variants
