@@ -59,7 +59,7 @@ def forecast_ensemble(members: DataFrame, entity="team_name", period="forecast_p
 
 def _arma_fit(y: np.ndarray, p: int, q: int):
     """Hannan-Rissanen: long AR for innovations, then OLS of y on lags of y and
-    of the innovations.  Returns (coef, sigma2, n_eff) or None."""
+    of the innovations.  Returns (coef, sigma2, n_eff, innovations, residuals) or None."""
     n = len(y)
     m = min(max(p + q + 1, 2), n // 3) if q > 0 else 0
     e = np.zeros(n)
@@ -77,7 +77,7 @@ def _arma_fit(y: np.ndarray, p: int, q: int):
     X = np.column_stack(cols)
     coef, *_ = np.linalg.lstsq(X, y[start:], rcond=None)
     resid = y[start:] - X @ coef
-    return coef, float(np.mean(resid ** 2)), n - start, e
+    return coef, float(np.mean(resid ** 2)), n - start, e, resid
 
 
 def _forecast_group(pdf: pd.DataFrame, value: str, period: str, entity: str, horizon: int,
@@ -87,24 +87,20 @@ def _forecast_group(pdf: pd.DataFrame, value: str, period: str, entity: str, hor
     cols = [entity, "forecast_period", "h", "forecast", "order", "aic"]
     if len(y0) < min_rows or np.isnan(y0).any():
         return pd.DataFrame(columns=cols)
-    best = None
-    for d in (0, 1):
-        y = np.diff(y0) if d else y0
-        for p in range(3):
-            for q in range(3):
-                try:
-                    r = _arma_fit(y, p, q)
-                except Exception:  # noqa: BLE001 — failed orders are skipped
-                    r = None
-                if r is None or r[1] <= 0:
-                    continue
-                coef, s2, n_eff, e = r
-                aic = n_eff * np.log(s2) + 2 * (p + q + 1)
-                if best is None or aic < best[0]:
-                    best = (aic, d, p, q, coef, y, e)
-    if best is None:
+    # the order of differencing first, by the smaller variance; then all orders (p, q) on the same last residuals
+    d = int(np.var(np.diff(y0)) < np.var(y0))
+    y = np.diff(y0) if d else y0
+    fits = []
+    for p in range(3):
+        for q in range(3):
+            r = _arma_fit(y, p, q)
+            if r is not None and r[1] > 0:
+                fits.append((p, q, *r))
+    if not fits:
         return pd.DataFrame(columns=cols)
-    aic, d, p, q, coef, y, e = best
+    common = min(f[4] for f in fits)
+    scored = [(common * np.log(max(float(np.mean(f[6][-common:] ** 2)), 1e-12)) + 2 * (f[0] + f[1] + 1), f) for f in fits]
+    aic, (p, q, coef, _, _, e, _) = min(scored, key=lambda x: (x[0], x[1][:2]))
     hist, errs, out = list(y), list(e), []
     for h in range(1, horizon + 1):
         x = [1.0] + [hist[-i - 1] for i in range(p)] + [errs[-j - 1] for j in range(q)]

@@ -13,6 +13,7 @@ from pennant.models import tuning as TU
 from pennant.operators import aggregates as A
 from pennant.operators import metrics_reg as MR
 from pennant.plans.catalog import clean_panel, features, out, register
+from pennant.sources.panel import quarter_panel
 from pennant.plans.q_metrics import reg_scored
 from pennant.plans.q_models import CLS_FEATURES, _members, _split, ml_data
 from pennant.plans.q_scalar import scored
@@ -74,9 +75,9 @@ def mr21(spark, sf):
 @register("TK8_top_tuning_results")
 def tk8(spark, sf):
     d, tr, va, te, _ = _members(spark, sf)
-    rf = ES.random_forest_classifier(trees=20)
+    rf = ES.random_forest_classifier()
     maps = TU.random_param_maps(rf, {"maxDepth": [3, 5, 8], "minInstancesPerNode": [1, 5, 10]}, 4)
-    _, table = TU.cross_validate(spark, tr, rf, "classification", KEY, k=3, grid=maps)
+    _, table = TU.cross_validate(spark, tr, rf, "classification", KEY, k=5, grid=maps)
     return out(table.orderBy(F.desc("mean_score"), "param_index").limit(3))
 
 
@@ -110,7 +111,7 @@ def ud3(spark, sf):
 
 @register("UD4_per_entity_fit")
 def ud4(spark, sf):
-    return out(FC.arima_forecasts(clean_panel(spark, sf), "run_differential", horizon=1, min_rows=6))
+    return out(FC.arima_forecasts(quarter_panel(spark, sf), "run_differential", horizon=1, period="quarter"))
 
 
 def _pythag_batches(it):

@@ -126,9 +126,9 @@ def io9(spark, sf):
 def io10(spark, sf):
     from pennant.plans.q_models import CLS_FEATURES, _split, ml_data
     tr, _, te = _split(ml_data(spark, sf))
-    m = ES.random_forest_classifier(trees=20).fit(tr)
+    m = ES.random_forest_classifier().fit(tr)
     path = IO.save_model_with_metadata(spark, m, IO.scratch_path(spark, "model"), "division_winner",
-                                       CLS_FEATURES, {"numTrees": 20, "maxDepth": 10})
+                                       CLS_FEATURES, {"numTrees": 100, "maxDepth": 10})
     loaded, meta = IO.load_model_with_metadata(spark, path, RandomForestClassificationModel)
     s = loaded.transform(te).select(*KEY, F.col("prediction").cast("int").alias("prediction"))
     from pennant.functions.safe import attach_scalars

@@ -27,8 +27,9 @@ from pennant.models import misc as MI
 from pennant.models import tuning as TU
 from pennant.operators import metrics_cls as MC
 from pennant.operators.split import stable_hash, three_way_period_split
-from pennant.sources.io import dense_index
 from pennant.plans.catalog import CFG, clean_panel, features, out, register
+from pennant.sources.io import dense_index
+from pennant.sources.panel import quarter_panel
 
 KEY = ["team_name", "year"]
 CLS_FEATURES = ["home_win_pct", "away_win_pct", "win_pct_vs_top_teams", "runs_per_game", "runs_allowed_per_game",
@@ -88,7 +89,7 @@ def ml3(spark, sf):
 def ml4(spark, sf):
     d = ml_data(spark, sf)
     trv = d.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
-    m = ES.gbt_classifier(iters=50, validation_col="is_val").fit(trv)
+    m = ES.gbt_classifier(validation_col="is_val").fit(trv)
     return _scored(m, d.where(F.col("split") == "test"))
 
 
@@ -133,21 +134,21 @@ def ml8(spark, sf):
 def ml8b(spark, sf):
     d = _reg_data(spark, sf)
     trv = d.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
-    m = ES.gbt_regressor(iters=50, validation_col="is_val", tol=1e-6).fit(trv)
+    m = ES.gbt_regressor(validation_col="is_val", tol=1e-6).fit(trv)
     return out(m.transform(d.where(F.col("split") == "test")).select(*KEY, "label", "prediction"))
 
 
 @register("ML9_calibrated_forest")
 def ml9(spark, sf):
     tr, _, te = _split(ml_data(spark, sf))
-    m = CAL.CalibratedClassifier(ES.random_forest_classifier(trees=50), "sigmoid", 3).fit(tr)
+    m = CAL.CalibratedClassifier(ES.random_forest_classifier(), "sigmoid", 5).fit(tr)
     return out(m.transform(te).select(*KEY, "label", "p"))
 
 
 @register("ML9_isotonic_calibration")
 def ml9b(spark, sf):
     tr, _, te = _split(ml_data(spark, sf))
-    m = CAL.CalibratedClassifier(ES.random_forest_classifier(trees=50), "isotonic", 3).fit(tr)
+    m = CAL.CalibratedClassifier(ES.random_forest_classifier(), "isotonic", 5).fit(tr)
     return out(m.transform(te).select(*KEY, "label", "p"))
 
 
@@ -155,7 +156,7 @@ def ml9b(spark, sf):
 def ml10(spark, sf):
     d = ml_data(spark, sf, label="made_playoffs")
     tr, _, te = _split(d)
-    m = CAL.CalibratedClassifier(ES.gbt_classifier(iters=30), "sigmoid", 3).fit(tr)
+    m = CAL.CalibratedClassifier(ES.gbt_classifier(), "sigmoid", 3).fit(tr)
     s = m.transform(te)
     adj = S.standings_adjusted(s, "p", "games_behind", group=["year"], out="p_adjusted")
     return out(adj.select(*KEY, "label", "p", "p_adjusted"))
@@ -176,7 +177,7 @@ def ml11(spark, sf):
 @register("ML12_forest_intervals")
 def ml12(spark, sf):
     tr, _, te = _split(_reg_data(spark, sf))
-    m = ES.random_forest_regressor(trees=50, depth=6).fit(tr)
+    m = ES.random_forest_regressor().fit(tr)
     return out(IV.tree_percentile_interval(spark, m, te, KEY))
 
 
@@ -190,8 +191,8 @@ def ml14(spark, sf):
     feats = ["wins", "losses", "home_win_pct", "away_win_pct", "win_pct_vs_top_teams", "pythagorean_win_pct"]
     d = ml_data(spark, sf, feats, "runs_scored", balance=False)
     tr, _, te = _split(d)
-    rs = ES.random_forest_regressor(label="runs_scored", trees=50).fit(tr.withColumn("runs_scored", F.col("runs_scored").cast("double")))
-    ra = ES.random_forest_regressor(label="runs_allowed", trees=50).fit(tr.withColumn("runs_allowed", F.col("runs_allowed").cast("double")))
+    rs = ES.random_forest_regressor(label="runs_scored").fit(tr.withColumn("runs_scored", F.col("runs_scored").cast("double")))
+    ra = ES.random_forest_regressor(label="runs_allowed").fit(tr.withColumn("runs_allowed", F.col("runs_allowed").cast("double")))
     s = rs.transform(te).withColumnRenamed("prediction", "pred_runs_scored")
     s = ra.transform(s).withColumnRenamed("prediction", "pred_runs_allowed")
     return out(s.select(*KEY, clip("pred_runs_scored", 400, 2000).alias("pred_runs_scored"),
@@ -204,7 +205,7 @@ def _multi(spark, sf, chain):
     d = ml_data(spark, sf)
     d = d.withColumns({m: F.col(m).cast("double") for m in MILESTONES})
     tr, _, te = _split(d)
-    models = ES.fit_multi_output(tr, MILESTONES, lambda lab: RandomForestClassifier(labelCol=lab, numTrees=30, seed=42),
+    models = ES.fit_multi_output(tr, MILESTONES, lambda lab: RandomForestClassifier(labelCol=lab, numTrees=100, maxDepth=10, seed=42),
                                  chain=chain)
     return ES.predict_multi_output(te, models, chain=chain)
 
@@ -244,7 +245,7 @@ def ml18(spark, sf):
 def _members(spark, sf):
     d = ml_data(spark, sf)
     tr, va, te = _split(d)
-    return d, tr, va, te, {"rf": ES.random_forest_classifier(trees=30), "lr": ES.logistic()}
+    return d, tr, va, te, {"rf": ES.random_forest_classifier(), "lr": ES.logistic()}
 
 
 @register("ML19_soft_vote")
@@ -280,7 +281,7 @@ def ml22(spark, sf):
         F.struct(F.lit("lr").alias("model"), F.col("p_lr").alias("p")))))
     scores = MC.roc_auc(long, "label", "p", group=["model", "year"]).withColumnRenamed("roc_auc", "score")
     # members start from their cross-validated score on the training rows
-    start = [(n, float(TU.cross_validate(spark, tr, e, "classification", KEY, k=3)[1].first()["mean_score"])) for n, e in mem.items()]
+    start = [(n, float(TU.cross_validate(spark, tr, e, "classification", KEY, k=5)[1].first()["mean_score"])) for n, e in mem.items()]
     init = spark.createDataFrame(start, "model string, weight double")
     return out(EN.dynamic_weights(scores.fillna(0.5, ["score"]), order_col="year", window=5, floor=0.1, init=init))
 
@@ -288,10 +289,10 @@ def ml22(spark, sf):
 @register("ML23_hierarchical")
 def ml23(spark, sf):
     d, tr, va, te, mem = _members(spark, sf)
-    div_m = ES.random_forest_classifier(trees=30).fit(tr)
+    div_m = ES.random_forest_classifier().fit(tr)
     tr2 = EN.hierarchical(tr, {"division": []}, {"division": div_m})
     tr2 = VectorAssembler(inputCols=["features", "p_division"], outputCol="features2").transform(tr2)
-    play = RandomForestClassifier(featuresCol="features2", labelCol="made_playoffs", numTrees=30, seed=42) \
+    play = RandomForestClassifier(featuresCol="features2", labelCol="made_playoffs", numTrees=100, maxDepth=10, seed=42) \
         .fit(tr2.withColumn("made_playoffs", F.col("made_playoffs").cast("double")))
     te2 = EN.hierarchical(te, {"division": []}, {"division": div_m})
     te2 = VectorAssembler(inputCols=["features", "p_division"], outputCol="features2").transform(te2)
@@ -302,8 +303,8 @@ def ml23(spark, sf):
 @register("ML25_train_many")
 def ml25(spark, sf):
     d, tr, va, te, _ = _members(spark, sf)
-    est = {"logistic": ES.logistic(), "random_forest": ES.random_forest_classifier(trees=30),
-           "gbt": ES.gbt_classifier(iters=20), "mlp": ES.mlp(len(CLS_FEATURES), hidden=(16,)),
+    est = {"logistic": ES.logistic(), "random_forest": ES.random_forest_classifier(),
+           "gbt": ES.gbt_classifier(), "mlp": ES.mlp(len(CLS_FEATURES), hidden=(16,)),
            "broken": LogisticRegression(featuresCol="no_such_column")}
     res = TU.train_many(spark, tr, te, est, "classification")
     return out(res)
@@ -312,7 +313,7 @@ def ml25(spark, sf):
 @register("ML26_cross_validate")
 def ml26(spark, sf):
     d, tr, va, te, _ = _members(spark, sf)
-    rf = ES.random_forest_classifier(trees=20)
+    rf = ES.random_forest_classifier()
     grid = ParamGridBuilder().addGrid(rf.maxDepth, [3, 6]).build()
     _, table = TU.cross_validate(spark, tr, rf, "classification", KEY, k=5, grid=grid)
     return out(table)
@@ -321,7 +322,7 @@ def ml26(spark, sf):
 @register("ML27_out_of_fold")
 def ml27(spark, sf):
     d, tr, va, te, _ = _members(spark, sf)
-    oof = TU.out_of_fold(tr, ES.logistic(), KEY, k=3)
+    oof = TU.out_of_fold(tr, ES.logistic(), KEY, k=5)
     return out(oof.select(*KEY, "fold", "label", vector_to_array("probability")[1].alias("p_oof")))
 
 
@@ -330,15 +331,15 @@ def ml28(spark, sf):
     d, tr, va, te, _ = _members(spark, sf)
     lr = ES.logistic()
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.1]).build()
-    return out(TU.nested_cv(spark, tr, lr, grid, "classification", KEY, outer=3, inner=2))
+    return out(TU.nested_cv(spark, tr, lr, grid, "classification", KEY, outer=5, inner=3))
 
 
 @register("ML29_random_search")
 def ml29(spark, sf):
     d, tr, va, te, _ = _members(spark, sf)
-    rf = ES.random_forest_classifier(trees=20)
+    rf = ES.random_forest_classifier()
     maps = TU.random_param_maps(rf, {"maxDepth": [3, 5, 8], "minInstancesPerNode": [1, 5, 10]}, 3)
-    _, table = TU.cross_validate(spark, tr, rf, "classification", KEY, k=3, grid=maps)
+    _, table = TU.cross_validate(spark, tr, rf, "classification", KEY, k=5, grid=maps)
     return out(table.orderBy(F.desc("mean_score")))
 
 
@@ -373,7 +374,7 @@ def ml33(spark, sf):
     true permutations), all feature variants unioned, one transform, one AUC
     grouped by feature."""
     d, tr, va, te, _ = _members(spark, sf)
-    m = ES.random_forest_classifier(trees=30).fit(tr)
+    m = ES.random_forest_classifier().fit(tr)
     base = te.select(*KEY, "label", *CLS_FEATURES)
     a = dense_index(base.withColumn("__h1", stable_hash(KEY, 1)), ["__h1", *KEY], "__r")
     b = dense_index(base.withColumn("__h2", stable_hash(KEY, 2)), ["__h2", *KEY], "__r") \
@@ -401,7 +402,7 @@ def _pos(s):
 
 @register("ML34_arima_forecasts")
 def ml34(spark, sf):
-    return out(FC.arima_forecasts(clean_panel(spark, sf), "wins", horizon=2, min_rows=6))
+    return out(FC.arima_forecasts(quarter_panel(spark, sf), "wins", horizon=2, period="quarter"))
 
 
 @register("ML35_holt_forecasts")
@@ -427,7 +428,7 @@ def ml38(spark, sf):
     f = features(spark, sf).na.drop(subset=CLS_FEATURES)
     train = f.where(F.col("year") < 2000).withColumn("label", F.col("is_division_winner").cast("double"))
     pipe = Pipeline(stages=[VectorAssembler(inputCols=CLS_FEATURES, outputCol="features"),
-                            RandomForestClassifier(numTrees=30, seed=42)]).fit(train)
+                            RandomForestClassifier(numTrees=100, maxDepth=10, seed=42)]).fit(train)
     return out(pipe.transform(f).select(*KEY, vector_to_array("probability")[1].alias("p"),
                                         F.col("prediction").cast("int").alias("prediction")))
 
@@ -436,14 +437,14 @@ def ml38(spark, sf):
 def ml39(spark, sf):
     d = _reg_data(spark, sf)
     tr, va, te = _split(d)
-    reg = ES.random_forest_regressor(trees=50).fit(tr)
+    reg = ES.random_forest_regressor().fit(tr)
     w = reg.transform(d.where(F.col("split") != "train")).withColumnRenamed("prediction", "predicted_wins")
     w = w.withColumn("y", F.col("label"))
     b = IV.residual_quantile_bounds(w.where(F.col("split") == "test"), "y", "predicted_wins",
                                     calibration=w.where(F.col("split") == "val"))
     c = ml_data(spark, sf)
     ctr, _, cte = _split(c)
-    cls = CAL.CalibratedClassifier(ES.random_forest_classifier(trees=30), "sigmoid", 3).fit(ctr)
+    cls = CAL.CalibratedClassifier(ES.random_forest_classifier(), "sigmoid", 5).fit(ctr)
     p = cls.transform(cte).select(*KEY, F.col("p").alias("division_winner_probability"))
     mo = _multi(spark, sf, False).select(*KEY, *[f"prob_{m}" for m in MILESTONES])
     r = b.select(*KEY, "predicted_wins", F.col("lower_bound").alias("win_prediction_lower"),

@@ -68,6 +68,16 @@ def season_counts_from(li: DataFrame) -> DataFrame:
                  n(won & top).alias("tw"), n(lost & top).alias("tl")))
 
 
+def quarter_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``team_name``, ``quarter`` (4 * year + quarter - 1), ``wins``, ``run_differential``: a longer series per team
+    (about 28 quarters) for forecasts that need at least ten periods.  One partially aggregated pass."""
+    li = read_table(spark, sf_dir, "lineitem")
+    runs = F.when(F.col("l_linestatus") == "O", F.col("l_quantity")).otherwise(-F.col("l_quantity"))
+    return (li.groupBy(F.concat(F.lit("Team "), F.col("l_suppkey").cast("string")).alias("team_name"),
+                       (F.year("l_shipdate") * 4 + F.quarter("l_shipdate") - 1).cast("int").alias("quarter"))
+            .agg(F.count_if(F.col("l_returnflag") != "R").cast("int").alias("wins"), F.sum(runs).cast("int").alias("run_differential")))
+
+
 def raw_team_season(spark: SparkSession, sf_dir: str, keep_keys: bool = False) -> DataFrame:
     """Raw team-season table with the original application's column set."""
     c = materialize(season_counts(spark, sf_dir), "checkpoint")
