@@ -155,11 +155,13 @@ def apply_rules(docs: DataFrame, labels: DataFrame, text: str = "text", key: str
     """Struct ``doc`` (the whole row), struct ``q``, ``base_failed`` and ``kept`` for every row of ``docs``.
 
     Repeated rows are judged one by one; an empty table gives an empty result; rows without a key are judged, but
-    carry no label.  The metrics are computed in two passes (labelled counts, verdict), so no text is shuffled.
+    carry no label.  Rows and metrics are written once: the labelled counts read the metrics alone, and the verdicts
+    filter what is written (a filter over the metrics' expressions would be pushed into them, over and over).
     """
-    narrow = written(quality_metrics(docs, text, [F.col(key).alias("_id"), F.col(stratum).alias("stratum")]), "risk-metrics")
-    cutoffs = risk_cutoffs(narrow.join(good_labels(labels), "_id"), rules=rules, risk=risk, error=error)
-    return judge(quality_metrics(docs, text), cutoffs, F.col(f"doc.{stratum}"), rules)
+    scored = written(quality_metrics(docs, text), "risk-scored")
+    labelled = scored.select(F.col(f"doc.{key}").alias("_id"), F.col(f"doc.{stratum}").alias("stratum"), "q").join(good_labels(labels), "_id")
+    cutoffs = written(risk_cutoffs(labelled, rules=rules, risk=risk, error=error), "risk-cutoffs")
+    return judge(scored, cutoffs, F.col(f"doc.{stratum}"), rules)
 
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", stratum: str = "lang",
