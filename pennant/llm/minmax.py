@@ -190,11 +190,11 @@ def _cells(percent: int):
     def run(batches):
         name, cell, out = None, [], []
         for batch in batches:
-            for label, lo, hi, rep, data in zip(*[batch.column(i).to_pylist() for i in range(5)]):
+            for i, (label, lo, hi, rep) in enumerate(zip(*[batch.column(c).to_pylist() for c in range(4)])):
                 if (label, lo, hi) != name:
                     out += links(cell)
                     name, cell = (label, lo, hi), []
-                cell.append((rep, np.frombuffer(data, np.uint64)))
+                cell.append((rep, np.frombuffer(batch.column(4)[i].as_buffer(), np.uint64)))   # no copy of the batch
             if len(out) > 10_000:
                 yield pa.record_batch([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
                 out = []
