@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import re
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -115,13 +114,24 @@ def _chunks(chunk: int, overlap: int):
     return run
 
 
-def boundaries(encoding) -> tuple[np.ndarray, np.ndarray]:
-    """Places (characters) at which a pre-token or special token begins, and the number of tokens before each."""
-    words = encoding.word_ids
-    starts = np.array([o[0] for o in encoding.offsets], np.int64)
-    new = [i for i in range(len(words)) if i == 0 or words[i] is None or words[i] != words[i - 1]]
-    new = np.array(new, np.int64)
-    return (starts[new] if len(new) else new), new
+def edge_boundaries(e, length: int, overlap: int) -> tuple[list, list]:
+    """Places at which a pre-token or special token begins, with the number of tokens before: those in the first
+    ``overlap`` characters, and those in the last ``overlap`` but not within MARGIN of the end.  Only the tokens near
+    the two ends are looked at."""
+    left, right, n = [], [], len(e)
+    for i in range(1, n):
+        at = e.token_to_chars(i)[0]
+        if at > overlap:
+            break
+        if at > 0 and (e.token_to_word(i) is None or e.token_to_word(i) != e.token_to_word(i - 1)):
+            left.append((at, i))
+    for i in range(n - 1, 0, -1):
+        at = e.token_to_chars(i)[0]
+        if at < length - overlap:
+            break
+        if at <= length - MARGIN and (e.token_to_word(i) is None or e.token_to_word(i) != e.token_to_word(i - 1)):
+            right.append((at, i))
+    return left, right[::-1]
 
 
 def _encode(path: str, overlap: int):
@@ -131,19 +141,15 @@ def _encode(path: str, overlap: int):
     def run(batches):
         t = load(path)
         for batch in batches:
-            out = {k: [] for k in ("total", "left", "right")}
-            texts, starts = batch.column(4).to_pylist(), batch.column(3).to_pylist()
-            for text, start in zip(texts, starts):
-                e = t.encode(text, add_special_tokens=False)
-                at, n = boundaries(e)
-                out["total"].append(len(e))
-                near = (at > 0) & (at <= overlap)
-                far = (at >= len(text) - overlap) & (at <= len(text) - MARGIN)
-                out["left"].append([{"at": int(a) + start, "n": int(b)} for a, b in zip(at[near], n[near])])
-                out["right"].append([{"at": int(a) + start, "n": int(b)} for a, b in zip(at[far], n[far])])
-            yield pa.record_batch([batch.column(0), batch.column(1), batch.column(2), pa.array(out["total"], pa.int64()),
-                                   pa.array(out["left"], kind), pa.array(out["right"], kind)],
-                                  names=["_row", "chunk", "chunks", "total", "left", "right"])
+            for low in range(0, batch.num_rows, 32):
+                part = batch.slice(low, 32)
+                texts, starts = part.column(4).to_pylist(), part.column(3).to_pylist()
+                encoded = t.encode_batch(texts, add_special_tokens=False)
+                edges = [edge_boundaries(e, len(x), overlap) for e, x in zip(encoded, texts)]
+                lists = [[[{"at": at + s, "n": n} for at, n in edge[side]] for edge, s in zip(edges, starts)] for side in (0, 1)]
+                yield pa.record_batch([part.column(0), part.column(1), part.column(2), pa.array([len(e) for e in encoded], pa.int64()),
+                                       pa.array(lists[0], kind), pa.array(lists[1], kind)],
+                                      names=["_row", "chunk", "chunks", "total", "left", "right"])
     return run
 
 
@@ -177,9 +183,10 @@ def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     done = written(rows.mapInArrow(_whole(path, chunk), "_row long, doc_id long, n_bytes long, n_tokens long, long_text string"), "token-counts")
     cut = done.where("n_tokens is null").select("_row", F.col("long_text").alias("text"))
     kind = "array<struct<at:long,n:long>>"
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))   # few bytes but much work: not to be merged by size
     counted = None
     while True:
-        pieces = cut.mapInArrow(_chunks(chunk, overlap), "_row long, chunk long, chunks long, start long, text string").repartition("_row", "chunk")
+        pieces = cut.mapInArrow(_chunks(chunk, overlap), "_row long, chunk long, chunks long, start long, text string").repartition(parts, "_row", "chunk")
         encoded = written(pieces.mapInArrow(_encode(path, overlap), f"_row long, chunk long, chunks long, total long, left {kind}, right {kind}"), "token-chunks")
         got = written(spliced(encoded), "token-splices")
         fine = got.where("n_tokens is not null")
