@@ -6,6 +6,10 @@ import numpy as np
 
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_CLOSING = np.zeros(256, bool)
+_CLOSING[[ord(c) for c in ".,;:!?"]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -37,8 +41,10 @@ def seeds(n: int, seed: int) -> np.ndarray:
 _POW, _INV = powers(int(_BASE), _STEP + 1), powers(int(_UNBASE), _STEP + 1)
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of many texts, and for each text the number of its first word (one more at the end).
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True, places: bool = False, closing: bool = False):
+    """64-bit hashes of the words of many texts, and for each text the number of its first word (one more at the end);
+    with ``places`` also where each word starts and ends.  With ``closing`` a word also ends before one of .,;:!? that
+    follows an ASCII letter or digit.
 
     ``raw`` holds the texts' bytes one after another; ``starts``/``ends`` are their places, ascending, without gaps.
     Words are maximal runs without white space; A-Z count as a-z if ``lower``.
@@ -50,9 +56,13 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
     before[1:] = space[:-2]
     cut = starts[(starts < ends)]
     before[cut] = True                               # a word also begins where a text begins
-    w0 = np.flatnonzero(inside & before)
     after = space[1:].copy()
     after[ends[starts < ends] - 1] = True
+    if closing:
+        turn = _CLOSING[raw[1:]] & _ALNUM[raw[:-1]]
+        before[1:] |= turn
+        after[:-1] |= turn
+    w0 = np.flatnonzero(inside & before)
     w1 = np.flatnonzero(inside & after) + 1
     first = np.searchsorted(w0, np.append(starts, len(raw)))
     data = (_LOWER[raw] if lower else raw).astype(np.uint64) + np.uint64(1)
@@ -76,7 +86,8 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
         a, b = w0[low:high] - origin, w1[low:high] - origin
         h[low:high] = (total[b] - total[a]) * _INV[a]
         low = high
-    return mix64(h ^ mix64((w1 - w0).astype(np.uint64))), first
+    h = mix64(h ^ mix64((w1 - w0).astype(np.uint64)))
+    return (h, first, w0, w1) if places else (h, first)
 
 
 def shingle_hashes(words: np.ndarray, first: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:

@@ -6,24 +6,29 @@ of like wording are neighbours along the curve.  Documents are range-sorted by (
 their tokens gives every document its place in one long stream, and the stream is cut into sequences of ``length``
 tokens: only the very last sequence can be short.
 
-Work and data: one pass tokenises (each distinct word once per batch of new words: words cannot influence each other
-because the tokeniser drops white space) and writes compressed ids; the sort and the running sum see only narrow rows;
+Work and data: one pass tokenises (distinct words only: words cannot influence each other because the tokeniser drops
+white space) and writes compressed ids; the sort and the running sum see only narrow rows;
 one join by row number brings places and ids together.  Hot keys (copies) are told apart by the row number, so a range
 partition never has to take them all.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pennant.llm.common import running_sum, written
-from pennant.llm.hashing import mix64, runs, seeds, text_bytes
+from pennant.llm.hashing import mix64, runs, seeds, text_bytes, word_hashes
 
 DIMENSIONS, BITS, BUCKETS = 4, 15, 256
-_CACHE_WORDS = 800_000
+#: Blocks of learned words that an encoder keeps; a block holds the new words of one run of texts (some 4 MB).
+_BLOCKS = 12
+#: Encoders of this Python worker, by path: the words learned in one task serve the next.
+_ENCODERS: dict[str, "WordEncoder"] = {}
 
 
 def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
@@ -63,47 +68,91 @@ def curve_points(bags: np.ndarray, dimensions: int = DIMENSIONS, bits: int = BIT
     return np.minimum((u * (1 << bits)).astype(np.int64), (1 << bits) - 1)
 
 
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, … of each stretch, one after another."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
 class WordEncoder:
-    """Token ids of whole texts, as bytes, from the ids of their words (split at ASCII white space;
-    no alternative of its pre-tokeniser reaches over white space).
+    """Token ids of many texts at once, from the ids of their distinct words.
 
-    Right for tokenisers that drop white space before merging, as word_bpe_49k.json does.  The cache of words is
-    emptied when it holds ``most`` words, so memory is bounded whatever the vocabulary.
+    Words end at ASCII white space, and before closing punctuation behind an ASCII letter or digit.  Right for
+    tokenisers that lower-case, and drop white space before merging, as word_bpe_49k.json does: no alternative of its
+    pre-tokeniser reaches over white space, or from a letter or digit into such punctuation.  Words are known by
+    64-bit hashes of their bytes in lower case (very long ones by a cryptographic hash).
+
+    What is learned stays in blocks of arrays (sorted hashes; start and size in one array of ids); the oldest block
+    goes when there are ``_BLOCKS``, so memory is bounded whatever the vocabulary.
     """
 
-    def __init__(self, path: str, most: int = _CACHE_WORDS):
+    LONG = 256
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 65536 else np.dtype("<u4")
-        self.words: dict[bytes, bytes] = {}
-        self.most = most
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        if len(self.words) > self.most:
-            self.words = {}
-        new = list(set().union(*split).difference(self.words))
-        for low in range(0, len(new), 20_000):
-            self._learn(new[low:low + 20_000])
-        look = self.words.__getitem__
-        return [b"".join(map(look, words)) for words in split]
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Ids of new words: many words are encoded as the lines of one text; offsets tell whose a token is."""
-        text = [w.decode("utf-8", "replace") for w in words]
-        lines = [text[low:low + 500] for low in range(0, len(text), 500)]
-        at = 0
-        for own, e in zip(lines, self.tokenizer.encode_batch(["\n".join(own) for own in lines], add_special_tokens=False)):
-            starts = np.zeros(len(own) + 1, np.int64)
-            np.cumsum([len(w) + 1 for w in own], out=starts[1:])
-            first = np.searchsorted(np.fromiter((o[0] for o in e.offsets), np.int64, len(e)), starts) * self.kind.itemsize
-            ids = np.array(e.ids, self.kind).tobytes()
-            for w, a, b in zip(words[at:at + len(own)], first.tolist(), first[1:].tolist()):
-                self.words[w] = ids[a:b]
-            at += len(own)
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.kind = np.dtype("<u2") if size <= 65536 else np.dtype("<u4")
+        self.blocks: dict[bool, list] = {False: [], True: []}
+        h = mix64(np.arange(size, dtype=np.uint64) * seeds(1, 5)[0])
+        self.bucket, self.sign = (h >> np.uint64(8)).astype(np.int64) % BUCKETS, (h & np.uint64(1)).astype(np.float64) * 2 - 1
+
+    def encode(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and for each text the place of its first id (one more at the end)."""
+        special = b"<|" in raw.tobytes()                     # special strings are told apart by case
+        h, first, w0, w1 = word_hashes(raw, starts, ends, not special, True, True)
+        for i in np.flatnonzero(w1 - w0 > self.LONG):
+            word = raw[w0[i]:w1[i]].tobytes()
+            h[i] = int.from_bytes(hashlib.blake2b(word if special else word.lower(), digest_size=8).digest(), "little")
+        distinct, sample, which = np.unique(h, return_index=True, return_inverse=True)
+        blocks, source = self.blocks[special], np.full(len(distinct), -1)
+        start, size = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+        left = np.arange(len(distinct))
+        for n, (keys, begin, count, _) in enumerate(blocks):
+            at = np.minimum(np.searchsorted(keys, distinct[left]), len(keys) - 1)
+            hit = keys[at] == distinct[left]
+            own, at = left[hit], at[hit]
+            source[own], start[own], size[own] = n, begin[at], count[at]
+            left = left[~hit]
+        if len(left):
+            begin, count, flat = self._learn(raw, w0[sample[left]], w1[sample[left]])
+            blocks.append((distinct[left], begin, count, flat))
+            source[left], start[left], size[left] = len(blocks) - 1, begin, count
+        to = np.cumsum(size) - size
+        ids = np.empty(size.sum(), self.kind)
+        for n, block in enumerate(blocks):
+            own = np.flatnonzero(source == n)
+            ids[spread(to[own], size[own])] = block[3][spread(start[own], size[own])]
+        if len(blocks) > _BLOCKS:
+            del blocks[0]
+        count = size[which]
+        after = np.append(0, np.cumsum(count))
+        return ids[spread(to[which], count)], after[first]
+
+    def _learn(self, raw: np.ndarray, w0: np.ndarray, w1: np.ndarray, group: int = 500) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, size and ids of words: many are encoded as the lines of one text, and offsets tell whose a token is."""
+        size = w1 - w0
+        line = np.append(0, np.cumsum(size + 1))
+        data = np.full(line[-1], 10, np.uint8)
+        data[spread(line[:-1], size)] = raw[spread(w0, size)]
+        char = np.append(0, np.cumsum((data & 0xC0) != 0x80))[line]        # characters before each line
+        cuts = list(range(0, len(w0), group)) + [len(w0)]
+        texts = [data[line[a]:line[b] - 1].tobytes().decode() for a, b in zip(cuts, cuts[1:])]
+        first, flat, total = [], [], 0
+        for a, b, e in zip(cuts, cuts[1:], self.tokenizer.encode_batch(texts, add_special_tokens=False)):
+            places = np.fromiter((o[0] for o in e.offsets), np.int64, len(e))
+            first.append(np.searchsorted(places, char[a:b] - char[a]) + total)
+            flat.append(np.array(e.ids, self.kind))
+            total += len(e)
+        begin = np.concatenate(first)
+        return begin, np.diff(np.append(begin, total)), np.concatenate(flat)
+
+    def bags(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Signed hashed bags of ids, one row per text."""
+        text = np.repeat(np.arange(len(first) - 1) * BUCKETS, np.diff(first))
+        return np.bincount(text + self.bucket[ids], self.sign[ids], (len(first) - 1) * BUCKETS).reshape(-1, BUCKETS)
 
 
 def _tokenise(path: str, end_id: int):
@@ -111,23 +160,20 @@ def _tokenise(path: str, end_id: int):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = WordEncoder(path)
+        encoder = _ENCODERS.get(path) or WordEncoder(path)
+        _ENCODERS[path] = encoder
         end = np.array([end_id], encoder.kind).tobytes()
-        mult = seeds(1, 5)[0]
         for batch in batches:
             raw, starts, ends = text_bytes(batch.column(2))
             for low, high in runs(starts, ends, 4 << 20):
-                ids = [t + end for t in encoder.encode([raw[a:b].tobytes() for a, b in zip(starts[low:high], ends[low:high])])]
-                bags = np.empty((high - low, BUCKETS))
-                for i, x in enumerate(ids):
-                    h = mix64(np.frombuffer(x, encoder.kind).astype(np.uint64) * mult)
-                    bags[i] = np.bincount((h >> np.uint64(8)).astype(np.int64) % BUCKETS, (h & np.uint64(1)).astype(np.float64) * 2 - 1, BUCKETS)
-                key = hilbert_key(curve_points(bags), BITS)
+                n, o = high - low, starts[low]
+                ids, first = encoder.encode(raw[o:ends[high - 1]], starts[low:high] - o, ends[low:high] - o)
+                key = hilbert_key(curve_points(encoder.bags(ids, first)), BITS)
+                packed = [pa.compress(ids[a:b].tobytes() + end, "zstd", asbytes=True) for a, b in zip(first, first[1:])]
                 yield pa.record_batch([
-                    batch.column(0).slice(low, high - low), batch.column(1).slice(low, high - low), pa.array(key, pa.int64()),
-                    pa.array([len(x) // encoder.kind.itemsize for x in ids], pa.int64()),
-                    pa.array([pa.compress(x, "zstd", asbytes=True) for x in ids], pa.binary()),
-                    pa.array([encoder.kind.itemsize] * len(ids), pa.int32())],
+                    batch.column(0).slice(low, n), batch.column(1).slice(low, n), pa.array(key, pa.int64()),
+                    pa.array(np.diff(first) + 1, pa.int64()), pa.array(packed, pa.binary()),
+                    pa.array([encoder.kind.itemsize] * n, pa.int32())],
                     names=["_row", "doc_id", "curve", "doc_tokens", "packed", "width"])
     return run
 
