@@ -17,7 +17,7 @@ SELECT sha256('{"event_type":"' || event_type || '","user_id":' || user_id || '}
 
 SQL["SS3_stream_window_stats"] = ANSWERED + """,
 w AS (SELECT date_trunc('day', e.ts) AS ws, count(*) AS total, count_if(x.event_id IS NOT NULL) AS misses,
-        count_if(e.event_type = 'error') AS errors, avg(e.value) AS mean_value
+        count_if(e.event_type = 'error') AS errors, CAST(sum(CAST(e.value AS DECIMAL(20, 6))) AS DOUBLE) / NULLIF(count(e.value), 0) AS mean_value
       FROM e LEFT JOIN answered x ON x.event_id = e.event_id GROUP BY 1)
 SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(ws + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS window_end,
   total, CAST(total - misses AS BIGINT) AS hits, CAST(misses AS BIGINT) AS misses, CAST(total - misses AS DOUBLE) / total AS hit_rate,

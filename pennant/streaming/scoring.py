@@ -164,7 +164,9 @@ def stream_window_stats(spark: SparkSession, sf_dir: str, window: str = "1 day",
     log = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
     agg = log.withWatermark("ts", delay).groupBy(F.window("ts", window)).agg(
         F.count(F.lit(1)).alias("total"), F.count_if(F.col("hit")).alias("hits"),
-        F.count_if(F.col("event_type") == "error").alias("errors"), F.avg("value").alias("mean_value"))
+        F.count_if(F.col("event_type") == "error").alias("errors"),
+        # a decimal sum, so that the mean doesn't depend on the order in which batches arrive
+        F.try_divide(F.sum(F.col("value").cast("decimal(20,6)")).cast("double"), F.count("value")).alias("mean_value"))
     agg = agg.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                      F.date_format("window.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"), "total", "hits", "errors", "mean_value")
     cur = latest_updates(agg, spark, "ss3", ["window_start", "window_end"])
