@@ -141,19 +141,24 @@ def calibration_curve(df: DataFrame, label="label", score="p", n_bins: int = 10)
                  F.count(F.lit(1)).alias("n")))
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value evaluated once a row, however often ``use`` reads it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def softmax_probs(logits: Column, k: int) -> Column:
     """Class probabilities = softmax of the first ``k`` entries of a numeric array
     (array higher-order functions: compact generated code for any k)."""
     xs = F.transform(F.slice(logits, 1, k), lambda v: v.cast("double"))
-    ex = F.transform(xs, lambda v: F.exp(v - F.array_max(xs)))
-    total = F.aggregate(ex, F.lit(0.0), lambda acc, v: acc + v)
-    return F.transform(ex, lambda v: v / total)
+    ex = _once(xs, lambda x: _once(F.array_max(x), lambda top: F.transform(x, lambda v: F.exp(v - top))))
+    return _once(ex, lambda e: _once(F.aggregate(e, F.lit(0.0), lambda acc, v: acc + v), lambda total: F.transform(e, lambda v: v / total)))
 
 
 def class_logits(values: Column, k: int) -> Column:
     """``k`` logits from a numeric array of any length: entry i adds to class i mod k, so every entry counts."""
-    return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda c: F.aggregate(
-        F.filter(values, lambda v, i: i % k == c), F.lit(0.0), lambda a, v: a + v.cast("double")))
+    steps = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(values) - 1) / k).cast("int")))
+    return F.aggregate(steps, F.array_repeat(F.lit(0.0), k), lambda total, i: F.zip_with(
+        total, F.slice(values, i * k + 1, F.lit(k)), lambda a, v: a + F.coalesce(v.cast("double"), F.lit(0.0))))
 
 
 def multiclass_log_loss(df: DataFrame, label="label", probs="probs", eps: float = LOG_LOSS_EPS) -> DataFrame:
@@ -166,7 +171,7 @@ def multiclass_log_loss(df: DataFrame, label="label", probs="probs", eps: float
 
 def argmax_class(probs: Column) -> Column:
     """Index (0-based) of the largest probability; ties -> lowest index."""
-    return (F.array_position(probs, F.array_max(probs)) - 1).cast("int")
+    return _once(probs, lambda p: (F.array_position(p, F.array_max(p)) - 1).cast("int"))
 
 
 def per_class_report(df: DataFrame, label="label", prediction="prediction", classes=None) -> DataFrame:
