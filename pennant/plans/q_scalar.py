@@ -16,9 +16,9 @@ KEY = ["team_name", "year"]
 def scored(spark, sf):
     """Deterministic scored frame: predicted wins = Pythagorean pct x 162,
     division probability = in-season wins percentile (no model needed)."""
-    f = features(spark, sf)
-    return f.select(*KEY, "era", "wins", "losses", "games_behind", "total_games", "runs_scored", "runs_allowed",
-                    "is_division_winner", (F.col("pythagorean_win_pct") * 162).alias("predicted_wins"),
+    own = [*KEY, "era", "wins", "losses", "games_behind", "total_games", "runs_scored", "runs_allowed", "is_division_winner"]
+    f = features(spark, sf, [*own, "pythagorean_win_pct", "wins_percentile"])
+    return f.select(*own, (F.col("pythagorean_win_pct") * 162).alias("predicted_wins"),
                     F.col("wins_percentile").alias("division_winner_probability"))
 
 
