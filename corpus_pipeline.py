@@ -17,8 +17,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Min-max near-dedup: the smallest doc_id of each group stays."""
-    return minmax.keep_one(docs)
+    """Min-max near-dedup at similarity 0.8 or more: the smallest doc_id of each group stays."""
+    return minmax.keep_one(docs, percent=80)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,11 +1,11 @@
 """Near-duplicate documents by min-max hashing.
 
 A document is the set of its five-word shingles.  Every permutation of the shingle hashes gives two signature values,
-the smallest and the largest, so 126 hash evaluations per shingle give the 252 values of 36 bands of 7 rows.  A pair
-of similarity 0.85 shares no band with probability 1e-6 (0.9: 2e-10); a pair below 0.3 shares one with probability
-0.8 %.
+the smallest and the largest.  Bands and rows follow from the threshold (:func:`bands_for`), so that a pair at the
+threshold shares no band with probability 1e-6 at most: 36 bands of 7 rows (126 hash evaluations per shingle) for 0.85,
+46 of 6 (138) for 0.80.  A pair below 0.3 shares one with probability 0.8 % (3.3 % for 0.80).
 
-1. One pass over the texts writes a narrow table: size of the set, a 128-bit hash of the set, 36 band keys.
+1. One pass over the texts writes a narrow table: size of the set, a 128-bit hash of the set, the band keys.
 2. Equal sets are one class, represented by its smallest doc_id (aggregated map-side: a group of copies that holds a
    third of all rows costs one row per task).
 3. In every band bucket each class is tied to the smallest one (one row per class and bucket, never a pair within the
@@ -20,6 +20,7 @@ There is no cap anywhere: the blocks of a large cluster cover all its pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,13 +32,25 @@ from pennant.llm.common import written
 from pennant.llm.graph import components
 from pennant.llm.hashing import mix64, runs, seeds, shingle_hashes, text_bytes, word_hashes
 
-BANDS, ROWS = 36, 7
+#: A pair at the threshold shares no band with this probability at most; signature values that are spent on it.
+MISS, VALUES = 1e-6, 288
 #: Bounds of a block: classes, and bytes of their sets.
 BLOCK_SETS, BLOCK_BYTES = 400, 8 << 20
 _STEP = 1 << 15
 _SIGNATURE = "doc_id long, n_shingles long, set_hash binary, bands array<long>"
 
 
+def bands_for(percent: int) -> tuple[int, int]:
+    """Bands and rows: as many rows as VALUES allow (at least one), and for them the fewest bands that keep to MISS."""
+    similar, best = min(percent, 99) / 100, None
+    for rows in range(1, VALUES + 1):
+        bands = math.ceil(math.log(MISS) / math.log1p(-similar ** rows))
+        if best and bands * rows > VALUES:
+            break
+        best = bands, rows
+    return best
+
+
 def min_max(hashes: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
     """Signatures of texts that have shingles: for each of n permutations the smallest and the largest value, side by side."""
     a, b = seeds(n, 11), seeds(n, 13)
@@ -108,7 +121,7 @@ def _signatures(bands: int, rows: int, size: int):
     return run
 
 
-def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", bands: int = BANDS, rows: int = ROWS, shingle: int = 5) -> DataFrame:
+def signatures(docs: DataFrame, bands: int, rows: int, key: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``set_hash``, ``bands`` for every row (no bands for an empty set)."""
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
         _signatures(bands, rows, shingle), _SIGNATURE)
@@ -226,7 +239,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     are linked with nothing.  A row without doc_id is linked with nothing: component null, kept.  Rows that repeat a
     doc_id are judged by their texts.  An empty table gives an empty result.
     """
-    sig = written(signatures(docs, key, text, shingle=shingle), "minmax-signatures")
+    sig = written(signatures(docs, *bands_for(percent), key, text, shingle), "minmax-signatures")
     linked = sig.where("doc_id is not null and n_shingles > 0")
     classes = written(linked.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"),
                                                      F.max("bands").alias("bands")), "minmax-classes")

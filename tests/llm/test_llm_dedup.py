@@ -86,6 +86,26 @@ def test_keep_one_keeps_columns_and_one_row_each(near):
     assert sum(r.doc_id is None for r in rows) == 1
 
 
+def test_pipeline_stage_drops_near_copies_from_080(spark, near):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(100)]
+    rows = [(1000, " ".join(words)), (1001, " ".join(words[:50] + ["x", "y", "z", "u", "v"] + words[55:])),     # 87 of 105: 0.829
+            (1002, " ".join(words[:50] + [f"q{i}" for i in range(9)] + words[59:]))]                             # 83 of 109: 0.761
+    docs = near.unionByName(spark.createDataFrame([(i, t, "x", None) for i, t in rows], SCHEMA))
+    _, top = brute_components(docs.collect(), 80)
+    assert (top[1000], top[1001], top[1002]) == (1000, 1000, 1002)
+    got = corpus_pipeline.near_dedup(spark, docs, None).collect()
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == sorted(set(top.values()))
+
+
+@pytest.mark.parametrize("percent", [1, 30, 80, 85, 90, 99, 100])
+def test_bands_find_pairs_at_the_threshold(percent):
+    bands, rows = minmax.bands_for(percent)
+    assert (1 - (percent / 100) ** rows) ** bands <= 1e-6
+    assert minmax.bands_for(85) == (36, 7)
+
+
 def test_near_duplicates_of_nothing(near):
     assert minmax.near_duplicates(near.limit(0)).count() == 0
     assert minmax.keep_one(near.limit(0)).count() == 0
