@@ -1,6 +1,7 @@
 """Secret scan: candidate strings by pattern, false positives removed by a random forest.
 
-Candidates are long runs of key-like characters.  The forest sees a candidate's length and make-up, its character
+Candidates are long runs of key-like characters, and any value of six or more characters that is assigned to a secret's
+name (in quotes, or without spaces).  The forest sees a candidate's length and make-up, its character
 transitions (changes of class, and the mean log-probability of its letter pairs under the corpus' own words), how much
 of it dictionary words cover (words that occur in the corpus at least five times), the path it was found under, and
 the words beside it.  It is trained on labelled findings; where no labels are given, findings whose format or context
@@ -22,8 +23,16 @@ from pennant.llm.common import small, written
 
 #: A candidate: a whole run of 12 or more key characters with a digit in it, or of 16 or more capitals.
 CANDIDATE = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9]|[A-Z]{16})[A-Za-z0-9+/_\-]{12,}={0,2}"
-NAMES = r"(?i)(pass(word|wd|phrase)?|secret|token|api[_ \-]?key|access[_ \-]?key|private[_ \-]?key|auth|credential)s?"
-ASSIGNED = NAMES + r"[\"']?\s*(=|:|:=|=>)\s*[\"']?$"
+NAMES = r"(?i:(?:pass(?:word|wd|phrase)?|secret|token|api[_ \-]?key|access[_ \-]?key|private[_ \-]?key|auth|credential)s?)"
+#: What may stand between a secret's name and its value; bounded, so that it can be looked back at.
+SIGN = r"[0-9]{0,8}(?i:key|value)?(?:[_\-][A-Za-z0-9_\-]{0,40})?[\"']?[ \t]{0,32}(?::=|=>|={1,3}|:)[ \t]{0,32}"
+ASSIGNED = NAMES + r"[\"']?\s*(=|:|:=|=>)\s*[\"']?$|" + NAMES + SIGN + r"[\"']?$"
+#: A value after a name and a sign: what is in quotes, else all up to a space or quote without closing punctuation.  The
+#: short looks back keep the long one from most places.
+VALUE = (r"(?<=[=:> \t\"'])(?<=[=:>][ \t]{0,32}[\"']?)(?<=" + NAMES + SIGN + r"[\"']?)"
+         r"(?:(?<=\")[^\"\r\n]{6,}(?=\")|(?<=')[^'\r\n]{6,}(?=')|[^\s\"']{5,}[^\s\"'.,;:)\]}>])")
+#: Everything the scan looks at.  A run of CANDIDATE that begins where a VALUE does is a part of it.
+FOUND = VALUE + "|" + CANDIDATE
 FEATURES = ("length", "digits", "capitals", "distinct", "changes", "is_hex", "transition", "coverage", "path_hint", "path_bucket",
             "assigned", "named", "before_word", "after_quote", "dashes")
 MARK = "[SECRET]"
@@ -33,8 +42,8 @@ def candidates(docs: DataFrame, text: str = "text", path: str = "source", keep:
     """A row per candidate: columns ``keep``, ``path``, ``place`` (its number in the text, from 0), ``start`` (code
     points before it), ``value``, ``before`` (48 characters), ``after`` (16).  Null and empty texts have none."""
     t = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(*(keep or []), F.coalesce(F.col(path), F.lit("")).alias("path"), t.alias("_t")).where(F.col("_t").rlike(CANDIDATE))
-    rows = rows.withColumn("_m", F.regexp_extract_all("_t", F.lit(CANDIDATE), 0)).withColumn("_s", F.split("_t", CANDIDATE, -1)).drop("_t")
+    rows = docs.select(*(keep or []), F.coalesce(F.col(path), F.lit("")).alias("path"), t.alias("_t")).where(F.col("_t").rlike(FOUND))
+    rows = rows.withColumn("_m", F.regexp_extract_all("_t", F.lit(FOUND), 0)).withColumn("_s", F.split("_t", FOUND, -1)).drop("_t")
     ends = F.aggregate(F.zip_with(F.slice("_s", F.lit(1), F.size("_m")), "_m", lambda s, m: F.struct(F.length(s).alias("s"), F.length(m).alias("m"))),
                        F.expr("array(cast(0 as bigint))"), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x["s"] + x["m"])))
     rows = rows.withColumn("_at", ends)
@@ -89,13 +98,21 @@ def featured(found: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def provable(found: DataFrame) -> DataFrame:
-    """Adds ``label``: 1.0 for a known key format or a value assigned to a secret's name; 0.0 for plain numbers, dates,
-    UUIDs, placeholders and lower-case words with numbers, where no secret's name stands before; null for the rest."""
+    """Adds ``label`` to a featured frame.  1.0: a known key format, or a value assigned to a secret's name that is a run
+    of CANDIDATE or mixes three kinds of characters.  0.0: placeholders; plain numbers, dates, UUIDs and lower-case
+    words with numbers where no secret's name stands before; and, after a name, templates, keywords, calls without
+    quotes, and single words of the corpus' dictionary.  Null for the rest."""
     v, named = F.col("value"), F.col("before").rlike(ASSIGNED)
     format_ = v.rlike(r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^sk_live_[A-Za-z0-9]{16,}$|^xox[bap]-[A-Za-z0-9\-]{20,}$")
     dummy = v.rlike(r"(?i)example|x{6}|0{8}|1234567|^changeme")
     plain = v.rlike(r"^[0-9/+_\-]+$|^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$|^[a-z/_\-]+[0-9]{0,4}$")
-    return found.withColumn("label", F.when(dummy, 0.0).when(format_ | named, 1.0).when(plain, 0.0))
+    run = v.rlike("^" + CANDIDATE + "$")
+    mixed = sum(F.when(v.rlike(p), 1).otherwise(0) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9\s]")) >= 3
+    template = v.rlike(r"(?i)^(\$?\{.*\}|\$\(.*\)|<.*>|%.*%|[*._\-]+|null|false|undefined|string|required|optional|missing|invalid|unknown|default)$")
+    call = v.rlike(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)*[(\[]") & ~F.col("before").rlike("[\"']$")
+    word = v.rlike("^[A-Za-z]?[a-z]+$") & (F.col("coverage") >= 1)
+    return found.withColumn("label", F.when(dummy, 0.0).when(format_ | (named & run), 1.0).when(named & (template | call | word), 0.0)
+                            .when(named & mixed & ~v.rlike(r"\s"), 1.0).when(plain & ~named, 0.0))
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text", path: str = "source", keep: list[Column] | None = None,
@@ -109,7 +126,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text",
     """
     found = written(candidates(docs, text, path, keep), "secret-candidates")
     words = written(dictionary(docs, text), "secret-words")
-    rows = written(featured(provable(found), words), "secret-features")
+    rows = written(provable(featured(found, words)), "secret-features")
     source = rows if labelled is None else featured(labelled, words)
     order = F.xxhash64("value", "before", "after", "path")
     sample = source.where("label is not null").select("label", *FEATURES, order.alias("_o")).distinct().orderBy("_o").limit(most_labels)
@@ -134,10 +151,10 @@ def redact(docs: DataFrame, text: str = "text", path: str = "source", **how) ->
     key = digest(F.coalesce(F.col(text), F.lit("")), F.coalesce(F.col(path).cast("string"), F.lit("")))
     found = scan(docs, text=text, path=path, keep=[key.alias("_key")], **how)
     marks = found.where("is_secret").select("_key", "place").distinct().groupBy("_key").agg(F.collect_set("place").alias("_places"))
-    has = F.coalesce(F.col(text), F.lit("")).rlike(CANDIDATE)
+    has = F.coalesce(F.col(text), F.lit("")).rlike(FOUND)
     rows = docs.where(has).select(F.struct("*").alias("_doc"), key.alias("_key")).join(small(marks), "_key", "left")
     t = F.col(f"_doc.{text}")
-    matches, between = F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0)), F.split(t, CANDIDATE, -1)
+    matches, between = F.regexp_extract_all(t, F.lit(FOUND), F.lit(0)), F.split(t, FOUND, -1)
     parts = F.zip_with(between, F.transform(matches, lambda m, i: F.when(F.array_contains("_places", i), F.lit(MARK)).otherwise(m)),
                        lambda s, m: F.concat(s, F.coalesce(m, F.lit(""))))
     clean = F.when(F.col("_places").isNull(), t).otherwise(F.array_join(parts, ""))

@@ -205,6 +205,30 @@ def test_redaction_keeps_rows_and_columns(spark):
     assert secrets.redact(docs.limit(0)).count() == 0
 
 
+def test_assigned_values_of_any_make_are_found_and_judged(spark):
+    rng = random.Random(12)
+    letters = lambda k: "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", k=k))
+    said = ['password="Tr0ub4dor&3"', "password: correct-horse-battery-staple", 'secret_key = "kQzWvTnPaXbYcRdLmEoH"', 'token="aB3$kL9!pQ2#xY7"',
+            f"auth_token => '{letters(24)}'", "password = hunter2! and", "old2-api-key-name2=zxcvQWER", "apiKey: 'two part phrase7'"]
+    want = ["Tr0ub4dor&3", "correct-horse-battery-staple", "kQzWvTnPaXbYcRdLmEoH", "aB3$kL9!pQ2#xY7", said[4][15:-1], "hunter2!", "zxcvQWER", "two part phrase7"]
+    plain = ["the authors: somebody wrote it", "passwords and tokens are words", 'token: "abc"', "no secret here; ratio: something"]
+    words = [f"token: {w} is a word" for w in ("configuration", "documentation") for _ in range(40)]
+    made = secret_texts()
+    docs = docs_of(spark, [f"see {t} there" for t in said] + plain + words + [t for t, _, _ in made])
+    got = secrets.scan(docs, keep=[F.col("doc_id")]).where(F.col("doc_id") < len(said) + len(plain) + len(words)).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, {})[r.value] = r.is_secret
+    for i, value in enumerate(want):
+        assert by[i][value], said[i]
+    assert not any(i in by for i in range(len(said), len(said) + len(plain)))
+    first = len(said) + len(plain)
+    assert [by[i] for i in range(first, first + 80)] == [{w: False} for w in ("configuration", "documentation") for _ in range(40)]
+    clean = {r.doc_id: r.text for r in secrets.redact(docs).where(F.col("doc_id") < len(said)).collect()}
+    assert all(value not in clean[i] and secrets.MARK in clean[i] for i, value in enumerate(want))
+    assert clean[0] == f'see password="{secrets.MARK}" there' and clean[5] == f"see password = {secrets.MARK} and there"
+
+
 # --- chat
 
 def test_chat_round_trip(spark):
