@@ -121,7 +121,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text",
 
     ``labelled`` has the columns of :func:`candidates` and ``label`` (1.0 or 0.0; null rows are left out); default:
     the provable findings among the candidates.  The forest is fitted on at most ``most_labels`` labelled findings,
-    distinct ones, the first by hash.  If one of the two labels is missing nothing can be learned: then the provable
+    distinct ones: of each label the first by hash, half of the number (at least one), so a rare label is never crowded
+    out.  If one of the two labels is missing in all labelled findings nothing can be learned: then the provable
     label decides (score 1, 0, or 0.5 for the rest, which are not reported).  Empty tables give an empty result.
     """
     found = written(candidates(docs, text, path, keep), "secret-candidates")
@@ -129,8 +130,9 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text",
     rows = written(provable(featured(found, words)), "secret-features")
     source = rows if labelled is None else featured(labelled, words)
     order = F.xxhash64("value", "before", "after", "path")
-    sample = source.where("label is not null").select("label", *FEATURES, order.alias("_o")).distinct().orderBy("_o").limit(most_labels)
-    sample = written(sample.drop("_o"), "secret-sample")
+    known = source.where("label is not null").select("label", *FEATURES, order.alias("_o")).distinct()
+    secret, other = (known.where(c).orderBy("_o").limit(max(1, most_labels // 2)) for c in ("label = 1", "label = 0"))
+    sample = written(secret.unionByName(other).drop("_o"), "secret-sample")
     assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="_v")
     if sample.select("label").distinct().count() < 2:
         scored = rows.withColumn("score", F.coalesce("label", F.lit(0.5)))

@@ -229,6 +229,16 @@ def test_assigned_values_of_any_make_are_found_and_judged(spark):
     assert clean[0] == f'see password="{secrets.MARK}" there' and clean[5] == f"see password = {secrets.MARK} and there"
 
 
+def test_many_more_negatives_than_labels_in_the_sample(spark):
+    rng = random.Random(13)
+    base = lambda k: "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=k))
+    texts = [f"key AKIA{base(16)} here" for _ in range(20)] + [f"key {base(17)}7{base(2)} here" for _ in range(20)]
+    texts += [f"number {rng.randint(10 ** 15, 10 ** 16 - 1)} here" for _ in range(3000)]
+    docs = docs_of(spark, texts)
+    got = {r.doc_id: r.is_secret for r in secrets.scan(docs, keep=[F.col("doc_id")], most_labels=40).collect()}
+    assert all(got[i] for i in range(40)) and not any(got[i] for i in range(40, len(texts)))
+
+
 # --- chat
 
 def test_chat_round_trip(spark):
