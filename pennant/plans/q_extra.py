@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 
 from pennant.models import estimators as ES
 from pennant.models import forecast as FC
-from pennant.models import tuning as TU
 from pennant.operators import aggregates as A
 from pennant.operators import metrics_reg as MR
 from pennant.plans.catalog import clean_panel, features, out, register
 from pennant.sources.panel import quarter_panel
 from pennant.plans.q_metrics import reg_scored
-from pennant.plans.q_models import CLS_FEATURES, _members, _split, ml_data
+from pennant.plans.q_models import CLS_FEATURES, _split, forest_search, ml_data
 from pennant.plans.q_scalar import scored
 from pennant.sources import io as IO
 
@@ -74,11 +73,7 @@ def mr21(spark, sf):
 
 @register("TK8_top_tuning_results")
 def tk8(spark, sf):
-    d, tr, va, te, _ = _members(spark, sf)
-    rf = ES.random_forest_classifier()
-    maps = TU.random_param_maps(rf, {"maxDepth": [3, 5, 8], "minInstancesPerNode": [1, 5, 10]}, 4)
-    _, table = TU.cross_validate(spark, tr, rf, "classification", KEY, k=5, grid=maps)
-    return out(table.orderBy(F.desc("mean_score"), "param_index").limit(3))
+    return out(forest_search(spark, sf).orderBy(F.desc("mean_score"), "param_index").limit(3))
 
 
 @register("TK9_importance_ranking")
