@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pennant.llm import block_search, chat_events, minmax, mixing, packing, risk_rules, secrets, suffix_dedup, token_counts, url_lists
+from pennant.llm import block_search, chat_events, fill_middle, merkle, minmax, mixing, packing, risk_rules, secrets, suffix_dedup, token_counts, url_lists
 from pennant.llm.common import word_count
 from pennant.sources.tables import read_table
 
@@ -77,5 +77,24 @@ def op10_forest_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round("score", 6).alias("score"), "is_secret")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    rows, root = merkle.manifest(read_table(spark, sf_dir, "documents"), merkle.row_hash(*fields, F.col("text")), F.col("lang"), [F.col("doc_id")],
+                                 {"doc_id": F.col("doc_id"), "_other": F.when(tampered, merkle.row_hash(*fields, lowered))})
+    rows = rows.withColumn("folded_root", merkle.fold(F.coalesce("_other", "leaf"), F.col("path")))
+    root = F.lit(root).cast("string")
+    return rows.select("doc_id", "leaf", "subroot", root.alias("root"), F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"),
+                       "folded_root", (F.col("folded_root") == root).alias("verified"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(read_table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_hilbert_packing, op2_resync_token_counts, op3_prefix_free_dedup, op4_event_sourced_chat, op5_block_matrix_search, op6_temporal_url_lists, op7_risk_controlled_rules, op8_weighted_mix, op9_min_max_dedup, op10_forest_secret_scan)}
+    op1_hilbert_packing, op2_resync_token_counts, op3_prefix_free_dedup, op4_event_sourced_chat, op5_block_matrix_search, op6_temporal_url_lists, op7_risk_controlled_rules, op8_weighted_mix, op9_min_max_dedup, op10_forest_secret_scan,
+    op12_merkle_manifest, op13_fill_in_middle)}

@@ -117,4 +117,50 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20"""
 
-SQL = {"op4_event_sourced_chat": _CHAT, "op5_block_matrix_search": _NEAREST, "op6_temporal_url_lists": _URLS, "op7_risk_controlled_rules": _rules_sql(), "op8_weighted_mix": _MIX, "op9_min_max_dedup": _NEAR}
+_FIELD = "coalesce(strlen(COL::VARCHAR) || ':' || COL::VARCHAR, '-')"
+_LEAF = " || ".join(_FIELD.replace("COL", c) for c in ("doc_id", "source", "lang", "n_chars", "text"))
+# crc32 of a decimal number: bytes one after another, eight shifts each
+_CRC = """xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: xor(x // 2, (x % 2) * 3988292384))))"""
+
+_MERKLE = rf"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, coalesce('=' || lang, '') AS g, sha256({_LEAF}) AS leaf,
+  CASE WHEN {_CRC} % 3 = 0 THEN sha256({_LEAF.replace("text", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) END AS other
+  FROM documents),
+p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM d),
+t AS (SELECT 0 AS level, g, pos, leaf AS h, n FROM p
+  UNION ALL SELECT level + 1, g, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 7) // 8) FROM t WHERE n > 1 GROUP BY level, g, pos // 8),
+s AS MATERIALIZED (SELECT g, h AS subroot, level AS height, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT 0 AS level, pos, subroot AS h, n FROM s
+  UNION ALL SELECT level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 7) // 8) FROM u WHERE n > 1 GROUP BY level, pos // 8),
+nodes AS MATERIALIZED (SELECT 0 AS part, g, level, pos, h, n FROM t UNION ALL SELECT 1, NULL, level, pos, h, n FROM u),
+sib AS MATERIALIZED (SELECT a.part, a.g, a.level, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+  coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM nodes a JOIN nodes b ON a.part = b.part AND a.g IS NOT DISTINCT FROM b.g AND a.level = b.level AND a.pos // 8 = b.pos // 8
+  WHERE a.n > 1 GROUP BY ALL),
+w AS MATERIALIZED (SELECT row_number() OVER () AS rid, p.*, s.subroot, s.height, s.pos AS spos FROM p JOIN s USING (g)),
+f AS (SELECT rid, g, pos, spos, height, 0 AS step, coalesce(other, leaf) AS acc, '' AS proof FROM w
+  UNION ALL SELECT f.rid, f.g, f.pos, f.spos, f.height, f.step + 1, sha256(sib.l || f.acc || sib.r), f.proof || sib.l || sib.r
+  FROM f JOIN sib ON sib.part = CASE WHEN f.step < f.height THEN 0 ELSE 1 END
+    AND sib.g IS NOT DISTINCT FROM CASE WHEN f.step < f.height THEN f.g END
+    AND sib.level = CASE WHEN f.step < f.height THEN f.step ELSE f.step - f.height END
+    AND sib.pos = CASE WHEN f.step < f.height THEN f.pos // (8 ** f.step)::BIGINT ELSE f.spos // (8 ** (f.step - f.height))::BIGINT END),
+z AS (SELECT rid, arg_max(acc, step) AS folded_root, arg_max(proof, step) AS proof FROM f GROUP BY rid),
+root AS (SELECT h AS root FROM u WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM w JOIN z USING (rid), root"""
+
+_FILL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+  sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+h AS (SELECT doc_id, t, n, ('0x' || x[1:8])::BIGINT % (n + 1) AS a, ('0x' || x[9:16])::BIGINT % (n + 1) AS b,
+  ('0x' || x[17:24])::BIGINT % 100 AS c, ('0x' || x[25:32])::BIGINT % 100 AS e FROM d),
+f AS (SELECT *, least(a, b) AS low, greatest(a, b) AS high,
+  CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 90 THEN 'plain' WHEN e < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+o AS (SELECT *, t[1:low] AS p, t[low + 1:high] AS m, t[high + 1:] AS s FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN low END AS prefix_chars, CASE WHEN form <> 'plain' THEN high - low END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM o"""
+
+SQL = {"op4_event_sourced_chat": _CHAT, "op5_block_matrix_search": _NEAREST, "op6_temporal_url_lists": _URLS, "op7_risk_controlled_rules": _rules_sql(), "op8_weighted_mix": _MIX, "op9_min_max_dedup": _NEAR,
+       "op12_merkle_manifest": _MERKLE, "op13_fill_in_middle": _FILL}
