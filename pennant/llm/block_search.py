@@ -8,8 +8,8 @@ the codes by at most |q codes| * |c rest| + |q rest| * |c| (Cauchy-Schwarz, with
 reaches it are computed again in double precision from the original vectors.  Each tile gives at most k rows per
 query; heaps of k merge them.
 
-Within a block, of equal vectors only the k + 1 with the smallest ids can be among anyone's k nearest, so a vector
-that holds a third of all rows costs k + 1 rows a block.  The result is exact.
+Within a block a repeated row counts once, and of equal vectors only the k + 1 with the smallest ids can be among
+anyone's k nearest, so a vector that holds a third of all rows costs k + 1 rows a block.  The result is exact.
 """
 
 from __future__ import annotations
@@ -88,6 +88,8 @@ def _blocks(size: int, stripes: int, k: int, queries: bool):
         own, x = own[order], x[order]
         if not queries:
             same = np.unique(x, axis=0, return_inverse=True)[1].reshape(-1)
+            once = np.unique(np.stack([own, same], 1), axis=0, return_index=True)[1]     # a row that repeats is one
+            own, x, same = own[once], x[once], same[once]
             by = np.argsort(same, kind="stable")
             rank = np.empty(len(by), np.int64)
             rank[by] = np.arange(len(by)) - np.searchsorted(same[by], same[by])
@@ -172,7 +174,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_i
 
     All rows are candidates, but not a query's own id.  Vectors that are null, empty, zero or hold null or non-finite
     components take no part, nor do rows without an id; vectors of different lengths are never compared.  Ties go to
-    the smaller id.  Rows that repeat an id and vector count once; an empty table gives an empty result.
+    the smaller id.  Rows that repeat an id and vector count once.  An id with several vectors is a candidate with each
+    of them, and as a query stands for the smallest by components.  An empty table gives an empty result.
     """
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
     rows = rows.where("id is not null and v is not null")
@@ -180,7 +183,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_i
     stripes = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
     kind = "stripe int, dim int, ids binary, data binary"
     candidates = rows.select("id", "v").mapInArrow(_blocks(block, stripes, k, False), kind)
-    queries = rows.where("q").select("id", "v").dropDuplicates(["id"]).mapInArrow(_blocks(block, stripes, k, True), kind)
+    sound = ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0)
+    asked = rows.where("q").where(sound).groupBy("id").agg(F.min("v").alias("v"))
+    queries = asked.mapInArrow(_blocks(block, stripes, k, True), kind)
     c = written(candidates, "block-candidates").withColumnsRenamed({"ids": "c_ids", "data": "c_data"})
     q = written(queries, "block-queries").withColumnsRenamed({"ids": "q_ids", "data": "q_data"})
     tiles = q.hint("shuffle_hash").join(c, ["stripe", "dim"]).select("dim", "q_ids", "q_data", "c_ids", "c_data")

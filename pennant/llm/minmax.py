@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pennant.llm.common import written
@@ -37,7 +37,7 @@ MISS, VALUES = 1e-6, 288
 #: Bounds of a block: classes, and bytes of their sets.
 BLOCK_SETS, BLOCK_BYTES = 400, 8 << 20
 _STEP = 1 << 15
-_SIGNATURE = "doc_id long, n_shingles long, set_hash binary, bands array<long>"
+_SIGNATURE = "doc_id long, text_hash string, n_shingles long, set_hash binary, bands array<long>"
 
 
 def bands_for(percent: int) -> tuple[int, int]:
@@ -105,7 +105,7 @@ def _signatures(bands: int, rows: int, size: int):
     def run(batches):
         for batch in batches:
             ids = batch.column(0)
-            for low, h, first in shingle_sets(batch.column(1), size):
+            for low, h, first in shingle_sets(batch.column(2), size):
                 count = np.diff(first)
                 own = np.flatnonzero(count)
                 keys = np.zeros((0, bands), np.int64)
@@ -114,25 +114,36 @@ def _signatures(bands: int, rows: int, size: int):
                 offsets = np.zeros(len(count) + 1, np.int32)
                 np.cumsum(np.where(count > 0, bands, 0), out=offsets[1:])
                 yield pa.record_batch([
-                    ids.slice(low, len(count)), pa.array(count, pa.int64()),
+                    ids.slice(low, len(count)), batch.column(1).slice(low, len(count)), pa.array(count, pa.int64()),
                     pa.array([hashlib.blake2b(h[a:b].tobytes(), digest_size=16).digest() for a, b in zip(first, first[1:])], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel(), pa.int64()))],
-                    names=["doc_id", "n_shingles", "set_hash", "bands"])
+                    names=["doc_id", "text_hash", "n_shingles", "set_hash", "bands"])
     return run
 
 
+def text_hash(text: str) -> Column:
+    """128 bits of a text; null counts as empty."""
+    return F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
 def signatures(docs: DataFrame, bands: int, rows: int, key: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``set_hash``, ``bands`` for every row (no bands for an empty set)."""
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
+    """``doc_id``, ``text_hash``, ``n_shingles``, ``set_hash``, ``bands`` for every row (no bands for an empty set)."""
+    return docs.select(F.col(key).cast("long").alias("doc_id"), text_hash(text).alias("text_hash"), F.col(text).cast("string").alias("text")).mapInArrow(
         _signatures(bands, rows, shingle), _SIGNATURE)
 
 
 def clusters(classes: DataFrame) -> DataFrame:
-    """``id``, ``label`` of the classes (``rep``, ``bands``) that share a band with another, directly or through others."""
+    """``id``, ``label`` of the classes (``rep``, ``bands``) that share a band with another, directly or through others.
+
+    A class is tied to the smallest of its buckets' pivots only; its other pivots are tied to that one, and as pivots
+    repeat from class to class, few of those ties are distinct.
+    """
     keyed = written(classes.select("rep", F.explode("bands").alias("band")), "minmax-bands")
     shared = keyed.groupBy("band").agg(F.min("rep").alias("pivot"), F.max("rep").alias("other")).where("pivot < other")
-    ties = keyed.join(shared.select("band", "pivot"), "band").where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
-    return components(ties.distinct(), "minmax-cluster")
+    own = keyed.join(shared.select("band", "pivot"), "band").groupBy("rep").agg(F.collect_set("pivot").alias("pivots"))
+    own = own.select("rep", F.array_min("pivots").alias("b"), "pivots")
+    ties = own.select(F.col("rep").alias("a"), "b").unionByName(own.select(F.explode("pivots").alias("a"), "b").distinct())
+    return components(ties.where("a <> b"), "minmax-cluster")
 
 
 def _members(size: int):
@@ -231,14 +242,8 @@ def verified_links(docs: DataFrame, classes: DataFrame, cluster: DataFrame, key:
     return cells.repartition("label", "lo", "hi").sortWithinPartitions("label", "lo", "hi").mapInArrow(_cells(percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85, shingle: int = 5) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every row of ``docs``.
-
-    Documents are linked if 100 * |A & B| >= percent * |A | B| for their shingle sets; a component is named by its
-    smallest doc_id, which is the one kept.  Null and empty texts (or texts of white space) have an empty set and
-    are linked with nothing.  A row without doc_id is linked with nothing: component null, kept.  Rows that repeat a
-    doc_id are judged by their texts.  An empty table gives an empty result.
-    """
+def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85, shingle: int = 5) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``set_hash`` (null for an empty set), ``n_shingles``, ``component_id``, ``kept`` for every row."""
     sig = written(signatures(docs, *bands_for(percent), key, text, shingle), "minmax-signatures")
     linked = sig.where("doc_id is not null and n_shingles > 0")
     classes = written(linked.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"),
@@ -247,16 +252,38 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     label = components(verified_links(docs, classes, cluster, key, text, percent, shingle), "minmax-link")
     named = classes.select("set_hash", "rep").join(label.withColumnRenamed("id", "rep"), "rep", "left").select(
         "set_hash", F.coalesce("label", "rep").alias("component"))
-    out = sig.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("set_hash")).alias("set_hash"))
+    out = sig.select("doc_id", "text_hash", "n_shingles",
+                     F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("set_hash")).alias("set_hash"))
     out = out.join(named, "set_hash", "left")
     component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return out.select("doc_id", "text_hash", "set_hash", "n_shingles", component.alias("component_id"),
+                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85, shingle: int = 5) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every row of ``docs``.
+
+    Documents are linked if 100 * |A & B| >= percent * |A | B| for their shingle sets; a component is named by its
+    smallest doc_id, which is the one kept.  Null and empty texts (or texts of white space) have an empty set and
+    are linked with nothing.  A row without doc_id is linked with nothing: component null, kept.  Rows that repeat a
+    doc_id are judged by their texts.  An empty table gives an empty result.
+    """
+    return judged(docs, key, text, percent, shingle).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
-    """The rows of ``docs`` that :func:`near_duplicates` keeps, with all their columns; of rows that repeat a doc_id
-    one stays.  Rows without a doc_id all stay."""
-    kept = near_duplicates(docs, key, text, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id")).distinct()
-    known = docs.where(F.col(key).isNotNull()).select(F.struct("*").alias("doc"), F.col(key).cast("long").alias("_kept_id"))
-    one = known.join(kept, "_kept_id").groupBy("_kept_id").agg(F.first("doc").alias("doc")).select("doc.*")
-    return one.unionByName(docs.where(F.col(key).isNull()))
+    """The rows of ``docs`` that :func:`near_duplicates` keeps, with all their columns.
+
+    A row goes only if its own set was judged a copy, whatever other rows of its doc_id hold.  Of rows with equal
+    doc_id and equal sets (unless empty), those with the smallest text hash stay, and of rows with equal doc_id and
+    equal texts the one with the smallest hash over all columns, so reruns agree.  Rows without a doc_id all stay; an
+    empty table gives an empty result; columns may have any names, but none may be a map (maps have no hash).
+    """
+    verdict = judged(docs, key, text, percent).where("kept and doc_id is not null")
+    empty = verdict.where("set_hash is null").select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_text")).distinct()
+    one = verdict.where("set_hash is not null").groupBy(F.col("doc_id").alias("_kept_id"), "set_hash").agg(F.min("text_hash").alias("_kept_text"))
+    kept = one.select("_kept_id", "_kept_text").unionByName(empty)
+    known = docs.where(F.col(key).isNotNull()).select(F.struct("*").alias("doc"), F.col(key).cast("long").alias("_kept_id"),
+                                                      text_hash(text).alias("_kept_text"), F.xxhash64("*").alias("_order"))
+    rows = known.groupBy("_kept_id", "_kept_text").agg(F.min_by("doc", "_order").alias("doc")).join(kept, ["_kept_id", "_kept_text"])
+    return rows.select("doc.*").unionByName(docs.where(F.col(key).isNull()))

@@ -44,7 +44,7 @@ def test_quality_stage(spark, staged):
 
 
 def test_near_dedup_stage(staged):
-    _, top = brute_components(staged[0].collect())
+    _, top = brute_components(staged[0].collect(), 80)
     assert sorted(r.doc_id for r in staged[1].collect()) == sorted(set(top.values()))
 
 
@@ -100,4 +100,4 @@ def test_pack_stage(staged):
 
 def test_registered():
     names = E.queries()
-    assert "pipeline" in names and all(any(k.startswith(f"op{n}_") for k in names) for n in range(1, 11))
+    assert "pipeline" in names and all(any(k.startswith(f"op{n}_") for k in names) for n in range(1, 14))
