@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pennant.llm import block_search, chat_events, fill_middle, merkle, minmax, mixing, packing, risk_rules, secrets, suffix_dedup, token_counts, url_lists
+from pennant.llm import block_search, chat_events, fill_middle, grammar_ids, merkle, minmax, mixing, packing, risk_rules, secrets, suffix_dedup, token_counts, url_lists
 from pennant.llm.common import word_count
+from pennant.session import checkpoint_dir
 from pennant.sources.tables import read_table
 
 
@@ -77,6 +80,12 @@ def op10_forest_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round("score", 6).alias("score"), "is_secret")
 
 
+def op11_grammar_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = f"{checkpoint_dir(spark)}/llm/grammar-ids-{uuid.uuid4().hex}"
+    grammar_ids.write(read_table(spark, sf_dir, "documents"), files, tokenizer_path("word_bpe_49k.json"), 1)
+    return grammar_ids.read(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
     tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
@@ -97,4 +106,4 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_hilbert_packing, op2_resync_token_counts, op3_prefix_free_dedup, op4_event_sourced_chat, op5_block_matrix_search, op6_temporal_url_lists, op7_risk_controlled_rules, op8_weighted_mix, op9_min_max_dedup, op10_forest_secret_scan,
-    op12_merkle_manifest, op13_fill_in_middle)}
+    op11_grammar_token_files, op12_merkle_manifest, op13_fill_in_middle)}

@@ -27,10 +27,12 @@ def test_digest_columns_of_each_contract(spark):
         "op1_": "doc_id start length ids_crc32 doc_tokens sequence_id offset", "op2_": "doc_id n_bytes n_tokens over_limit",
         "op3_": "doc_id n_bytes n_removed n_spans kept_sha256", "op4_": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
         "op5_": "query_id rank vec_id score", "op7_": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
-        "op8_": "doc_id size source_size target taken", "op9_": "doc_id n_shingles component_id kept"}
+        "op8_": "doc_id size source_size target taken", "op9_": "doc_id n_shingles component_id kept",
+        "op11_": "doc_id start n_tokens ids_crc32", "op12_": "doc_id leaf subroot root proof_sha256 folded_root verified",
+        "op13_": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256"}
     longs = {"start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "n_bytes", "n_tokens", "n_removed", "n_spans", "n_turns", "loss_chars",
              "formatted_chars", "query_id", "vec_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "size", "source_size", "taken",
-             "n_shingles", "component_id", "doc_id", "conv_id"}
+             "n_shingles", "component_id", "doc_id", "conv_id", "n", "prefix_chars", "middle_chars"}
     for name, query in E.queries().items():
         for prefix, columns in want.items():
             if name.startswith(prefix):
