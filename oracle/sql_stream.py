@@ -1,4 +1,4 @@
-"""Batch-mode oracle SQL for the streaming keys that have one (SS2, SS3, SS5)."""
+"""Batch-mode oracle SQL for the streaming keys that have one (SS2 to SS5)."""
 
 from oracle.catalog_sql import SQL
 
@@ -29,3 +29,36 @@ SELECT l_suppkey AS team_id, CAST(year(l_shipdate) AS INTEGER) AS year,
   CAST(count_if(l_returnflag <> 'R') AS BIGINT) AS wins, count(*) AS games,
   CAST(count_if(l_returnflag <> 'R') AS DOUBLE) / count(*) * 162 AS pace_wins
 FROM lineitem GROUP BY 1, 2"""
+
+# members: smoothed error rates by one feature, fitted on slice 0; weights before batch b from cross-validation (b = 0)
+# or from the scores of the last five batches before it
+_SS4_MEMBERS = ("hour", "user_id", "k")
+_SS4_FEATURE = " UNION ALL ".join(f"SELECT event_id, slice, label, '{m}' AS model, {m} AS v FROM s" for m in _SS4_MEMBERS)
+SQL["SS4_stream_ensemble_weights"] = f"""
+WITH e AS (SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, hour(CAST(ts AS TIMESTAMP))::BIGINT AS hour, user_id,
+    CAST(trunc(CAST(props->>'$.k' AS DOUBLE)) AS BIGINT) AS k, CAST(event_type = 'error' AS BIGINT) AS label
+  FROM events WHERE ts IS NOT NULL AND event_type IS NOT NULL),
+s AS MATERIALIZED (SELECT *, (epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM e)) * 8
+    // ((SELECT max(epoch_us(ts)) - min(epoch_us(ts)) FROM e) + 1) AS slice FROM e),
+x AS MATERIALIZED ({_SS4_FEATURE}),
+base AS (SELECT avg(label) AS b FROM s WHERE slice = 0),
+rate AS (SELECT model, v, (sum(label) + 20.0 * (SELECT b FROM base)) / (count(*) + 20.0) AS r FROM x WHERE slice = 0 AND v IS NOT NULL GROUP BY ALL),
+folds AS (SELECT f, avg(label) FILTER (event_id % 5 <> f) AS b FROM s, range(5) t(f) WHERE slice = 0 GROUP BY f),
+frate AS (SELECT f, model, v, (sum(label) FILTER (event_id % 5 <> f) + 20.0 * any_value(b)) / (count(*) FILTER (event_id % 5 <> f) + 20.0) AS r
+  FROM x JOIN folds ON true WHERE slice = 0 AND v IS NOT NULL GROUP BY ALL HAVING count(*) FILTER (event_id % 5 <> f) > 0),
+cv AS (SELECT x.model, avg(CAST(CAST(coalesce(r, b) >= b AS BIGINT) = label AS DOUBLE)) AS score FROM x JOIN folds ON folds.f = x.event_id % 5
+  LEFT JOIN frate ON frate.f = folds.f AND frate.model = x.model AND frate.v = x.v WHERE slice = 0 GROUP BY 1),
+p AS MATERIALIZED (SELECT x.event_id, x.slice - 1 AS batch_id, x.label, x.model, coalesce(r, (SELECT b FROM base)) AS p
+  FROM x LEFT JOIN rate ON rate.model = x.model AND rate.v = x.v WHERE slice > 0),
+sc AS (SELECT batch_id, model, avg(CAST(CAST(p >= (SELECT b FROM base) AS BIGINT) = label AS DOUBLE)) AS score, count(*) AS n_events,
+  avg(p) AS mean_member, avg(label) AS error_rate FROM p GROUP BY ALL),
+h AS (SELECT a.batch_id, a.model, b.score, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY a.batch_id, a.model) AS n
+  FROM sc a JOIN sc b ON a.model = b.model AND b.batch_id BETWEEN a.batch_id - 4 AND a.batch_id
+  WINDOW w AS (PARTITION BY a.batch_id, a.model ORDER BY b.batch_id)),
+raw AS (SELECT batch_id, model, greatest(0.1, sum(score * exp(-1 + CASE WHEN n > 1 THEN i / (n - 1.0) ELSE 0 END))
+    / sum(exp(-1 + CASE WHEN n > 1 THEN i / (n - 1.0) ELSE 0 END))) AS s FROM h GROUP BY ALL
+  UNION ALL SELECT -1, model, greatest(0.1, score) FROM cv),
+wt AS (SELECT batch_id, model, s / sum(s) OVER (PARTITION BY batch_id) AS w FROM raw)
+SELECT sc.batch_id, sc.model, n_events, sc.score, u.w AS weight_used, n.w AS weight_next,
+  sum(u.w * mean_member) OVER (PARTITION BY sc.batch_id) AS mean_p, error_rate, n.w / u.w AS weight_change
+FROM sc JOIN wt u ON u.batch_id = sc.batch_id - 1 AND u.model = sc.model JOIN wt n ON n.batch_id = sc.batch_id AND n.model = sc.model"""

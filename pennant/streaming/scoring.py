@@ -1,19 +1,13 @@
-"""Structured Streaming operators (SS1-SS5).
+"""Structured Streaming: sources, scoring (SS1).
 
 The original has an online request predictor with a TTL cache and an
 online-updated ensemble; here they are streaming queries:
 
-* SS1 scoring: ``readStream`` -> per-row validation split -> features ->
-  fitted ``PipelineModel.transform`` -> file sink;
-* SS2 request cache: a request is answered anew unless its key was answered
-  less than the TTL before (state per request key: the last answer's time);
-* SS3 running statistics of the answered log: tumbling event-time windows,
-  update mode, the latest row per window (so the last window is complete);
-* SS4 ensemble weights from each member's last W scores per user:
-  ``applyInPandasWithState`` keyed by member and user (state = bounded list);
-* SS5 in-season projection on running totals: stateful ``groupBy().agg`` in
-  update mode; ``foreachBatch`` writes every micro-batch's updated rows to its
-  own ``batch_id=<n>`` directory (overwrite: a retried batch is idempotent).
+* SS1 scoring (this module): ``readStream`` -> per-row validation split ->
+  features -> fitted ``PipelineModel.transform`` -> file sink;
+* SS2 request cache and SS3 its running statistics: ``cache``;
+* SS4 ensemble weights, refreshed per micro-batch: ``weights``;
+* SS5 in-season projection on running totals: ``snapshots``.
 
 Every query runs with ``trigger(availableNow=True)`` and keeps its checkpoint
 (offsets + state) in the shared checkpoint folder, so a restarted driver or a
@@ -22,13 +16,8 @@ lost executor resumes exactly once.
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from pennant.sources.io import scratch_path
 from pennant.sources.tables import read_table, table_path
@@ -97,128 +86,3 @@ def stream_scoring(spark: SparkSession, sf_dir: str, model=None) -> DataFrame:
                                           vector_to_array("probability")[1].alias("p_error"),
                                           F.col("prediction").cast("int").alias("prediction"))
     return run_available(scored, spark, "ss1")
-
-
-def request_key(cols) -> F.Column:
-    """Hash of the request fields in a fixed (sorted) order."""
-    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in sorted(cols)])), 256)
-
-
-def _cache_state(ttl: float):
-    """Rows of a key by event time: a hit lies less than ``ttl`` seconds after the last answer (or before it)."""
-    def fn(key, pdfs, state):
-        rows = pd.concat(list(pdfs)).sort_values(["ts", "event_id"])
-        last, hits = (state.get[0] if state.exists else None), []
-        for t in rows["ts"].astype("int64").tolist():
-            hit = last is not None and t - last < ttl * 1e9
-            last = last if hit else t
-            hits.append(hit)
-        state.update((last,))
-        yield rows.assign(hit=hits)[["request_key", "user_id", "event_type", "event_id", "ts", "value", "hit"]]
-    return fn
-
-
-def stream_request_log(spark: SparkSession, stream: DataFrame, ttl_s: float = 3600.0, fields=("user_id", "event_type"),
-                       name: str = "requests") -> str:
-    """Runs the request cache over ``stream`` and returns the folder of its log: every request with ``hit``.
-
-    The state holds one number per request key, so it spreads over all tasks.  A key's rows are taken in event-time
-    order within a micro-batch; micro-batches of any size give the same log as long as they follow event time."""
-    s = stream.withColumn("request_key", request_key(fields)).select("request_key", "user_id", "event_type", "event_id",
-                                                                     F.col("ts").cast("timestamp").alias("ts"), "value")
-    log = s.groupBy("request_key").applyInPandasWithState(
-        _cache_state(ttl_s), "request_key string, user_id long, event_type string, event_id long, ts timestamp, value double, hit boolean",
-        "last long", "append", GroupStateTimeout.NoTimeout)
-    base = scratch_path(spark, name)
-    q = (log.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return f"{base}/out"
-
-
-def stream_dedupe(spark: SparkSession, sf_dir: str, ttl_s: float = 3600.0, fields=("user_id", "event_type")) -> DataFrame:
-    """SS2 — the requests that are answered anew; the others are hits of the cache."""
-    log = spark.read.parquet(stream_request_log(spark, event_stream(spark, sf_dir), ttl_s, fields, "ss2"))
-    return log.where(~F.col("hit")).select("request_key", *fields, "event_id", "ts")
-
-
-def latest_updates(agg: DataFrame, spark: SparkSession, name: str, keys) -> DataFrame:
-    """Runs an update-mode aggregation over everything available and returns the latest row per key.  Every
-    micro-batch's rows go to a folder of their own, which a retried batch overwrites."""
-    base = scratch_path(spark, name)
-
-    def sink(batch: DataFrame, batch_id: int):
-        batch.write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
-
-    q = (agg.writeStream.outputMode("update").foreachBatch(sink)
-         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    hist = spark.read.option("basePath", f"{base}/out").parquet(f"{base}/out/batch_id=*")
-    w = Window.partitionBy(*keys).orderBy(F.desc("batch_id"))
-    return hist.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn", "batch_id")
-
-
-def stream_window_stats(spark: SparkSession, sf_dir: str, window: str = "1 day", delay: str = "1 hour") -> DataFrame:
-    """SS3 — per tumbling window of the request log: total, hits, misses, hit rate, errors, error rate, mean value."""
-    path = stream_request_log(spark, event_stream(spark, sf_dir), name="ss3-log")
-    log = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    agg = log.withWatermark("ts", delay).groupBy(F.window("ts", window)).agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(F.col("hit")).alias("hits"),
-        F.count_if(F.col("event_type") == "error").alias("errors"),
-        # a decimal sum, so that the mean doesn't depend on the order in which batches arrive
-        F.try_divide(F.sum(F.col("value").cast("decimal(20,6)")).cast("double"), F.count("value")).alias("mean_value"))
-    agg = agg.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                     F.date_format("window.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"), "total", "hits", "errors", "mean_value")
-    cur = latest_updates(agg, spark, "ss3", ["window_start", "window_end"])
-    return cur.select("window_start", "window_end", "total", "hits", (F.col("total") - F.col("hits")).alias("misses"),
-                      (F.col("hits") / F.col("total")).alias("hit_rate"), "errors",
-                      (F.col("errors") / F.col("total")).alias("error_rate"), "mean_value")
-
-
-def _member_scores(df: DataFrame) -> DataFrame:
-    """Two deterministic member scores per event (stand-ins for model confidences)."""
-    return df.select("event_id", "user_id", "ts", F.inline(F.array(
-        F.struct(F.lit("member_a").alias("model"), ((F.col("value") % 10) / 10).alias("score")),
-        F.struct(F.lit("member_b").alias("model"),
-                 ((F.coalesce(F.get_json_object("props", "$.k").cast("double"), F.lit(0.0)) * 7) % 10 / 10)
-                 .alias("score")))))
-
-
-def _update_weights(window: int, every: int):
-    def fn(key, pdfs, state):
-        scores, n = (list(state.get[0]), int(state.get[1])) if state.exists else ([], 0)
-        rows = []
-        for s in pd.concat(list(pdfs)).sort_values(["ts", "event_id"])["score"].tolist():
-            scores = (scores + [float(s)])[-window:]      # bounded state: last W scores
-            n += 1
-            if n % every == 0:
-                w = np.exp(np.linspace(-1.0, 0.0, len(scores))) if len(scores) > 1 else np.array([math.exp(-1)])
-                rows.append((key[0], key[1], n, float(np.dot(w, scores) / w.sum())))
-        state.update((scores, n))
-        yield pd.DataFrame(rows, columns=["model", "user_id", "n_seen", "recent_score"])
-    return fn
-
-
-def stream_ensemble_weights(spark: SparkSession, sf_dir: str, window: int = 50, every: int = 10, floor: float = 0.1,
-                            stream: DataFrame | None = None) -> DataFrame:
-    """SS4 — per user, every ``every`` scores a member emits its recency-weighted score over the last ``window``
-    (rows in event-time order); weights = floored scores normalised per user and emission step."""
-    s = _member_scores(event_stream(spark, sf_dir) if stream is None else stream).where("user_id is not null")
-    out = s.groupBy("model", "user_id").applyInPandasWithState(
-        _update_weights(window, every), "model string, user_id long, n_seen long, recent_score double",
-        "scores array<double>, n long", "append", GroupStateTimeout.NoTimeout)
-    r = run_available(out, spark, "ss4")
-    r = r.withColumn("__f", F.greatest("recent_score", F.lit(floor)))
-    tot = r.groupBy("user_id", "n_seen").agg(F.sum("__f").alias("__t"))
-    return r.join(tot, ["user_id", "n_seen"]).select("model", "user_id", "n_seen", "recent_score", (F.col("__f") / F.col("__t")).alias("weight"))
-
-
-def stream_running_totals(spark: SparkSession, sf_dir: str, total_games: int = 162) -> DataFrame:
-    """SS5 — running wins / games per (supplier, season) from the line stream
-    (update mode); each micro-batch's updated totals are appended with their
-    batch id, the latest row per key is the current standing; pace projection."""
-    s = table_stream(spark, sf_dir, "lineitem")
-    agg = s.groupBy(F.col("l_suppkey").alias("team_id"), F.year("l_shipdate").cast("int").alias("year")).agg(
-        F.count_if(F.col("l_returnflag") != "R").alias("wins"), F.count(F.lit(1)).alias("games"))
-    cur = latest_updates(agg, spark, "ss5", ["team_id", "year"])
-    return cur.withColumn("pace_wins", F.col("wins") / F.col("games") * total_games)

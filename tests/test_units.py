@@ -99,56 +99,6 @@ def test_bootstrap_interval_contains_mean(spark):
     assert r.lower <= mean <= r.upper
 
 
-def answered_by_rule(rows, ttl=3600.0):
-    """Brute force: event ids answered anew, rows of a key by event time."""
-    last, got = {}, set()
-    for r in sorted(rows, key=lambda r: (r.ts, r.event_id)):
-        k = (r.user_id, r.event_type)
-        if k not in last or (r.ts - last[k]).total_seconds() >= ttl:
-            last[k] = r.ts
-            got.add(r.event_id)
-    return got
-
-
-def test_stream_dedupe_follows_the_ttl(spark):
-    from pennant.sources.tables import read_table
-    from pennant.streaming import scoring as SS
-    rows = read_table(spark, SF_SMALL, "events").select("user_id", "event_type", "event_id", "ts").collect()
-    want = answered_by_rule(rows)
-    assert 75 < len(want) <= len(rows)
-    assert {r.event_id for r in SS.stream_dedupe(spark, SF_SMALL).collect()} == want
-    day = answered_by_rule(rows, 86400.0)
-    assert {r.event_id for r in SS.stream_dedupe(spark, SF_SMALL, 86400.0).collect()} == day
-
-
-def test_streams_read_part_files_in_several_batches(spark, tmp_path):
-    """Four part files, one micro-batch each, give the rows of one file."""
-    import os
-
-    from pennant.sources.tables import read_table
-    from pennant.streaming import scoring as SS
-    ev = read_table(spark, SF_SMALL, "events")
-    cut = [r[0] for r in ev.selectExpr("percentile_approx(unix_micros(timestamp(ts)), array(0.25, 0.5, 0.75)) as q").first()]
-    edges = [None, *cut, None]
-    at = F.unix_micros(F.col("ts").cast("timestamp"))
-    for i, (a, b) in enumerate(zip(edges, edges[1:])):
-        part = ev.where((F.lit(True) if a is None else at > a) & (F.lit(True) if b is None else at <= b)).coalesce(1)
-        part.write.mode("append").parquet(str(tmp_path / "events.parquet"))
-        for f in (tmp_path / "events.parquet").glob("part-*"):
-            if not f.name.startswith("part-seen"):
-                f.rename(f.with_name(f"part-seen-{i}-{f.name}"))
-                os.utime(f.with_name(f"part-seen-{i}-{f.name}"), (1_700_000_000 + i, 1_700_000_000 + i))
-        for f in (tmp_path / "events.parquet").glob(".part-*.crc"):
-            f.unlink()
-    sf = str(tmp_path)
-    ids = lambda df: sorted(r.event_id for r in df.collect())
-    assert ids(SS.stream_dedupe(spark, sf)) == ids(SS.stream_dedupe(spark, SF_SMALL))
-    stats = lambda d: sorted(map(str, SS.stream_window_stats(spark, d).collect()))
-    assert stats(sf) == stats(SF_SMALL)
-    weights = lambda d: sorted((r.model, r.user_id, r.n_seen, round(r.weight, 9)) for r in SS.stream_ensemble_weights(spark, d).collect())
-    assert weights(sf) == weights(SF_SMALL) != []
-
-
 def test_approximate_paths_close_to_exact(spark):
     from pennant.operators import metrics_reg as MR
     df = spark.range(5000).select((F.col("id") % 97).cast("double").alias("y"),
