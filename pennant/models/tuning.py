@@ -78,16 +78,16 @@ def cross_validate(spark: SparkSession, train: DataFrame, estimator, kind: str,
                                               "max_score double, train_score double, train_gap double")
 
 
-def random_param_maps(estimator, space: dict, n_iter: int = 50, seed: int = 42):
-    """ML29 — seeded random search: ``n_iter`` ParamMaps drawn without repeats from the product of the value lists
-    (lists or ranges); all of them if the space is smaller.  50 is the reference's ``n_iter``."""
+def random_param_maps(space: dict, n_iter: int = 50, seed: int = 42) -> list[dict]:
+    """ML29 — seeded random search: ``n_iter`` maps drawn without repeats from the product of the value lists (lists or
+    ranges); all of them if the space is smaller.  50 is the reference's ``n_iter``."""
     size = math.prod(len(v) for v in space.values())
     maps = []
     for place in random.Random(seed).sample(range(size), min(n_iter, size)):
         drawn = {}
         for name, values in space.items():
             place, i = divmod(place, len(values))
-            drawn[estimator.getParam(name)] = values[i]
+            drawn[name] = values[i]
         maps.append(drawn)
     return maps
 

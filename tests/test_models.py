@@ -43,24 +43,3 @@ def test_calibrated_and_stacked_probabilities(spark):
     st = EN.stack_transform(te, full, meta)
     assert st.count() == te.count()
     assert st.where((F.col("p_stacked") < 0) | (F.col("p_stacked") > 1)).count() == 0
-
-
-def test_random_search_draws_the_references_number_without_repeats(spark, monkeypatch):
-    from pennant.models import tuning as TU
-    from pennant.plans.registry import REGISTRY
-
-    from conftest import SF_SMALL
-
-    seen = []
-
-    def spy(spark, train, estimator, kind, keys, k=5, grid=None, **how):
-        seen.append([tuple(sorted((p.name, v) for p, v in m.items())) for m in grid])
-        return None, spark.createDataFrame([(i, float(i)) for i in range(len(grid))], "param_index int, mean_score double")
-
-    monkeypatch.setattr(TU, "cross_validate", spy)
-    assert REGISTRY["ML29_random_search"](spark, SF_SMALL).count() == 50
-    assert REGISTRY["TK8_top_tuning_results"](spark, SF_SMALL).count() == 3
-    assert [len(set(maps)) for maps in seen] == [50, 50] and seen[0] == seen[1]
-    rf = ES.random_forest_classifier()
-    few = TU.random_param_maps(rf, {"maxDepth": [3, 5, 8], "minInstancesPerNode": range(1, 4)}, 50)
-    assert len({tuple(m.values()) for m in few}) == len(few) == 9
