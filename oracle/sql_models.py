@@ -94,3 +94,17 @@ q AS (SELECT quantile_cont(CAST(wins AS DOUBLE) - pythagorean_wins, 0.025) AS lo
         quantile_cont(CAST(wins AS DOUBLE) - pythagorean_wins, 0.975) AS hi FROM features)
 SELECT team_name, year, pythagorean_wins AS yhat, pythagorean_wins + lo AS lower_bound, pythagorean_wins + hi AS upper_bound
 FROM features, q"""
+
+# blocks of the isotonic fit from its definition: the value at i is the largest, over starts a <= i, of the smallest mean
+# over ends b >= i; equal values are one block
+SQL["ML9_isotonic_blocks"] = P_FEAT + """,
+g AS MATERIALIZED (SELECT home_win_pct AS x, sum(CAST(wins AS DOUBLE)) AS w, sum(CAST(is_division_winner AS DOUBLE) * wins) AS wy,
+        row_number() OVER (ORDER BY home_win_pct) AS i
+      FROM features WHERE home_win_pct IS NOT NULL AND is_division_winner IS NOT NULL AND wins > 0 GROUP BY home_win_pct),
+c AS MATERIALIZED (SELECT x, i, w, wy, sum(w) OVER (ORDER BY i) AS cw, sum(wy) OVER (ORDER BY i) AS cwy FROM g),
+m AS (SELECT a.i AS a, b.i AS b, (b.cwy - a.cwy + a.wy) / (b.cw - a.cw + a.w) AS mean FROM c a JOIN c b ON a.i <= b.i),
+low AS (SELECT a, b AS i, min(mean) OVER (PARTITION BY a ORDER BY b DESC) AS least FROM m),
+v AS (SELECT i, max(least) AS value FROM low GROUP BY i),
+k AS (SELECT c.*, sum(CASE WHEN value > before + 1e-9 THEN 1 ELSE 0 END) OVER (ORDER BY c.i) AS block
+      FROM c JOIN (SELECT i, value, lag(value) OVER (ORDER BY i) AS before FROM v) u ON u.i = c.i)
+SELECT min(x) AS low, max(x) AS high, sum(w) AS w, sum(wy) / sum(w) AS value FROM k GROUP BY block"""

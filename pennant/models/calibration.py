@@ -2,8 +2,8 @@
 
 Leakage-free: the base model is refitted on k-1 folds and scores the held-out
 fold (out-of-fold scores); a 1-D calibrator is fitted on those scores — a
-logistic regression on the logit (sigmoid / Platt) or MLlib's isotonic
-regression.  The final base model is fitted on all training rows.
+logistic regression on the logit (sigmoid / Platt) or an isotonic regression
+(:mod:`pennant.models.isotonic`).  The final base model is fitted on all training rows.
 """
 
 from __future__ import annotations
@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pennant.models.isotonic import apply_isotonic, fit_isotonic
 from pennant.operators.split import kfold
 
 
@@ -41,8 +41,7 @@ class CalibratedClassifier:
             oof = s if oof is None else oof.unionByName(s)
         oof = oof.withColumn("__z", _logit(F.col("__p")))
         if self.method == "isotonic":
-            self.calibrator = IsotonicRegression(featuresCol="__p", labelCol=self.label,
-                                                 predictionCol="__cal").fit(oof.withColumn("__p", F.col("__p")))
+            self.calibrator = fit_isotonic(oof, "__p", self.label)
         else:
             v = VectorAssembler(inputCols=["__z"], outputCol="__zv").transform(oof)
             self.calibrator = LogisticRegression(featuresCol="__zv", labelCol=self.label,
@@ -55,7 +54,7 @@ class CalibratedClassifier:
     def transform(self, df: DataFrame, out: str = "p") -> DataFrame:
         s = self.base.transform(df).withColumn("__p", vector_to_array("probability")[1])
         if self.method == "isotonic":
-            r = self.calibrator.transform(s).withColumn(out, F.col("__cal"))
+            r = apply_isotonic(s, self.calibrator, "__p", out)
         else:
             s = VectorAssembler(inputCols=["__z"], outputCol="__zv").transform(s.withColumn("__z", _logit(F.col("__p"))))
             r = self.calibrator.transform(s).withColumn(out, vector_to_array("__calp")[1])

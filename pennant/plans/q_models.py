@@ -23,6 +23,7 @@ from pennant.models import ensemble as EN
 from pennant.models import estimators as ES
 from pennant.models import forecast as FC
 from pennant.models import intervals as IV
+from pennant.models import isotonic as ISO
 from pennant.models import misc as MI
 from pennant.models import search as SE
 from pennant.models import tuning as TU
@@ -153,6 +154,12 @@ def ml9b(spark, sf):
     return out(m.transform(te).select(*KEY, "label", "p"))
 
 
+@register("ML9_isotonic_blocks")
+def ml9c(spark, sf):
+    d = features(spark, sf).select("home_win_pct", F.col("is_division_winner").cast("double").alias("y"), F.col("wins").cast("double").alias("w"))
+    return out(ISO.fit_isotonic(d, "home_win_pct", "y", "w"))
+
+
 @register("ML10_playoff_classifier")
 def ml10(spark, sf):
     d = ml_data(spark, sf, label="made_playoffs")
