@@ -76,10 +76,11 @@ def _corr_matrix(cols, src="features", rank=False):
 
 SQL["AG14_correlation_matrix"] = P_FEAT + "\n" + _corr_matrix(CORR_COLS)
 _sp = CORR_COLS[:5]
-SQL["AG14_spearman_matrix"] = P_FEAT + ",\nrk AS (SELECT " + ", ".join(
-    f"CASE WHEN {c} IS NULL THEN NULL ELSE rank() OVER (PARTITION BY {c} IS NULL ORDER BY {c}) "
-    f"+ (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 END AS {c}" for c in _sp) + " FROM features)\n" + \
-    _corr_matrix(_sp, "rk")
+# ranks among the rows where both columns are there, pair by pair
+SQL["AG14_spearman_matrix"] = P_FEAT + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr(ra, rb) AS corr FROM (SELECT rank() OVER (ORDER BY {a}) + (count(*) OVER (PARTITION BY {a}) - 1) / 2.0 AS ra, "
+    f"rank() OVER (ORDER BY {b}) + (count(*) OVER (PARTITION BY {b}) - 1) / 2.0 AS rb FROM features WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+    for a in _sp for b in _sp)
 SQL["AG15_target_correlations"] = P_FEAT + "\n" + "\nUNION ALL\n".join(
     f"SELECT '{f}' AS feature, corr(CAST({f} AS DOUBLE), CAST(next_year_wins AS DOUBLE)) AS corr, "
     f"abs(corr(CAST({f} AS DOUBLE), CAST(next_year_wins AS DOUBLE))) AS abs_corr FROM features" for f in FEATS)

@@ -3,12 +3,15 @@ ML41, ML42)."""
 
 from __future__ import annotations
 
+import hashlib
 import math
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pennant.functions.safe import attach_scalars, div
+from pennant.operators.vectors import vector_sums
 
 # Feature-group rules in evaluation order (first match wins).
 FEATURE_GROUP_RULES = (
@@ -70,28 +73,32 @@ def select_features(columns, model_type: str, exclude=(), wanted=MODEL_FEATURES)
 def fit_pythagorean_exponent(df: DataFrame, rs="runs_scored", ra="runs_allowed", wins="wins", games="total_games",
                              lo: float = 1.5, hi: float = 3.0, step: float = 0.01, fine_step: float = 0.0001) -> DataFrame:
     """ML13 — exponent in [lo, hi] minimising the MSE of games·rs^e/(rs^e+ra^e)
-    against wins: a coarse grid evaluated for every row in ONE pass (explode of
-    a fixed grid, partial aggregation per task), then a fine grid around the
-    coarse optimum (joined as a one-row broadcast)."""
-    n = int(round((hi - lo) / step))
-    base = df.select(F.col(rs).cast("double").alias("__rs"), F.col(ra).cast("double").alias("__ra"),
-                     F.col(wins).cast("double").alias("__w"), F.col(games).cast("double").alias("__g")) \
-        .where(F.col("__rs").isNotNull() & F.col("__ra").isNotNull() & F.col("__w").isNotNull())
-
-    def sse(frame, e):
-        a, b = F.pow(F.col("__rs"), e), F.pow(F.col("__ra"), e)
-        return F.pow(F.col("__g") * a / (a + b) - F.col("__w"), 2)
-
-    coarse = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(n))).alias("__k")) \
-        .withColumn("__e", F.lit(lo) + F.col("__k") * step)
-    c = coarse.groupBy("__k", "__e").agg(F.avg(sse(coarse, F.col("__e"))).alias("__mse")) \
-        .agg(F.min_by("__e", F.struct("__mse", "__e")).alias("__best"))
-    m = int(round(step / fine_step))
-    fine = attach_scalars(base, c).select("*", F.explode(F.sequence(F.lit(-m), F.lit(m))).alias("__k")) \
-        .withColumn("__e", F.col("__best") + F.col("__k") * fine_step) \
-        .where((F.col("__e") >= lo - 1e-12) & (F.col("__e") <= hi + 1e-12))
-    f = fine.groupBy("__k", "__e").agg(F.avg(sse(fine, F.col("__e"))).alias("__mse"))
-    return f.agg(F.min_by("__e", F.struct("__mse", "__e")).alias("exponent"), F.min("__mse").alias("mse"))
+    against wins: a coarse grid, then a fine grid around the coarse optimum.  A
+    pass adds up one vector per task, a squared error for each grid point; of
+    equal errors the smaller exponent wins.  Rows with a null take no part; nulls
+    without rows."""
+    base = df.select(*[F.col(c).cast("double").alias(n) for n, c in (("rs", rs), ("ra", ra), ("w", wins), ("g", games))]).na.drop()
+    n, m = int(round((hi - lo) / step)), int(round(step / fine_step))
+
+    def errors(grid: list[float]) -> list[float]:
+        def add(batch):
+            rs_, ra_, w, g = (batch[c].to_numpy() for c in ("rs", "ra", "w", "g"))
+            out = np.zeros(len(grid) + 1)
+            out[-1] = len(w)
+            for i, e in enumerate(grid):
+                top = rs_ ** e
+                with np.errstate(invalid="ignore"):
+                    out[i] = np.sum((g * top / (top + ra_ ** e) - w) ** 2)
+            return out
+        return vector_sums(base, add, len(grid) + 1).first()["sums"]
+
+    def best(grid: list[float]) -> tuple[float | None, float | None]:
+        *sums, rows = errors(grid)
+        return min(zip([s / rows for s in sums], grid))[::-1] if rows else (None, None)
+
+    top, _ = best([lo + k * step for k in range(n + 1)])
+    found = (None, None) if top is None else best([e for e in (top + k * fine_step for k in range(-m, m + 1)) if lo - 1e-12 <= e <= hi + 1e-12])
+    return df.sparkSession.createDataFrame([found], "exponent double, mse double")
 
 
 def milestone_report(df: DataFrame, prob_cols) -> DataFrame:
@@ -139,21 +146,38 @@ def poisson_cdf(resolution: float = 16.0 ** -13) -> list:
 POISSON_CDF = poisson_cdf()
 
 
+def poisson_weights(prefix: str, suffixes: list[bytes]) -> np.ndarray:
+    """Poisson(1) draws of one row: from the first 52 bits of md5(prefix + suffix), one suffix per replicate."""
+    first = hashlib.md5(prefix.encode())
+    digests = bytearray()
+    for s in suffixes:
+        h = first.copy()
+        h.update(s)
+        digests += h.digest()[:8]
+    u = ((np.frombuffer(digests, ">u8") >> 12).astype(np.float64) + 0.5) / float(16 ** 13)
+    return np.searchsorted(np.array(POISSON_CDF), u, side="left")
+
+
 def poisson_bootstrap(df: DataFrame, value: str, replicates: int = 1000, level: float = 0.95, seed: int = 42,
                       keys=("team_name", "year")) -> DataFrame:
     """ML42 — bootstrap interval of a mean without resampling rows: every row
     gets a Poisson(1) weight per replicate from a hash of (key, replicate,
-    seed); replicate means are weighted aggregates; the interval is the
-    percentile of replicate means.  Work is rows x replicates, fully parallel."""
-    from pennant.operators.split import stable_hash
-    d = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    d = d.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
-    u = (stable_hash([*keys, "rep"], seed).cast("double") + 0.5) / float(16 ** 13)
-    w = F.lit(len(POISSON_CDF))
-    for k in reversed(range(len(POISSON_CDF))):
-        w = F.when(u <= POISSON_CDF[k], F.lit(k)).otherwise(w)
-    d = d.withColumn("__w", w)
-    reps = d.groupBy("rep").agg(div(F.sum(F.col("__w") * F.col("__v")), F.sum("__w")).alias("__m"))
+    seed); a task adds up two vectors, weights and weighted values of all
+    replicates; the interval is the percentile of replicate means."""
+    d = df.select(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit("")).alias("key"), F.col(value).cast("double").alias("v"))
+    suffixes = [f"{rep}|{seed}".encode() for rep in range(replicates)]
+
+    def add(batch):
+        out = np.zeros((2, replicates))
+        for key, v in zip(batch["key"], batch["v"].to_numpy()):
+            w = poisson_weights(key, suffixes)
+            out[0] += w
+            out[1] += w * v
+        return out.ravel()
+
+    sums = vector_sums(d.where(F.col("v").isNotNull()), add, 2 * replicates)
+    pairs = F.arrays_zip(F.slice("sums", 1, replicates).alias("w"), F.slice("sums", replicates + 1, replicates).alias("s"))
+    reps = sums.select(F.inline(pairs)).toDF("w", "s").select(div(F.col("s"), F.col("w")).alias("__m"))
     a = (1 - level) / 2
     return reps.agg(F.percentile("__m", [a, 1 - a]).alias("__ci"), F.avg("__m").alias("bootstrap_mean")) \
         .select("bootstrap_mean", F.col("__ci")[0].alias("lower"), F.col("__ci")[1].alias("upper"))

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pennant.functions.safe import attach_scalars, div, round_half_up
-from pennant.operators.ranking import group_rank, quantiles
+from pennant.operators.ranking import prefix_counts, quantiles
+from pennant.session import materialize
 
 
 def _stack(r: DataFrame, names, fields, out_names) -> DataFrame:
@@ -126,21 +127,41 @@ def prediction_summary(df: DataFrame, pred="predicted_wins", winner="division_wi
 
 def correlation_matrix(df: DataFrame, columns, method: str = "pearson") -> DataFrame:
     """AG14 / AG16 — pairwise-complete correlations, long (col_a, col_b, corr); one
-    aggregation of the k*(k-1)/2 pairs (the matrix is symmetric) and k variances (its diagonal).  Spearman = Pearson on average ranks (ranks are
-    histogram-based, no global sort)."""
+    aggregation of the k*(k-1)/2 pairs (the matrix is symmetric) and k variances (its diagonal).  Spearman = Pearson on
+    average ranks (:func:`pairwise_ranks`)."""
     cols = list(columns)
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     if method == "spearman":
-        df = group_rank(df, [([], c, f"__r_{c}", "average", False) for c in cols])
-        src = {c: f"__r_{c}" for c in cols}
+        df, name = pairwise_ranks(df, cols)
     else:
-        src = {c: c for c in cols}
-    aggs = [F.corr(F.col(src[a]).cast("double"), F.col(src[b]).cast("double")).alias(f"{i}_{j}")
-            for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j]
-    r = df.agg(*aggs)
+        name = lambda a, b: a
+    r = df.agg(*[F.corr(F.col(name(cols[i], cols[j])).cast("double"), F.col(name(cols[j], cols[i])).cast("double")).alias(f"{i}_{j}") for i, j in pairs])
     parts = ", ".join(f"'{a}', '{b}', `{min(i, j)}_{max(i, j)}`" for i, a in enumerate(cols) for j, b in enumerate(cols))
     return r.selectExpr(f"stack({len(cols) ** 2}, {parts}) as (col_a, col_b, corr)")
 
 
+def pairwise_ranks(df: DataFrame, cols: list):
+    """Average ranks of every column, and for every other column with nulls its ranks among the rows where that one is
+    there too; returns a frame of one row per row of ``df`` and a function (column, other) -> name of the rank.
+
+    All ranks come from one long table (row, spec, value): it meets the specs' value counts in one join, whatever the
+    number of columns, and its rows are put together again by one grouping.  NaN counts as null.
+    """
+    held = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
+    held = materialize(held.withColumn("row", F.monotonically_increasing_id()))
+    gaps = held.agg(*[F.count_if(F.col(f"c{i}").isNull()).alias(f"c{i}") for i in range(len(cols))]).first()
+    gapped = [i for i in range(len(cols)) if gaps[f"c{i}"]]
+    specs = {(i, None): F.col(f"c{i}") for i in range(len(cols))}
+    specs |= {(i, j): F.when(F.col(f"c{j}").isNotNull(), F.col(f"c{i}")) for i in range(len(cols)) for j in gapped if i != j}
+    number = {s: n for n, s in enumerate(specs)}
+    long = held.select("row", F.posexplode(F.array(*specs.values())).alias("spec", "v")).where("v is not null")
+    counted = prefix_counts(long.groupBy("spec", "v").agg(F.count("*").alias("n")), ["spec"], "v", "n")
+    ranks = counted.select("spec", "v", (F.col("__below") + (F.col("n") + 1) / 2.0).alias("rank"))
+    per = long.join(ranks, ["spec", "v"]).groupBy("row").agg(*[F.max(F.when(F.col("spec") == n, F.col("rank"))).alias(f"r{n}") for n in range(len(specs))])
+    place = {c: i for i, c in enumerate(cols)}
+    return per, lambda a, b: f"r{number[(place[a], place[b] if place[b] in gapped and a != b else None)]}"
+
+
 def target_correlations(df: DataFrame, features, target: str) -> DataFrame:
     """AG15 — corr(feature, target) per feature with its absolute value."""
     r = df.agg(*[F.corr(F.col(f).cast("double"), F.col(target).cast("double")).alias(f) for f in features])
