@@ -1,9 +1,8 @@
 """Per-entity forecasting (ML34-ML37).
 
-* ML34 ARIMA-family order search (p <= 2, d <= 1, q <= 2) by AIC per entity:
-  ``groupBy(entity).applyInPandas`` with a numpy Hannan-Rissanen least-squares
-  fit — the one place a per-group Python function is justified (each group is
-  one entity's series: at most one row per period, so groups are bounded).
+* ML34 ARIMA order search (p <= 2, d <= 1, q <= 2) by AIC per entity: a row is
+  one entity's series (at most one value per period, so it is bounded), and a
+  task fits many series at once (:mod:`pennant.models.arima`).
 * ML35 Holt additive trend as an ``aggregate`` fold over the ordered series
   array (JVM-side, exact for fixed alpha/beta).
 * ML36 member-forecast ensemble (mean, std ddof 0) and ML37 horizon rows.
@@ -16,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pennant.models.arima import select
+
 
 def holt(df: DataFrame, value: str, alpha: float = 0.5, beta: float = 0.3, horizon: int = 2,
          entity="team_name", period="year") -> DataFrame:
@@ -57,70 +58,31 @@ def forecast_ensemble(members: DataFrame, entity="team_name", period="forecast_p
                                                F.count(F.lit(1)).alias("n_members"))
 
 
-def _arma_fit(y: np.ndarray, p: int, q: int):
-    """Hannan-Rissanen: long AR for innovations, then OLS of y on lags of y and
-    of the innovations.  Returns (coef, sigma2, n_eff, innovations, residuals) or None."""
-    n = len(y)
-    m = min(max(p + q + 1, 2), n // 3) if q > 0 else 0
-    e = np.zeros(n)
-    if q > 0:
-        if n - m < m + 2:
-            return None
-        X = np.column_stack([np.ones(n - m)] + [y[m - i - 1:n - i - 1] for i in range(m)])
-        b, *_ = np.linalg.lstsq(X, y[m:], rcond=None)
-        e[m:] = y[m:] - X @ b
-    start = max(p, q + m)
-    if n - start < p + q + 2:
-        return None
-    cols = [np.ones(n - start)] + [y[start - i - 1:n - i - 1] for i in range(p)] + \
-           [e[start - j - 1:n - j - 1] for j in range(q)]
-    X = np.column_stack(cols)
-    coef, *_ = np.linalg.lstsq(X, y[start:], rcond=None)
-    resid = y[start:] - X @ coef
-    return coef, float(np.mean(resid ** 2)), n - start, e, resid
-
-
-def _forecast_group(pdf: pd.DataFrame, value: str, period: str, entity: str, horizon: int,
-                    min_rows: int) -> pd.DataFrame:
-    pdf = pdf.sort_values(period)
-    y0 = pdf[value].astype(float).to_numpy()
-    cols = [entity, "forecast_period", "h", "forecast", "order", "aic"]
-    if len(y0) < min_rows or np.isnan(y0).any():
-        return pd.DataFrame(columns=cols)
-    # the order of differencing first, by the smaller variance; then all orders (p, q) on the same last residuals
-    d = int(np.var(np.diff(y0)) < np.var(y0))
-    y = np.diff(y0) if d else y0
-    fits = []
-    for p in range(3):
-        for q in range(3):
-            r = _arma_fit(y, p, q)
-            if r is not None and r[1] > 0:
-                fits.append((p, q, *r))
-    if not fits:
-        return pd.DataFrame(columns=cols)
-    common = min(f[4] for f in fits)
-    scored = [(common * np.log(max(float(np.mean(f[6][-common:] ** 2)), 1e-12)) + 2 * (f[0] + f[1] + 1), f) for f in fits]
-    aic, (p, q, coef, _, _, e, _) = min(scored, key=lambda x: (x[0], x[1][:2]))
-    hist, errs, out = list(y), list(e), []
-    for h in range(1, horizon + 1):
-        x = [1.0] + [hist[-i - 1] for i in range(p)] + [errs[-j - 1] for j in range(q)]
-        f = float(np.dot(coef, x))
-        hist.append(f)
-        errs.append(0.0)
-        out.append(f)
-    if d:
-        out = list(y0[-1] + np.cumsum(out))
-    last = int(pdf[period].max())
-    return pd.DataFrame({entity: pdf[entity].iloc[0], "forecast_period": [last + h for h in range(1, horizon + 1)],
-                         "h": list(range(1, horizon + 1)), "forecast": out,
-                         "order": f"({p},{d},{q})", "aic": float(aic)})
+def _forecast_chunks(horizon: int, chunk: int = 256):
+    """Series in, forecasts of the best order out; a chunk of series is fitted at once."""
+    def run(batches):
+        for batch in batches:
+            for low in range(0, len(batch), chunk):
+                part = batch.iloc[low:low + chunk]
+                best = select([np.array(s, float) for s in part["series"]], horizon)
+                rows = [(name, int(last) + h + 1, h + 1, f, "({},{},{})".format(*b[0]), b[1])
+                        for name, last, b in zip(part["entity"], part["last"], best) if b for h, f in enumerate(b[2])]
+                yield pd.DataFrame(rows, columns=["entity", "forecast_period", "h", "forecast", "order", "aic"])
+    return run
 
 
 def arima_forecasts(df: DataFrame, value: str, horizon: int = 2, min_rows: int = 10,
                     entity="team_name", period="year") -> DataFrame:
-    """ML34 — per-entity order search by AIC; entities with fewer than
-    ``min_rows`` periods or no successful fit are skipped."""
-    schema = f"{entity} string, forecast_period int, h int, forecast double, order string, aic double"
-    src = df.select(entity, period, value)
-    return src.groupBy(entity).applyInPandas(
-        lambda pdf: _forecast_group(pdf, value, period, entity, horizon, min_rows), schema)
+    """ML34 — per-entity order search (p, q <= 2, d <= 1) by AIC of the exact
+    likelihood; entities with fewer than ``min_rows`` periods, with a null value,
+    or without any variance are skipped.  A series is ordered by (period, value)
+    and has one value per row of its entity, so it is bounded by the periods."""
+    point = F.struct(F.col(period).alias("t"), F.col(value).cast("double").alias("y"))
+    g = df.groupBy(F.col(entity).cast("string").alias("entity")).agg(
+        F.array_sort(F.collect_list(point)).alias("s"), F.max(period).alias("last"), F.count_if(F.col(value).isNull()).alias("gaps"))
+    g = g.where((F.size("s") >= max(3, min_rows)) & (F.col("gaps") == 0) & F.col("entity").isNotNull())
+    g = g.select("entity", F.transform("s", lambda x: x["y"]).alias("series"), F.col("last").cast("int").alias("last"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))   # few bytes but much work: not to be merged by size
+    found = g.where(~F.exists("series", lambda v: F.isnan(v))).repartition(parts).mapInPandas(
+        _forecast_chunks(horizon), "entity string, forecast_period int, h int, forecast double, order string, aic double")
+    return found.withColumnRenamed("entity", entity)
