@@ -1,5 +1,5 @@
 """Model selection (ML25-ML30): train many, cross-validate, out-of-fold
-predictions, nested CV, grid / random search, learning curves.
+predictions, nested CV, grid search, parameter maps of a random search, learning curves.
 
 Folds are a hash column (``split.kfold``) so every fit sees the same,
 reproducible partition; folds are fitted in parallel (``parallelism``) on the
@@ -11,13 +11,17 @@ from __future__ import annotations
 import math
 import random
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pennant.operators.ranking import prefix_counts
 from pennant.operators.split import kfold, learning_curve_subsets
+from pennant.session import materialize
 
 
 def evaluator(kind: str, label: str = "label", metric: str | None = None):
@@ -48,30 +52,55 @@ def best_model(results: DataFrame, higher_is_better: bool = True) -> DataFrame:
                                                         (F.max if higher_is_better else F.min)("value").alias("best_value"))
 
 
+def scored_rows(model, rows: DataFrame, kind: str, label: str) -> DataFrame:
+    """``y`` and ``s`` (probability of the positive class, or the prediction) of a fitted model's rows."""
+    got = model.transform(rows)
+    if kind == "classification":
+        s = vector_to_array("probability" if "probability" in got.columns else "rawPrediction")[1]
+    else:
+        s = F.col("prediction").cast("double")
+    return got.select(F.col(label).cast("double").alias("y"), s.alias("s"))
+
+
+def metric_by(scored: DataFrame, keys: list[str], kind: str) -> DataFrame:
+    """``keys``, ``n``, ``value``: the metric of every group of scored rows at once: the exact area under the ROC curve (null
+    where a group has one class), or the root mean squared error.  However many models, it is the same few jobs."""
+    if kind != "classification":
+        return scored.groupBy(*keys).agg(F.count("*").alias("n"), F.sqrt(F.avg((F.col("s") - F.col("y")) ** 2)).alias("value"))
+    hist = scored.groupBy(*keys, "s").agg(F.sum("y").cast("long").alias("pos"), F.sum(1 - F.col("y")).cast("long").alias("neg"))
+    below = prefix_counts(hist, keys, "s", "neg")
+    got = below.groupBy(*keys).agg(F.sum(F.col("pos") + F.col("neg")).alias("n"), F.sum("pos").alias("p"), F.sum("neg").alias("q"),
+                                   F.sum(F.col("pos") * (F.col("__below") + F.col("neg") / 2)).alias("area"))
+    return got.select(*keys, "n", F.try_divide("area", (F.col("p") * F.col("q")).cast("double")).alias("value"))
+
+
 def cross_validate(spark: SparkSession, train: DataFrame, estimator, kind: str, keys, k: int = 5,
-                   label: str = "label", seed: int = 42, grid=None, parallelism: int = 2):
-    """ML26 / ML29 — cross-validation over a hash fold column: per parameter map the mean, std, min and max of the
-    fold metric, the mean of the metric on the training folds and its gap to the test folds.  Folds and maps are
-    fitted ``parallelism`` at a time on the cached frame; the best map is fitted again on all rows."""
+                   label: str = "label", seed: int = 42, grid=None, parallelism: int = 4):
+    """ML26 — cross-validation over a hash fold column: per parameter map the mean, std, min and max of the fold metric,
+    the mean of the metric on the training folds and its gap to the test folds.  Folds and maps are fitted
+    ``parallelism`` at a time on the cached frame; all models are scored and measured together (:func:`metric_by`), so
+    the jobs besides the fits do not grow with the maps; the best map is fitted again on all rows.  Folds whose
+    held-out rows are of one class have no area under a curve and are left out of the means."""
     d = kfold(train, keys, k, seed).persist()
-    ev = evaluator(kind, label)
     grid = grid or ParamGridBuilder().build()
 
     def one(job):
         i, f = job
-        rest, held = d.where(F.col("fold") != f), d.where(F.col("fold") == f)
-        m = estimator.fit(rest, grid[i])
-        return i, float(ev.evaluate(m.transform(held))), float(ev.evaluate(m.transform(rest)))
+        return i, f, estimator.fit(d.where(F.col("fold") != f), grid[i])
 
     with ThreadPoolExecutor(parallelism) as pool:
         done = list(pool.map(one, [(i, f) for i in range(len(grid)) for f in range(k)]))
-    rows = []
-    for i, pm in enumerate(grid):
-        test, fit = [t for j, t, _ in done if j == i], [t for j, _, t in done if j == i]
-        mean, fitted = sum(test) / k, sum(fit) / k
-        rows.append((i, str({p.name: v for p, v in pm.items()}), mean, (sum((t - mean) ** 2 for t in test) / k) ** 0.5, min(test), max(test),
-                     fitted, fitted - mean))
-    pick = (max if ev.isLargerBetter() else min)(rows, key=lambda r: r[2])[0]
+    parts = [scored_rows(m, rows, kind, label).select("*", F.lit(i).alias("param_index"), F.lit(f).alias("fold"), F.lit(held).alias("held"))
+             for i, f, m in done for held, rows in ((True, d.where(F.col("fold") == f)), (False, d.where(F.col("fold") != f)))]
+    got = metric_by(reduce(DataFrame.unionByName, parts), ["param_index", "fold", "held"], kind)
+    test, fit = F.when(F.col("held"), F.col("value")), F.when(~F.col("held"), F.col("value"))
+    names = spark.createDataFrame([(i, str({p.name: v for p, v in pm.items()})) for i, pm in enumerate(grid)], "param_index int, params string")
+    table = got.groupBy("param_index").agg(F.avg(test).alias("mean_score"), F.stddev_pop(test).alias("std_score"), F.min(test).alias("min_score"),
+                                           F.max(test).alias("max_score"), F.avg(fit).alias("train_score"))
+    rows = names.join(table, "param_index", "left").withColumn("train_gap", F.col("train_score") - F.col("mean_score")).orderBy("param_index").collect()
+    better = max if kind == "classification" else min
+    scores = [r["mean_score"] for r in rows if r["mean_score"] is not None]
+    pick = next((r["param_index"] for r in rows if scores and r["mean_score"] == better(scores)), 0)
     model = estimator.fit(d.drop("fold"), grid[pick])
     d.unpersist()
     return model, spark.createDataFrame(rows, "param_index int, params string, mean_score double, std_score double, min_score double, "
@@ -94,12 +123,9 @@ def random_param_maps(space: dict, n_iter: int = 50, seed: int = 42) -> list[dic
 
 def out_of_fold(train: DataFrame, estimator, keys, k: int = 5, seed: int = 42) -> DataFrame:
     """ML27 — union of per-fold scores of models that never saw the fold."""
-    d = kfold(train, keys, k, seed).persist()
+    d = materialize(kfold(train, keys, k, seed))
     parts = [estimator.fit(d.where(F.col("fold") != f)).transform(d.where(F.col("fold") == f)) for f in range(k)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def nested_cv(spark, train: DataFrame, estimator, grid, kind: str, keys, outer: int = 3, inner: int = 3,
@@ -119,16 +145,19 @@ def nested_cv(spark, train: DataFrame, estimator, grid, kind: str, keys, outer:
 def learning_curve(spark, train: DataFrame, test: DataFrame, estimator, kind: str, keys,
                    fractions=(0.1, 0.25, 0.5, 0.75, 1.0), label: str = "label") -> DataFrame:
     """ML30 — nested hash subsets; train / validation score per size and a
-    bias-variance diagnosis (gap > 0.1 -> high variance; val < 0.7 -> high bias)."""
-    ev = evaluator(kind, label)
-    subsets = learning_curve_subsets(train, keys, fractions).persist()
-    rows = []
+    bias-variance diagnosis (gap > 0.1 -> high variance; val < 0.7 -> high bias).
+    All models are measured together."""
+    subsets = materialize(learning_curve_subsets(train, keys, fractions))
+    parts = []
     for f in fractions:
-        tr = subsets.where(F.col("fraction") == f).drop("fraction")
-        m = estimator.fit(tr)
-        rows.append((float(f), tr.count(), float(ev.evaluate(m.transform(tr))), float(ev.evaluate(m.transform(test)))))
-    subsets.unpersist()
-    r = spark.createDataFrame(rows, "fraction double, n_train long, train_score double, val_score double")
+        own = subsets.where(F.col("fraction") == f).drop("fraction")
+        m = estimator.fit(own)
+        parts += [scored_rows(m, rows, kind, label).select("*", F.lit(float(f)).alias("fraction"), F.lit(part).alias("part"))
+                  for part, rows in (("train", own), ("val", test))]
+    got = metric_by(reduce(DataFrame.unionByName, parts), ["fraction", "part"], kind)
+    pick = lambda part, c: F.max(F.when(F.col("part") == part, F.col(c)))
+    r = got.groupBy("fraction").agg(pick("train", "n").cast("long").alias("n_train"), pick("train", "value").alias("train_score"),
+                                    pick("val", "value").alias("val_score"))
     gap = F.col("train_score") - F.col("val_score")
     return r.withColumn("diagnosis", F.when(gap > 0.1, "high variance").when(F.col("val_score") < 0.7, "high bias")
                         .otherwise("good fit"))

@@ -43,11 +43,10 @@ REG_FEATURES = ["runs_scored", "runs_allowed", "run_differential", "pythagorean_
 MILESTONES = [f"achieved_{t}_wins" for t in CFG.win_milestones] + ["made_playoffs"]
 
 
-def ml_data(spark, sf, feats=CLS_FEATURES, label="is_division_winner", balance: bool = True):
-    f = features(spark, sf)
-    cols = list(dict.fromkeys([*KEY, *feats, label, "wins", "games_behind", *MILESTONES, "total_games",
+def ml_data(spark, sf, feats=CLS_FEATURES, label="is_division_winner", balance: bool = True, targets=MILESTONES):
+    cols = list(dict.fromkeys([*KEY, *feats, label, "wins", "games_behind", *targets, "total_games",
                                "at_home_wins", "home_games", "runs_scored", "runs_allowed"]))
-    d = f.select(*cols) \
+    d = features(spark, sf, cols).select(*cols) \
         .na.drop(subset=[*feats, label]).withColumn("label", F.col(label).cast("double"))
     d = ES.assemble(d, feats)
     d = three_way_period_split(d, 2000)
@@ -64,7 +63,7 @@ def _scored(m, test):
 
 
 def _reg_data(spark, sf):
-    return ml_data(spark, sf, REG_FEATURES, "wins", balance=False)
+    return ml_data(spark, sf, REG_FEATURES, "wins", balance=False, targets=())
 
 
 @register("ML1_standard_scaler")

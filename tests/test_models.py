@@ -43,3 +43,39 @@ def test_calibrated_and_stacked_probabilities(spark):
     st = EN.stack_transform(te, full, meta)
     assert st.count() == te.count()
     assert st.where((F.col("p_stacked") < 0) | (F.col("p_stacked") > 1)).count() == 0
+
+
+def test_metrics_of_many_models_at_once(spark):
+    import numpy as np
+    import pytest
+
+    from pennant.models import search as SE
+    from pennant.models import tuning as TU
+
+    rng = np.random.default_rng(8)
+    rows = [(m, int(rng.random() < 0.4) if m < 3 else 1, float(rng.integers(0, 9 + m))) for m in range(4) for _ in range(150)]
+    df = spark.createDataFrame([(m, float(y), s) for m, y, s in rows], "model int, y double, s double").repartition(5)
+    got = {r.model: (r.n, r.value) for r in TU.metric_by(df, ["model"], "classification").collect()}
+    root = {r.model: r.value for r in TU.metric_by(df, ["model"], "regression").collect()}
+    for m in range(4):
+        y, s = (np.array([r[i] for r in rows if r[0] == m], float) for i in (1, 2))
+        want = SE.area_under_roc(s, y)
+        assert got[m][0] == 150 and (got[m][1] == pytest.approx(want) if m < 3 else got[m][1] is want is None)
+        assert root[m] == pytest.approx(float(np.sqrt(np.mean((s - y) ** 2))))
+
+
+def test_jobs_of_measuring_do_not_grow_with_the_maps(spark, monkeypatch):
+    from pennant.models import tuning as TU
+    from pyspark.ml.tuning import ParamGridBuilder
+
+    from conftest import SF_SMALL
+
+    tr, _, _ = _split(ml_data(spark, SF_SMALL))
+    lr, calls = ES.logistic(), []
+    real = TU.metric_by
+    monkeypatch.setattr(TU, "metric_by", lambda *a: calls.append(1) or real(*a))
+    for values in ([0.0], [0.0, 0.01, 0.1, 1.0]):
+        _, table = TU.cross_validate(spark, tr, lr, "classification", ["team_name", "year"], k=3,
+                                     grid=ParamGridBuilder().addGrid(lr.regParam, values).build())
+        assert table.count() == len(values)
+    assert len(calls) == 2
