@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pennant.session import materialize
+
 
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -64,24 +66,38 @@ def attach_scalars(df, one_row):
 
 def broadcast_if_small(df, max_rows: int = 1_000_000):
     """Broadcast a lookup table only behind a checked size: the table is
-    persisted, counted (one small job) and broadcast when it has at most
+    materialised, counted (one small job) and broadcast when it has at most
     ``max_rows`` rows; otherwise it is returned as is and the join falls back to
-    a shuffle join (AQE may still choose a broadcast from runtime statistics)."""
-    df = df.persist()
+    a shuffle join (AQE may still choose a broadcast from runtime statistics).
+    Nothing stays in executor storage."""
+    df = materialize(df)
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+#: Tables that :func:`persist_and_count` holds until :func:`release_held`.
+_HELD: list = []
+
+
 def persist_and_count(dfs):
     """Persist several tables and count their rows with ONE job (a union of
-    tagged rows, partially aggregated); returns the persisted tables and counts."""
+    tagged rows, partially aggregated); returns the persisted tables and counts.
+    The tables are held until the caller has written what reads them and calls
+    :func:`release_held`."""
     from functools import reduce
     dfs = [d.persist() for d in dfs]
+    _HELD.extend(dfs)
     tagged = [d.select(F.lit(i).alias("__t")) for i, d in enumerate(dfs)]
     got = {r["__t"]: r["n"] for r in reduce(lambda a, b: a.unionByName(b), tagged)
            .groupBy("__t").agg(F.count(F.lit(1)).alias("n")).collect()}
     return dfs, [got.get(i, 0) for i in range(len(dfs))]
 
 
+def release_held() -> None:
+    """Frees the executor storage of the tables held so far."""
+    while _HELD:
+        _HELD.pop().unpersist()
+
+
 def broadcast_all_if_small(dfs, max_rows: int = 1_000_000):
     """``broadcast_if_small`` for several lookup tables with ONE counting job."""
     dfs, counts = persist_and_count(dfs)

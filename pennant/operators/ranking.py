@@ -119,38 +119,62 @@ def group_rank(df: DataFrame, specs, source: DataFrame | None = None) -> DataFra
     return out
 
 
+#: Accuracy of the sketch that splits values into segments; only how many rows are sorted depends on it, not the result.
+SKETCH = 2_000
+
+
 def quantiles(df: DataFrame, value, qs, group=(), out: str = "quantiles") -> DataFrame:
     """Exact quantiles (linear interpolation: v[lo] + (v[hi] - v[lo]) * frac at position q·(n-1), as numpy /
-    ``quantile_cont``) without gathering a group: the value histogram gets prefix counts, and the two order statistics
-    around each position are found in one pass with a range lookup against the target table (groups x quantiles x 2
-    rows), which is broadcast if it is counted small; the histogram itself stays where its range partitioning put it.
+    ``quantile_cont``) by selection: neither a group nor all values are gathered, sorted or shuffled.
+
+    1. A mergeable sketch per group gives values near both sides of every quantile; they cut the group's values into
+       segments.
+    2. One counting pass (partially aggregated) tells exactly how many values lie in each segment, hence in which segment
+       each wanted order statistic lies, and how many values are below the segment.
+    3. Only values of these segments become a histogram with prefix counts, in which the order statistics are found.
+
     Returns one row per group with an array column ``out`` (same order as ``qs``)."""
-    g = list(group)
+    g, qs = list(group), [float(q) for q in qs]
     v = F.col(value).cast("double") if isinstance(value, str) else value.cast("double")
-    hist = (df.select(*g, v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-            .groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("__n")))
     keys = g or ["__grp"]
-    if not g:
-        hist = hist.withColumn("__grp", F.lit(0))
-    h = materialize(prefix_counts(hist, keys, "__v", "__n").select(*keys, "__v", "__n", "__below", "__tot"))
-    last = F.col("__tot") - 1
-    place = F.col("__q") * last
-    tg = h.select(*keys, "__tot").distinct().select("*", F.posexplode(F.array(*[F.lit(float(q)) for q in qs])).alias("__qi", "__q"))
-    tg = tg.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__qi", (place - F.floor(place)).alias("__frac"), F.explode(F.array(
-        F.struct(F.lit(0).alias("hi"), F.floor(place).cast("long").alias("at")),
-        F.struct(F.lit(1).alias("hi"), F.ceil(place).cast("long").alias("at")))).alias("__t"))
-    cond = (F.col("__below") <= F.col("__t.at")) & (F.col("__t.at") < F.col("__below") + F.col("__n"))
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    found = h.join(broadcast_if_small(tg), cond)                     # one match per target
-    both = found.groupBy(*keys, "__qi").agg(F.max("__frac").alias("__frac"), F.max(F.when(F.col("__t.hi") == 0, F.col("__v"))).alias("__lo"),
-                                            F.max(F.when(F.col("__t.hi") == 1, F.col("__v"))).alias("__up"))
+    rows = df.select(*[F.col(k) for k in g], *([] if g else [F.lit(0).alias("__grp")]), v.alias("__v"))
+    rows = materialize(rows.where(F.col("__v").isNotNull() & ~F.isnan("__v")))
+    near = sorted({min(1.0, max(0.0, q + side * 3 / SKETCH)) for q in qs for side in (-1, 1)})
+    edges = rows.groupBy(*keys).agg(F.percentile_approx("__v", near, SKETCH).alias("__edges"))
+    edges = broadcast_if_small(edges.select(*[F.col(k).alias(f"__e_{k}") for k in keys], "__edges"))
+    cut = rows.join(edges, _same(keys, "__e_")).select(*keys, "__v", F.size(F.filter("__edges", lambda e: e <= F.col("__v"))).alias("__seg"))
+    counts = cut.groupBy(*keys, "__seg").agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy(*keys)                                        # as many rows as segments
+    counts = counts.select(*keys, "__seg", "__n", F.sum("__n").over(w).alias("__tot"), (F.sum("__n").over(w.orderBy("__seg")) - F.col("__n")).alias("__before"))
+    places = F.transform(F.array(*[F.lit(q) for q in qs]), lambda q, i: F.struct(i.alias("qi"), (q * (F.col("__tot") - 1)).alias("p")))
+    targets = F.flatten(F.transform(places, lambda x: F.array(*[
+        F.struct(x["qi"].alias("qi"), F.lit(hi).alias("hi"), f(x["p"]).cast("long").alias("at"), (x["p"] - F.floor(x["p"])).alias("frac"))
+        for hi, f in ((0, F.floor), (1, F.ceil))])))
+    inside = F.filter(targets, lambda t: (t["at"] >= F.col("__before")) & (t["at"] < F.col("__before") + F.col("__n")))
+    wanted = counts.withColumn("__t", inside).where(F.size("__t") > 0)
+    wanted = broadcast_if_small(wanted.select(*[F.col(k).alias(f"__w_{k}") for k in keys], F.col("__seg").alias("__wseg"), "__before", "__t"))
+    here = _same(keys, "__w_") & (F.col("__seg") == F.col("__wseg"))
+    hist = cut.join(wanted, here, "left_semi").groupBy(*keys, "__seg", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    found = prefix_counts(hist, [*keys, "__seg"], "__v", "__n").join(wanted, here)
+    one = found.select(*keys, "__v", F.explode(F.filter("__t", lambda t: (t["at"] - F.col("__before") >= F.col("__below"))
+                                                          & (t["at"] - F.col("__before") < F.col("__below") + F.col("__n")))).alias("__t"))
+    both = one.groupBy(*keys, F.col("__t.qi").alias("__qi")).agg(
+        F.max("__t.frac").alias("__frac"), F.max(F.when(F.col("__t.hi") == 0, F.col("__v"))).alias("__lo"),
+        F.max(F.when(F.col("__t.hi") == 1, F.col("__v"))).alias("__up"))
     val = F.col("__lo") + (F.col("__up") - F.col("__lo")) * F.col("__frac")
     res = both.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__qi", val.alias("__val")))).alias("__s"))
     res = res.select(*keys, F.transform("__s", lambda s: s["__val"]).alias(out))
     return res.drop("__grp") if not g else res
 
 
+def _same(keys, prefix: str) -> Column:
+    """Null-safe equality of the key columns with their prefixed copies."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
+    return cond
+
+
 def rank_table(source: DataFrame, keys, specs, ranked: DataFrame | None = None, partition_by=None) -> DataFrame:
     """Narrow table ``keys + one pct column per spec``: the lookups run on a
     narrow projection (keys + ranked values) instead of the wide frame; with

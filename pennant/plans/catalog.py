@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pennant.config import SYNTHETIC
-from pennant.functions.safe import round_doubles
+from pennant.functions.safe import release_held, round_doubles
 from pennant.plans.features import engineer_features, materialize
 from pennant.plans.preprocess import preprocess
 from pennant.sources.panel import raw_team_season
@@ -44,13 +44,21 @@ def _memo(spark: SparkSession, sf: str, name: str, build):
     scoring all read them), so they are always materialised once per call;
     ``MEMO`` additionally reuses them across queries of the same application."""
     if not MEMO:
-        return materialize(build(), "checkpoint")
+        return _written(build)
     key = (spark.sparkContext.applicationId, sf.rstrip("/"), name, _version(spark, sf))
     if key not in _CACHE:
-        _CACHE[key] = materialize(build(), "checkpoint")
+        _CACHE[key] = _written(build)
     return _CACHE[key]
 
 
+def _written(build) -> DataFrame:
+    """Materialises what ``build`` makes; lookup tables persisted on the way are free again."""
+    try:
+        return materialize(build(), "checkpoint")
+    finally:
+        release_held()
+
+
 def _version(spark: SparkSession, sf: str, table: str = "lineitem") -> tuple:
     """Names, sizes and times of the table's files: a table that changes under its path has another version."""
     path = spark._jvm.org.apache.hadoop.fs.Path(table_path(sf, table))
@@ -73,5 +81,5 @@ def clean_panel(spark: SparkSession, sf: str) -> DataFrame:
 def features(spark: SparkSession, sf: str, columns=None) -> DataFrame:
     """The feature table, or only some of its columns: without the memo only the blocks behind them are built."""
     if columns is not None and not MEMO:
-        return materialize(engineer_features(clean_panel(spark, sf), CFG, columns=list(dict.fromkeys(columns))), "checkpoint")
+        return _written(lambda: engineer_features(clean_panel(spark, sf), CFG, columns=list(dict.fromkeys(columns))))
     return _memo(spark, sf, "features", lambda: engineer_features(clean_panel(spark, sf), CFG))

@@ -21,8 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pennant.config import DEFAULT, PanelConfig
-from pennant.functions.safe import broadcast_if_small, div
-from pennant.functions.safe import persist_and_count
+from pennant.functions.safe import broadcast_all_if_small, div, persist_and_count
 from pennant.operators.ranking import attach_ranks, rank_table, ranked_histogram, value_histogram
 from pennant.session import materialize  # noqa: F401  (re-exported)
 from pennant.sources.dims import era_open_case, playoff_spots_case
@@ -330,18 +329,24 @@ def _some_features(base: DataFrame, cfg: PanelConfig, materialize_base, columns:
     if any(need.values()):
         base = materialize(base, materialize_base)
     blank = lambda frame, names, kind: frame.withColumns({n: F.lit(None).cast(kind) for n in names})
-    out, specs = base, rank_specs(cfg)
+    out, specs, tables = base, rank_specs(cfg), []
     if need["period"]:
-        out = apply_period_statistics(out, broadcast_if_small(period_statistics(base, cfg), SMALL_TABLE_MAX_ROWS), cfg)
+        tables.append(period_statistics(base, cfg))
+    if need["era"]:
+        tables += era_statistics(base, cfg)
+    if need["playoff"]:
+        tables.append(playoff_keys(base, cfg))
+    tables = broadcast_all_if_small(tables, SMALL_TABLE_MAX_ROWS) if tables else []      # one counting job
+    if need["period"]:
+        out = apply_period_statistics(out, tables.pop(0), cfg)
     else:
         out = blank(out, [*PERIOD_COLUMNS, "normalized_competitive_balance"], "double")
     if need["era"]:
-        era, env = era_statistics(base, cfg)
-        out = apply_era_statistics(out, broadcast_if_small(era, SMALL_TABLE_MAX_ROWS), broadcast_if_small(env, SMALL_TABLE_MAX_ROWS), cfg)
+        out = apply_era_statistics(out, tables.pop(0), tables.pop(0), cfg)
     else:
         out = blank(out, [*[f"{c_}_era_zscore" for c_ in cfg.era_columns], "era_run_environment"], "double")
     if need["playoff"]:
-        out = apply_playoff_keys(out, broadcast_if_small(playoff_keys(base, cfg), SMALL_TABLE_MAX_ROWS), cfg)
+        out = apply_playoff_keys(out, tables.pop(0), cfg)
     else:
         out = blank(out, ["made_playoffs"], "int")
     if need["rank"]:
