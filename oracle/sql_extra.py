@@ -36,8 +36,8 @@ SQL["UD1_row_rules_builtin"] = P_FEAT + \
 SQL["UD2_group_transform_builtin"] = P_FEAT + \
     "\nSELECT team_name, year, offensive_rating, run_diff_consistency, wins_era_zscore FROM features"
 SQL["UD3_rolling_slope_builtin"] = P_FEAT + "\nSELECT team_name, year, wins_trend, winning_percentage_trend FROM features"
-SQL["UD5_partition_apply"] = P_CLEAN + """
-SELECT team_name, year, CASE WHEN CAST(runs_scored AS DOUBLE) * runs_scored + CAST(runs_allowed AS DOUBLE) * runs_allowed > 0
-  THEN CAST(wins + losses AS DOUBLE) * runs_scored * runs_scored
-       / (CAST(runs_scored AS DOUBLE) * runs_scored + CAST(runs_allowed AS DOUBLE) * runs_allowed) END AS pythag_wins_np
-FROM clean WHERE wins IS NOT NULL AND losses IS NOT NULL AND runs_scored IS NOT NULL AND runs_allowed IS NOT NULL"""
+# the solver's answer in closed form
+SQL["UD5_partition_apply"] = P_CLEAN + """,
+r AS (SELECT team_name, year, CASE WHEN wins > 0 AND losses > 0 AND runs_scored > 0 AND runs_allowed > 0 AND runs_scored <> runs_allowed
+  THEN ln(CAST(wins AS DOUBLE) / losses) / ln(CAST(runs_scored AS DOUBLE) / runs_allowed) END AS e FROM clean)
+SELECT team_name, year, CASE WHEN abs(e) < 59.999 THEN e END AS exponent FROM r"""

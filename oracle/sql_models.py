@@ -67,14 +67,15 @@ GROUP BY team_name, forecast_period"""
 SQL["ML37_horizon_rows"] = P_CLEAN + """
 SELECT team_name, CAST(max(year) + h AS INTEGER) AS forecast_period FROM clean, range(1, 4) t(h) GROUP BY team_name, h"""
 SQL["ML41_psi_drift"] = P_CLEAN + """,
+m AS (SELECT (min(year) + max(year)) // 2 AS mid FROM clean),
 ed AS (SELECT quantile_cont(CAST(winning_percentage AS DOUBLE), [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges
-       FROM clean WHERE year <= 1997),
+       FROM clean WHERE year <= (SELECT mid FROM m)),
 e AS (SELECT len(list_filter(edges, lambda x: winning_percentage > x)) AS bin,
-        count(*) / (SELECT count(winning_percentage) FROM clean WHERE year <= 1997) AS share
-      FROM clean, ed WHERE year <= 1997 AND winning_percentage IS NOT NULL GROUP BY 1),
+        count(*) / (SELECT count(winning_percentage) FROM clean WHERE year <= (SELECT mid FROM m)) AS share
+      FROM clean, ed WHERE year <= (SELECT mid FROM m) AND winning_percentage IS NOT NULL GROUP BY 1),
 a AS (SELECT len(list_filter(edges, lambda x: winning_percentage > x)) AS bin,
-        count(*) / (SELECT count(winning_percentage) FROM clean WHERE year >= 2000) AS share
-      FROM clean, ed WHERE year >= 2000 AND winning_percentage IS NOT NULL GROUP BY 1),
+        count(*) / (SELECT count(winning_percentage) FROM clean WHERE year > (SELECT mid FROM m)) AS share
+      FROM clean, ed WHERE year > (SELECT mid FROM m) AND winning_percentage IS NOT NULL GROUP BY 1),
 j AS (SELECT GREATEST(COALESCE(e.share, 0.0), 1e-4) AS e, GREATEST(COALESCE(a.share, 0.0), 1e-4) AS a
       FROM e FULL JOIN a ON e.bin = a.bin),
 r AS (SELECT sum((a - e) * ln(a / e)) AS psi FROM j)
@@ -108,3 +109,12 @@ v AS (SELECT i, max(least) AS value FROM low GROUP BY i),
 k AS (SELECT c.*, sum(CASE WHEN value > before + 1e-9 THEN 1 ELSE 0 END) OVER (ORDER BY c.i) AS block
       FROM c JOIN (SELECT i, value, lag(value) OVER (ORDER BY i) AS before FROM v) u ON u.i = c.i)
 SELECT min(x) AS low, max(x) AS high, sum(w) AS w, sum(wy) / sum(w) AS value FROM k GROUP BY block"""
+
+
+from pennant.plans.q_models import CLS_FEATURES  # noqa: E402
+
+_all = " AND ".join(f"{c} IS NOT NULL" for c in [*CLS_FEATURES, "is_division_winner"])
+SQL["ML1_standard_scaler"] = P_FEAT + f""",
+d AS (SELECT * FROM features WHERE {_all}),
+t AS (SELECT {", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_samp(CAST({c} AS DOUBLE)) AS s_{c}" for c in CLS_FEATURES)} FROM d WHERE year < 1999)
+SELECT team_name, year, {", ".join(f"CASE WHEN s_{c} > 0 THEN ({c} - m_{c}) / s_{c} ELSE 0.0 END AS scaled_{c}" for c in CLS_FEATURES)} FROM d, t"""

@@ -133,6 +133,15 @@ def psi(expected: DataFrame, actual: DataFrame, column: str, bins: int = 10, eps
                         .otherwise("none"))
 
 
+def drift(df: DataFrame, column: str, period: str = "year", until: int | None = None, bins: int = 10) -> DataFrame:
+    """ML41 — :func:`psi` between the periods up to ``until`` and all later ones (by default the middle of the range, so
+    that every period is read); null without rows."""
+    if until is None:
+        low, high = df.agg(F.min(period), F.max(period)).first()
+        until = 0 if low is None else (low + high) // 2
+    return psi(df.where(F.col(period) <= until), df.where(F.col(period) > until), column, bins)
+
+
 def poisson_cdf(resolution: float = 16.0 ** -13) -> list:
     """Distribution function of Poisson(1), up to the first value whose tail is below the hash's resolution."""
     cdf, term, k = [], math.exp(-1), 0

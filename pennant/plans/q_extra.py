@@ -2,13 +2,12 @@
 line of the inventory has its own registered query (AG26, CL20, IO4, JN7,
 MR8, MR16, MR17, MR21, TK8, TK9, UD1-UD6)."""
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from pennant.models import estimators as ES
 from pennant.models import forecast as FC
+from pennant.operators.apply import implied_exponents, parallel_apply
 from pennant.operators import aggregates as A
 from pennant.operators import metrics_reg as MR
 from pennant.plans.catalog import clean_panel, features, out, register
@@ -109,23 +108,11 @@ def ud4(spark, sf):
     return out(FC.arima_forecasts(quarter_panel(spark, sf), "run_differential", horizon=1, period="quarter"))
 
 
-def _pythag_batches(it):
-    for pdf in it:
-        rs = pdf["runs_scored"].to_numpy(dtype=float)
-        ra = pdf["runs_allowed"].to_numpy(dtype=float)
-        g = (pdf["wins"] + pdf["losses"]).to_numpy(dtype=float)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            pw = np.where(rs * rs + ra * ra > 0, g * rs * rs / (rs * rs + ra * ra), np.nan)
-        yield pd.DataFrame({"team_name": pdf["team_name"], "year": pdf["year"], "pythag_wins_np": pw})
-
-
 @register("UD5_partition_apply")
 def ud5(spark, sf):
-    """``parallel_apply`` becomes ``mapInPandas``: Arrow batches per partition,
-    vectorised numpy inside the task (Spark partitions the work)."""
-    p = clean_panel(spark, sf).select(*KEY, "wins", "losses", "runs_scored", "runs_allowed") \
-        .na.drop(subset=["wins", "losses", "runs_scored", "runs_allowed"])
-    return out(p.mapInPandas(_pythag_batches, "team_name string, year int, pythag_wins_np double"))
+    """``parallel_apply``: a numeric solver per row, which no built-in expresses, over Arrow batches."""
+    p = clean_panel(spark, sf).select(*KEY, "wins", "losses", "runs_scored", "runs_allowed")
+    return out(parallel_apply(p, implied_exponents, "team_name string, year int, exponent double"))
 
 
 @register("UD6_custom_evaluator")

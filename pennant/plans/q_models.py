@@ -71,7 +71,8 @@ def ml1(spark, sf):
     d = ml_data(spark, sf)
     tr, _, _ = _split(d)
     m = ES.scaler().fit(tr)
-    return out(m.transform(d).select(*KEY, vector_to_array("scaled").alias("scaled")))
+    rows = m.transform(d).select(*KEY, vector_to_array("scaled").alias("s"))
+    return out(rows.select(*KEY, *[F.col("s")[i].alias(f"scaled_{c}") for i, c in enumerate(CLS_FEATURES)]))
 
 
 @register("ML2_logistic_regression")
@@ -480,8 +481,7 @@ def ml40(spark, sf):
 
 @register("ML41_psi_drift")
 def ml41(spark, sf):
-    p = clean_panel(spark, sf)
-    return out(MI.psi(p.where(F.col("year") <= 1997), p.where(F.col("year") >= 2000), "winning_percentage"))
+    return out(MI.drift(clean_panel(spark, sf), "winning_percentage"))
 
 
 @register("ML42_poisson_bootstrap")

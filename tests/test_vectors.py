@@ -78,3 +78,26 @@ def test_spearman_joins_once_for_any_number_of_columns(spark):
     per, _ = A.pairwise_ranks(df, [f"x{i}" for i in range(6)])
     plan = per._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") <= 2                                               # the ranks, and the prefix sums of their counts
+
+
+def test_parallel_apply_solves_row_by_row(spark):
+    from pennant.operators.apply import implied_exponents, parallel_apply
+
+    rng = np.random.default_rng(3)
+    rows = [(f"t{i}", i, int(rng.integers(1, 90)), int(rng.integers(1, 90)), int(rng.integers(300, 900)), int(rng.integers(300, 900))) for i in range(200)]
+    rows += [("none", 1, 0, 5, 400, 300), ("all", 1, 5, 0, 400, 300), ("same", 1, 5, 4, 300, 300), ("null", 1, None, 4, 300, 200), ("far", 1, 80, 1, 300, 301)]
+    df = spark.createDataFrame(rows, "team_name string, year int, wins int, losses int, runs_scored int, runs_allowed int").repartition(5)
+    got = {r.team_name: r.exponent for r in parallel_apply(df, implied_exponents, "team_name string, year int, exponent double").collect()}
+    assert len(got) == len(rows) and all(got[k] is None for k in ("none", "all", "same", "null", "far"))
+    for name, _, w, l, rs, ra in rows[:200]:  # noqa: E741
+        want = math.log(w / l) / math.log(rs / ra) if rs != ra else None
+        assert got[name] is None if want is None or abs(want) > 59.99 else got[name] == pytest.approx(want, abs=1e-8)
+    assert parallel_apply(df.limit(0), implied_exponents, "team_name string, year int, exponent double").count() == 0
+
+
+def test_drift_reads_every_period(spark):
+    df = spark.range(700).select((F.lit(2000) + F.col("id") % 7).cast("int").alias("year"), (F.col("id") % 50 + F.when(F.col("id") % 7 > 3, 9).otherwise(0)).cast("double").alias("v"))
+    moved = MI.drift(df, "v").first()
+    assert moved.psi == pytest.approx(MI.psi(df.where("year <= 2003"), df.where("year > 2003"), "v").first().psi) and moved.drift_level != "none"
+    assert MI.drift(df.withColumn("v", F.lit(1.0)), "v", until=2002).first().psi == pytest.approx(0, abs=1e-9)
+    assert MI.drift(df.limit(0), "v").first().psi is None
