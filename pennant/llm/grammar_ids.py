@@ -2,7 +2,7 @@
 
 Documents are range-sorted by key; every shard is one range, so shards in turn hold all ids in ascending order.  A
 shard's ids are cut into blocks of about ``BLOCK`` ids, and in each block the frequent pairs of neighbouring symbols
-are replaced by new symbols, again and again, until a round gains too little.  A round counts all pairs; where
+are replaced by new symbols, again and again, until a round gains too little.  A round counts the pairs; where
 occurrences of frequent pairs overlap, the more frequent pair wins.  No pair reaches over a document's end, so every
 document is a run of whole symbols.
 
@@ -33,61 +33,73 @@ MAGIC = b"RPG1"
 BLOCK, TEXT_BYTES = 1 << 18, 4 << 20
 #: A rule costs 8 bytes and saves 2 for each replacement; a round must shorten the sequence by this share for another one.
 LEAST_COUNT, LEAST_GAIN = 5, 0.002
+#: Slots of the table that counts pairs.
+SLOT_BITS = 17
 _TABLE = "shard int, block long, before long, n_ids long, parts boolean, payload binary"
 _ENTRY = [("doc_no", "<i8"), ("doc_id", "<i8"), ("known", "u1"), ("start", "<i8"), ("doc_tokens", "<i8"), ("length", "<u4"), ("symbol", "<u4")]
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def _frequent(seq: np.ndarray, last: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places where a pair is to be replaced, none overlapping another, and the pair's number there (only pairs with
-    at least ``least`` such places)."""
-    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    key = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-    bucket = ((key * seeds(1, 3)[0]) >> np.uint64(44)).astype(np.int32)          # rare pairs go before the sort
-    at = np.flatnonzero((np.bincount(bucket, minlength=1 << 20) >= least)[bucket] & ~last[:-1])
-    if not len(at):
-        return none
-    order = np.argsort(key[at])
-    ranked = key[at][order]
-    new = np.append(True, ranked[1:] != ranked[:-1])
-    number = np.cumsum(new) - 1
-    count = np.bincount(number)
-    weight = count * len(count) + np.arange(len(count))                          # more frequent first; no ties between pairs
-    prio = np.zeros(len(seq) + 1, np.int64)                                      # place i stands at i + 1, 0 on both sides
-    prio[at[order] + 1] = np.where(count >= least, weight, 0)[number]
-    same = np.flatnonzero((prio[1:] == prio[:-1]) & (prio[1:] > 0))              # runs of one symbol: every other place
+def _frequent(seq: np.ndarray, last: np.ndarray, least: int, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places where a pair is to be replaced, none overlapping another; the pair's number there; both symbols of each
+    pair.  Only pairs with at least ``least`` such places are taken.
+
+    Pairs are told apart by a table of hashes: of the pairs that fall into one slot a single one counts in this round
+    (a pair is the likelier to, the more frequent it is); another round has another hash.
+    """
+    none = 1 << SLOT_BITS
+    key = seq[:-1] << np.uint64(32)
+    key |= seq[1:]
+    slot = key * seeds(1, 3 + turn)[0]
+    slot >>= np.uint64(64 - SLOT_BITS)
+    slot = slot.view(np.int64)
+    held = np.empty(none + 1, np.uint64)
+    held[slot] = key
+    out = held.take(slot) != key
+    out |= last[:-1]
+    slot[out] = none
+    count = np.bincount(slot, minlength=none + 1)
+    count[none] = 0
+    count = count.take(slot)
+    at = np.flatnonzero(count >= least)                                          # the rest of the work is on frequent pairs only
+    slot = slot.take(at)
+    prio = (count.take(at) << SLOT_BITS) | slot                                  # more frequent first; no ties between pairs
+    near = at[1:] - at[:-1] == 1
+    same = np.flatnonzero(near & (prio[1:] == prio[:-1])) + 1                    # runs of one symbol: every other place
     if len(same):
-        place = np.arange(len(prio))
-        begin = np.ones(len(prio), bool)
-        begin[same + 1] = False
-        odd = (place - np.maximum.accumulate(np.where(begin, place, 0))) & 1
-        prio[odd == 1] = 0
-    here = prio[1:-1]
-    sel = np.flatnonzero((here > 0) & (here > prio[:-2]) & (here > prio[2:]))
-    pair = here[sel] % len(count)
-    fine = np.bincount(pair, minlength=len(count)) >= least
-    return sel[fine[pair]], pair[fine[pair]]
+        begin = np.append(True, np.diff(same) != 1)
+        since = np.arange(len(same)) - np.flatnonzero(begin)[np.cumsum(begin) - 1]
+        prio[same[since % 2 == 0]] = 0
+    sel = prio > 0
+    sel[1:] &= ~near | (prio[1:] > prio[:-1])
+    sel[:-1] &= ~near | (prio[:-1] > prio[1:])
+    at, slot = at[sel], slot[sel]
+    chosen = np.bincount(slot, minlength=none + 1) >= least
+    fine = chosen.take(slot)
+    at, slot = at[fine], slot[fine]
+    pairs = held[np.flatnonzero(chosen)]
+    return at, (np.cumsum(chosen) - 1).take(slot), np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)]).astype(np.int64)
 
 
 def compress(ids: np.ndarray, sizes: np.ndarray, entries: np.ndarray, least: int = LEAST_COUNT, gain: float = LEAST_GAIN) -> bytes:
     """A block's bytes from the ids of its entries, one after another; ``sizes``: ids of each entry."""
-    alphabet, seq = np.unique(ids, return_inverse=True)
-    seq = seq.astype(np.uint32)
+    alphabet = np.flatnonzero(np.bincount(ids))
+    code = np.zeros(int(alphabet[-1]) + 1 if len(alphabet) else 0, np.uint64)
+    code[alphabet] = np.arange(len(alphabet))
+    seq = code[ids]
     ends = np.cumsum(sizes)
     last = np.zeros(len(seq), bool)
     last[ends[sizes > 0] - 1] = True
     lengths = np.ones(len(alphabet), np.int64)
     left, right, made = [], [], []
     while len(seq) > 1:
-        at, pair = _frequent(seq, last, least)
+        at, pair, (a, b) = _frequent(seq, last, least, len(made))
         if not len(at):
             break
-        _, first, which = np.unique(pair, return_index=True, return_inverse=True)
-        a, b = seq[at[first]], seq[at[first] + 1]
         left.append(a)
         right.append(b)
         made.append(len(a))
-        seq[at] = (len(lengths) + which).astype(np.uint32)
+        seq[at] = (len(lengths) + pair).astype(np.uint64)
         lengths = np.append(lengths, lengths[a] + lengths[b])
         last[at] = last[at + 1]
         stay = np.ones(len(seq), bool)
