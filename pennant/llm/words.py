@@ -6,19 +6,21 @@ import numpy as np
 
 
 class Generations:
-    """A mapping of bounded size: when the young generation holds ``most`` entries, the old one goes; entries in use
-    are carried over, so what is common stays."""
+    """A mapping of bounded size: when the young generation holds ``most`` entries or keys of ``most_chars`` characters
+    in all, the old one goes; entries in use are carried over, so what is common stays.  In scripts without spaces a
+    whole line is one word: the characters bound what such words take."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 500_000, most_chars: int = 16_000_000):
         self.young: dict = {}
         self.old: dict = {}
-        self.most = most
+        self.most, self.most_chars, self.chars = most, most_chars, 0
 
     def missing(self, keys: set) -> list:
         """What must be learned before all ``keys`` are in ``young``."""
-        if len(self.young) > self.most:
-            self.old, self.young = self.young, {}
+        if len(self.young) > self.most or self.chars > self.most_chars:
+            self.old, self.young, self.chars = self.young, {}, 0
         keys = keys.difference(self.young)
+        self.chars += sum(map(len, keys))
         kept = keys & self.old.keys()
         self.young.update((k, self.old[k]) for k in kept)
         return list(keys - kept)

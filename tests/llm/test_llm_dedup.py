@@ -86,6 +86,37 @@ def test_keep_one_keeps_columns_and_one_row_each(near):
     assert sum(r.doc_id is None for r in rows) == 1
 
 
+def test_keep_one_judges_each_row_by_its_own_text(spark):
+    """A clean text stays although another row of its doc_id is a copy; of equal rows one stays."""
+    a, b = "alpha beta gamma delta epsilon zeta eta", "one two three four five six seven"
+    rows = [(1, a, "x", None), (1, b, "y", None), (0, a, "z", None), (2, b.upper(), "v", None), (2, None, "n", None), (2, "", "n", None),
+            (3, "own words of the third document here", "p", None), (3, "own  words of the third document here", "q", None), (0, a, "z", None)]
+    for parts in (1, 5):
+        got = sorted(tuple(r) for r in minmax.keep_one(spark.createDataFrame(rows, SCHEMA).repartition(parts)).collect() if r.text)
+        assert [(r[0], r[1].split()[0].lower()) for r in got] == [(0, "alpha"), (1, "one"), (3, "own")]
+        kept = got if parts == 1 else kept
+        assert got == kept
+    empty = [r for r in minmax.keep_one(spark.createDataFrame(rows, SCHEMA)).collect() if not r.text]
+    assert [r.doc_id for r in empty] == [2]
+
+
+def test_classes_share_one_tie_each(spark):
+    """Clusters are those of all shared bands, from one tie a class and the distinct ties of pivots."""
+    random.seed(6)
+    rows = [(i, [random.randint(0, 40) * 100 + b for b in range(4)]) for i in range(120)]
+    got = {r.id: r.label for r in minmax.clusters(spark.createDataFrame(rows, "rep long, bands array<long>")).collect()}
+    label = {i: i for i, _ in rows}
+    for _ in range(30):
+        for band in {b for _, bands in rows for b in bands}:
+            own = [i for i, bands in rows if band in bands]
+            low = min(label[i] for i in own)
+            label.update({i: low for i in own})
+    sizes = {}
+    for i in label:
+        sizes.setdefault(label[i], []).append(i)
+    assert got == {i: label[i] for i in label if len(sizes[label[i]]) > 1}
+
+
 def test_pipeline_stage_drops_near_copies_from_080(spark, near):
     import corpus_pipeline
 

@@ -101,3 +101,40 @@ def test_pack_stage(staged):
 def test_registered():
     names = E.queries()
     assert "pipeline" in names and all(any(k.startswith(f"op{n}_") for k in names) for n in range(1, 14))
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, label string, band string, _row long"
+
+
+def odd_documents():
+    words = "In the town they said that the old house by the river had stood there for more than a hundred years and nobody knew why."
+    long = " ".join(f"{words} Number {i} of the story tells of another visitor, of what was seen and of how it went on." for i in range(4))
+    rows = [(i, f"{long} Chapter {i * 7919}, written by hand {i}.", ["en", None, "de"][i % 3], ["a", None][i % 2], 1, False, "l", "b", 1) for i in range(30)]
+    rows += [(100, None, "en", "a", None, None, None, None, None), (101, "", "en", None, 0, True, None, None, None), (102, "short", None, "a", 5, None, None, None, None),
+             rows[3], rows[3], (None, long + " no id", "en", "a", 2, None, None, None, None), (103, "tail " * 50_000, "en", "a", 3, None, None, None, None)]
+    return rows
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_in_turn_on_odd_and_empty_tables(spark, tmp_path, empty):
+    docs = spark.createDataFrame([] if empty else odd_documents(), ODD).repartition(3)
+    columns = docs.dtypes
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        made = stage(spark, docs, SF)
+        made.write.parquet(str(tmp_path / name))
+        docs = spark.read.schema(made.schema).parquet(str(tmp_path / name))
+        if name != "pack":
+            assert docs.dtypes == columns, name
+        if empty:
+            assert docs.count() == 0
+        elif name == "quality":
+            kept = {r.doc_id for r in docs.collect()}
+            assert not kept & {100, 101, 102, 103} and kept >= set(range(30)) | {None}
+        elif name == "near_dedup":
+            ids = [r.doc_id for r in docs.collect()]
+            assert len(ids) == len(set(ids)) and None in ids and 0 in ids
+        elif name == "secrets":
+            assert docs.count() == before.count()
+    if not empty:
+        assert docs.count() > 0

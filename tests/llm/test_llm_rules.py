@@ -302,6 +302,24 @@ def test_nearest_are_exact(spark):
     assert block_search.nearest(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_rows_that_repeat_do_not_take_places(spark):
+    """Every row three times, and an id with two vectors: still k different neighbours, and the same ones."""
+    rng = np.random.default_rng(19)
+    x = np.round(rng.standard_normal((300, 16)), 3)
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    plain = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    thrice = spark.createDataFrame(rows * 3, "vec_id long, embedding array<float>").repartition(4)
+    found = [sorted(map(tuple, block_search.nearest(f, F.col("vec_id") % 20 == 0, 20, block=97).collect())) for f in (plain, thrice)]
+    assert found[0] == found[1] and len(found[0]) == 15 * 20
+    twice = spark.createDataFrame(rows + [(20, [9.0] * 16), (20, [0.0] * 16), (40, None), (21, [50.0] * 16)], "vec_id long, embedding array<float>")
+    got = [sorted(map(tuple, block_search.nearest(f, F.col("vec_id") % 20 == 0, 20, block=64).collect())) for f in (twice.repartition(2), twice.repartition(5))]
+    assert got[0] == got[1]
+    smaller = np.array(min(list(np.float32(x[20]).astype(float)), [9.0] * 16))
+    best = [r for r in got[0] if r[0] == 20][0]
+    scores = {(i, j): float((smaller * np.float32(v).astype(float)).sum()) for j, (i, v) in enumerate(rows + [(21, [50.0] * 16)]) if i != 20}
+    assert best[3] == pytest.approx(max(scores.values()))
+
+
 def test_quantisation_bounds_hold():
     rng = np.random.default_rng(1)
     q, c = rng.standard_normal((40, 64)) * 10 ** rng.uniform(-3, 3, (40, 1)), rng.standard_normal((500, 64)) * 10 ** rng.uniform(-3, 3, (500, 1))

@@ -102,3 +102,24 @@ def test_like_documents_are_neighbours(spark):
     got = packing.pack(spark.createDataFrame(rows, SCHEMA), WORD, 1 << 20).orderBy("sequence_id", "offset").collect()
     kinds = [p.doc_id % 3 for p in got]
     assert sum(a != b for a, b in zip(kinds, kinds[1:])) <= 12
+
+
+def test_words_are_kept_in_bounded_characters():
+    from pennant.llm.words import Generations
+
+    g = Generations(most=1000, most_chars=5000)
+    for i in range(200):
+        new = g.missing({"日本" * 100 + str(i), "the"})
+        assert ("the" in new) == (i == 0)
+        g.young.update((k, len(k)) for k in new)
+        assert sum(map(len, g.young)) <= 5000 + 2 * 210 and sum(map(len, g.old)) <= 5000 + 2 * 210
+
+
+def test_counts_of_lines_without_spaces(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(BYTE)
+    random.seed(3)
+    rows = [(i, "".join(random.choice("日本語中文字あいう") for _ in range(3000)) + "\nthe end", None, None, None, None) for i in range(40)]
+    got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(spark.createDataFrame(rows, SCHEMA), BYTE).collect()}
+    assert got == {r[0]: len(t.encode(r[1], add_special_tokens=False).ids) for r in rows}
