@@ -288,8 +288,9 @@ def ml22(spark, sf):
         F.struct(F.lit("rf").alias("model"), F.col("p_rf").alias("p")),
         F.struct(F.lit("lr").alias("model"), F.col("p_lr").alias("p")))))
     scores = MC.roc_auc(long, "label", "p", group=["model", "year"]).withColumnRenamed("roc_auc", "score")
-    # members start from their cross-validated score on the training rows
-    start = [(n, float(TU.cross_validate(spark, tr, e, "classification", KEY, k=5)[1].first()["mean_score"])) for n, e in mem.items()]
+    # members start from their cross-validated score on the training rows (that of chance where no fold has both classes)
+    tables = {n: TU.cross_validate(spark, tr, e, "classification", KEY, k=5)[1] for n, e in mem.items()}
+    start = [(n, float(t.fillna(0.5, ["mean_score"]).first()["mean_score"])) for n, t in tables.items()]
     init = spark.createDataFrame(start, "model string, weight double")
     return out(EN.dynamic_weights(scores.fillna(0.5, ["score"]), order_col="year", window=5, floor=0.1, init=init))
 
