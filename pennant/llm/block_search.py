@@ -5,8 +5,8 @@ an equality join on the stripe number (query blocks are repeated once per stripe
 matrix product of int8 codes: each vector is scale * codes + rest, so the inner product differs from the product of
 the codes by at most |q codes| * |c rest| + |q rest| * |c| (Cauchy-Schwarz, with a margin for rounding).  Per query the
 20th largest lower bound of the tile is a threshold that no true neighbour can lie below; the pairs whose upper bound
-reaches it are computed again in double precision from the original vectors.  Each tile gives at most k rows per
-query; heaps of k merge them.
+reaches it are computed again in double precision from the original vectors.  A task folds its tiles into k rows per
+query and stripe; heaps of k merge those.
 
 Within a block a repeated row counts once, and of equal vectors only the k + 1 with the smallest ids can be among
 anyone's k nearest, so a vector that holds a third of all rows costs k + 1 rows a block.  The result is exact.
@@ -26,6 +26,8 @@ from pennant.llm.common import written
 BLOCK = 4096
 #: Pairs computed again at once, so that memory is bounded.
 _PAIRS = 200_000
+#: Query blocks whose nearest so far a task holds (some 1.3 MB each); beyond that the oldest is emitted early.
+_HELD = 64
 
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -129,13 +131,36 @@ def _record(rows):
     return pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["stripe", "dim", "ids", "data"])
 
 
+def nearer(a: tuple, b: tuple, k: int) -> tuple:
+    """The k nearest of each row from two sets of (row, candidate id, score) arrays; what is in both counts once."""
+    row, cid, score = (np.concatenate(x) for x in zip(a, b))
+    order = np.lexsort((cid, -score, row))
+    row, cid, score = row[order], cid[order], score[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (cid[1:] != cid[:-1]) | (score[1:] != score[:-1])
+    row, cid, score = row[new], cid[new], score[new]
+    best = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[best], cid[best], score[best]
+
+
 def _tiles(k: int):
+    """Tiles of a stripe, folded in the task: k rows per query and stripe, however many blocks of candidates it has."""
     def run(batches):
+        held: dict[bytes, tuple] = {}
+
+        def emit(ids):
+            row, cid, score = held.pop(ids)
+            return pa.record_batch([pa.array(np.frombuffer(ids, np.int64)[row]), pa.array(cid), pa.array(score)], names=["query_id", "vec_id", "score"])
+
         for batch in batches:
             for dim, qi, qd, ci, cd in zip(*[batch.column(i).to_pylist() for i in range(5)]):
                 q_ids, c_ids = np.frombuffer(qi, np.int64), np.frombuffer(ci, np.int64)
-                row, cid, score = tile(q_ids, np.frombuffer(qd).reshape(-1, dim), c_ids, np.frombuffer(cd).reshape(-1, dim), k)
-                yield pa.record_batch([pa.array(q_ids[row]), pa.array(cid), pa.array(score)], names=["query_id", "vec_id", "score"])
+                got = tile(q_ids, np.frombuffer(qd).reshape(-1, dim), c_ids, np.frombuffer(cd).reshape(-1, dim), k)
+                held[qi] = nearer(held.pop(qi), got, k) if qi in held else got
+                if len(held) > _HELD:
+                    yield emit(next(iter(held)))
+        for ids in list(held):
+            yield emit(ids)
     return run
 
 

@@ -1,6 +1,7 @@
 """The pipeline against a plain version of each stage over what the stage before kept."""
 
 import os
+import random
 import re
 import zlib
 
@@ -107,11 +108,11 @@ ODD = "doc_id long, text string, lang string, source string, n_chars long, kept
 
 
 def odd_documents():
-    words = "In the town they said that the old house by the river had stood there for more than a hundred years and nobody knew why."
-    long = " ".join(f"{words} Number {i} of the story tells of another visitor, of what was seen and of how it went on." for i in range(4))
-    rows = [(i, f"{long} Chapter {i * 7919}, written by hand {i}.", ["en", None, "de"][i % 3], ["a", None][i % 2], 1, False, "l", "b", 1) for i in range(30)]
+    rng = random.Random(4)
+    story = lambda: " ".join(rng.choice(("the", "house", "river", "of")) + f" {rng.choice('bcdfgh')}{rng.choice('aeiou')}{rng.choice('lmnrst')}{rng.randint(1, 400)}" for _ in range(90))
+    rows = [(i, story(), ["en", None, "de"][i % 3], ["a", None][i % 2], 1, False, "l", "b", 1) for i in range(30)]
     rows += [(100, None, "en", "a", None, None, None, None, None), (101, "", "en", None, 0, True, None, None, None), (102, "short", None, "a", 5, None, None, None, None),
-             rows[3], rows[3], (None, long + " no id", "en", "a", 2, None, None, None, None), (103, "tail " * 50_000, "en", "a", 3, None, None, None, None)]
+             rows[3], rows[3], (None, story(), "en", "a", 2, None, None, None, None), (103, "tail " * 50_000, "en", "a", 3, None, None, None, None)]
     return rows
 
 
