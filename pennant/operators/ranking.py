@@ -155,7 +155,7 @@ def quantiles(df: DataFrame, value, qs, group=(), out: str = "quantiles") -> Dat
     wanted = broadcast_if_small(wanted.select(*[F.col(k).alias(f"__w_{k}") for k in keys], F.col("__seg").alias("__wseg"), "__before", "__t"))
     here = _same(keys, "__w_") & (F.col("__seg") == F.col("__wseg"))
     hist = cut.join(wanted, here, "left_semi").groupBy(*keys, "__seg", "__v").agg(F.count(F.lit(1)).alias("__n"))
-    found = prefix_counts(hist, [*keys, "__seg"], "__v", "__n").join(wanted, here)
+    found = materialize(prefix_counts(hist, [*keys, "__seg"], "__v", "__n").select(*keys, "__seg", "__v", "__n", "__below")).join(wanted, here)
     one = found.select(*keys, "__v", F.explode(F.filter("__t", lambda t: (t["at"] - F.col("__before") >= F.col("__below"))
                                                           & (t["at"] - F.col("__before") < F.col("__below") + F.col("__n")))).alias("__t"))
     both = one.groupBy(*keys, F.col("__t.qi").alias("__qi")).agg(

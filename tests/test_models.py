@@ -79,3 +79,14 @@ def test_jobs_of_measuring_do_not_grow_with_the_maps(spark, monkeypatch):
                                      grid=ParamGridBuilder().addGrid(lr.regParam, values).build())
         assert table.count() == len(values)
     assert len(calls) == 2
+
+
+def test_tables_of_model_selection_have_scores_where_both_classes_occur(spark):
+    from pennant.plans.registry import REGISTRY
+
+    for key, columns in (("ML30_learning_curve", ("train_score", "val_score")),
+                         ("ML26_cross_validate", ("mean_score", "std_score", "min_score", "max_score", "train_score", "train_gap")),
+                         ("TK8_top_tuning_results", ("mean_score", "std_score", "min_score", "max_score", "train_score", "train_gap"))):
+        rows = REGISTRY[key](spark, SF_MID).collect()
+        assert rows and all(r[c] is not None for r in rows for c in columns), key
+        assert all(0.5 < r[columns[0]] <= 1 for r in rows)

@@ -44,7 +44,8 @@ def test_runs_without_oracle(spark, key):
     df = QUERIES[key](spark, SF_SMALL)
     rows = df.collect()
     assert rows and len(set(df.columns)) == len(df.columns)
-    one_class = key == "ML33_permutation_importance"      # the 70-row panel's test years hold one class: no AUC there
+    # the 70-row panel holds one class: no area under a curve there (tests/test_models.py has these at sf0.01)
+    one_class = key in ("ML26_cross_validate", "ML29_random_search", "ML30_learning_curve", "ML33_permutation_importance", "TK8_top_tuning_results")
     for c, kind in df.dtypes:
         if not one_class and kind in ("double", "float"):
             assert any(r[c] is not None and r[c] == r[c] for r in rows), c
