@@ -58,7 +58,7 @@ def forecast_ensemble(members: DataFrame, entity="team_name", period="forecast_p
                                                F.count(F.lit(1)).alias("n_members"))
 
 
-def _forecast_chunks(horizon: int, chunk: int = 256):
+def _forecast_chunks(horizon: int, chunk: int = 512):
     """Series in, forecasts of the best order out; a chunk of series is fitted at once."""
     def run(batches):
         for batch in batches:

@@ -95,3 +95,51 @@ def test_forecasts_per_entity(spark):
     assert "noise" in by and not {"flat", "short", "gap", None} & set(by)
     assert [x[:2] for x in sorted(by["noise"])] == [(28, 1), (29, 2), (30, 3)] and all(7 < x[2] < 13 for x in by["noise"])
     assert FC.arima_forecasts(spark.createDataFrame([], "team_name string, year int, wins double"), "wins").count() == 0
+
+
+def test_the_stationary_start_is_the_sum_of_the_shocks():
+    """Covariances of the state with the value, for orders below and up to (2, 2) and close to a unit root."""
+    for ar, ma in (([0.5, -0.3], [0.4, 0.2]), ([0.6, 0.0], [0.0, 0.0]), ([0.0, 0.0], [-0.7, 0.3]), ([0.99, 0.0], [-0.9, 0.0]), ([0.1, 0.88], [0.5, 0.0])):
+        w = [1.0, ma[0] + ar[0]]
+        w.append(ma[1] + ar[0] * w[1] + ar[1])
+        for _ in range(6000):
+            w.append(ar[0] * w[-1] + ar[1] * w[-2])
+        w = np.array(w)
+        g = [np.sum(w[:len(w) - h] * w[h:]) for h in range(3)]
+        want = [g[0], ar[1] * g[1] + ma[0] + ma[1] * w[1], ma[1]]
+        assert AR.stationary(np.array([ar]).T, np.array([ma]).T)[:, 0] == pytest.approx(want, rel=1e-8)
+
+
+def test_the_filter_is_that_of_whole_covariances():
+    """Every step's variance and gain by the textbook recursion on the covariance matrix."""
+    rng = np.random.default_rng(5)
+    for p, q in AR.ORDERS:
+        ar, ma, n = AR.from_partial(rng.normal(size=(1, p))), -AR.from_partial(rng.normal(size=(1, q))), 40
+        y, r = rng.normal(size=n), max(p, q + 1)
+        move, load = np.eye(r, k=1), np.zeros(r)
+        move[:p, 0] += ar[0]
+        load[0], load[1:q + 1] = 1, ma[0]
+        cov = np.linalg.solve(np.eye(r * r) - np.kron(move, move), np.outer(load, load).ravel()).reshape(r, r)
+        state, sums, logs = np.zeros((r, 2)), np.zeros(3), 0.0
+        for v in y:
+            f, miss = cov[0, 0], np.array([v, 1.0]) - state[0]
+            gain = move @ cov[:, 0] / f
+            sums, logs = sums + np.array([miss[0] ** 2, miss[0] * miss[1], miss[1] ** 2]) / f, logs + np.log(f)
+            state = move @ state + np.outer(gain, miss)
+            cov = move @ cov @ move.T + np.outer(load, load) - f * np.outer(gain, gain)
+        got, mean = run(y, ar[0], ma[0]), sums[1] / sums[2]
+        variance = (sums[0] - sums[1] * mean) / n
+        assert (got["mean"], got["variance"]) == pytest.approx((mean, variance))
+        assert got["loglik"] == pytest.approx(-0.5 * (n * (np.log(2 * np.pi * variance) + 1) + logs))
+        assert got["state"] == pytest.approx(state[:, 0] - mean * state[:, 1])
+
+
+def test_a_search_is_a_few_hundred_passes_for_all_series_and_orders(monkeypatch):
+    """A pass costs mostly one call per operation, whatever the number of models: all series and orders share it."""
+    widths, whole = [], AR.run_filter
+    monkeypatch.setattr(AR, "run_filter", lambda data, ar, *rest: widths.append(ar.shape[1]) or whole(data, ar, *rest))
+    series = [simulated(28, (0.4,), (0.2,), seed=s) for s in range(60)]
+    together = AR.select(series, 1)
+    assert len(widths) < 1200 and max(widths) == 60 * len(AR.ORDERS)
+    alone = AR.select(series[7:8], 1)[0]
+    assert together[7][0] == alone[0] and together[7][1] == pytest.approx(alone[1]) and together[7][2] == pytest.approx(alone[2], rel=1e-5)
