@@ -2,9 +2,10 @@
 
 Training data is a DataFrame with a ``features`` vector (``VectorAssembler``)
 and a label; fits are distributed MLlib jobs.  Class balancing uses a
-weight column ``n / (k * n_class)`` computed with one aggregation.  Tree
-ensembles cache each row's node id between levels (``cacheNodeIds``: same
-model, ~35 % faster for the depth-10 forests than re-shipping the trees).
+weight column ``n / (k * n_class)`` computed with one aggregation.  Forests
+cache each row's node id between levels (``cacheNodeIds``: same model, ~35 %
+faster at depth 10 than re-shipping the trees); boosted trees, one small tree
+at a time, do not: there the cache costs more than it saves.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pennant.functions.safe import attach_scalars
+from pennant.session import materialize
 
 
 def assemble(df: DataFrame, features, out: str = "features", handle_invalid: str = "error") -> DataFrame:
@@ -39,13 +41,20 @@ def scaler(with_mean: bool = True, with_std: bool = True, input_col="features",
 def balanced_weights(df: DataFrame, label: str = "label", out: str = "weight", train=None) -> DataFrame:
     """n / (k * n_c) per class (sklearn ``class_weight='balanced'``).  With ``train`` (a condition) only those rows are
     counted and weighted; the others have weight 1, so no held-out label has any influence."""
-    if train is not None:
-        rows = balanced_weights(df.where(train), label, out)
-        return rows.unionByName(df.where(~train | train.isNull()).withColumn(out, F.lit(1.0)))
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
+    counts = (df if train is None else df.where(train)).groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
     tot = counts.agg(F.sum("__nc").alias("__n"), F.count(F.lit(1)).alias("__k"))
     w = attach_scalars(counts, tot).select(label, (F.col("__n") / (F.col("__k") * F.col("__nc"))).alias(out))
-    return df.join(F.broadcast(w), label, "left")   # one row per class: size-proven
+    d = df.join(F.broadcast(w), label, "left")   # one row per class: size-proven
+    return d if train is None else d.withColumn(out, F.when(train, F.col(out)).otherwise(1.0))
+
+
+def compact(df: DataFrame, least: int = 25_000, most: int = 250_000) -> DataFrame:
+    """The rows of ``df``, written once, in few partitions, for fits that pass over them hundreds of times: a pass starts a
+    task per partition, which costs more than a small one's rows.  A partition has ``least`` rows or more, unless all
+    have fewer, and about ``most`` once every core has one.  For estimators that draw no random numbers per partition."""
+    d = materialize(df, "checkpoint")
+    n = d.count()
+    return d.coalesce(max(math.ceil(n / most), min(math.ceil(n / least), df.sparkSession.sparkContext.defaultParallelism), 1))
 
 
 def logistic(label="label", weight="weight", reg=0.0, max_iter=100) -> LogisticRegression:
@@ -62,8 +71,7 @@ def random_forest_classifier(label="label", weight="weight", trees=100, depth=10
 def gbt_classifier(label="label", weight="weight", iters=100, depth=5, step=0.1, seed=42,
                    validation_col: str | None = None, tol: float = 1e-4) -> GBTClassifier:
     """ML4 — boosted trees; early stopping through a validation indicator column."""
-    kw = dict(labelCol=label, weightCol=weight, maxIter=iters, maxDepth=depth, stepSize=step, seed=seed,
-              cacheNodeIds=True)
+    kw = dict(labelCol=label, weightCol=weight, maxIter=iters, maxDepth=depth, stepSize=step, seed=seed)
     if validation_col:
         kw.update(validationIndicatorCol=validation_col, validationTol=tol)
     return GBTClassifier(**kw)
@@ -117,7 +125,7 @@ def random_forest_regressor(label="label", trees=100, depth=10, seed=42) -> Rand
 
 
 def gbt_regressor(label="label", iters=100, depth=5, seed=42, validation_col=None, tol=1e-4) -> GBTRegressor:
-    kw = dict(labelCol=label, maxIter=iters, maxDepth=depth, seed=seed, cacheNodeIds=True)
+    kw = dict(labelCol=label, maxIter=iters, maxDepth=depth, seed=seed)
     if validation_col:
         kw.update(validationIndicatorCol=validation_col, validationTol=tol)
     return GBTRegressor(**kw)

@@ -31,14 +31,14 @@ def evaluator(kind: str, label: str = "label", metric: str | None = None):
 
 
 def train_many(spark: SparkSession, train: DataFrame, test: DataFrame, estimators: dict, kind: str,
-               label: str = "label") -> DataFrame:
+               label: str = "label", own: dict | None = None) -> DataFrame:
     """ML25 — fit every estimator, score the test rows, continue past failures;
-    a results table (model, metric, value, error)."""
+    a results table (model, metric, value, error).  ``own`` has training rows of single estimators, laid out for them."""
     ev = evaluator(kind, label)
     rows = []
     for name, est in estimators.items():
         try:
-            m = est.fit(train)
+            m = est.fit((own or {}).get(name, train))
             rows.append((name, ev.getMetricName(), float(ev.evaluate(m.transform(test))), None))
         except Exception as e:  # noqa: BLE001 — the report records the failure
             rows.append((name, ev.getMetricName(), None, f"{type(e).__name__}: {str(e)[:200]}"))

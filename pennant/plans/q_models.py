@@ -57,6 +57,11 @@ def _split(d):
     return d.where(F.col("split") == "train"), d.where(F.col("split") == "val"), d.where(F.col("split") == "test")
 
 
+def _fit_rows(d):
+    """What folds and fits read of the rows."""
+    return d.select(*KEY, "features", "label", "weight")
+
+
 def _scored(m, test):
     return out(m.transform(test).select(*KEY, "label", vector_to_array("probability")[1].alias("p"),
                                         F.col("prediction").cast("int").alias("prediction")))
@@ -91,7 +96,7 @@ def ml3(spark, sf):
 def ml4(spark, sf):
     d = ml_data(spark, sf)
     trv = d.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
-    m = ES.gbt_classifier(validation_col="is_val").fit(trv)
+    m = ES.gbt_classifier(validation_col="is_val").fit(ES.compact(trv.select("features", "label", "weight", "is_val")))
     return _scored(m, d.where(F.col("split") == "test"))
 
 
@@ -136,7 +141,7 @@ def ml8(spark, sf):
 def ml8b(spark, sf):
     d = _reg_data(spark, sf)
     trv = d.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
-    m = ES.gbt_regressor(validation_col="is_val", tol=1e-6).fit(trv)
+    m = ES.gbt_regressor(validation_col="is_val", tol=1e-6).fit(ES.compact(trv.select("features", "label", "is_val")))
     return out(m.transform(d.where(F.col("split") == "test")).select(*KEY, "label", "prediction"))
 
 
@@ -164,7 +169,7 @@ def ml9c(spark, sf):
 def ml10(spark, sf):
     d = ml_data(spark, sf, label="made_playoffs")
     tr, _, te = _split(d)
-    m = CAL.CalibratedClassifier(ES.gbt_classifier(), "sigmoid", 3).fit(tr)
+    m = CAL.CalibratedClassifier(ES.gbt_classifier(), "sigmoid", 3).fit(ES.compact(_fit_rows(tr)))
     s = m.transform(te)
     adj = S.standings_adjusted(s, "p", "games_behind", group=["year"], out="p_adjusted")
     return out(adj.select(*KEY, "label", "p", "p_adjusted"))
@@ -282,14 +287,15 @@ def ml21(spark, sf):
 @register("ML22_dynamic_weights")
 def ml22(spark, sf):
     d, tr, va, te, mem = _members(spark, sf)
-    fitted = {n: e.fit(tr) for n, e in mem.items()}
+    rows = {"rf": tr, "lr": ES.compact(_fit_rows(tr))}
+    fitted = {n: e.fit(rows[n]) for n, e in mem.items()}
     s = EN.member_scores(d.where(F.col("split") != "train"), fitted)
     long = s.select("year", "label", F.inline(F.array(
         F.struct(F.lit("rf").alias("model"), F.col("p_rf").alias("p")),
         F.struct(F.lit("lr").alias("model"), F.col("p_lr").alias("p")))))
     scores = MC.roc_auc(long, "label", "p", group=["model", "year"]).withColumnRenamed("roc_auc", "score")
     # members start from their cross-validated score on the training rows (that of chance where no fold has both classes)
-    tables = {n: TU.cross_validate(spark, tr, e, "classification", KEY, k=5)[1] for n, e in mem.items()}
+    tables = {n: TU.cross_validate(spark, rows[n], e, "classification", KEY, k=5)[1] for n, e in mem.items()}
     start = [(n, float(t.fillna(0.5, ["mean_score"]).first()["mean_score"])) for n, t in tables.items()]
     init = spark.createDataFrame(start, "model string, weight double")
     return out(EN.dynamic_weights(scores.fillna(0.5, ["score"]), order_col="year", window=5, floor=0.1, init=init))
@@ -315,7 +321,8 @@ def ml25(spark, sf):
     est = {"logistic": ES.logistic(), "random_forest": ES.random_forest_classifier(),
            "gbt": ES.gbt_classifier(), "mlp": ES.mlp(len(CLS_FEATURES), hidden=(16,)),
            "broken": LogisticRegression(featuresCol="no_such_column")}
-    res = TU.train_many(spark, tr, te, est, "classification")
+    few = ES.compact(_fit_rows(tr))
+    res = TU.train_many(spark, tr, te, est, "classification", own={"logistic": few, "gbt": few})
     return out(res)
 
 
@@ -340,7 +347,7 @@ def ml28(spark, sf):
     d, tr, va, te, _ = _members(spark, sf)
     lr = ES.logistic()
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.1]).build()
-    return out(TU.nested_cv(spark, tr, lr, grid, "classification", KEY, outer=5, inner=3))
+    return out(TU.nested_cv(spark, ES.compact(_fit_rows(tr)), lr, grid, "classification", KEY, outer=5, inner=3))
 
 
 #: The reference's random-search ranges for a random forest; MLlib has no ``min_samples_split``.
