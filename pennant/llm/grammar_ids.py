@@ -35,35 +35,42 @@ BLOCK, TEXT_BYTES = 1 << 18, 4 << 20
 LEAST_COUNT, LEAST_GAIN = 5, 0.002
 #: Slots of the table that counts pairs.
 SLOT_BITS = 17
+#: While a block is made: the bit of a symbol that ends an entry, and the other bits.
+LAST, SYMBOL = np.uint32(1 << 31), np.uint32((1 << 31) - 1)
 _TABLE = "shard int, block long, before long, n_ids long, parts boolean, payload binary"
 _ENTRY = [("doc_no", "<i8"), ("doc_id", "<i8"), ("known", "u1"), ("start", "<i8"), ("doc_tokens", "<i8"), ("length", "<u4"), ("symbol", "<u4")]
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def _frequent(seq: np.ndarray, last: np.ndarray, least: int, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places where a pair is to be replaced, none overlapping another; the pair's number there; both symbols of each
-    pair.  Only pairs with at least ``least`` such places are taken.
+def _frequent(seq: np.ndarray, look: np.ndarray, least: int, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs that begin at ``look`` (ascending): places where a pair is to be replaced, none overlapping another;
+    the pair's number there; both symbols of each pair; and the places that another round has to look at even if nothing
+    changes beside them.  Only pairs with at least ``least`` places to replace are taken.
 
     Pairs are told apart by a table of hashes: of the pairs that fall into one slot a single one counts in this round
     (a pair is the likelier to, the more frequent it is); another round has another hash.
     """
     none = 1 << SLOT_BITS
-    key = seq[:-1] << np.uint64(32)
-    key |= seq[1:]
+    key = seq.take(look).astype(np.uint64)
+    key <<= np.uint64(32)
+    key |= seq.take(look + 1) & SYMBOL
     slot = key * seeds(1, 3 + turn)[0]
     slot >>= np.uint64(64 - SLOT_BITS)
     slot = slot.view(np.int64)
-    held = np.empty(none + 1, np.uint64)
+    held = np.empty(none, np.uint64)
     held[slot] = key
-    out = held.take(slot) != key
-    out |= last[:-1]
-    slot[out] = none
-    count = np.bincount(slot, minlength=none + 1)
-    count[none] = 0
-    count = count.take(slot)
-    at = np.flatnonzero(count >= least)                                          # the rest of the work is on frequent pairs only
-    slot = slot.take(at)
-    prio = (count.take(at) << SLOT_BITS) | slot                                  # more frequent first; no ties between pairs
+    own = held.take(slot) == key
+    if not own.all():
+        late = look.compress(~own)
+        own = np.flatnonzero(own)
+        look, slot = look.take(own), slot.take(own)
+    else:
+        late = look[:0]
+    count = np.bincount(slot, minlength=none)
+    hot = np.flatnonzero((count >= least).take(slot))                            # the rest of the work is on frequent pairs only
+    at, slot = look.take(hot), slot.take(hot)
+    again = at
+    prio = (count.take(slot) << SLOT_BITS) | slot                                # more frequent first; no ties between pairs
     near = at[1:] - at[:-1] == 1
     same = np.flatnonzero(near & (prio[1:] == prio[:-1])) + 1                    # runs of one symbol: every other place
     if len(same):
@@ -73,40 +80,57 @@ def _frequent(seq: np.ndarray, last: np.ndarray, least: int, turn: int) -> tuple
     sel = prio > 0
     sel[1:] &= ~near | (prio[1:] > prio[:-1])
     sel[:-1] &= ~near | (prio[:-1] > prio[1:])
-    at, slot = at[sel], slot[sel]
-    chosen = np.bincount(slot, minlength=none + 1) >= least
-    fine = chosen.take(slot)
-    at, slot = at[fine], slot[fine]
-    pairs = held[np.flatnonzero(chosen)]
-    return at, (np.cumsum(chosen) - 1).take(slot), np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)]).astype(np.int64)
+    sel = np.flatnonzero(sel)
+    at, slot = at.take(sel), slot.take(sel)
+    chosen = np.bincount(slot, minlength=none) >= least
+    fine = np.flatnonzero(chosen.take(slot))
+    at, slot = at.take(fine), slot.take(fine)
+    chosen = np.flatnonzero(chosen)
+    pairs = held.take(chosen)
+    number = np.empty(none, np.int64)
+    number[chosen] = np.arange(len(chosen))
+    return at, number.take(slot), np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)]).astype(np.int64), np.append(again, late)
 
 
 def compress(ids: np.ndarray, sizes: np.ndarray, entries: np.ndarray, least: int = LEAST_COUNT, gain: float = LEAST_GAIN) -> bytes:
-    """A block's bytes from the ids of its entries, one after another; ``sizes``: ids of each entry."""
+    """A block's bytes from the ids of its entries, one after another; ``sizes``: ids of each entry.
+
+    A round looks only at places whose pair may be frequent: those that were in the round before or were not counted
+    there, and those beside a new symbol.  Of any other pair there were too few, and no round makes more of them.
+    """
     alphabet = np.flatnonzero(np.bincount(ids))
-    code = np.zeros(int(alphabet[-1]) + 1 if len(alphabet) else 0, np.uint64)
+    code = np.zeros(int(alphabet[-1]) + 1 if len(alphabet) else 0, np.uint32)
     code[alphabet] = np.arange(len(alphabet))
-    seq = code[ids]
+    seq = code.take(ids)
     ends = np.cumsum(sizes)
-    last = np.zeros(len(seq), bool)
-    last[ends[sizes > 0] - 1] = True
+    seq[ends[sizes > 0] - 1] |= LAST
     lengths = np.ones(len(alphabet), np.int64)
     left, right, made = [], [], []
-    while len(seq) > 1:
-        at, pair, (a, b) = _frequent(seq, last, least, len(made))
+    look = np.flatnonzero(seq < LAST)
+    while len(look):
+        at, pair, (a, b), again = _frequent(seq, look, least, len(made))
         if not len(at):
             break
         left.append(a)
         right.append(b)
         made.append(len(a))
-        seq[at] = (len(lengths) + pair).astype(np.uint64)
+        after = seq.take(at + 1)
+        seq[at] = (len(lengths) + pair).astype(np.uint32) | (after & LAST)
         lengths = np.append(lengths, lengths[a] + lengths[b])
-        last[at] = last[at + 1]
+        looked = np.zeros(len(seq), bool)
+        looked[again] = True
+        looked[at] = True
+        looked[at[at > 0] - 1] = True
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
-        seq, last = seq[stay], last[stay]
-        if len(at) < gain * len(stay):
+        size = len(seq)
+        stay = np.flatnonzero(stay)
+        seq = seq.take(stay)
+        look = np.flatnonzero(looked.take(stay))
+        look = look[seq.take(look) < LAST]
+        if len(at) < gain * size:
             break
+    seq &= SYMBOL
     wide = np.dtype("<u2") if len(lengths) <= 65536 else np.dtype("<u4")
     rows = entries.copy()
     rows["length"] = sizes

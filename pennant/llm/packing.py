@@ -25,8 +25,10 @@ from pennant.llm.common import running_sum, written
 from pennant.llm.hashing import mix64, runs, seeds, text_bytes, word_hashes
 
 DIMENSIONS, BITS, BUCKETS = 4, 15, 256
-#: Blocks of learned words that an encoder keeps; a block holds the new words of one run of texts (some 4 MB).
-_BLOCKS = 12
+#: Learned words that an encoder keeps, and ids of all of them together; beyond either, half goes, longest unused first.
+KEPT_WORDS, KEPT_IDS = 1 << 20, 1 << 23
+#: Bits of a word's hash by which its place is looked up.
+_SLOT_BITS = 20
 #: Encoders of this Python worker, by path: the words learned in one task serve the next.
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
@@ -73,6 +75,66 @@ def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
+class Words:
+    """Learned words: sorted hashes; start and size of each word's ids in one array; and the turn that last met it.
+
+    A slot of the hash's first bits has the place of its first word, so a word is found in few steps.
+    """
+
+    def __init__(self, kind: np.dtype):
+        self.flat, self.turn = np.zeros(0, kind), 0
+        self.begin, self.size, self.used = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self._hold(np.zeros(0, np.uint64))
+
+    def _hold(self, keys: np.ndarray) -> None:
+        self.ends = np.append(keys, np.uint64(2 ** 64 - 1))      # a search always ends
+        self.keys = self.ends[:-1]
+        count = np.bincount((keys >> np.uint64(64 - _SLOT_BITS)).view(np.int64), minlength=1 << _SLOT_BITS)
+        self.slots = (np.cumsum(count) - count).astype(np.int32)
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and size of each word's ids, and which words are not known (their start and size: 0)."""
+        self.turn += 1
+        at = self.slots.take((h >> np.uint64(64 - _SLOT_BITS)).view(np.int64)).astype(np.int64)
+        key = self.ends.take(at)
+        left = np.flatnonzero(key < h)
+        while len(left):                                         # on to the next word until the hash is reached or passed
+            at[left] += 1
+            key[left] = self.ends.take(at[left])
+            left = left[key[left] < h[left]]
+        known = (key == h) & (at < len(self.keys))
+        new = np.flatnonzero(~known)
+        if not len(new):
+            self.used[at] = self.turn
+            return self.begin.take(at).astype(np.int64), self.size.take(at).astype(np.int64), new
+        here = np.flatnonzero(known)
+        at = at.take(here)
+        self.used[at] = self.turn
+        begin, size = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
+        begin[here], size[here] = self.begin.take(at), self.size.take(at)
+        return begin, size, new
+
+    def add(self, keys: np.ndarray, begin: np.ndarray, size: np.ndarray, flat: np.ndarray) -> None:
+        """Words that are not known yet, sorted; ``begin`` counts from the end of the ids held so far."""
+        at = np.searchsorted(self.keys, keys)
+        self.begin, self.size = np.insert(self.begin, at, begin + len(self.flat)), np.insert(self.size, at, size)
+        self.used = np.insert(self.used, at, self.turn)
+        self._hold(np.insert(self.keys, at, keys))
+        self.flat = np.append(self.flat, flat)
+
+    def prune(self, words: int, ids: int) -> None:
+        """If there are more than so many words or ids, those used last stay, up to half of both."""
+        if len(self.keys) <= words and len(self.flat) <= ids:
+            return
+        late = np.argsort(-self.used, kind="stable")
+        late = late[:words // 2]
+        stay = np.sort(late[np.cumsum(self.size[late], dtype=np.int64) <= ids // 2])
+        self.flat = self.flat[spread(self.begin[stay].astype(np.int64), self.size[stay])]
+        self.size, self.used = self.size[stay], self.used[stay]
+        self.begin = np.cumsum(self.size, dtype=np.int32) - self.size
+        self._hold(self.keys[stay])
+
+
 class WordEncoder:
     """Token ids of many texts at once, from the ids of their distinct words.
 
@@ -81,8 +143,8 @@ class WordEncoder:
     pre-tokeniser reaches over white space, or from a letter or digit into such punctuation.  Words are known by
     64-bit hashes of their bytes in lower case (very long ones by a cryptographic hash).
 
-    What is learned stays in blocks of arrays (sorted hashes; start and size in one array of ids); the oldest block
-    goes when there are ``_BLOCKS``, so memory is bounded whatever the vocabulary.
+    What is learned stays until there is too much of it; then words that have not been met for the longest time go, so
+    memory is bounded whatever the vocabulary, and frequent words are learned once.
     """
 
     LONG = 256
@@ -95,7 +157,7 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2") if size <= 65536 else np.dtype("<u4")
-        self.blocks: dict[bool, list] = {False: [], True: []}
+        self.words = {False: Words(self.kind), True: Words(self.kind)}
         h = mix64(np.arange(size, dtype=np.uint64) * seeds(1, 5)[0])
         self.bucket, self.sign = (h >> np.uint64(8)).astype(np.int64) % BUCKETS, (h & np.uint64(1)).astype(np.float64) * 2 - 1
 
@@ -106,30 +168,17 @@ class WordEncoder:
         for i in np.flatnonzero(w1 - w0 > self.LONG):
             word = raw[w0[i]:w1[i]].tobytes()
             h[i] = int.from_bytes(hashlib.blake2b(word if special else word.lower(), digest_size=8).digest(), "little")
-        distinct, sample, which = np.unique(h, return_index=True, return_inverse=True)
-        blocks, source = self.blocks[special], np.full(len(distinct), -1)
-        start, size = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
-        left = np.arange(len(distinct))
-        for n, (keys, begin, count, _) in enumerate(blocks):
-            at = np.minimum(np.searchsorted(keys, distinct[left]), len(keys) - 1)
-            hit = keys[at] == distinct[left]
-            own, at = left[hit], at[hit]
-            source[own], start[own], size[own] = n, begin[at], count[at]
-            left = left[~hit]
-        if len(left):
-            begin, count, flat = self._learn(raw, w0[sample[left]], w1[sample[left]])
-            blocks.append((distinct[left], begin, count, flat))
-            source[left], start[left], size[left] = len(blocks) - 1, begin, count
-        to = np.cumsum(size) - size
-        ids = np.empty(size.sum(), self.kind)
-        for n, block in enumerate(blocks):
-            own = np.flatnonzero(source == n)
-            ids[spread(to[own], size[own])] = block[3][spread(start[own], size[own])]
-        if len(blocks) > _BLOCKS:
-            del blocks[0]
-        count = size[which]
+        words = self.words[special]
+        start, count, new = words.find(h)
+        if len(new):
+            distinct, sample, which = np.unique(h[new], return_index=True, return_inverse=True)
+            begin, size, flat = self._learn(raw, w0[new[sample]], w1[new[sample]])
+            start[new], count[new] = begin[which] + len(words.flat), size[which]
+            words.add(distinct, begin, size, flat)
+        ids = words.flat.take(spread(start, count))
+        words.prune(KEPT_WORDS, KEPT_IDS)
         after = np.append(0, np.cumsum(count))
-        return ids[spread(to[which], count)], after[first]
+        return ids, after[first]
 
     def _learn(self, raw: np.ndarray, w0: np.ndarray, w1: np.ndarray, group: int = 500) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, size and ids of words: many are encoded as the lines of one text, and offsets tell whose a token is."""
