@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pennant.llm.hashing import runs, seeds, text_bytes
-from pennant.llm.packing import WordEncoder, spread
+from pennant.llm.packing import encoder_of, spread
 
 MAGIC = b"RPG1"
 #: Ids of a block (a longer document is cut into blocks of its own), and the ids' texts encoded at a time.
@@ -39,7 +39,6 @@ SLOT_BITS = 17
 LAST, SYMBOL = np.uint32(1 << 31), np.uint32((1 << 31) - 1)
 _TABLE = "shard int, block long, before long, n_ids long, parts boolean, payload binary"
 _ENTRY = [("doc_no", "<i8"), ("doc_id", "<i8"), ("known", "u1"), ("start", "<i8"), ("doc_tokens", "<i8"), ("length", "<u4"), ("symbol", "<u4")]
-_ENCODERS: dict[str, WordEncoder] = {}
 
 
 def _frequent(seq: np.ndarray, look: np.ndarray, least: int, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -199,11 +198,7 @@ class Block:
 def _blocks(path: str, end_id: int, size: int):
     """Blocks of a partition of sorted rows (``_part``, ``doc_id``, ``text``)."""
     def run(batches):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = _ENCODERS.get(path) or WordEncoder(path)
-        _ENCODERS[path] = encoder
+        encoder = encoder_of(path)
         end = np.array([end_id], np.uint32)
         held, rows, state = [], [], {"block": 0, "before": 0, "held": 0, "doc": 0}
 

@@ -204,13 +204,20 @@ class WordEncoder:
         return np.bincount(text + self.bucket[ids], self.sign[ids], (len(first) - 1) * BUCKETS).reshape(-1, BUCKETS)
 
 
+def encoder_of(path: str) -> WordEncoder:
+    """This process's encoder.  Tasks have to come here for it: a function sent to them brings copies of the globals
+    that it names, so what they put into those is gone with the task."""
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
+
+
 def _tokenise(path: str, end_id: int):
     def run(batches):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = _ENCODERS.get(path) or WordEncoder(path)
-        _ENCODERS[path] = encoder
+        encoder = encoder_of(path)
         end = np.array([end_id], encoder.kind).tobytes()
         for batch in batches:
             raw, starts, ends = text_bytes(batch.column(2))

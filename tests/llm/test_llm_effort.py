@@ -39,6 +39,21 @@ def test_frequent_words_are_learned_once(monkeypatch):
     assert all(x.isdisjoint(common) for x in learned[1:])
 
 
+def test_tasks_of_a_process_share_the_learned_words(monkeypatch):
+    import pyarrow as pa
+    from pyspark import cloudpickle
+
+    monkeypatch.setattr(packing, "_ENCODERS", {})
+    rows = {"_part": pa.array([0, 0], pa.int32()), "doc_id": pa.array([1, 2]), "text": pa.array(["shared words, some", None])}
+    key = {"_row": pa.array([0, 1]), "_key": pa.array([0, 1]), "text": rows["text"]}
+    made = []
+    for make, batch in ((grammar_ids._blocks(WORD, 1, 256), rows), (grammar_ids._blocks(WORD, 1, 256), rows), (packing._tokenise(WORD, 1), key)):
+        task = cloudpickle.loads(cloudpickle.dumps(make))                     # as it reaches a worker
+        made.append(sum(x.num_rows for x in task([pa.record_batch(batch)])))
+        assert packing._ENCODERS[WORD].words[False].turn == len(made)
+    assert made == [1, 1, 2]
+
+
 def test_learned_words_are_bounded_and_the_last_used_stay(monkeypatch):
     from tokenizers import Tokenizer
 
